@@ -50,3 +50,106 @@ SELECT conv_id, split, n_messages, last_role,
        length(prompt) + length(substring("full", length(prompt) + 1)) AS n_chars
 FROM rendered
 """
+
+
+# FX1 tool_records built by plain string concatenation, plus the expected parse outcome.
+FX1 = """
+ev AS (
+  SELECT event_id AS sample_id, event_type AS et, CAST(user_id AS VARCHAR) AS uid,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+  FROM events
+),
+parts AS (
+  SELECT sample_id, et, uid, k,
+    '[{"role": "developer", "content": "@DEV@"}, {"role": "user", "content": "' || et || ' for user ' || uid
+      || '"}, {"role": "assistant", "tool_calls": [{"function": {"name": "' || et || '", "arguments": '
+      || CASE WHEN sample_id % 3 = 0 THEN '{"k": ' || CAST(k AS VARCHAR) || '}'
+              ELSE '{"k": "' || CAST(k AS VARCHAR) || '", "user": "' || uid || '"}' END
+      || '}}]}]' AS msgs,
+    '[{"function":{"description":"Handle a ' || et || ' event","name":"' || et
+      || '","parameters":{"properties":{"k":{"type":"string"},"user":{"type":"string"}},"type":"object"}},"type":"function"}]' AS tools,
+    CASE sample_id % 10 WHEN 0 THEN 'eval' WHEN 1 THEN 'holdout' ELSE 'train' END AS meta,
+    CASE WHEN sample_id % 3 = 0 THEN '{"k":' || CAST(k AS VARCHAR) || '}'
+         ELSE '{"k":"' || CAST(k AS VARCHAR) || '","user":"' || uid || '"}' END AS args_json,
+    'k:<escape>' || CAST(k AS VARCHAR) || '<escape>'
+      || CASE WHEN sample_id % 3 = 0 THEN '' ELSE ',user:<escape>' || uid || '<escape>' END AS pairs
+  FROM ev
+),
+fx1 AS (
+  SELECT *,
+    CASE sample_id % 8
+      WHEN 4 THEN '{"messages": "' || replace(msgs, '"', '\\"') || '", "tools": ' || tools || ', "metadata": "' || meta || '"}'
+      WHEN 5 THEN '{"messages": "' || replace(msgs, '"', '''') || '", "tools": ' || tools || ', "metadata": "' || meta || '"}'
+      WHEN 6 THEN '{"messages": ' || msgs || ', "metadata": "' || meta || '"}'
+      WHEN 7 THEN substring(full_line, 1, length(full_line) // 2)
+      ELSE full_line END AS text,
+    CASE sample_id % 8 WHEN 6 THEN 'missing_tools' WHEN 7 THEN 'invalid_json' END AS reason,
+    CASE sample_id % 8 WHEN 4 THEN 'string' WHEN 5 THEN 'repaired' WHEN 7 THEN NULL ELSE 'native' END AS decoded_from
+  FROM (SELECT *, '{"messages": ' || msgs || ', "tools": ' || tools || ', "metadata": "' || meta || '"}' AS full_line
+        FROM parts) p
+),
+ok AS (
+  SELECT *,
+    '<start_of_turn>developer' || chr(10) || '<tools>' || tools || '</tools><end_of_turn>' || chr(10)
+      || '<start_of_turn>developer' || chr(10) || '@DEV@<end_of_turn>' || chr(10)
+      || '<start_of_turn>user' || chr(10) || et || ' for user ' || uid || '<end_of_turn>' || chr(10) AS head,
+    '<start_of_turn>model' || chr(10) || '<start_function_call>call:' || et || '{' || pairs
+      || '}<end_function_call><end_of_turn>' || chr(10) AS last_seg
+  FROM fx1 WHERE reason IS NULL
+)""".replace("@DEV@", "You are a model that can do function calling with the following functions")
+
+SQL["scan_text_lines"] = f"WITH {FX1} SELECT text FROM fx1"
+
+SQL["parse_chat_record"] = f"""WITH {FX1}
+SELECT sample_id, reason, decoded_from,
+       CASE WHEN reason IS NULL THEN meta END AS split,
+       CASE WHEN reason IS NULL THEN 3 END AS n_messages,
+       CASE WHEN reason IS NULL THEN tools END AS tools_json
+FROM fx1"""
+
+SQL["cached_dataset"] = f"WITH {FX1} SELECT sample_id, text FROM fx1"
+
+SQL["valid_records"] = f"""WITH {FX1}
+SELECT sample_id, meta AS split, 3 AS n_messages, et || ' for user ' || uid AS user_content,
+       et AS call_name, args_json
+FROM fx1 WHERE reason IS NULL"""
+
+SQL["quarantine_records"] = f"WITH {FX1} SELECT sample_id, reason FROM fx1 WHERE reason IS NOT NULL"
+
+SQL["quarantine_counts"] = f"WITH {FX1} SELECT reason, count(*) AS n FROM fx1 WHERE reason IS NOT NULL GROUP BY reason"
+
+SQL["decode_nested_json"] = f"""WITH {FX1}
+SELECT sample_id, decoded_from, 3 AS n_messages, 'developer,user,assistant' AS roles
+FROM fx1 WHERE decoded_from IN ('string', 'repaired') AND reason IS NULL"""
+
+SQL["repair_json_field"] = f"""WITH {FX1}
+SELECT sample_id,
+  '[{{"content":"@DEV@","role":"developer"}},{{"content":"' || et || ' for user ' || uid
+    || '","role":"user"}},{{"role":"assistant","tool_calls":[{{"function":{{"arguments":' || args_json
+    || ',"name":"' || et || '"}}}}]}}]' AS repaired
+FROM parts""".replace("@DEV@", "You are a model that can do function calling with the following functions")
+
+SQL["unwrap_singleton"] = "SELECT event_id AS sample_id, 3 AS n_items, 'OBJECT' AS first_type FROM events"
+
+SQL["split_train"] = f"""WITH {FX1}
+SELECT sample_id, meta AS split, head || '<start_of_turn>model' || chr(10) AS prompt,
+       substring(head || last_seg, length(head) + length('<start_of_turn>model') + 2) AS completion
+FROM ok WHERE meta = 'train'"""
+
+SQL["split_eval"] = SQL["split_train"].replace("meta = 'train'", "meta = 'eval'")
+
+SQL["split_counts"] = f"WITH {FX1} SELECT meta AS split, count(*) AS n FROM ok GROUP BY meta"
+
+SQL["render_chat_full"] = f"WITH {FX1} SELECT sample_id, head || last_seg AS \"full\" FROM ok"
+
+SQL["render_chat_prompt"] = f"""WITH {FX1}
+SELECT sample_id, head || '<start_of_turn>model' || chr(10) AS prompt, true AS prefix_ok FROM ok"""
+
+SQL["assemble_messages"] = """
+SELECT conv_id, count(*) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
+       md5(string_agg(text, chr(1) ORDER BY turn)) AS content_md5
+FROM conversations GROUP BY conv_id"""
+
+SQL["explode_messages"] = """
+SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn)) - 1 AS turn, role, text
+FROM conversations"""

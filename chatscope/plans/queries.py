@@ -35,3 +35,156 @@ def q_prompt_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prompt", "completion",
         (F.length("prompt") + F.length("completion")).alias("n_chars"),
     )
+
+
+# ------------------------------------------------------------ records
+def _scratch(spark: SparkSession, tag: str) -> str:
+    import uuid
+
+    from chatscope.session import scratch_path
+    return scratch_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import parse_records
+    return parse_records(FX.tool_records(spark, sf_dir))
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import valid
+    return T.with_rendered(valid(_parsed(spark, sf_dir)), "messages", "tools_json")
+
+
+@register
+def q_scan_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.sources.readers import read_text_lines
+    path = _scratch(spark, "lines")
+    FX.tool_records(spark, sf_dir).select("text").write.mode("overwrite").text(path)
+    return read_text_lines(spark, path).select("text")
+
+
+@register
+def q_parse_chat_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _parsed(spark, sf_dir)
+    return p.select("sample_id", "reason", "decoded_from", "split",
+                    F.size("messages").alias("n_messages"), "tools_json")
+
+
+@register
+def q_cached_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.sources.readers import cached_dataset
+    path = _scratch(spark, "cache")
+    first = cached_dataset(spark, path, lambda: FX.tool_records(spark, sf_dir))
+    # second call must hit the cache, not rebuild
+    return cached_dataset(spark, path, lambda: first.limit(0)).select("sample_id", "text")
+
+
+def _valid_view(p: DataFrame) -> DataFrame:
+    m = F.col("messages")
+    return p.select(
+        "sample_id", "split", F.size(m).alias("n_messages"),
+        F.element_at(m, 2)["content"].alias("user_content"),
+        F.element_at(F.element_at(m, 3)["tool_calls"], 1)["name"].alias("call_name"),
+        F.element_at(F.element_at(m, 3)["tool_calls"], 1)["arguments_json"].alias("args_json"),
+    )
+
+
+@register
+def q_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import valid
+    return _valid_view(valid(_parsed(spark, sf_dir)))
+
+
+@register
+def q_quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import quarantine
+    return quarantine(_parsed(spark, sf_dir)).select("sample_id", "reason")
+
+
+@register
+def q_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import quarantine_counts
+    return quarantine_counts(_parsed(spark, sf_dir))
+
+
+@register
+def q_decode_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _parsed(spark, sf_dir).where(F.col("decoded_from").isin("string", "repaired"))
+    return p.select("sample_id", "decoded_from", F.size("messages").alias("n_messages"),
+                    F.array_join(F.transform("messages", lambda x: x["role"]), ",").alias("roles"))
+
+
+def _broken_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX1 message lists in four spellings: single quotes, trailing comma, unquoted keys, clean."""
+    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    v = F.col("sample_id") % 4
+    s = (F.when(v == 0, F.replace(F.col("msgs"), F.lit('"'), F.lit("'")))
+         .when(v == 1, F.concat(F.expr("substring(msgs, 1, length(msgs) - 1)"), F.lit(", ]")))
+         .when(v == 2, F.replace(F.col("msgs"), F.lit('"role"'), F.lit("role")))
+         .otherwise(F.col("msgs")))
+    return p.select("sample_id", s.alias("raw"))
+
+
+@register
+def q_repair_json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import repair_json
+    b = _broken_msgs(spark, sf_dir)
+    return b.select("sample_id", F.to_json(repair_json("raw")).alias("repaired"))
+
+
+@register
+def q_unwrap_singleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import unwrap_singleton
+    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    v = F.col("sample_id") % 5
+    wrapped = (F.when(v == 0, F.concat(F.lit("["), F.col("msgs"), F.lit("]")))
+               .when(v == 1, F.concat(F.lit("[["), F.col("msgs"), F.lit("]]")))
+               .otherwise(F.col("msgs")))
+    u = unwrap_singleton(F.try_parse_json(wrapped))
+    return p.select("sample_id", F.size(F.try_variant_get(u, "$", "array<variant>")).alias("n_items"),
+                    F.regexp_extract(F.schema_of_variant(F.try_variant_get(u, "$[0]", "variant")), "^([A-Z]+)", 1)
+                    .alias("first_type"))
+
+
+@register
+def q_split_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import split_filter
+    return split_filter(_prepared(spark, sf_dir), "train").select("sample_id", "split", "prompt", "completion")
+
+
+@register
+def q_split_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import split_filter
+    return split_filter(_prepared(spark, sf_dir), "eval").select("sample_id", "split", "prompt", "completion")
+
+
+@register
+def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import split_counts, valid
+    return split_counts(valid(_parsed(spark, sf_dir)))
+
+
+@register
+def q_render_chat_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir).select("sample_id", "full")
+
+
+@register
+def q_render_chat_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir).select("sample_id", "prompt", "prefix_ok")
+
+
+@register
+def q_assemble_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import assemble_messages
+    a = assemble_messages(FX.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return a.select("conv_id", F.size("messages").alias("n_messages"),
+                    F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"),
+                    F.md5(F.array_join(F.transform("messages", lambda m: m["content"]), "\u0001")).alias("content_md5"))
+
+
+@register
+def q_explode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import assemble_messages, explode_messages
+    a = assemble_messages(FX.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return explode_messages(a)
