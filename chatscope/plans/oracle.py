@@ -153,3 +153,141 @@ FROM conversations GROUP BY conv_id"""
 SQL["explode_messages"] = """
 SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn)) - 1 AS turn, role, text
 FROM conversations"""
+
+
+# FX1b generations and an independent SQL statement of the extraction rules.
+GEN = FX1 + """,
+gen AS (
+  SELECT m.model, p.sample_id,
+    CASE ((p.sample_id // 8) + m.off) % 8
+      WHEN 0 THEN '<start_function_call>call:' || et || '{' || pairs || '}<end_function_call>'
+      WHEN 1 THEN '<start_function_call>call:open_' || et || '{' || pairs || '}<end_function_call>'
+      WHEN 2 THEN '<start_function_call>call:' || et || '{k:<escape>' || CAST(k + 1 AS VARCHAR) || '<escape>'
+                  || CASE WHEN p.sample_id % 3 = 0 THEN '' ELSE ',user:<escape>' || uid || '<escape>' END
+                  || '}<end_function_call>'
+      WHEN 3 THEN '<start_function_call>call:' || et || '<end_function_call>'
+      WHEN 4 THEN 'I can not help with that.<end_of_turn>'
+      WHEN 5 THEN '<start_function_call>call:open_' || et || '{' || pairs || '}<end_function_call>'
+                  || '<start_function_call>call:' || et || '{' || pairs || '}<end_function_call>'
+      WHEN 6 THEN '<start_function_call>call:' || et || '{'
+                  || CASE WHEN p.sample_id % 3 = 0 THEN 'k:<escape>' || CAST(k AS VARCHAR) || '<escape>'
+                          ELSE 'user:<escape>' || uid || '<escape>,k:<escape>' || CAST(k AS VARCHAR) || '<escape>' END
+                  || '}<end_function_call>'
+      ELSE '<start_function_call>call:' || et || '{k:<escape>0<escape>,' || pairs || '}<end_function_call>'
+    END AS output
+  FROM parts p CROSS JOIN (VALUES ('fine_tuned', 0), ('baseline', 1)) m(model, off)
+),
+xc AS (
+  SELECT model, sample_id, output,
+    list_filter(regexp_extract_all(coalesce(output, ''), '<start_function_call>(.*?)<end_function_call>', 1, 's'),
+                lambda c: starts_with(regexp_replace(c, '^\\s+', ''), 'call:') AND contains(c, '{')) AS calls
+  FROM gen
+),
+xr AS (
+  SELECT model, sample_id, i - 1 AS call_no, calls[i] AS raw
+  FROM (SELECT *, unnest(range(1, len(calls) + 1)) AS i FROM xc)
+),
+xa AS (
+  SELECT model, sample_id, call_no,
+    regexp_replace(replace(split_part(raw, '{', 1), 'call:', ''), '^\\s+|\\s+$', '', 'g') AS name,
+    regexp_replace(substring(raw, length(split_part(raw, '{', 1)) + 2), '^\\s+|\\s+$', '', 'g') AS a0
+  FROM xr
+),
+xk AS (
+  SELECT *,
+    list_transform(regexp_extract_all(a1, '([^:,]*?):<escape>(.*?)<escape>', 1, 's'),
+                   lambda t: regexp_replace(t, '^\\s+|\\s+$', '', 'g')) AS ks,
+    regexp_extract_all(a1, '([^:,]*?):<escape>(.*?)<escape>', 2, 's') AS vs
+  FROM (SELECT *, CASE WHEN ends_with(a0, '}') THEN substring(a0, 1, length(a0) - 1) ELSE a0 END AS a1 FROM xa)
+),
+calls AS (
+  SELECT model, sample_id, call_no, name,
+    '{' || coalesce(array_to_string(list_transform(
+        list_sort(list_transform(list_filter(range(1, len(ks) + 1), lambda i: NOT list_contains(ks[i + 1:], ks[i])),
+                                 lambda i: {'k': ks[i], 'v': vs[i]})),
+        lambda p: to_json(p.k) || ':' || to_json(p.v)), ','), '') || '}' AS args_json
+  FROM xk
+),
+outs AS (
+  SELECT g.model, g.sample_id, g.output,
+    CASE WHEN g.output IS NULL OR g.output = '' OR starts_with(g.output, '<start_function_call>') THEN NULL
+         ELSE regexp_replace(replace(g.output, '<end_of_turn>', ''), '^\\s+|\\s+$', '', 'g') END AS output_text,
+    coalesce((SELECT to_json(list(c.name ORDER BY c.call_no)) FROM calls c
+              WHERE c.model = g.model AND c.sample_id = g.sample_id), '[]') AS output_names,
+    '[' || coalesce((SELECT string_agg(c.args_json, ',' ORDER BY c.call_no) FROM calls c
+              WHERE c.model = g.model AND c.sample_id = g.sample_id), '') || ']' AS output_arguments
+  FROM gen g
+),
+scored AS (
+  SELECT o.model, o.sample_id, et || ' for user ' || uid AS "user",
+    '["' || et || '"]' AS target_names, o.output_names,
+    '[' || args_json || ']' AS target_arguments, o.output_arguments,
+    CAST(NULL AS VARCHAR) AS target_text, o.output_text,
+    ('["' || et || '"]') = o.output_names AS correct_names,
+    ('[' || args_json || ']') = o.output_arguments AS correct_arguments
+  FROM ok JOIN outs o USING (sample_id)
+  WHERE ok.meta = 'eval'
+)"""
+
+SQL["extract_calls"] = f"WITH {GEN} SELECT model, sample_id, call_no, name, args_json FROM calls"
+
+SQL["extract_text"] = f"WITH {GEN} SELECT model, sample_id, output_text FROM outs"
+
+SQL["strip_prompt_prefix"] = f"WITH {GEN} SELECT g.model, g.sample_id, g.output AS model_output FROM gen g JOIN ok USING (sample_id)"
+
+SQL["eval_targets"] = f"""WITH {FX1}
+SELECT sample_id, et || ' for user ' || uid AS "user", '["' || et || '"]' AS target_names,
+       '[' || args_json || ']' AS target_arguments, CAST(NULL AS VARCHAR) AS target_text
+FROM ok WHERE meta = 'eval'"""
+
+SQL["score_exact"] = f"""WITH {GEN}
+SELECT model, sample_id, correct_names, correct_arguments, correct_names AND correct_arguments AS correct FROM scored"""
+
+SQL["scored_frame"] = f"""WITH {GEN}
+SELECT *, correct_names AND correct_arguments AS correct FROM scored"""
+
+SQL["review_errors"] = f"""WITH {GEN}
+SELECT model, sample_id, "user" AS prompt, target_names AS expected_names, target_arguments AS expected_arguments,
+       output_names AS actual_names, output_arguments AS actual_arguments
+FROM scored WHERE NOT (correct_names AND correct_arguments)"""
+
+SQL["accuracy_by_model"] = f"""WITH {GEN}
+SELECT model, round(avg(CASE WHEN correct_names AND correct_arguments THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       count(*) AS n
+FROM scored GROUP BY model"""
+
+SQL["align_generations"] = f"""WITH {GEN}
+SELECT g.model, g.sample_id, g.output IS NOT NULL AS has_output, length(g.output) AS output_chars
+FROM ok JOIN gen g USING (sample_id) WHERE ok.meta = 'eval'"""
+
+SQL["compare_models"] = f"""WITH {GEN},
+w AS (SELECT sample_id,
+        max(CASE WHEN model = 'fine_tuned' THEN (correct_names AND correct_arguments)::INT END) AS a,
+        max(CASE WHEN model = 'baseline' THEN (correct_names AND correct_arguments)::INT END) AS b
+      FROM scored GROUP BY sample_id)
+SELECT sample_id, a = 1 AS correct_a, b = 1 AS correct_b,
+  CASE WHEN a = 1 AND b = 1 THEN 'both' WHEN a = 1 THEN 'only_a' WHEN b = 1 THEN 'only_b' ELSE 'neither' END AS outcome
+FROM w"""
+
+# FX2 pairs: user turn followed by an assistant turn.
+PAIRS = f"""
+nx AS (
+  SELECT conv_id, turn, role, text,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+         lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
+  FROM conversations
+),
+base AS (
+  SELECT conv_id * 100 + turn AS sample_id, text AS prompt, next_text AS reference
+  FROM nx WHERE role = 'user' AND next_role = 'assistant'
+),
+pairs AS (
+  SELECT m.model, b.sample_id, b.prompt, b.reference,
+    CASE WHEN {h('b.sample_id')} % 20 = 0 THEN ''
+         WHEN m.model = 'fine_tuned' THEN substring(b.reference, 1, (length(b.reference) * 2) // 3)
+         ELSE b.prompt END AS prediction
+  FROM base b CROSS JOIN (VALUES ('fine_tuned'), ('baseline')) m(model)
+)"""
+
+SQL["pair_ref_pred"] = f"""WITH {PAIRS}
+SELECT model, sample_id, length(reference) AS ref_chars, length(prediction) AS pred_chars FROM pairs"""

@@ -188,3 +188,114 @@ def q_explode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.records import assemble_messages, explode_messages
     a = assemble_messages(FX.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
     return explode_messages(a)
+
+
+# ------------------------------------------------------------ extraction & exact-match scoring
+MODELS = ["fine_tuned", "baseline"]
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators import scoring as S
+    from chatscope.operators.records import split_filter, valid
+    ev = split_filter(valid(_parsed(spark, sf_dir)), "eval")
+    return S.score(S.align_generations(S.eval_targets(ev), FX.generations(spark, sf_dir), MODELS))
+
+
+def _json_list(c):
+    return F.concat(F.lit("["), F.array_join(c, ","), F.lit("]"))
+
+
+@register
+def q_extract_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.functions import toolcalls as TC
+    g = FX.generations(spark, sf_dir)
+    x = g.select("model", "sample_id", F.posexplode(TC.extract_calls("output")).alias("call_no", "c"))
+    return x.select("model", "sample_id", "call_no", F.col("c.name").alias("name"),
+                    F.element_at(TC.canonical_args(F.array("c")), 1).alias("args_json"))
+
+
+@register
+def q_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.functions import toolcalls as TC
+    g = FX.generations(spark, sf_dir)
+    return g.select("model", "sample_id", TC.extract_text("output").alias("output_text"))
+
+
+@register
+def q_strip_prompt_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _prepared(spark, sf_dir).select("sample_id", "prompt")
+    g = FX.generations(spark, sf_dir)
+    j = g.join(p, "sample_id")
+    generated = F.concat(F.col("prompt"), F.lit("\n "), F.col("output"), F.lit(" \n"))
+    return j.select("model", "sample_id", T.strip_prompt_prefix(generated, F.col("prompt")).alias("model_output"))
+
+
+@register
+def q_eval_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.functions import toolcalls as TC
+    from chatscope.operators import scoring as S
+    from chatscope.operators.records import split_filter, valid
+    t = S.eval_targets(split_filter(valid(_parsed(spark, sf_dir)), "eval"))
+    return t.select("sample_id", "user", F.to_json(TC.call_names(F.col("target_fc"))).alias("target_names"),
+                    _json_list(TC.canonical_target_args(F.col("target_fc"))).alias("target_arguments"),
+                    "target_text")
+
+
+@register
+def q_score_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).select("model", "sample_id", "correct_names", "correct_arguments", "correct")
+
+
+@register
+def q_scored_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _scored(spark, sf_dir)
+    return s.select("model", "sample_id", "user",
+                    F.to_json("target_names").alias("target_names"), F.to_json("output_names").alias("output_names"),
+                    _json_list(F.col("target_arguments")).alias("target_arguments"),
+                    _json_list(F.col("output_arguments")).alias("output_arguments"),
+                    "target_text", "output_text", "correct_names", "correct_arguments", "correct")
+
+
+@register
+def q_review_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.scoring import review_errors
+    r = review_errors(_scored(spark, sf_dir))
+    return r.select("model", "sample_id", "prompt",
+                    F.to_json("expected_names").alias("expected_names"),
+                    _json_list(F.col("expected_arguments")).alias("expected_arguments"),
+                    F.to_json("actual_names").alias("actual_names"),
+                    _json_list(F.col("actual_arguments")).alias("actual_arguments"))
+
+
+@register
+def q_accuracy_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.scoring import accuracy_by_model
+    a = accuracy_by_model(_scored(spark, sf_dir))
+    return a.select("model", F.round("accuracy", 6).alias("accuracy"), "n")
+
+
+@register
+def q_align_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators import scoring as S
+    from chatscope.operators.records import split_filter, valid
+    t = S.eval_targets(split_filter(valid(_parsed(spark, sf_dir)), "eval"))
+    a = S.align_generations(t, FX.generations(spark, sf_dir), MODELS)
+    return a.select("model", "sample_id", F.col("output").isNotNull().alias("has_output"),
+                    F.length("output").alias("output_chars"))
+
+
+@register
+def q_compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.scoring import compare_models
+    return compare_models(_scored(spark, sf_dir), "fine_tuned", "baseline")
+
+
+@register
+def q_pair_ref_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.scoring import pair_ref_pred
+    p = FX.pairs(spark, sf_dir)
+    refs = p.where(F.col("model") == "fine_tuned").select("sample_id", "reference")
+    preds = p.select("model", "sample_id", "prediction")
+    j = pair_ref_pred(refs, preds)
+    return j.select("model", "sample_id", F.length("reference").alias("ref_chars"),
+                    F.length("prediction").alias("pred_chars"))
