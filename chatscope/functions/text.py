@@ -28,6 +28,12 @@ def md5_bucket(c: Column | str) -> Column:
     return F.conv(F.substring(F.md5(col_of(c).cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
+def chars(c: Column | str) -> Column:
+    """One array element per character (``split`` with a zero-width pattern
+    also yields a trailing empty string, which is dropped)."""
+    return F.filter(F.split(col_of(c), "(?!^)"), lambda x: x != "")
+
+
 def json_escape_body(c: Column | str) -> Column:
     """``json.dumps(s)[1:-1]`` with Python's defaults (``ensure_ascii=True``).
 
@@ -37,8 +43,6 @@ def json_escape_body(c: Column | str) -> Column:
     expression over the characters, so it stays inside the JVM.
     """
     s = col_of(c)
-    chars = F.split(s, "(?!^)")  # one element per code point
-    chars = F.when(s == "", F.array().cast("array<string>")).otherwise(chars)
 
     def esc(ch: Column) -> Column:
         cp = F.ascii(ch)
@@ -58,4 +62,4 @@ def json_escape_body(c: Column | str) -> Column:
             .otherwise(F.concat(F.format_string("\\u%04x", hi), F.format_string("\\u%04x", lo)))
         )
 
-    return F.when(s.isNull(), F.lit(None)).otherwise(F.array_join(F.transform(chars, esc), ""))
+    return F.when(s.isNull(), F.lit(None)).otherwise(F.array_join(F.transform(chars(s), esc), ""))

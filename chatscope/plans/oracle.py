@@ -291,3 +291,137 @@ pairs AS (
 
 SQL["pair_ref_pred"] = f"""WITH {PAIRS}
 SELECT model, sample_id, length(reference) AS ref_chars, length(prediction) AS pred_chars FROM pairs"""
+
+
+def _rouge_tok(x: str) -> str:
+    return (f"list_filter(string_split(regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9]+', ' ', 'g'), ' '), "
+            "lambda t: t <> '')")
+
+
+def _bleu_tok(x: str) -> str:
+    s = f"regexp_replace(coalesce({x}, ''), '\\s+$', '')"
+    for a, b in (("<skipped>", ""), ("-' || chr(10) || '", ""), ("' || chr(10) || '", " "),
+                 ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+        s = f"replace({s}, '{a}', '{b}')"
+    s = f"(' ' || {s} || ' ')"
+    for pat, rep in (("([{-~\\[-` -&(-+:-@/])", " \\1 "), ("([^0-9])([\\.,])", "\\1 \\2 "),
+                     ("([\\.,])([^0-9])", " \\1 \\2"), ("([0-9])(-)", "\\1 \\2 ")):
+        s = f"regexp_replace({s}, '{pat}', '{rep}', 'g')"
+    return f"list_filter(regexp_split_to_array({s}, '[ \\t\\n\\x0B\\f\\r]+'), lambda t: t <> '')"
+
+
+def _chars(x: str) -> str:
+    return f"regexp_replace(coalesce({x}, ''), '[ \\t\\n\\x0B\\f\\r]+', '', 'g')"
+
+
+def _word_grams(orders: str, sep: str = " ") -> str:
+    return f"""
+ng AS (
+  SELECT model, sample_id, o.n, 1 AS side, array_to_string(pt[i:i + o.n - 1], '{sep}') AS gram
+  FROM tok, (VALUES {orders}) o(n), LATERAL (SELECT unnest(range(1, len(pt) - o.n + 2)) AS i)
+  UNION ALL
+  SELECT model, sample_id, o.n, 2 AS side, array_to_string(rt[i:i + o.n - 1], '{sep}') AS gram
+  FROM tok, (VALUES {orders}) o(n), LATERAL (SELECT unnest(range(1, len(rt) - o.n + 2)) AS i)
+),
+cnt AS (
+  SELECT model, sample_id, n, gram, sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS cp,
+         sum(CASE WHEN side = 2 THEN 1 ELSE 0 END) AS cr
+  FROM ng GROUP BY model, sample_id, n, gram
+),
+mt AS (SELECT model, sample_id, n, sum(least(cp, cr)) AS match FROM cnt GROUP BY model, sample_id, n)"""
+
+
+ROUGE_N = f"""WITH {PAIRS},
+tok AS (SELECT model, sample_id, {_rouge_tok('prediction')} AS pt, {_rouge_tok('reference')} AS rt FROM pairs),
+{_word_grams('(1), (2)')},
+per AS (
+  SELECT t.model, t.sample_id, o.n, greatest(len(t.pt) - o.n + 1, 0) AS hyp, greatest(len(t.rt) - o.n + 1, 0) AS ref,
+         coalesce(mt.match, 0) AS match
+  FROM tok t CROSS JOIN (VALUES (1), (2)) o(n) LEFT JOIN mt ON mt.model = t.model AND mt.sample_id = t.sample_id AND mt.n = o.n
+),
+f AS (SELECT model, n, match / greatest(hyp, 1) AS p, match / greatest(ref, 1) AS r FROM per)
+SELECT model, 'rouge_rouge' || CAST(n AS VARCHAR) AS metric,
+       round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END), 6) AS value
+FROM f GROUP BY model, n"""
+SQL["rouge_n"] = ROUGE_N
+
+BLEU = f"""WITH {PAIRS},
+tok AS (SELECT model, sample_id, {_bleu_tok('prediction')} AS pt, {_bleu_tok('reference')} AS rt FROM pairs),
+{_word_grams('(1), (2), (3), (4)')},
+ms AS (SELECT model, n, sum(match) AS match FROM mt GROUP BY model, n),
+tot AS (
+  SELECT model, o.n, sum(greatest(len(pt) - o.n + 1, 0)) AS total
+  FROM tok, (VALUES (1), (2), (3), (4)) o(n) GROUP BY model, o.n
+),
+lens AS (SELECT model, sum(len(pt)) AS sys_len, sum(len(rt)) AS ref_len FROM tok GROUP BY model),
+st AS (
+  SELECT t.model, t.n, t.total, coalesce(ms.match, 0) AS match,
+         sum(CASE WHEN coalesce(ms.match, 0) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY t.model ORDER BY t.n) AS k
+  FROM tot t LEFT JOIN ms ON ms.model = t.model AND ms.n = t.n
+),
+agg AS (
+  SELECT model, max(match) AS any_match, min(total) AS min_total,
+         sum(ln(CASE WHEN total = 0 THEN 1.0 WHEN match > 0 THEN match / total ELSE 1.0 / (pow(2, k) * total) END)) AS ls
+  FROM st GROUP BY model
+)
+SELECT a.model, 'bleu' AS metric,
+  round(CASE WHEN a.any_match = 0 OR a.min_total = 0 THEN 0.0
+        ELSE (CASE WHEN l.sys_len >= l.ref_len THEN 1.0 WHEN l.sys_len > 0 THEN exp(1 - l.ref_len / l.sys_len) ELSE 0.0 END)
+             * exp(a.ls / 4) END, 6) AS value
+FROM agg a JOIN lens l USING (model)"""
+SQL["bleu_corpus"] = BLEU
+
+CHRF = f"""WITH {PAIRS},
+tok AS (SELECT model, sample_id, {_chars('prediction')} AS ps, {_chars('reference')} AS rs FROM pairs),
+ng AS (
+  SELECT model, sample_id, o.n, 1 AS side, substring(ps, i, o.n) AS gram
+  FROM tok, (VALUES (1), (2), (3), (4), (5), (6)) o(n), LATERAL (SELECT unnest(range(1, length(ps) - o.n + 2)) AS i)
+  UNION ALL
+  SELECT model, sample_id, o.n, 2 AS side, substring(rs, i, o.n) AS gram
+  FROM tok, (VALUES (1), (2), (3), (4), (5), (6)) o(n), LATERAL (SELECT unnest(range(1, length(rs) - o.n + 2)) AS i)
+),
+cnt AS (
+  SELECT model, sample_id, n, gram, sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS cp,
+         sum(CASE WHEN side = 2 THEN 1 ELSE 0 END) AS cr
+  FROM ng GROUP BY model, sample_id, n, gram
+),
+st AS (SELECT model, n, sum(cp) AS hyp, sum(cr) AS ref, sum(least(cp, cr)) AS match FROM cnt GROUP BY model, n),
+pr AS (
+  SELECT model,
+    sum(CASE WHEN hyp > 0 AND ref > 0 THEN match / hyp ELSE 0 END) AS sp,
+    sum(CASE WHEN hyp > 0 AND ref > 0 THEN match / ref ELSE 0 END) AS sr,
+    sum(CASE WHEN hyp > 0 AND ref > 0 THEN 1 ELSE 0 END) AS eff
+  FROM st GROUP BY model
+),
+pr2 AS (SELECT model, CASE WHEN eff > 0 THEN sp / eff ELSE 0 END AS p, CASE WHEN eff > 0 THEN sr / eff ELSE 0 END AS r FROM pr)
+SELECT model, 'chrf' AS metric, round(CASE WHEN p + r > 0 THEN 5 * p * r / (4 * p + r) ELSE 0.0 END, 6) AS value
+FROM pr2"""
+SQL["chrf_corpus"] = CHRF
+
+SQL["embedding_match"] = """
+WITH tv AS (
+  SELECT vec_id // 16 AS sample_id, CASE WHEN vec_id % 2 = 0 THEN 'pred' ELSE 'ref' END AS side,
+         (vec_id % 16) // 2 AS pos, CAST(embedding AS DOUBLE[]) AS e
+  FROM embeddings
+),
+un AS (
+  SELECT sample_id, side, pos,
+         list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS u
+  FROM tv
+),
+best AS (
+  SELECT a.sample_id, a.side, a.pos, max(list_dot_product(a.u, b.u)) AS b
+  FROM un a JOIN un b ON a.sample_id = b.sample_id AND a.side <> b.side
+  GROUP BY a.sample_id, a.side, a.pos
+),
+pr AS (
+  SELECT sample_id, avg(CASE WHEN side = 'pred' THEN b END) AS p, avg(CASE WHEN side = 'ref' THEN b END) AS r
+  FROM best GROUP BY sample_id
+)
+SELECT sample_id, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1
+FROM pr"""
+
+SQL["metrics_long"] = (
+    "SELECT * FROM (" + ROUGE_N + ") UNION ALL SELECT * FROM (" + BLEU + ") UNION ALL SELECT * FROM (" + CHRF + ")"
+)

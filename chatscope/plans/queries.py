@@ -299,3 +299,67 @@ def q_pair_ref_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = pair_ref_pred(refs, preds)
     return j.select("model", "sample_id", F.length("reference").alias("ref_chars"),
                     F.length("prediction").alias("pred_chars"))
+
+
+# ------------------------------------------------------------ text metrics
+def _r6(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else c for c in df.columns])
+
+
+@register
+def q_rouge_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.metrics import rouge_n
+    return _r6(rouge_n(FX.pairs(spark, sf_dir)), "value")
+
+
+@register
+def q_rouge_n_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.metrics import rouge_n
+    return _r6(rouge_n(FX.pairs(spark, sf_dir), stem=True), "value")
+
+
+@register
+def q_rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.metrics import rouge_l
+    return _r6(rouge_l(FX.pairs(spark, sf_dir)), "value")
+
+
+@register
+def q_rouge_l_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX2L: ROUGE-L over whole documents (scale/spill case, rows-only check)."""
+    from chatscope.operators.metrics import rouge_l_per_sample
+    s = rouge_l_per_sample(FX.long_pairs(spark, sf_dir))
+    return _r6(s.select("model", "sample_id", "lcs", "f1"), "f1")
+
+
+@register
+def q_stem_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.functions.ngrams import rouge_tokens
+    from chatscope.functions.porter import stem_udf
+    p = FX.pairs(spark, sf_dir)
+    words = p.select(F.explode(F.concat(rouge_tokens("prediction"), rouge_tokens("reference"))).alias("token")).distinct()
+    return words.select("token", stem_udf("token").alias("stem"))
+
+
+@register
+def q_bleu_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.metrics import bleu
+    return _r6(bleu(FX.pairs(spark, sf_dir)), "value")
+
+
+@register
+def q_chrf_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.metrics import chrf
+    return _r6(chrf(FX.pairs(spark, sf_dir)), "value")
+
+
+@register
+def q_embedding_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.metrics import embedding_match
+    return _r6(embedding_match(FX.token_vectors(spark, sf_dir)), "precision", "recall", "f1")
+
+
+@register
+def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.metrics import metrics_long
+    return _r6(metrics_long(FX.pairs(spark, sf_dir), rouge_l_=False), "value")
