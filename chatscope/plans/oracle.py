@@ -425,3 +425,69 @@ FROM pr"""
 SQL["metrics_long"] = (
     "SELECT * FROM (" + ROUGE_N + ") UNION ALL SELECT * FROM (" + BLEU + ") UNION ALL SELECT * FROM (" + CHRF + ")"
 )
+
+
+# FX4 configs and the registry, through DuckDB's json_tree.
+CFG = """
+cfg AS (
+  SELECT event_id AS config_id, event_type,
+    '{"FROM": "' || event_type || '", "Model": {"name": "m' || CAST(user_id % 5 AS VARCHAR) || '", "opt": {"k": '
+      || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 AS VARCHAR) || '}}, "NumEpochs": '
+      || CAST((CAST(floor(value) AS BIGINT) % 3) + 1 AS VARCHAR) || '}' AS config
+  FROM events
+),
+nodes AS (
+  SELECT c.config_id, c.event_type, replace(substring(t.fullkey, 3), '.', '/') AS path,
+    length(t.fullkey) - length(replace(t.fullkey, '.', '')) AS depth,
+    CASE t.type WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' ELSE t.type END AS kind,
+    CAST(t.value AS VARCHAR) AS value_json
+  FROM cfg c, json_tree(c.config) t
+  WHERE t.fullkey <> '$'
+)"""
+
+
+def _no_except(keys) -> str:
+    conds = " AND ".join(f"NOT (path = '{k}' OR starts_with(path, '{k}/'))" for k in keys)
+    return conds
+
+
+SQL["json_key_paths"] = f"WITH {CFG} SELECT config_id, path, depth, kind, value_json FROM nodes"
+
+SQL["json_delete_path"] = f"""WITH {CFG}
+SELECT config_id, path, value_json FROM nodes n
+WHERE NOT EXISTS (
+  SELECT 1 FROM nodes t WHERE t.config_id = n.config_id AND t.path = 'Model/opt/k' AND t.value_json NOT IN ('0', '0.0', '""', 'false', 'null', '{{}}', '[]')
+    AND (n.path = 'Model/opt/k' OR starts_with(n.path, 'Model/opt/k/')))"""
+
+SQL["json_prune"] = f"""WITH {CFG}
+SELECT config_id, path, value_json FROM nodes
+WHERE path IN (SELECT path FROM nodes WHERE config_id = 0) AND {_no_except(('NumEpochs',))}"""
+
+FP = f"""{CFG},
+kept AS (SELECT * FROM nodes WHERE {_no_except(('NumEpochs', 'Model/opt/k'))}),
+fp AS (
+  SELECT config_id, event_type,
+    md5(string_agg(path || chr(1) || kind || chr(1) || CASE WHEN kind = 'OBJECT' THEN '' ELSE value_json END, chr(2)
+        ORDER BY path || chr(1) || kind || chr(1) || CASE WHEN kind = 'OBJECT' THEN '' ELSE value_json END)) AS fp
+  FROM kept GROUP BY config_id, event_type
+),
+reg AS (SELECT config_id AS run_id, fp FROM fp WHERE event_type = 'view'),
+per_fp AS (SELECT fp, min(run_id) AS matched_run, count(*) AS n_matches FROM reg GROUP BY fp)"""
+
+SQL["config_identical"] = f"""WITH {FP}
+SELECT config_id, fp = (SELECT fp FROM fp WHERE config_id = 0) AS identical FROM fp"""
+
+SQL["registry_match"] = f"""WITH {FP}
+SELECT f.config_id, p.matched_run, coalesce(p.n_matches, 0) AS n_matches FROM fp f LEFT JOIN per_fp p USING (fp)"""
+
+SQL["assign_run_slot"] = f"""WITH {FP},
+m AS (SELECT f.config_id, f.fp, p.matched_run FROM fp f LEFT JOIN per_fp p USING (fp)),
+nw AS (SELECT fp, min(config_id) AS first_id FROM m WHERE matched_run IS NULL GROUP BY fp),
+nn AS (SELECT fp, (SELECT max(run_id) FROM reg) + row_number() OVER (ORDER BY first_id) AS new_run FROM nw)
+SELECT m.config_id, coalesce(m.matched_run, nn.new_run) AS run_id, m.matched_run IS NOT NULL AS reused
+FROM m LEFT JOIN nn USING (fp)"""
+
+SQL["config_overlay"] = f"""WITH {CFG},
+top AS (SELECT c.config_id, c.event_type, j.key, CAST(j.value AS VARCHAR) AS value_json
+        FROM cfg c, json_each(c.config) j)
+SELECT event_type, key, arg_max(value_json, config_id) AS value_json FROM top GROUP BY event_type, key"""

@@ -363,3 +363,69 @@ def q_embedding_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import metrics_long
     return _r6(metrics_long(FX.pairs(spark, sf_dir), rouge_l_=False), "value")
+
+
+# ------------------------------------------------------------ config registry
+EXCEPT_1 = ("NumEpochs",)
+EXCEPT_2 = ("NumEpochs", "Model/opt/k")
+
+
+def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import key_paths
+    return key_paths(FX.configs(spark, sf_dir))
+
+
+@register
+def q_json_key_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nodes(spark, sf_dir).select("config_id", "path", "depth", "kind", "value_json")
+
+
+@register
+def q_json_delete_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import delete_path
+    return delete_path(_nodes(spark, sf_dir), "Model/opt/k").select("config_id", "path", "value_json")
+
+
+@register
+def q_json_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import prune
+    n = _nodes(spark, sf_dir)
+    base = n.where(F.col("config_id") == 0).select("path")
+    return prune(n, base, EXCEPT_1).select("config_id", "path", "value_json")
+
+
+@register
+def q_config_identical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import config_identical
+    return config_identical(_nodes(spark, sf_dir), 0, EXCEPT_2)
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = FX.table(spark, sf_dir, "events").select("event_id", "event_type")
+    cfg = FX.configs(spark, sf_dir)
+    return cfg.join(ev.where(F.col("event_type") == "view"), F.col("config_id") == F.col("event_id"), "left_semi") \
+        .select(F.col("config_id").alias("run_id"), "config")
+
+
+@register
+def q_assign_run_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import assign_run_slot
+    return assign_run_slot(FX.configs(spark, sf_dir), _registry(spark, sf_dir), EXCEPT_2)
+
+
+@register
+def q_registry_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import drop_exceptions, fingerprint, key_paths
+    req = fingerprint(drop_exceptions(key_paths(FX.configs(spark, sf_dir)), EXCEPT_2))
+    reg = fingerprint(drop_exceptions(key_paths(_registry(spark, sf_dir), "config", "run_id"), EXCEPT_2), "run_id")
+    per_fp = reg.groupBy("fp").agg(F.min("run_id").alias("matched_run"), F.count(F.lit(1)).alias("n_matches"))
+    j = req.join(per_fp, "fp", "left")
+    return j.select("config_id", "matched_run", F.coalesce("n_matches", F.lit(0)).alias("n_matches"))
+
+
+@register
+def q_config_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import overlay
+    ev = FX.table(spark, sf_dir, "events").select("event_id", "event_type")
+    docs = FX.configs(spark, sf_dir).join(ev, F.col("config_id") == F.col("event_id"))
+    return overlay(docs, "event_type", "event_id")
