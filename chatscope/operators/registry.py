@@ -17,9 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatscope.operators.sampling import consecutive_index
+
 NODE = "struct<path:string,depth:int,value:variant>"
 MAX_DEPTH = 8
 
@@ -122,22 +124,6 @@ def config_identical(nodes: DataFrame, base_id, except_keys: Sequence[str] = (),
     return j.select(key, F.coalesce(F.col("fp") == base_fp, F.lit(False)).alias("identical"))
 
 
-def _consecutive_index(df: DataFrame, order: str, start: Column | int = 1) -> DataFrame:
-    """Exact 0..n-1 numbering by ``order`` without a single-partition window.
-
-    Range-partition and sort, count rows per partition (one small row per
-    partition), turn counts into offsets, add the in-partition position.
-    """
-    s = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_pid", F.spark_partition_id())
-    w_in = Window.partitionBy("_pid").orderBy(order)
-    s = s.withColumn("_pos", F.row_number().over(w_in) - 1)
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    offs = counts.withColumn("_off", F.sum("_c").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-    # one row per partition: the offset table is bounded by the partition count
-    s = s.join(F.broadcast(offs.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"))), "_pid")
-    return s.withColumn("idx", F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off")
-
-
 def assign_run_slot(requests: DataFrame, registry: DataFrame, except_keys: Sequence[str] = (),
                     key: str = "config_id", max_depth: int = MAX_DEPTH) -> DataFrame:
     """M5: find-or-assign a run slot for every requested configuration.
@@ -166,7 +152,7 @@ def assign_run_slot(requests: DataFrame, registry: DataFrame, except_keys: Seque
     # a scalar subquery: evaluated once, no join and no single-partition window
     max_run = registry.select(F.coalesce(F.max("run_id"), F.lit(0))).scalar()
     new = matched.where(F.col("matched_run").isNull()).groupBy("fp").agg(F.min(key).alias("first_id"))
-    slots = _consecutive_index(new, "first_id").select("fp", (max_run + F.col("idx") + 1).alias("new_run"))
+    slots = consecutive_index(new, "first_id").select("fp", (max_run + F.col("idx") + 1).alias("new_run"))
     out = matched.join(slots, "fp", "left")
     return out.select(key, F.coalesce("matched_run", "new_run").alias("run_id"),
                       F.col("matched_run").isNotNull().alias("reused"))

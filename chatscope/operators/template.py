@@ -108,13 +108,27 @@ def strip_prompt_prefix(generated: Column | str, prompt: Column | str) -> Column
     return py_strip(F.substring(g, F.length(p) + 1, F.lit(2147483647)))
 
 
-def time_context(ts: Column | str, zone: str = "America/Toronto") -> Column:
-    """The developer-turn clock line from an event-time column (never the wall clock)."""
-    local = F.from_utc_timestamp(col_of(ts).cast("timestamp"), zone)
+# The developer-turn texts of the reference's ad-hoc evaluation.
+DEVELOPER_CLOCK_INTRO = "You are a model that can do function calling with the following functions. \n    "
+DEVELOPER_FIXED = ("Current date and time given in YYYY-MM-DDTHH:MM:SS format: 2024-11-15T05:59:00. "
+                   "You are a model that can do function calling with the following functions")
+
+
+def time_context(ts: Column | str, zone: str = "America/Toronto", std: str = "EST", dst: str = "EDT") -> Column:
+    """The developer turn with a clock line, from an event-time column (never the wall clock).
+
+    ``ts`` is a UTC wall time (``timestamp_ntz``); ``convert_timezone`` keeps the
+    result independent of the session time zone. The abbreviation follows the
+    UTC offset: -4 h is daylight time for the default zone.
+    """
+    utc = col_of(ts).cast("timestamp_ntz")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    off = F.timestamp_diff("MINUTE", utc, local)
+    abbr = F.when(off == -240, F.lit(dst)).otherwise(F.lit(std))
     return F.concat(
-        F.lit("Current date and time given in YYYY-MM-DDTHH:MM:SS format: "),
-        F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.lit(". Day of week is "), F.date_format(local, "EEEE"),
+        F.lit(DEVELOPER_CLOCK_INTRO + "Current date and time given in YYYY-MM-DDTHH:MM:SS format: "),
+        F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(" "), abbr,
+        F.lit(".\n    Day of week is "), F.date_format(local, "EEEE"),
     )
 
 

@@ -491,3 +491,176 @@ SQL["config_overlay"] = f"""WITH {CFG},
 top AS (SELECT c.config_id, c.event_type, j.key, CAST(j.value AS VARCHAR) AS value_json
         FROM cfg c, json_each(c.config) j)
 SELECT event_type, key, arg_max(value_json, config_id) AS value_json FROM top GROUP BY event_type, key"""
+
+
+# ---------------------------------------------------------------- sampling
+SQL["shuffle_seeded"] = f"""WITH {FX1}
+SELECT sample_id, row_number() OVER (ORDER BY md5(CAST(sample_id AS VARCHAR) || '|42'), sample_id) - 1 AS rank FROM fx1"""
+
+SQL["sample_rows"] = f"""WITH {FX1}
+SELECT sample_id, text FROM fx1 ORDER BY md5(CAST(sample_id AS VARCHAR) || '|42'), sample_id LIMIT 5"""
+
+PREP = FX1 + """,
+prep AS (
+  SELECT sample_id, meta AS split, head || '<start_of_turn>model' || chr(10) AS prompt,
+         substring(head || last_seg, length(head) + length('<start_of_turn>model') + 2) AS completion
+  FROM ok
+)"""
+
+SQL["longest_example"] = f"""WITH {PREP}
+SELECT sample_id, length(prompt) + length(completion) AS n_chars FROM prep
+ORDER BY length(prompt) + length(completion) DESC, sample_id LIMIT 1"""
+
+SQL["max_sequence_length"] = f"""WITH {PREP},
+best AS (SELECT * FROM prep ORDER BY length(prompt) + length(completion) DESC, sample_id LIMIT 1),
+t AS (SELECT *, len(list_filter(regexp_split_to_array(prompt || completion, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')) AS nt
+      FROM best)
+SELECT sample_id, length(prompt) + length(completion) AS n_chars, nt AS n_tokens, nt + 100 AS max_length FROM t"""
+
+SQL["cap_eval"] = f"WITH {PREP} SELECT sample_id, prompt FROM prep WHERE split = 'eval' ORDER BY sample_id LIMIT 100"
+
+# ---------------------------------------------------------------- prompt lines (Python json.dumps escaping)
+def escape_sql(x: str) -> str:
+    """Python ``json.dumps(x)[1:-1]`` (ensure_ascii) in DuckDB, character by character."""
+    return f"""
+  CASE WHEN {x} = '' THEN '' ELSE array_to_string(list_transform(string_split({x}, ''), lambda ch:
+    CASE WHEN ch = '\\' THEN '\\\\' WHEN ch = '"' THEN '\\"'
+         WHEN ch = chr(10) THEN '\\n' WHEN ch = chr(13) THEN '\\r' WHEN ch = chr(9) THEN '\\t'
+         WHEN ch = chr(8) THEN '\\b' WHEN ch = chr(12) THEN '\\f'
+         WHEN unicode(ch) < 32 THEN printf('\\u%04x', unicode(ch))
+         WHEN unicode(ch) <= 127 THEN ch
+         WHEN unicode(ch) < 65536 THEN printf('\\u%04x', unicode(ch))
+         ELSE printf('\\u%04x', 55296 + ((unicode(ch) - 65536) >> 10)) || printf('\\u%04x', 56320 + ((unicode(ch) - 65536) & 1023))
+    END), '') END"""
+
+
+PLINES = f"""
+pl AS (
+  SELECT item_id, line_no,
+    CASE item_id % 4 WHEN 1 THEN '"' || line || '"' WHEN 2 THEN chr(9) || '  ' || line || ' ' || chr(9)
+                     WHEN 3 THEN '   ' ELSE line END AS line
+  FROM (SELECT item_id, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no,
+               unnest(string_split(text, chr(10))) AS line FROM benchmark)
+),
+pe AS (
+  SELECT item_id, line_no, {escape_sql("regexp_replace(line, '^\\s+|\\s+$', '', 'g')")} AS user_prompt,
+         length(regexp_replace(line, '^\\s+|\\s+$', '', 'g')) = 0 AS rejected
+  FROM pl
+)"""
+
+SQL["prompt_lines_escaped"] = f"WITH {PLINES} SELECT item_id, line_no, user_prompt, rejected FROM pe"
+
+FIRST_TOOLS = f"(SELECT tools FROM ok ORDER BY sample_id LIMIT 1)"
+
+SQL["attach_tools"] = f"""WITH {FX1}, {PLINES}
+SELECT item_id, line_no, {FIRST_TOOLS} AS tools_json FROM pe WHERE NOT rejected"""
+
+SQL["render_adhoc_prompts"] = f"""WITH {FX1}, {PLINES}
+SELECT item_id, line_no,
+  '<start_of_turn>developer' || chr(10) || '<tools>' || {FIRST_TOOLS} || '</tools><end_of_turn>' || chr(10)
+  || '<start_of_turn>developer' || chr(10)
+  || 'Current date and time given in YYYY-MM-DDTHH:MM:SS format: 2024-11-15T05:59:00. You are a model that can do function calling with the following functions'
+  || '<end_of_turn>' || chr(10) || '<start_of_turn>user' || chr(10) || user_prompt || '<end_of_turn>' || chr(10)
+  || '<start_of_turn>model' || chr(10) AS prompt
+FROM pe WHERE NOT rejected"""
+
+SQL["render_time_context"] = """
+WITH t AS (SELECT event_id, ts, timezone('America/Toronto', timezone('UTC', ts)) AS loc FROM events)
+SELECT event_id,
+  'You are a model that can do function calling with the following functions. ' || chr(10) || '    '
+  || 'Current date and time given in YYYY-MM-DDTHH:MM:SS format: ' || strftime(loc, '%Y-%m-%dT%H:%M:%S') || ' '
+  || CASE WHEN date_diff('minute', ts, loc) = -240 THEN 'EDT' ELSE 'EST' END
+  || '.' || chr(10) || '    Day of week is ' || dayname(loc) AS developer_content
+FROM t"""
+
+# ---------------------------------------------------------------- sinks
+SQL["export_csv_roundtrip"] = f"WITH {PREP} SELECT sample_id AS row_id, split, prompt, completion FROM prep"
+
+SQL["scored_json_roundtrip"] = f"""WITH {GEN}
+SELECT model, sample_id, output_names, correct_names AND correct_arguments AS correct FROM scored"""
+
+# ---------------------------------------------------------------- generation & judge
+SQL["batch_generate"] = f"""WITH {FX1}
+SELECT sample_id, '<start_function_call>call:' || et || '{{user:<escape>' || uid || '<escape>}}<end_function_call>' AS output
+FROM ok WHERE meta = 'eval'"""
+
+JPROMPT = """'## User prompt' || chr(10) || prompt || chr(10) || chr(10) || '## Reference (ground truth) completion' || chr(10)
+  || reference || chr(10) || chr(10) || '## Model completion to score' || chr(10) || prediction || chr(10) || chr(10)
+  || '## Task' || chr(10) || 'Score the model completion from 0 to 10 for each criterion: accuracy, relevance, tone.'
+  || chr(10) || 'Output only a JSON object with keys: ["accuracy", "relevance", "tone"]. One number per key.'"""
+
+SQL["judge_prompt"] = f"WITH {PAIRS} SELECT model, sample_id, {JPROMPT} AS judge_prompt FROM pairs"
+
+SQL["judge_batch"] = f"""WITH {PAIRS}
+SELECT model, sample_id, CAST(length(prediction) % 11 AS DOUBLE) AS accuracy,
+       CAST(length(reference) % 11 AS DOUBLE) AS relevance, CAST(length(prompt) % 11 AS DOUBLE) AS tone, false AS failed
+FROM pairs"""
+
+FX5 = """
+jr AS (
+  SELECT CASE WHEN event_id % 2 = 0 THEN 'fine_tuned' ELSE 'baseline' END AS model, event_id AS sample_id,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_id % 9 AS c
+  FROM events
+),
+rep AS (
+  SELECT model, sample_id,
+    CASE c
+      WHEN 0 THEN '{"accuracy": ' || (k % 11) || ', "relevance": ' || ((k + 3) % 11) || ', "tone": ' || ((k + 7) % 11) || '}'
+      WHEN 1 THEN 'Here you go:' || chr(10) || '```json' || chr(10) || '{"accuracy": ' || (k % 11) || ', "relevance": ' || ((k + 3) % 11) || ', "tone": ' || ((k + 7) % 11) || '}' || chr(10) || '```'
+      WHEN 2 THEN '```' || chr(10) || '{"accuracy": ' || (k % 11) || ', "relevance": ' || ((k + 3) % 11) || ', "tone": ' || ((k + 7) % 11) || '}' || chr(10) || '```' || chr(10) || 'Done.'
+      WHEN 3 THEN 'The completion looks fine to me.'
+      WHEN 4 THEN '{"accuracy": ' || (k % 11) || ', "relevance": ' || ((k + 3) % 11) || '}'
+      WHEN 5 THEN '{"accuracy": "' || (k % 11) || '", "relevance": ' || ((k + 3) % 11) || ', "tone": ' || ((k + 7) % 11) || '}'
+      WHEN 6 THEN '{"accuracy": ' || (k % 11) || ', "relevance": null, "tone": ' || ((k + 7) % 11) || '}'
+      WHEN 7 THEN '[' || (k % 11) || ', ' || ((k + 3) % 11) || ', ' || ((k + 7) % 11) || ']'
+      ELSE '{"accuracy": ' || ((k % 11) + 10) || ', "relevance": ' || ((k + 3) % 11) || ', "tone": ' || ((k + 7) % 11) || '}'
+    END AS reply
+  FROM jr
+),
+seg AS (
+  SELECT model, sample_id,
+    CASE WHEN starts_with(s0, 'json') THEN substring(s0, 5) ELSE s0 END AS s
+  FROM (SELECT *, CASE WHEN contains(reply, '```') THEN string_split(reply, '```')[2] ELSE reply END AS s0 FROM rep)
+),
+crit AS (
+  SELECT model, sample_id, s, coalesce(CASE WHEN json_valid(s0) THEN json_type(s0) END = 'OBJECT', false) AS obj,
+    json_type(s1, '$.accuracy') AS ta, json_type(s1, '$.relevance') AS tr, json_type(s1, '$.tone') AS tt,
+    json_extract_string(s1, '$.accuracy') AS va, json_extract_string(s1, '$.relevance') AS vr, json_extract_string(s1, '$.tone') AS vt
+  FROM (SELECT *, s AS s0, CASE WHEN coalesce(CASE WHEN json_valid(s) THEN json_type(s) END = 'OBJECT', false) THEN s ELSE '{}' END AS s1 FROM seg)
+),
+num AS (
+  SELECT *,
+    CASE WHEN ta IS NULL THEN 0.0 WHEN ta = 'BOOLEAN' THEN CASE WHEN va = 'true' THEN 1.0 ELSE 0.0 END
+         WHEN ta IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR') THEN TRY_CAST(va AS DOUBLE) END AS na,
+    CASE WHEN tr IS NULL THEN 0.0 WHEN tr = 'BOOLEAN' THEN CASE WHEN vr = 'true' THEN 1.0 ELSE 0.0 END
+         WHEN tr IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR') THEN TRY_CAST(vr AS DOUBLE) END AS nr,
+    CASE WHEN tt IS NULL THEN 0.0 WHEN tt = 'BOOLEAN' THEN CASE WHEN vt = 'true' THEN 1.0 ELSE 0.0 END
+         WHEN tt IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR') THEN TRY_CAST(vt AS DOUBLE) END AS nt
+  FROM crit
+),
+parsed AS (
+  SELECT model, sample_id, NOT obj OR na IS NULL OR nr IS NULL OR nt IS NULL AS failed,
+    CASE WHEN NOT obj OR na IS NULL OR nr IS NULL OR nt IS NULL THEN 0.0 ELSE na END AS accuracy,
+    CASE WHEN NOT obj OR na IS NULL OR nr IS NULL OR nt IS NULL THEN 0.0 ELSE nr END AS relevance,
+    CASE WHEN NOT obj OR na IS NULL OR nr IS NULL OR nt IS NULL THEN 0.0 ELSE nt END AS tone
+  FROM num
+)"""
+
+SQL["judge_parse"] = f"WITH {FX5} SELECT model, sample_id, accuracy, relevance, tone, failed FROM parsed"
+
+SQL["judge_aggregate"] = f"""WITH {FX5},
+a AS (SELECT model, avg(accuracy) AS a, avg(relevance) AS r, avg(tone) AS t, sum(failed::INT) AS n_failed
+      FROM parsed GROUP BY model)
+SELECT model, 'judge_accuracy' AS metric, round(a, 6) AS value, n_failed FROM a
+UNION ALL SELECT model, 'judge_relevance', round(r, 6), n_failed FROM a
+UNION ALL SELECT model, 'judge_tone', round(t, 6), n_failed FROM a"""
+
+SQL["eval_report"] = f"""WITH {PAIRS},
+ml AS (
+  SELECT * FROM ({ROUGE_N}) UNION ALL SELECT * FROM ({BLEU}) UNION ALL SELECT * FROM ({CHRF})
+  UNION ALL SELECT model, 'judge_accuracy', round(avg(length(prediction) % 11), 6) FROM pairs GROUP BY model
+  UNION ALL SELECT model, 'judge_relevance', round(avg(length(reference) % 11), 6) FROM pairs GROUP BY model
+  UNION ALL SELECT model, 'judge_tone', round(avg(length(prompt) % 11), 6) FROM pairs GROUP BY model
+)
+SELECT true AS use_fine_tuned, true AS use_baseline, (SELECT count(DISTINCT sample_id) FROM pairs) AS num_eval_samples,
+       model, metric, value FROM ml"""

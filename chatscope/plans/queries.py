@@ -429,3 +429,154 @@ def q_config_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = FX.table(spark, sf_dir, "events").select("event_id", "event_type")
     docs = FX.configs(spark, sf_dir).join(ev, F.col("config_id") == F.col("event_id"))
     return overlay(docs, "event_type", "event_id")
+
+
+# ------------------------------------------------------------ sampling (K1-K5)
+@register
+def q_shuffle_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.sampling import shuffle_seeded
+    return shuffle_seeded(FX.tool_records(spark, sf_dir), "sample_id", 42).select("sample_id", "rank")
+
+
+@register
+def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.sampling import sample_rows
+    return sample_rows(FX.tool_records(spark, sf_dir), "sample_id", 5, 42).select("sample_id", "text")
+
+
+@register
+def q_longest_example(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.sampling import longest_example
+    p = _prepared(spark, sf_dir).select("sample_id", "prompt", "completion")
+    return longest_example(p, "sample_id", ["prompt", "completion"]).select("sample_id", "n_chars")
+
+
+@register
+def q_max_sequence_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.sampling import max_sequence_length
+    p = _prepared(spark, sf_dir).select("sample_id", "prompt", "completion")
+    return max_sequence_length(p, "sample_id", ["prompt", "completion"])
+
+
+@register
+def q_cap_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import split_filter
+    from chatscope.operators.sampling import cap_eval
+    ev = split_filter(_prepared(spark, sf_dir), "eval").select("sample_id", "prompt")
+    return cap_eval(ev, "sample_id", 100)
+
+
+# ------------------------------------------------------------ prompt lines, tools, clock
+@register
+def q_prompt_lines_escaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.sources.readers import prompt_lines
+    return prompt_lines(FX.prompt_lines(spark, sf_dir)).select("item_id", "line_no", "user_prompt", "rejected")
+
+
+def _first_tools(spark: SparkSession, sf_dir: str):
+    """D14 + K6: tools of the first valid record, as a scalar subquery (no join, no cross product)."""
+    from chatscope.operators.records import valid
+    from chatscope.operators.sampling import first_row
+    return first_row(valid(_parsed(spark, sf_dir)), "sample_id").select("tools_json").scalar()
+
+
+def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.sources.readers import prompt_lines
+    lines = prompt_lines(FX.prompt_lines(spark, sf_dir)).where(~F.col("rejected"))
+    return lines.select("item_id", "line_no", "user_prompt", _first_tools(spark, sf_dir).alias("tools_json"))
+
+
+@register
+def q_attach_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _adhoc(spark, sf_dir).select("item_id", "line_no", "tools_json")
+
+
+@register
+def q_render_adhoc_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _adhoc(spark, sf_dir).withColumn(
+        "messages", T.adhoc_messages(F.lit(T.DEVELOPER_FIXED), F.col("user_prompt")))
+    return T.with_rendered(a, "messages", "tools_json").select(
+        "item_id", "line_no", F.concat("full", F.lit(T.DEFAULT_TEMPLATE.generation_header)).alias("prompt"))
+
+
+@register
+def q_render_time_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = FX.table(spark, sf_dir, "events").select("event_id", "ts")
+    return ev.select("event_id", T.time_context("ts").alias("developer_content"))
+
+
+# ------------------------------------------------------------ sinks
+@register
+def q_export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.sources.sinks import export_csv, read_csv_export
+    path = _scratch(spark, "csv")
+    p = _prepared(spark, sf_dir).select(F.col("sample_id").alias("row_id"), "split", "prompt", "completion")
+    export_csv(p, path)
+    return read_csv_export(spark, path, "row_id long, split string, prompt string, completion string")
+
+
+@register
+def q_scored_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.sources.sinks import write_json
+    path = _scratch(spark, "json")
+    write_json(_scored(spark, sf_dir), path)
+    back = spark.read.schema("model string, sample_id long, output_names array<string>, correct boolean").json(path)
+    return back.select("model", "sample_id", F.to_json("output_names").alias("output_names"), "correct")
+
+
+@register
+def q_eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.inference import make_length_judge
+    from chatscope.operators.judge import judge_aggregate, judge_batch
+    from chatscope.operators.metrics import metrics_long
+    from chatscope.sources.sinks import report_document, write_report
+    pairs = FX.pairs(spark, sf_dir)
+    judged = judge_aggregate(judge_batch(pairs, make_length_judge)).drop("n_failed")
+    m = metrics_long(pairs, rouge_l_=False).unionByName(judged)
+    n = pairs.select(F.count_distinct("sample_id")).scalar()
+    doc = report_document(m, {"use_fine_tuned": True, "use_baseline": True, "num_eval_samples": n})
+    path = _scratch(spark, "report")
+    write_report(doc, path)
+    back = spark.read.schema(
+        "config struct<use_fine_tuned:boolean,use_baseline:boolean,num_eval_samples:long>, "
+        "models map<string,map<string,double>>, timestamp string").json(path)
+    rows = back.select("config", F.explode("models").alias("model", "metrics")).select(
+        "config.*", "model", F.explode("metrics").alias("metric", "value"))
+    return _r6(rows, "value")
+
+
+# ------------------------------------------------------------ generation & judge
+@register
+def q_batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.inference import batch_generate, make_echo_tool_model
+    from chatscope.operators.records import split_filter
+    ev = split_filter(_prepared(spark, sf_dir), "eval").select("sample_id", "prompt")
+    return batch_generate(ev, make_echo_tool_model, "prompt", "output", ["sample_id"])
+
+
+@register
+def q_judge_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.judge import judge_prompt
+    p = FX.pairs(spark, sf_dir)
+    return p.select("model", "sample_id", judge_prompt("prompt", "reference", "prediction").alias("judge_prompt"))
+
+
+@register
+def q_judge_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.inference import make_length_judge
+    from chatscope.operators.judge import judge_batch
+    j = judge_batch(FX.pairs(spark, sf_dir), make_length_judge)
+    return j.select("model", "sample_id", "accuracy", "relevance", "tone", "failed")
+
+
+@register
+def q_judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.judge import parse_judge_reply
+    j = parse_judge_reply(FX.judge_replies(spark, sf_dir))
+    return j.select("model", "sample_id", "accuracy", "relevance", "tone", "failed")
+
+
+@register
+def q_judge_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.judge import judge_aggregate, parse_judge_reply
+    return _r6(judge_aggregate(parse_judge_reply(FX.judge_replies(spark, sf_dir))), "value")

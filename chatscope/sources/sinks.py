@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,8 @@ def export_csv(df: DataFrame, path: str, mode: str = "ignore") -> None:
     Multiline text is quoted and escaped so it reads back row for row.
     """
     (_flatten_for_csv(df).write.mode(mode).option("header", True)
-       .option("quoteAll", True).option("escape", '"').option("multiLine", True).csv(path))
+       .option("quoteAll", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -47,8 +48,9 @@ def report_document(metrics_long: DataFrame, config: dict, timestamp: str | None
     """
     per_model = metrics_long.groupBy("model").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value")))).alias("m"))
-    doc = per_model.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("model", "m")))).alias("models"))
-    cfg = F.struct(*[F.lit(v).alias(k) for k, v in config.items()])
+    doc = per_model.agg(F.map_from_entries(F.collect_list(F.struct("model", "m"))).alias("models"))
+    # config values are literals or scalar-subquery columns (e.g. a sample count)
+    cfg = F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in config.items()])
     return doc.select(cfg.alias("config"), "models", F.lit(timestamp).cast("string").alias("timestamp"))
 
 
