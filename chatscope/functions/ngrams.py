@@ -57,6 +57,17 @@ def chrf_chars(text: Column | str) -> Column:
     return chars(s)
 
 
+def chrf_string(text: Column | str) -> Column:
+    """Whitespace-free text; character n-grams are taken with ``substring``."""
+    return F.regexp_replace(F.coalesce(col_of(text), F.lit("")), WS + "+", "")
+
+
+def char_ngrams(s: Column, n: int) -> Column:
+    size = F.length(s)
+    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(s, i, n))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
 def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
     """All n-grams of one order, as joined strings; empty when there are fewer than n tokens."""
     size = F.size(tokens)
@@ -65,14 +76,19 @@ def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
-def ngram_entries(tokens: Column, orders: tuple[int, ...], sep: str = " ") -> Column:
-    """``ARRAY<STRUCT<n, gram>>`` over several orders (to be exploded once)."""
+def ngram_entries(tokens: Column, orders: tuple[int, ...], sep: str | None = " ") -> Column:
+    """``ARRAY<STRUCT<n, gram>>`` over several orders (to be exploded once).
+
+    ``sep=None`` means ``tokens`` is a string and grams are its character n-grams.
+    """
     def tag(n: int):
         return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
 
-    parts = [F.transform(ngrams(tokens, n, sep), tag(n)) for n in orders]
+    build = (lambda n: char_ngrams(tokens, n)) if sep is None else (lambda n: ngrams(tokens, n, sep))
+    parts = [F.transform(build(n), tag(n)) for n in orders]
     return F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0]
 
 
-def ngram_total(tokens: Column, n: int) -> Column:
-    return F.greatest(F.size(tokens) - n + 1, F.lit(0))
+def ngram_total(tokens: Column, n: int, chars_: bool = False) -> Column:
+    size = F.length(tokens) if chars_ else F.size(tokens)
+    return F.greatest(size - n + 1, F.lit(0))

@@ -3,13 +3,16 @@
 Input: ``(model, sample_id, reference, prediction)`` – one row per scored
 sample (references and predictions paired by key, never by position).
 
-Plan for the n-gram metrics (ROUGE-N, BLEU, chrF): n-grams are exploded per
-row and counted with one ``groupBy(model, sample_id, n, gram)`` – map-side
-partial aggregation, a shuffle hashed on the gram itself so that a single huge
-sample spreads over all partitions – then ``least(pred, ref)`` is summed per
-sample (ROUGE) or per model (BLEU, chrF) in a second, small aggregation.
-n-gram totals and lengths come from array sizes, row-locally. No UDFs, no
-per-sample collection, no cross product.
+Plan for the n-gram metrics (ROUGE-N, BLEU, chrF): the narrow pairs table
+is hash-partitioned once on its unique key ``(model, sample_id)``; n-grams are
+then exploded and counted with ``groupBy(model, sample_id, n, gram)`` *inside*
+each partition (the partitioning already satisfies the grouping, so the
+exploded grams are never shuffled), ``least(pred, ref)`` is summed per sample,
+and only per-sample or per-model partial sums cross the network. The key is
+unique, so a partition never holds more than its share of rows; a single huge
+text is one row and one task whatever the plan. Totals come from array sizes
+and are merged by union + aggregation (no join), so every step keeps the
+partitioning. No UDFs, no per-sample collection, no cross product.
 
 ROUGE-L needs an LCS per sample: that is the one Arrow UDF (bit-parallel).
 Embedding match is a blocked nested loop: reference vectors are packed into
@@ -30,41 +33,79 @@ def _f1(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
+def work_partitions(df: DataFrame) -> int:
+    """Partition count for CPU-heavy stages: the session's shuffle width, at least one per core.
+
+    An explicit count keeps AQE from coalescing a small-in-bytes shuffle whose
+    rows explode into much more work downstream.
+    """
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def _tokenised(pairs: DataFrame, tok, stem: bool = False) -> DataFrame:
-    t = pairs.select(*KEYS, tok(F.col("prediction")).alias("pt"), tok(F.col("reference")).alias("rt"))
+    """Narrow token table, hash-partitioned by the unique sample key."""
+    narrow = pairs.select(*KEYS, "prediction", "reference").repartition(work_partitions(pairs), *KEYS)
+    t = narrow.select(*KEYS, tok(F.col("prediction")).alias("pt"), tok(F.col("reference")).alias("rt"))
     if stem:
         from chatscope.functions.porter import stem_tokens_udf
         t = t.select(*KEYS, stem_tokens_udf("pt").alias("pt"), stem_tokens_udf("rt").alias("rt"))
     return t
 
 
-def _gram_matches(tok: DataFrame, orders: tuple[int, ...], sep: str, keys: list[str]) -> DataFrame:
-    """Clipped matches ``sum(min(count_pred, count_ref))`` per ``keys + [n]``.
+def _gram_counts(tok: DataFrame, orders: tuple[int, ...], sep: str | None) -> DataFrame:
+    """Per ``(model, sample_id, n)``: clipped matches plus hypothesis/reference totals.
 
-    Only grams seen on both sides contribute, but every gram is counted once
-    per side first; the shuffle key includes the gram.
+    One ``explode(sequence(...))`` of plain integers per row; each index is
+    decoded arithmetically into (side, order, position) and the gram is cut
+    with ``substring`` (characters, ``sep=None``) or ``slice`` + ``array_join``
+    (tokens) in an ordinary projection, so the whole pipeline stays in
+    whole-stage codegen (no lambda functions). Indices past both sides emit
+    one ``(n, NULL, hyp_total, ref_total)`` row per order. Both groupings are
+    supersets of the partitioning key, so they run in place on one scan.
     """
-    side = lambda c, s: tok.select(*KEYS, F.lit(s).alias("side"),
-                                   F.explode(NG.ngram_entries(F.col(c), orders, sep)).alias("e"))
-    grams = side("pt", 1).unionByName(side("rt", 2)).select(*KEYS, "side", F.col("e.n").alias("n"),
-                                                                F.col("e.gram").alias("gram"))
-    counted = grams.groupBy(*KEYS, "n", "gram").agg(
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("cp"),
-        F.sum(F.when(F.col("side") == 2, 1).otherwise(0)).alias("cr"))
-    return (counted.where((F.col("cp") > 0) & (F.col("cr") > 0))
-                   .groupBy(*keys, "n").agg(F.sum(F.least("cp", "cr")).alias("match")))
+    k = len(orders)
+    chars_ = sep is None
+    size = (lambda c: F.length(c)) if chars_ else (lambda c: F.size(c))
+    lp, lr = size(F.col("pt")), size(F.col("rt"))
+    base = tok.select(*KEYS, "pt", "rt", lp.alias("lp"), lr.alias("lr"))
+    total = F.lit(k) * (F.col("lp") + F.col("lr")) + k
+    idx = base.select(*KEYS, "pt", "rt", "lp", "lr", F.explode(F.sequence(F.lit(0), total - 1)).alias("i"))
+    kp = F.lit(k) * F.col("lp")
+    kr = F.lit(k) * F.col("lr")
+    side = F.when(F.col("i") < kp, 1).when(F.col("i") < kp + kr, 2).otherwise(0)
+    j = F.when(F.col("side") == 1, F.col("i")).when(F.col("side") == 2, F.col("i") - kp).otherwise(F.col("i") - kp - kr)
+    length = F.when(F.col("side") == 1, F.col("lp")).when(F.col("side") == 2, F.col("lr")).otherwise(F.lit(1))
+    o = F.when(F.col("side") == 0, F.col("j")).otherwise(F.floor(F.col("j") / F.col("len")).cast("int"))
+    pos = F.when(F.col("side") == 0, F.lit(1)).otherwise(F.pmod(F.col("j"), F.col("len")) + 1)
+    n = F.element_at(F.array(*[F.lit(x) for x in orders]), F.col("o") + 1)
+
+    def cut(c: str) -> Column:
+        if chars_:
+            return F.substring(F.col(c), F.col("pos"), F.col("n"))
+        return F.array_join(F.slice(F.col(c), F.col("pos"), F.col("n")), sep)
+
+    d = (idx.withColumn("side", side).withColumn("j", j).withColumn("len", length)
+            .withColumn("o", o).withColumn("pos", pos.cast("int")).withColumn("n", n.cast("int"))
+            .where((F.col("side") == 0) | (F.col("pos") <= F.col("len") - F.col("n") + 1)))
+    gram = F.when(F.col("side") == 1, cut("pt")).when(F.col("side") == 2, cut("rt"))
+    cp = F.when(F.col("side") == 1, F.lit(1)).when(F.col("side") == 0, F.greatest(F.col("lp") - F.col("n") + 1, F.lit(0))) \
+        .otherwise(F.lit(0)).cast("long")
+    cr = F.when(F.col("side") == 2, F.lit(1)).when(F.col("side") == 0, F.greatest(F.col("lr") - F.col("n") + 1, F.lit(0))) \
+        .otherwise(F.lit(0)).cast("long")
+    e = d.select(*KEYS, "n", gram.alias("gram"), cp.alias("cp"), cr.alias("cr"))
+    counted = e.groupBy(*KEYS, "n", "gram").agg(F.sum("cp").alias("cp"), F.sum("cr").alias("cr"))
+    is_total = F.col("gram").isNull()
+    return counted.groupBy(*KEYS, "n").agg(
+        F.sum(F.when(is_total, 0).otherwise(F.least("cp", "cr"))).alias("match"),
+        F.sum(F.when(is_total, F.col("cp")).otherwise(0)).alias("hyp"),
+        F.sum(F.when(is_total, F.col("cr")).otherwise(0)).alias("ref"))
 
 
 # ------------------------------------------------------------------ ROUGE-N
 def rouge_n_per_sample(pairs: DataFrame, orders: tuple[int, ...] = (1, 2), stem: bool = False) -> DataFrame:
     """Per ``(model, sample_id, n)``: precision, recall, F1 (0 when a side is empty)."""
-    tok = _tokenised(pairs, NG.rouge_tokens, stem)
-    matches = _gram_matches(tok, orders, " ", KEYS)
-    totals = tok.select(*KEYS, F.explode(F.array(*[
-        F.struct(F.lit(n).alias("n"), NG.ngram_total(F.col("pt"), n).alias("hyp"),
-                 NG.ngram_total(F.col("rt"), n).alias("ref")) for n in orders])).alias("t")
-    ).select(*KEYS, "t.n", "t.hyp", "t.ref")
-    j = totals.join(matches, KEYS + ["n"], "left").fillna(0, ["match"])
+    j = _gram_counts(_tokenised(pairs, NG.rouge_tokens, stem), orders, " ")
     p = F.col("match") / F.greatest(F.col("hyp"), F.lit(1))
     r = F.col("match") / F.greatest(F.col("ref"), F.lit(1))
     return j.select(*KEYS, "n", p.alias("precision"), r.alias("recall"), _f1(p, r).alias("f1"))
@@ -102,13 +143,12 @@ def bleu_stats(pairs: DataFrame, max_order: int = 4) -> DataFrame:
     """Corpus sums per model: ``match_n``, ``total_n`` (n=1..4), ``sys_len``, ``ref_len``."""
     orders = tuple(range(1, max_order + 1))
     tok = _tokenised(pairs, NG.bleu13a_tokens)
-    matches = _gram_matches(tok, orders, " ", ["model"]).groupBy("model").pivot("n", list(orders)).agg(
-        F.first("match"))
-    matches = matches.select("model", *[F.coalesce(F.col(str(n)), F.lit(0)).alias(f"match_{n}") for n in orders])
-    totals = tok.groupBy("model").agg(
-        *[F.sum(NG.ngram_total(F.col("pt"), n)).alias(f"total_{n}") for n in orders],
-        F.sum(F.size("pt")).alias("sys_len"), F.sum(F.size("rt")).alias("ref_len"))
-    return totals.join(matches, "model", "left").fillna(0)
+    per = _gram_counts(tok, orders, " ").groupBy("model").agg(
+        *[F.sum(F.when(F.col("n") == n, F.col("match")).otherwise(0)).alias(f"match_{n}") for n in orders],
+        *[F.sum(F.when(F.col("n") == n, F.col("hyp")).otherwise(0)).alias(f"total_{n}") for n in orders],
+        F.sum(F.when(F.col("n") == 1, F.col("hyp")).otherwise(0)).alias("sys_len"),
+        F.sum(F.when(F.col("n") == 1, F.col("ref")).otherwise(0)).alias("ref_len"))
+    return per
 
 
 def bleu_from_stats(stats: DataFrame, max_order: int = 4) -> DataFrame:
@@ -141,13 +181,9 @@ def bleu(pairs: DataFrame) -> DataFrame:
 def chrf_stats(pairs: DataFrame, order: int = 6) -> DataFrame:
     """Corpus sums per model and order: hypothesis, reference and matching char n-grams."""
     orders = tuple(range(1, order + 1))
-    tok = _tokenised(pairs, NG.chrf_chars)
-    matches = _gram_matches(tok, orders, "", ["model"])
-    totals = tok.select("model", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("n"), NG.ngram_total(F.col("pt"), n).alias("hyp"),
-                 NG.ngram_total(F.col("rt"), n).alias("ref")) for n in orders])).alias("t")
-    ).groupBy("model", F.col("t.n").alias("n")).agg(F.sum("t.hyp").alias("hyp"), F.sum("t.ref").alias("ref"))
-    return totals.join(matches, ["model", "n"], "left").fillna(0, ["match"])
+    per = _gram_counts(_tokenised(pairs, NG.chrf_string), orders, None)
+    return per.groupBy("model", "n").agg(F.sum("hyp").alias("hyp"), F.sum("ref").alias("ref"),
+                                         F.sum("match").alias("match"))
 
 
 def chrf_from_stats(stats: DataFrame, beta: float = 2.0) -> DataFrame:

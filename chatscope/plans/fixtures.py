@@ -20,8 +20,28 @@ CALL_CLOSE = "<end_function_call>"
 ESC = "<escape>"
 
 
+# id column of each driver table, used to spread small scans over the cores
+KEYS = {"events": "event_id", "conversations": "conv_id", "documents": "doc_id",
+        "embeddings": "vec_id", "benchmark": "item_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, KEYS[name]) if name in KEYS else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition on ``key`` only when the scan yields fewer partitions than cores.
+
+    A single-row-group file is one scan task; on a cluster reading many files
+    the scan already has more partitions than cores and this is a no-op. Hash
+    (not round-robin) partitioning needs no sort for deterministic retries,
+    and a later grouping on ``key`` reuses it without another exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def _k(props: Column) -> Column:
