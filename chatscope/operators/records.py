@@ -42,22 +42,32 @@ def repair_json(s: Column | str) -> Column:
 
 
 def _vtype(v: Column) -> Column:
-    """Top-level VARIANT type name: OBJECT, ARRAY, STRING, BIGINT, VOID, ..."""
+    """Top-level VARIANT type name (walks the whole value: use on small values only)."""
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z_]+)", 1)
 
 
+def _is_array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
+
+
+def _is_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
 def decode_nested(v: Column) -> tuple[Column, Column]:
     """A field that is a string holding JSON is repaired and parsed; else kept.
 
     Returns ``(value, how)`` with ``how`` in native / string / repaired / failed.
+    Scalars other than strings are treated like strings (they fail the list
+    check either way).
     """
-    is_str = _vtype(v) == "STRING"
+    scalar = ~_is_array(v) & ~_is_object(v) & ~F.coalesce(F.is_variant_null(v), F.lit(False))
     s = F.try_variant_get(v, "$", "string")
     strict = F.try_parse_json(s)
     repaired = repair_json(s)
-    value = F.when(is_str, F.coalesce(strict, repaired)).otherwise(v)
+    value = F.when(scalar, F.coalesce(strict, repaired)).otherwise(v)
     how = (F.when(v.isNull(), F.lit(None))
-           .when(~is_str, F.lit("native"))
+           .when(~scalar, F.lit("native"))
            .when(strict.isNotNull(), F.lit("string"))
            .when(repaired.isNotNull(), F.lit("repaired"))
            .otherwise(F.lit("failed")))
@@ -69,11 +79,21 @@ def unwrap_singleton(v: Column, levels: int = 2) -> Column:
     out = v
     for _ in range(levels):
         first = F.try_variant_get(out, "$[0]", "variant")
-        nest = (_vtype(out) == "ARRAY") & (F.size(F.try_variant_get(out, "$", "array<variant>")) == 1) & (_vtype(first) == "ARRAY")
-        out = F.when(nest, first).otherwise(out)
+        nest = (F.size(F.try_variant_get(out, "$", "array<variant>")) == 1) & _is_array(first)
+        out = F.when(F.coalesce(nest, F.lit(False)), first).otherwise(out)
     return out
 
 
+def _fence(df: DataFrame, **cols: Column) -> DataFrame:
+    """Materialise expensive columns once per row.
+
+    A one-element ``inline`` is a Generate node: filters on its output cannot
+    be pushed below it, so a later ``where`` never inlines (and re-runs) the
+    parse under the scan.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))))
+
+
 def normalise_messages(v: Column) -> Column:
     """VARIANT array of message objects -> ``schemas.MESSAGES`` (plus canonical argument JSON)."""
     def call(c: Column) -> Column:
@@ -97,30 +117,32 @@ def normalise_messages(v: Column) -> Column:
 
 
 def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -> DataFrame:
-    """A2 + C2 + D1–D3: add ``messages``, ``tools_json``, ``split``, ``decoded_from`` and ``reasons``.
+    """A2 + C2 + D1–D3: add ``messages``, ``tools_json``, ``split``, ``decoded_from`` and ``reason``.
 
-    All other input columns are kept. Map-only: no shuffle, one codegen stage.
+    All other input columns are kept. Map-only: no shuffle. The record is
+    parsed once and its fields decoded once (``_fence``); validity checks are
+    cheap tests on those values.
     """
-    rec = F.try_parse_json(F.col(text_col))
-    raw_m = F.try_variant_get(F.col("_rec"), "$.messages", "variant")
-    raw_t = F.try_variant_get(F.col("_rec"), "$.tools", "variant")
-    out = df.withColumn("_rec", rec)
+    out = _fence(df, _rec=F.try_parse_json(F.col(text_col)))
+    rec = F.col("_rec")
+    raw_m = F.try_variant_get(rec, "$.messages", "variant")
+    raw_t = F.try_variant_get(rec, "$.tools", "variant")
     m_val, m_how = decode_nested(raw_m)
     t_val, _ = decode_nested(raw_t)
-    out = out.withColumn("_m", m_val).withColumn("decoded_from", m_how).withColumn("_t", t_val)
     if unwrap:
-        out = out.withColumn("_m", unwrap_singleton(F.col("_m")))
-    meta = F.try_variant_get(F.col("_rec"), "$.metadata", "string")
+        m_val = unwrap_singleton(m_val)
+    out = _fence(out, _obj=_is_object(rec), _m_raw=raw_m, _t_raw=raw_t, _m=m_val, decoded_from=m_how, _t=t_val,
+                 _meta=F.try_variant_get(rec, "$.metadata", "string"))
     checks = [
-        F.col("_rec").isNull(),
-        _vtype(F.col("_rec")) != "OBJECT",
-        raw_m.isNull(),
-        raw_t.isNull(),
+        rec.isNull(),
+        ~F.col("_obj"),
+        F.col("_m_raw").isNull(),
+        F.col("_t_raw").isNull(),
         F.col("_m").isNull(),
         F.col("_t").isNull(),
-        _vtype(F.col("_m")) != "ARRAY",
-        _vtype(F.col("_t")) != "ARRAY",
-        meta.isNull(),
+        ~_is_array(F.col("_m")),
+        ~_is_array(F.col("_t")),
+        F.col("_meta").isNull(),
     ]
     # only the first failing check is kept as the reason, later ones are implied
     reason = F.lit(None).cast("string")
@@ -129,8 +151,8 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
     return (out.withColumn("reason", reason)
                .withColumn("messages", F.when(F.col("reason").isNull(), normalise_messages(F.col("_m"))))
                .withColumn("tools_json", F.when(F.col("reason").isNull(), F.to_json(F.col("_t"))))
-               .withColumn("split", F.when(F.col("reason").isNull(), meta))
-               .drop("_rec", "_m", "_t"))
+               .withColumn("split", F.when(F.col("reason").isNull(), F.col("_meta")))
+               .drop("_rec", "_obj", "_m_raw", "_t_raw", "_m", "_t", "_meta"))
 
 
 def valid(parsed: DataFrame) -> DataFrame:

@@ -41,20 +41,35 @@ def align_generations(targets: DataFrame, generations: DataFrame, models: list[s
     return t.join(generations, ["model", "sample_id"], "left")
 
 
+def extract_outputs(generations: DataFrame) -> DataFrame:
+    """Per generation: called names, canonical arguments and text.
+
+    Runs before the join, on the generations' own partitions, so the regex
+    work is spread with the scan and only compact arrays cross the shuffle.
+    """
+    g = generations.withColumn("_fc", TC.extract_calls("output"))
+    return g.select("model", "sample_id", F.lit(True).alias("has_output"),
+                    TC.call_names(F.col("_fc")).alias("output_names"),
+                    TC.canonical_args(F.col("_fc")).alias("output_arguments"),
+                    TC.extract_text("output").alias("output_text"))
+
+
 def score(aligned: DataFrame, strict_types: bool = True) -> DataFrame:
-    """The scored frame (names, canonical arguments, texts, correctness flags)."""
-    out_fc = TC.extract_calls("output")
+    """The scored frame (names, canonical arguments, texts, correctness flags).
+
+    ``aligned`` is targets left-joined to ``extract_outputs(generations)``; a
+    missing generation scores as no calls and no text.
+    """
+    empty = F.array().cast("array<string>")
     tgt_args = TC.canonical_target_args(F.col("target_fc")) if strict_types else TC.loose_target_args(F.col("target_fc"))
     return (aligned
-            .withColumn("output_fc", out_fc)
             .select(
                 "model", "sample_id", "user",
                 TC.call_names(F.col("target_fc")).alias("target_names"),
-                TC.call_names(F.col("output_fc")).alias("output_names"),
+                F.coalesce(F.col("output_names"), empty).alias("output_names"),
                 tgt_args.alias("target_arguments"),
-                TC.canonical_args(F.col("output_fc")).alias("output_arguments"),
-                "target_text",
-                TC.extract_text("output").alias("output_text"),
+                F.coalesce(F.col("output_arguments"), empty).alias("output_arguments"),
+                "target_text", "output_text",
             )
             .withColumn("correct_names", F.col("target_names") == F.col("output_names"))
             .withColumn("correct_arguments", F.col("target_arguments") == F.col("output_arguments"))

@@ -198,7 +198,8 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators import scoring as S
     from chatscope.operators.records import split_filter, valid
     ev = split_filter(valid(_parsed(spark, sf_dir)), "eval")
-    return S.score(S.align_generations(S.eval_targets(ev), FX.generations(spark, sf_dir), MODELS))
+    outs = S.extract_outputs(FX.generations(spark, sf_dir))
+    return S.score(S.align_generations(S.eval_targets(ev), outs, MODELS))
 
 
 def _json_list(c):
