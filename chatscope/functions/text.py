@@ -29,9 +29,8 @@ def md5_bucket(c: Column | str) -> Column:
 
 
 def chars(c: Column | str) -> Column:
-    """One array element per character (``split`` with a zero-width pattern
-    also yields a trailing empty string, which is dropped)."""
-    return F.filter(F.split(col_of(c), "(?!^)"), lambda x: x != "")
+    """One array element per code point (a surrogate pair stays one element)."""
+    return F.regexp_extract_all(col_of(c), F.lit("(?s)."), F.lit(0))
 
 
 def json_escape_body(c: Column | str) -> Column:
