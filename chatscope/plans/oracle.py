@@ -664,3 +664,48 @@ ml AS (
 )
 SELECT true AS use_fine_tuned, true AS use_baseline, (SELECT count(DISTINCT sample_id) FROM pairs) AS num_eval_samples,
        model, metric, value FROM ml"""
+
+
+# ROUGE-L: LCS by a recursive CTE over reference tokens. Row i of the DP table is
+# L[i][j] = max over k <= j of (a_i = b_k ? L[i-1][k-1] + 1 : L[i-1][k]), i.e. a
+# running max over j of a value built from the previous row with lag().
+ROUGE_L = f"""WITH RECURSIVE {PAIRS},
+tok AS (SELECT model, sample_id, {_rouge_tok('reference')} AS rt, {_rouge_tok('prediction')} AS pt FROM pairs),
+bt AS (
+  SELECT model, sample_id, j, CASE WHEN j = 0 THEN NULL ELSE pt[j] END AS b, len(rt) AS n
+  FROM tok, LATERAL (SELECT unnest(range(0, len(pt) + 1)) AS j)
+  WHERE len(rt) > 0 AND len(pt) > 0
+),
+rtok AS (
+  SELECT model, sample_id, i, rt[i] AS a
+  FROM tok, LATERAL (SELECT unnest(range(1, len(rt) + 1)) AS i)
+  WHERE len(rt) > 0 AND len(pt) > 0
+),
+dp AS (
+  SELECT model, sample_id, 0 AS i, j, b, n, 0 AS v FROM bt
+  UNION ALL
+  SELECT model, sample_id, i, j, b, n,
+         max(w) OVER (PARTITION BY model, sample_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+  FROM (
+    SELECT d.model, d.sample_id, d.i + 1 AS i, d.j, d.b, d.n,
+      CASE WHEN d.j = 0 THEN 0
+           WHEN rtok.a = d.b THEN lag(d.v) OVER (PARTITION BY d.model, d.sample_id ORDER BY d.j) + 1
+           ELSE d.v END AS w
+    FROM dp d JOIN rtok ON rtok.model = d.model AND rtok.sample_id = d.sample_id AND rtok.i = d.i + 1
+    WHERE d.i < d.n
+  )
+),
+lcs AS (
+  SELECT model, sample_id, max(v) AS lcs FROM dp WHERE i = n GROUP BY model, sample_id
+),
+f AS (
+  SELECT t.model, t.sample_id, coalesce(l.lcs, 0) AS lcs, len(t.pt) AS np, len(t.rt) AS nr FROM tok t
+  LEFT JOIN lcs l ON l.model = t.model AND l.sample_id = t.sample_id
+),
+pr AS (
+  SELECT model, CASE WHEN np > 0 AND nr > 0 THEN lcs / np ELSE 0 END AS p,
+         CASE WHEN np > 0 AND nr > 0 THEN lcs / nr ELSE 0 END AS r FROM f
+)
+SELECT model, 'rouge_rougeL' AS metric, round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END), 6) AS value
+FROM pr GROUP BY model"""
+SQL["rouge_l"] = ROUGE_L
