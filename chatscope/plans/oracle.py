@@ -212,7 +212,7 @@ outs AS (
   SELECT g.model, g.sample_id, g.output,
     CASE WHEN g.output IS NULL OR g.output = '' OR starts_with(g.output, '<start_function_call>') THEN NULL
          ELSE regexp_replace(replace(g.output, '<end_of_turn>', ''), '^\\s+|\\s+$', '', 'g') END AS output_text,
-    coalesce((SELECT to_json(list(c.name ORDER BY c.call_no)) FROM calls c
+    coalesce((SELECT CAST(to_json(list(c.name ORDER BY c.call_no)) AS VARCHAR) FROM calls c
               WHERE c.model = g.model AND c.sample_id = g.sample_id), '[]') AS output_names,
     '[' || coalesce((SELECT string_agg(c.args_json, ',' ORDER BY c.call_no) FROM calls c
               WHERE c.model = g.model AND c.sample_id = g.sample_id), '') || ']' AS output_arguments
