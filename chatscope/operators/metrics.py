@@ -53,47 +53,31 @@ def _tokenised(pairs: DataFrame, tok, stem: bool = False) -> DataFrame:
     return t
 
 
-def _gram_counts(tok: DataFrame, orders: tuple[int, ...], sep: str | None) -> DataFrame:
+def _gram_counts(tok: DataFrame, orders: tuple[int, ...], sep: str) -> DataFrame:
     """Per ``(model, sample_id, n)``: clipped matches plus hypothesis/reference totals.
 
-    One ``explode(sequence(...))`` of plain integers per row; each index is
-    decoded arithmetically into (side, order, position) and the gram is cut
-    with ``substring`` (characters, ``sep=None``) or ``slice`` + ``array_join``
-    (tokens) in an ordinary projection, so the whole pipeline stays in
-    whole-stage codegen (no lambda functions). Indices past both sides emit
-    one ``(n, NULL, hyp_total, ref_total)`` row per order. Both groupings are
-    supersets of the partitioning key, so they run in place on one scan.
+    Three cheap generators per row – side (prediction/reference), position
+    ``0..L`` and order – emit one row per n-gram; the gram is cut with
+    ``slice`` + ``array_join`` in an ordinary projection (whole-stage codegen,
+    no lambda functions). Position 0 carries the per-order totals as a NULL
+    gram, so no second pass or join is needed. Both groupings are supersets of
+    the partitioning key, so they run in place on one scan of the input.
     """
-    k = len(orders)
-    chars_ = sep is None
-    size = (lambda c: F.length(c)) if chars_ else (lambda c: F.size(c))
-    lp, lr = size(F.col("pt")), size(F.col("rt"))
-    base = tok.select(*KEYS, "pt", "rt", lp.alias("lp"), lr.alias("lr"))
-    total = F.lit(k) * (F.col("lp") + F.col("lr")) + k
-    idx = base.select(*KEYS, "pt", "rt", "lp", "lr", F.explode(F.sequence(F.lit(0), total - 1)).alias("i"))
-    kp = F.lit(k) * F.col("lp")
-    kr = F.lit(k) * F.col("lr")
-    side = F.when(F.col("i") < kp, 1).when(F.col("i") < kp + kr, 2).otherwise(0)
-    j = F.when(F.col("side") == 1, F.col("i")).when(F.col("side") == 2, F.col("i") - kp).otherwise(F.col("i") - kp - kr)
-    length = F.when(F.col("side") == 1, F.col("lp")).when(F.col("side") == 2, F.col("lr")).otherwise(F.lit(1))
-    o = F.when(F.col("side") == 0, F.col("j")).otherwise(F.floor(F.col("j") / F.col("len")).cast("int"))
-    pos = F.when(F.col("side") == 0, F.lit(1)).otherwise(F.pmod(F.col("j"), F.col("len")) + 1)
-    n = F.element_at(F.array(*[F.lit(x) for x in orders]), F.col("o") + 1)
-
-    def cut(c: str) -> Column:
-        if chars_:
-            return F.substring(F.col(c), F.col("pos"), F.col("n"))
-        return F.array_join(F.slice(F.col(c), F.col("pos"), F.col("n")), sep)
-
-    d = (idx.withColumn("side", side).withColumn("j", j).withColumn("len", length)
-            .withColumn("o", o).withColumn("pos", pos.cast("int")).withColumn("n", n.cast("int"))
-            .where((F.col("side") == 0) | (F.col("pos") <= F.col("len") - F.col("n") + 1)))
-    gram = F.when(F.col("side") == 1, cut("pt")).when(F.col("side") == 2, cut("rt"))
-    cp = F.when(F.col("side") == 1, F.lit(1)).when(F.col("side") == 0, F.greatest(F.col("lp") - F.col("n") + 1, F.lit(0))) \
-        .otherwise(F.lit(0)).cast("long")
-    cr = F.when(F.col("side") == 2, F.lit(1)).when(F.col("side") == 0, F.greatest(F.col("lr") - F.col("n") + 1, F.lit(0))) \
-        .otherwise(F.lit(0)).cast("long")
-    e = d.select(*KEYS, "n", gram.alias("gram"), cp.alias("cp"), cr.alias("cr"))
+    sides = tok.select(*KEYS, F.explode(F.array(
+        F.struct(F.lit(1).alias("side"), F.col("pt").alias("arr")),
+        F.struct(F.lit(2).alias("side"), F.col("rt").alias("arr")))).alias("s"))
+    sides = sides.select(*KEYS, "s.side", "s.arr", F.size("s.arr").alias("len"))
+    pos = sides.select(*KEYS, "side", "arr", "len", F.explode(F.sequence(F.lit(0), F.col("len"))).alias("pos"))
+    grams = pos.select(*KEYS, "side", "arr", "len", "pos",
+                       F.explode(F.array(*[F.lit(n) for n in orders])).alias("n"))
+    total = F.col("pos") == 0
+    grams = grams.where(total | (F.col("pos") + F.col("n") - 1 <= F.col("len")))
+    cnt = F.when(total, F.greatest(F.col("len") - F.col("n") + 1, F.lit(0))).otherwise(F.lit(1)).cast("long")
+    e = grams.select(*KEYS, "n",
+                     F.when(total, F.lit(None).cast("string"))
+                      .otherwise(F.array_join(F.slice("arr", F.col("pos"), F.col("n")), sep)).alias("gram"),
+                     F.when(F.col("side") == 1, cnt).otherwise(F.lit(0).cast("long")).alias("cp"),
+                     F.when(F.col("side") == 2, cnt).otherwise(F.lit(0).cast("long")).alias("cr"))
     counted = e.groupBy(*KEYS, "n", "gram").agg(F.sum("cp").alias("cp"), F.sum("cr").alias("cr"))
     is_total = F.col("gram").isNull()
     return counted.groupBy(*KEYS, "n").agg(
@@ -181,7 +165,9 @@ def bleu(pairs: DataFrame) -> DataFrame:
 def chrf_stats(pairs: DataFrame, order: int = 6) -> DataFrame:
     """Corpus sums per model and order: hypothesis, reference and matching char n-grams."""
     orders = tuple(range(1, order + 1))
-    per = _gram_counts(_tokenised(pairs, NG.chrf_string), orders, None)
+    # characters as an array: ``slice`` indexes in O(1), while ``substring`` on
+    # UTF-8 walks from the start of the string for every gram (quadratic)
+    per = _gram_counts(_tokenised(pairs, NG.chrf_chars), orders, "")
     return per.groupBy("model", "n").agg(F.sum("hyp").alias("hyp"), F.sum("ref").alias("ref"),
                                          F.sum("match").alias("match"))
 

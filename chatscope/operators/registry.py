@@ -100,11 +100,16 @@ def prune(nodes: DataFrame, base_paths: DataFrame, except_keys: Sequence[str] =
     return drop_exceptions(nodes.join(base, keys, "left_semi"), except_keys)
 
 
+def _entry() -> Column:
+    """``path|kind|value`` of one node (objects contribute their path and kind only)."""
+    return F.concat_ws("\u0001", "path", "kind",
+                       F.when(F.col("kind") == "OBJECT", F.lit("")).otherwise(F.col("value_json")))
+
+
 def fingerprint(nodes: DataFrame, key: str = "config_id") -> DataFrame:
     """Per document: md5 over its sorted ``path|kind|value`` entries (exact tree identity)."""
-    entry = F.concat_ws("\u0001", "path", "kind", F.when(F.col("kind") == "OBJECT", F.lit("")).otherwise(F.col("value_json")))
     return nodes.groupBy(key).agg(
-        F.md5(F.array_join(F.array_sort(F.collect_list(entry)), "\u0002")).alias("fp"),
+        F.md5(F.array_join(F.array_sort(F.collect_list(_entry())), "\u0002")).alias("fp"),
         F.count(F.lit(1)).alias("n_nodes"))
 
 
@@ -137,18 +142,25 @@ def assign_run_slot(requests: DataFrame, registry: DataFrame, except_keys: Seque
     unmatched requests share one new slot.
     """
     req_nodes = key_paths(requests, "config", key, max_depth)
-    ks = req_nodes.groupBy(key).agg(F.md5(F.array_join(F.array_sort(F.collect_list("path")), "\u0002")).alias("ks"))
-    req_fp = fingerprint(drop_exceptions(req_nodes, except_keys), key)
-    req = ks.join(req_fp, key, "left")
-
-    keysets = req_nodes.join(ks, key).select("ks", "path").distinct()
+    exc = F.array(*[F.lit(k) for k in except_keys]) if except_keys else F.array().cast("array<string>")
+    excepted = F.exists(_ancestors_or_self(F.col("path")), lambda p: F.array_contains(exc, p))
+    # one grouping per request: its key set (all paths) and its pruned-tree fingerprint
+    req = req_nodes.groupBy(key).agg(
+        F.array_sort(F.collect_list("path")).alias("paths"),
+        F.array_sort(F.collect_list(F.when(~excepted, _entry()))).alias("entries"))
+    req = req.select(key, "paths", F.md5(F.array_join("paths", "\u0002")).alias("ks"),
+                     F.md5(F.array_join("entries", "\u0002")).alias("fp"))
+
+    keysets = req.select("ks", F.explode("paths").alias("path")).distinct()
     st_nodes = drop_exceptions(key_paths(registry, "config", "run_id", max_depth), except_keys)
+    # ``path`` is a hot key (every stored config has the same top keys) but
+    # ``keysets`` is tiny: AQE broadcasts it at run time when it is under the
+    # threshold, and otherwise splits the skewed side of the sort-merge join.
     st = st_nodes.join(keysets, "path")
-    entry = F.concat_ws("\u0001", "path", "kind", F.when(F.col("kind") == "OBJECT", F.lit("")).otherwise(F.col("value_json")))
-    st_fp = st.groupBy("ks", "run_id").agg(F.md5(F.array_join(F.array_sort(F.collect_list(entry)), "\u0002")).alias("fp"))
+    st_fp = st.groupBy("ks", "run_id").agg(F.md5(F.array_join(F.array_sort(F.collect_list(_entry())), "\u0002")).alias("fp"))
     best = st_fp.groupBy("ks", "fp").agg(F.min("run_id").alias("matched_run"))
 
-    matched = req.join(best, ["ks", "fp"], "left")
+    matched = req.drop("paths").join(best, ["ks", "fp"], "left")
     # a scalar subquery: evaluated once, no join and no single-partition window
     max_run = registry.select(F.coalesce(F.max("run_id"), F.lit(0))).scalar()
     new = matched.where(F.col("matched_run").isNull()).groupBy("fp").agg(F.min(key).alias("first_id"))
