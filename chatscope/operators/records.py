@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatscope.functions.text import col_of
+from chatscope.schemas import CALL
 
 # Fixed reason codes, in the order they are checked.
 REASONS = (
@@ -131,7 +132,9 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
     t_val, _ = decode_nested(raw_t)
     if unwrap:
         m_val = unwrap_singleton(m_val)
-    out = _fence(out, _obj=_is_object(rec), _m_raw=raw_m, _t_raw=raw_t, _m=m_val, decoded_from=m_how, _t=t_val,
+    # the text parsed as JSON, so it is an object exactly when it opens with a brace
+    is_obj = rec.isNotNull() & F.regexp_like(F.col(text_col), F.lit(r"^[ \t\n\r]*\{"))
+    out = _fence(out, _obj=is_obj, _m_raw=raw_m, _t_raw=raw_t, _m=m_val, decoded_from=m_how, _t=t_val,
                  _meta=F.try_variant_get(rec, "$.metadata", "string"))
     checks = [
         rec.isNull(),
@@ -184,7 +187,7 @@ def assemble_messages(turns: DataFrame, key: str = "conv_id", order: str = "turn
     A conversation is one model input, so its size is bounded by the context
     window; the ``collect_list`` is per conversation, never per table.
     """
-    calls_t = "array<struct<name:string,arguments:array<struct<key:string,value:string>>>>"
+    calls_t = f"array<{CALL}>"
     return turns.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(order, "role", "text"))),
                     lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content"),

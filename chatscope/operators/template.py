@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatscope.functions.text import col_of, py_strip
+from chatscope.schemas import CALL
 
 
 @dataclass(frozen=True)
@@ -134,7 +135,7 @@ def time_context(ts: Column | str, zone: str = "America/Toronto", std: str = "ES
 
 def adhoc_messages(developer: Column, user: Column) -> Column:
     """``[developer, user]`` message list for one ad-hoc prompt."""
-    empty_calls = F.array().cast("array<struct<name:string,arguments:array<struct<key:string,value:string>>>>")
+    empty_calls = F.array().cast(f"array<{CALL}>")
     return F.array(
         F.struct(F.lit("developer").alias("role"), developer.alias("content"), empty_calls.alias("tool_calls")),
         F.struct(F.lit("user").alias("role"), user.alias("content"), empty_calls.alias("tool_calls")),

@@ -51,17 +51,10 @@ def _k(props: Column) -> Column:
 # ---------------------------------------------------------------- FX0 chats
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation: ordered ``messages`` and an md5-based split."""
+    from chatscope.operators.records import assemble_messages
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return conv.groupBy("conv_id").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
-            lambda m: F.struct(
-                m["role"].alias("role"),
-                m["text"].alias("content"),
-                F.array().cast("array<struct<name:string,arguments:array<struct<key:string,value:string>>>>").alias("tool_calls"),
-            ),
-        ).alias("messages"),
-    ).withColumn("split", F.when(md5_bucket("conv_id") % 10 == 0, "eval").otherwise("train"))
+    return assemble_messages(conv).withColumn(
+        "split", F.when(md5_bucket("conv_id") % 10 == 0, "eval").otherwise("train"))
 
 
 # -------------------------------------------------------- FX1 tool_records

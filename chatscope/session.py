@@ -25,6 +25,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # HotSpot does not JIT methods over 8000 bytecodes; past that, whole-stage
+        # codegen runs interpreted and is slower than the expression fallback
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("CHATSCOPE_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
