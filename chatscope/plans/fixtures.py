@@ -45,7 +45,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def _k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("bigint")
+    return F.get_json_object(props, "$.k").try_cast("bigint")
 
 
 # ---------------------------------------------------------------- FX0 chats

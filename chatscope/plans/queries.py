@@ -83,9 +83,9 @@ def _valid_view(p: DataFrame) -> DataFrame:
     m = F.col("messages")
     return p.select(
         "sample_id", "split", F.size(m).alias("n_messages"),
-        F.element_at(m, 2)["content"].alias("user_content"),
-        F.element_at(F.element_at(m, 3)["tool_calls"], 1)["name"].alias("call_name"),
-        F.element_at(F.element_at(m, 3)["tool_calls"], 1)["arguments_json"].alias("args_json"),
+        F.try_element_at(m, F.lit(2))["content"].alias("user_content"),
+        F.try_element_at(F.try_element_at(m, F.lit(3))["tool_calls"], F.lit(1))["name"].alias("call_name"),
+        F.try_element_at(F.try_element_at(m, F.lit(3))["tool_calls"], F.lit(1))["arguments_json"].alias("args_json"),
     )
 
 
