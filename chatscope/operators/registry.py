@@ -26,8 +26,12 @@ NODE = "struct<path:string,depth:int,value:variant>"
 MAX_DEPTH = 8
 
 
-def _kind(v: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(v), "^([A-Z]+)", 1)
+def _kind_of_json(j: Column) -> Column:
+    """JSON type of a canonical JSON text, from its first character (no subtree walk)."""
+    c = F.substring(j, 1, 1)
+    return (F.when(c == "{", "OBJECT").when(c == "[", "ARRAY").when(c == '"', "STRING")
+            .when(c.isin("t", "f"), "BOOLEAN").when(c == "n", "VOID")
+            .when(F.regexp_like(j, F.lit("[.eE]")), "DOUBLE").otherwise("BIGINT"))
 
 
 def _children(nodes: Column, depth: int) -> Column:
@@ -54,8 +58,9 @@ def key_paths(docs: DataFrame, doc_col: str = "config", key: str = "config_id",
     deeper = F.size(levels[-1]) > 0
     allnodes = F.flatten(F.array(*levels[:-1]))
     out = docs.select(key, deeper.alias("truncated"), F.explode(allnodes).alias("n"))
-    return out.select(key, F.col("n.path").alias("path"), F.col("n.depth").alias("depth"),
-                      _kind(F.col("n.value")).alias("kind"), F.to_json(F.col("n.value")).alias("value_json"),
+    out = out.select(key, F.col("n.path").alias("path"), F.col("n.depth").alias("depth"),
+                     F.to_json(F.col("n.value")).alias("value_json"), "truncated")
+    return out.select(key, "path", "depth", _kind_of_json(F.col("value_json")).alias("kind"), "value_json",
                       "truncated")
 
 
@@ -116,17 +121,19 @@ def fingerprint(nodes: DataFrame, key: str = "config_id") -> DataFrame:
 def config_identical(nodes: DataFrame, base_id, except_keys: Sequence[str] = (), key: str = "config_id") -> DataFrame:
     """M4: for every document, is its pruned tree equal to the base document's pruned tree?
 
-    Base keys are all paths of the base document; both sides are pruned with
-    them. The base fingerprint is one row, compared by an equi-join on a
-    constant-free key (``fp``).
+    Base keys are all paths of the base document, taken as one array (a scalar
+    subquery bounded by one document). Each document is pruned with
+    ``array_contains`` and fingerprinted in a single grouping, with no join.
     """
-    base_paths = nodes.where(F.col(key) == F.lit(base_id)).select("path")
-    pruned = prune(nodes, base_paths, except_keys)
-    fps = fingerprint(pruned, key)
+    base_paths = nodes.where(F.col(key) == F.lit(base_id)).agg(F.collect_set("path")).scalar()
+    exc = F.array(*[F.lit(k) for k in except_keys]) if except_keys else F.array().cast("array<string>")
+    kept = F.array_contains(base_paths, F.col("path")) & ~F.exists(
+        _ancestors_or_self(F.col("path")), lambda p: F.array_contains(exc, p))
+    # the flag is projected first: a subquery may not sit under array_sort's lambda
+    fps = nodes.withColumn("_kept", kept).groupBy(key).agg(
+        F.md5(F.array_join(F.array_sort(F.collect_list(F.when(F.col("_kept"), _entry()))), "\u0002")).alias("fp"))
     base_fp = fps.where(F.col(key) == F.lit(base_id)).select("fp").scalar()
-    all_docs = nodes.select(key).distinct()
-    j = all_docs.join(fps, key, "left")
-    return j.select(key, F.coalesce(F.col("fp") == base_fp, F.lit(False)).alias("identical"))
+    return fps.select(key, F.coalesce(F.col("fp") == base_fp, F.lit(False)).alias("identical"))
 
 
 def assign_run_slot(requests: DataFrame, registry: DataFrame, except_keys: Sequence[str] = (),
