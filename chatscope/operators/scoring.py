@@ -41,6 +41,15 @@ def align_generations(targets: DataFrame, generations: DataFrame, models: list[s
     return t.join(generations, ["model", "sample_id"], "left")
 
 
+def generations_for(generations: DataFrame, targets: DataFrame) -> DataFrame:
+    """Keep only generations that have a target (left-semi join on ``sample_id``).
+
+    Extraction then runs on the rows that will be scored, not on every
+    generation; the semi join ships only the target keys.
+    """
+    return generations.join(targets.select("sample_id"), "sample_id", "left_semi")
+
+
 def extract_outputs(generations: DataFrame) -> DataFrame:
     """Per generation: called names, canonical arguments and text.
 

@@ -197,9 +197,9 @@ MODELS = ["fine_tuned", "baseline"]
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators import scoring as S
     from chatscope.operators.records import split_filter, valid
-    ev = split_filter(valid(_parsed(spark, sf_dir)), "eval")
-    outs = S.extract_outputs(FX.generations(spark, sf_dir))
-    return S.score(S.align_generations(S.eval_targets(ev), outs, MODELS))
+    targets = S.eval_targets(split_filter(valid(_parsed(spark, sf_dir)), "eval"))
+    outs = S.extract_outputs(S.generations_for(FX.generations(spark, sf_dir), targets))
+    return S.score(S.align_generations(targets, outs, MODELS))
 
 
 def _json_list(c):
