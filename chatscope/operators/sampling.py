@@ -21,14 +21,19 @@ def shuffle_key(id_col: str, seed: int) -> Column:
 
 
 def consecutive_index(df: DataFrame, order: list[str] | str, name: str = "idx") -> DataFrame:
-    """Exact 0..n-1 numbering by ``order`` (ties must be broken by the caller's keys).
-
-    Range-partitioned sort, one count row per partition, prefix sums over the
-    (tiny) count table, then in-partition positions: no step sees more than
-    one partition of data.
+    """Exact 0..n-1 numbering by ``order`` (the caller's keys must be unique).
+
+    Range-partition on the keys (Spark samples the bounds, so partitions are
+    balanced), tag each row with its partition id and write that once to the
+    shared checkpoint folder: the count pass and the numbering pass then read
+    the same rows, whereas two executions of a range exchange could sample
+    different bounds. Counts are one row per partition; prefix sums over that
+    tiny table give offsets; positions are ``row_number`` within a partition
+    ordered by the unique keys. No step sees more than one partition of data.
     """
+    from chatscope.session import materialize
     order = [order] if isinstance(order, str) else list(order)
-    s = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+    s = materialize(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
     s = s.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     offs = counts.select("_pid", F.coalesce(F.sum("_c").over(

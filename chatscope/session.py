@@ -59,3 +59,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
 
+
+
+def materialize(df):
+    """Cut lineage with a written table in the shared checkpoint folder.
+
+    For results that several branches of one plan must see identically (an
+    exchange that is executed twice may sample and order its input
+    differently). The data is computed once, written as Parquet under
+    ``spark.checkpoint.dir`` (a shared folder on a cluster, so it survives
+    executor loss) and read back.
+    """
+    import uuid
+    path = scratch_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
