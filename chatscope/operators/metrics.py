@@ -39,8 +39,9 @@ def work_partitions(df: DataFrame) -> int:
     An explicit count keeps AQE from coalescing a small-in-bytes shuffle whose
     rows explode into much more work downstream.
     """
+    from chatscope.session import parallelism
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
 
 
 def _tokenised(pairs: DataFrame, tok, stem: bool = False) -> DataFrame:

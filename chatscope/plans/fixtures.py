@@ -38,8 +38,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     (not round-robin) partitioning needs no sort for deterministic retries,
     and a later grouping on ``key`` reuses it without another exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    from chatscope.session import parallelism
+    cores = parallelism(df.sparkSession)
+    try:
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
         return df
     return df.repartition(cores, key)
 

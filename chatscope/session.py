@@ -45,15 +45,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="chatscope-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:  # classic sessions also register it for RDD checkpoints
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        pass
     return path
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Total task slots (falls back to the shuffle width where no SparkContext is exposed)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
