@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatscope.operators.sampling import consecutive_index
+from chatscope.session import materialize
 
 NODE = "struct<path:string,depth:int,value:variant>"
 MAX_DEPTH = 8
@@ -155,8 +156,10 @@ def assign_run_slot(requests: DataFrame, registry: DataFrame, except_keys: Seque
     req = req_nodes.groupBy(key).agg(
         F.array_sort(F.collect_list("path")).alias("paths"),
         F.array_sort(F.collect_list(F.when(~excepted, _entry()))).alias("entries"))
-    req = req.select(key, "paths", F.md5(F.array_join("paths", "\u0002")).alias("ks"),
-                     F.md5(F.array_join("entries", "\u0002")).alias("fp"))
+    # one row per request, read by the key-set join, the new-slot numbering and
+    # the final join: written once instead of re-deriving every key path each time
+    req = materialize(req.select(key, "paths", F.md5(F.array_join("paths", "\u0002")).alias("ks"),
+                                 F.md5(F.array_join("entries", "\u0002")).alias("fp")))
 
     keysets = req.select("ks", F.explode("paths").alias("path")).distinct()
     st_nodes = drop_exceptions(key_paths(registry, "config", "run_id", max_depth), except_keys)
