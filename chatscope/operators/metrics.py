@@ -87,6 +87,45 @@ def _gram_counts(tok: DataFrame, orders: tuple[int, ...], sep: str) -> DataFrame
         F.sum(F.when(is_total, F.col("cr")).otherwise(0)).alias("ref"))
 
 
+def _char_gram_counts(tok: DataFrame, orders: tuple[int, ...]) -> DataFrame:
+    """``_gram_counts`` for character n-grams of at most 6 code points.
+
+    ``pt``/``rt`` are arrays of code points (ints). A gram is encoded exactly
+    as two 63-bit integers (three 21-bit code points each); with the order
+    ``n`` in the key the encoding is a bijection, and grouping on fixed-width
+    integers avoids building and hashing a string per gram.
+    """
+    assert max(orders) <= 6
+    sides = tok.select(*KEYS, F.explode(F.array(
+        F.struct(F.lit(1).alias("side"), F.col("pt").alias("arr")),
+        F.struct(F.lit(2).alias("side"), F.col("rt").alias("arr")))).alias("s"))
+    sides = sides.select(*KEYS, "s.side", "s.arr", F.size("s.arr").alias("len"))
+    pos = sides.select(*KEYS, "side", "arr", "len", F.explode(F.sequence(F.lit(0), F.col("len"))).alias("pos"))
+    grams = pos.select(*KEYS, "side", "arr", "len", "pos",
+                       F.explode(F.array(*[F.lit(n) for n in orders])).alias("n"))
+    total = F.col("pos") == 0
+    grams = grams.where(total | (F.col("pos") + F.col("n") - 1 <= F.col("len")))
+
+    def part(first: int) -> Column:
+        acc = F.lit(0).cast("long")
+        for i in range(3):
+            j = first + i
+            cp = F.when(F.col("n") > j, F.element_at("arr", F.col("pos") + j).cast("long")).otherwise(F.lit(0).cast("long"))
+            acc = acc + F.shiftleft(cp, 21 * i)
+        return F.when(total, F.lit(None).cast("long")).otherwise(acc)
+
+    cnt = F.when(total, F.greatest(F.col("len") - F.col("n") + 1, F.lit(0))).otherwise(F.lit(1)).cast("long")
+    e = grams.select(*KEYS, "n", part(0).alias("g1"), part(3).alias("g2"),
+                     F.when(F.col("side") == 1, cnt).otherwise(F.lit(0).cast("long")).alias("cp"),
+                     F.when(F.col("side") == 2, cnt).otherwise(F.lit(0).cast("long")).alias("cr"))
+    counted = e.groupBy(*KEYS, "n", "g1", "g2").agg(F.sum("cp").alias("cp"), F.sum("cr").alias("cr"))
+    is_total = F.col("g1").isNull()
+    return counted.groupBy(*KEYS, "n").agg(
+        F.sum(F.when(is_total, 0).otherwise(F.least("cp", "cr"))).alias("match"),
+        F.sum(F.when(is_total, F.col("cp")).otherwise(0)).alias("hyp"),
+        F.sum(F.when(is_total, F.col("cr")).otherwise(0)).alias("ref"))
+
+
 # ------------------------------------------------------------------ ROUGE-N
 def rouge_n_per_sample(pairs: DataFrame, orders: tuple[int, ...] = (1, 2), stem: bool = False) -> DataFrame:
     """Per ``(model, sample_id, n)``: precision, recall, F1 (0 when a side is empty)."""
@@ -168,7 +207,8 @@ def chrf_stats(pairs: DataFrame, order: int = 6) -> DataFrame:
     orders = tuple(range(1, order + 1))
     # characters as an array: ``slice`` indexes in O(1), while ``substring`` on
     # UTF-8 walks from the start of the string for every gram (quadratic)
-    per = _gram_counts(_tokenised(pairs, NG.chrf_chars), orders, "")
+    codes = lambda c: F.transform(NG.chrf_chars(c), lambda ch: F.ascii(ch))
+    per = _char_gram_counts(_tokenised(pairs, codes), orders)
     return per.groupBy("model", "n").agg(F.sum("hyp").alias("hyp"), F.sum("ref").alias("ref"),
                                          F.sum("match").alias("match"))
 
