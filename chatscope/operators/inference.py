@@ -22,8 +22,16 @@ _WORKER_MODELS: dict = {}
 
 
 def _model_for(make_fn: Callable[[], ModelFn]) -> ModelFn:
-    """One model instance per Python worker process and factory."""
-    key = id(make_fn), getattr(make_fn, "__qualname__", "")
+    """One model instance per Python worker process and factory.
+
+    Each task unpickles its own copy of the factory, so the object id changes
+    from task to task; the cache key is a digest of the pickled factory, which
+    is the same for every task of one job and differs between closures.
+    """
+    import hashlib
+
+    from pyspark import cloudpickle
+    key = hashlib.sha1(cloudpickle.dumps(make_fn)).hexdigest()
     fn = _WORKER_MODELS.get(key)
     if fn is None:
         fn = _WORKER_MODELS[key] = make_fn()

@@ -25,3 +25,28 @@ def test_stream_equals_batch(spark):
         .select("model", "sample_id", "correct")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert got.where(F.col("correct")).count() > 0
+
+
+def test_model_factory_runs_once_per_worker(spark):
+    """The factory is cached per Python worker, not rebuilt for every task."""
+    import os
+
+    import pandas as pd
+
+    from chatscope.operators.inference import batch_generate
+
+    def make():
+        pid = os.getpid()
+        stamp = str(id(object()))  # differs for every factory call
+
+        def fn(s: pd.Series) -> pd.Series:
+            return pd.Series([f"{pid}:{stamp}"] * len(s))
+        return fn
+
+    df = spark.range(0, 400, numPartitions=40).selectExpr("id", "cast(id as string) as prompt")
+    out = batch_generate(df, make, "prompt", "output", ["id"]).collect()
+    by_pid = {}
+    for r in out:
+        pid, stamp = r["output"].split(":")
+        by_pid.setdefault(pid, set()).add(stamp)
+    assert all(len(stamps) == 1 for stamps in by_pid.values())
