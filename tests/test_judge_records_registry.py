@@ -88,3 +88,12 @@ def test_key_paths_depth_and_truncation(spark):
     assert {r["path"] for r in rows} == {"x", "x/y"} and all(r["truncated"] for r in rows)
     rows = key_paths(df).collect()
     assert {r["path"] for r in rows} == {"x", "x/y", "x/y/z"} and not any(r["truncated"] for r in rows)
+
+
+def test_run_slots_edge_cases(spark):
+    from chatscope.operators.registry import assign_run_slot
+    cfg = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": 1}')], "config_id long, config string")
+    stored = spark.createDataFrame([(7, '{"a": 1}')], "run_id long, config string")
+    assert sorted(tuple(r) for r in assign_run_slot(cfg, stored).collect()) == [(1, 7, True), (2, 7, True)]
+    empty = spark.createDataFrame([], "run_id long, config string")
+    assert sorted(tuple(r) for r in assign_run_slot(cfg, empty).collect()) == [(1, 1, False), (2, 1, False)]
