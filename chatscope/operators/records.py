@@ -153,6 +153,8 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
         reason = F.when(F.coalesce(bad, F.lit(True)), F.lit(name)).otherwise(reason)
     return (out.withColumn("reason", reason)
                .withColumn("messages", F.when(F.col("reason").isNull(), normalise_messages(F.col("_m"))))
+               .withColumn("n_messages", F.when(F.col("reason").isNull(),
+                                                F.size(F.try_variant_get(F.col("_m"), "$", "array<variant>"))))
                .withColumn("tools_json", F.when(F.col("reason").isNull(), F.to_json(F.col("_t"))))
                .withColumn("split", F.when(F.col("reason").isNull(), F.col("_meta")))
                .drop("_rec", "_obj", "_m_raw", "_t_raw", "_m", "_t", "_meta"))

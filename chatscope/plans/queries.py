@@ -66,8 +66,7 @@ def q_scan_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_parse_chat_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _parsed(spark, sf_dir)
-    return p.select("sample_id", "reason", "decoded_from", "split",
-                    F.size("messages").alias("n_messages"), "tools_json")
+    return p.select("sample_id", "reason", "decoded_from", "split", "n_messages", "tools_json")
 
 
 @register
