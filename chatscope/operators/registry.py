@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from chatscope.operators.sampling import consecutive_index
 from chatscope.session import materialize
 
-NODE = "struct<path:string,depth:int,value:variant>"
 MAX_DEPTH = 8
 
 

@@ -7,10 +7,4 @@ CALL = f"struct<name:string,arguments:{ARGS}>"
 MESSAGE = f"struct<role:string,content:string,tool_calls:array<{CALL}>>"
 MESSAGES = f"array<{MESSAGE}>"
 
-# Metric keys as the reference names them in its result document.
-ROUGE_KEYS = ("rouge1", "rouge2", "rougeL")
-METRIC_NAMES = (
-    "rouge_rouge1", "rouge_rouge2", "rouge_rougeL", "bleu", "chrf",
-    "bertscore_precision", "bertscore_recall", "bertscore_f1",
-)
 JUDGE_CRITERIA = ("accuracy", "relevance", "tone")
