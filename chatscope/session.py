@@ -1,19 +1,26 @@
 """Session helpers.
 
-Library code never changes session configuration; these helpers are for
-tests, the bench and the command line only.
+Library code never changes session configuration. ``local_session`` builds a
+session for tests, the bench and the command line; ``shared_dir`` finds the
+folder that all machines of a cluster share.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "chatscope") -> SparkSession:
-    """A local session configured like a small cluster (AQE on, UI off)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "chatscope",
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session configured like a small cluster (AQE on, UI off).
+
+    ``checkpoint_dir`` names the folder for checkpoints and written tables; a
+    fresh temporary folder by default (all "machines" are this one).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,30 +36,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # codegen runs interpreted and is slower than the expression fallback
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("CHATSCOPE_DRIVER_MEMORY", "8g"))
+        .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="chatscope-ckpt-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+_LOCAL_DIRS: dict[str, str] = {}
+
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) do we point it at a fresh scratch
-    folder.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder shared by all machines, for checkpoints and written intermediate tables.
+
+    Read from ``spark.checkpoint.dir``, else from the directory registered with
+    ``SparkContext.setCheckpointDir``. Where neither is set, a session whose
+    master is ``local`` gets a temporary folder; on a cluster that would be a
+    different folder on every machine, so it is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="chatscope-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    try:  # classic sessions also register it for RDD checkpoints
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        pass
-    return path
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path.rstrip("/")
+    sc = spark.sparkContext
+    registered = sc._jsc.sc().getCheckpointDir()
+    if registered.isDefined():
+        return registered.get().rstrip("/")
+    if sc.master == "local" or sc.master.startswith("local["):
+        return _LOCAL_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="chatscope-ckpt-"))
+    raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -64,22 +75,19 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
-
+    """A sub-folder of the shared folder for written intermediate tables."""
+    return f"{shared_dir(spark)}/{name}"
 
 
-def materialize(df):
-    """Cut lineage with a written table in the shared checkpoint folder.
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a written table in the shared folder.
 
     For results that several branches of one plan must see identically (an
     exchange that is executed twice may sample and order its input
-    differently). The data is computed once, written as Parquet under
-    ``spark.checkpoint.dir`` (a shared folder on a cluster, so it survives
-    executor loss) and read back.
+    differently). The data is computed once, written as Parquet under the
+    shared folder (so it survives executor loss) and read back. The caller, or
+    whoever empties the checkpoint folder, removes it.
     """
-    import uuid
     path = scratch_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
