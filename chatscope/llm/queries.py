@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatscope.llm import bpe, host_rules, lang_id, packing, simhash
+from chatscope.llm import bpe, host_rules, lang_id, packing, quality_crf, simhash, syncmers, url_filter
 from chatscope.llm.common import crc32_mod, table
 
 
@@ -15,6 +15,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.tiktoken_encoder)
 
 
+def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edit_with_next(table(spark, sf_dir, "documents"))
+
+
 def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -24,6 +28,28 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+# The rules of the URL query (host, path, action).
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow"))
+# Host labels whose pages make up the URL query's list.
+LISTED_HOSTS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def op5_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of all pages whose host has one of ``LISTED_HOSTS`` among its labels."""
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS r(host, path, action)")
+    listed = pages.where(url_filter.host_of(F.col("url")).rlike(rf"(^|\.)({'|'.join(LISTED_HOSTS)})\.")).select("url")
+    return url_filter.judge_urls(pages, listed, rules)
+
+
+def op6_line_field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = quality_crf.train(docs, table(spark, sf_dir, "labels").where(crc32_mod("doc_id", 5) != 0))
+    scored = quality_crf.classify(docs, field)
+    return scored.select("doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), is_scan=True)
 
@@ -36,7 +62,69 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op3_host_quality_rules, op4_simhash_near_dedup,
-                            op8_bpe_distinct_words, op10_language_id)}
-
-SQL: dict[str, str] = {}
+    f.__name__: f for f in (
+        op1_best_fit_packing, op2_closed_syncmers, op3_host_quality_rules, op4_simhash_near_dedup,
+        op5_bloom_url_filter, op6_line_field_quality, op8_bpe_distinct_words, op10_language_id)}
+
+_HOST = "CASE WHEN url LIKE '%://%' THEN lower(regexp_extract(url, '://([^/?#]*)', 1)) ELSE '' END"
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+SQL: dict[str, str] = {
+    "op3_host_quality_rules": rf"""
+        WITH t AS (
+          SELECT doc_id, source, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w,
+                 list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{_WORDS}')) AS l
+          FROM documents),
+        win AS (
+          SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) > 2)),
+        again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+        rep AS (
+          SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+        s AS (
+          SELECT t.doc_id, source, len(w)::BIGINT AS n_words,
+                 length(array_to_string(w, ''))::BIGINT AS word_chars,
+                 length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                 (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+                 coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines
+          FROM t LEFT JOIN rep ON rep.doc_id = t.doc_id),
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
+        h AS (
+          SELECT source, count(*) AS n, count(*) FILTER (
+            WHERE base_failed OR n_symbols * 100 > n_words * 10 OR n_dup_lines * 100 > n_lines * 30) AS f
+          FROM b WHERE source IS NOT NULL GROUP BY source),
+        m AS (
+          SELECT sum(f) / sum(n) AS raw, greatest(least(sum(f) / sum(n), 1 - 1e-6), 1e-6) AS m, count(*) AS k,
+                 sum(n) AS n, sum(f::DOUBLE * f / n) / sum(n) AS sq FROM h),
+        p AS (
+          SELECT m, greatest(least(CASE WHEN sq - raw * raw - m * (1 - m) * k / n > 0
+            THEN m * (1 - m) / (sq - raw * raw - m * (1 - m) * k / n) - 1 ELSE 10000 END, 10000), 2) AS weight FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND coalesce((h.f + p.m * p.weight) / (h.n + p.weight) <= 0.5, true) AS kept
+        FROM b LEFT JOIN h ON h.source = b.source, p
+    """,
+    "op5_bloom_url_filter": rf"""
+        WITH p AS (
+          SELECT page_id, url, {_HOST} AS host,
+                 CASE WHEN url LIKE '%://%' THEN regexp_extract(url, '://[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+                 regexp_extract(url, '://[^?#]*[?]([^#]*)', 1) AS q FROM pages),
+        c AS (
+          SELECT *, regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/+$', '') || coalesce('?' || nullif(
+                   array_to_string(list_sort(list_filter(string_split(q, '&'),
+                     x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&'), ''), '') AS canon
+          FROM p),
+        listed AS (
+          SELECT DISTINCT canon FROM c
+          WHERE regexp_matches(host, '(^|[.])({"|".join(LISTED_HOSTS)})[.]')),
+        rules(h, pre, action) AS (VALUES {", ".join(map(str, URL_RULES))}),
+        hit AS (
+          SELECT url, arg_max(h || pre, length(h || pre)) AS rule, arg_max(action, length(h || pre)) AS action
+          FROM (SELECT DISTINCT url, host, path FROM c), rules
+          WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, pre) GROUP BY url)
+        SELECT page_id, host, path, rule,
+               CASE WHEN action IS NOT NULL THEN action WHEN listed.canon IS NOT NULL AND host <> '' THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM c LEFT JOIN hit ON hit.url = c.url LEFT JOIN listed ON listed.canon = c.canon
+    """,
+}

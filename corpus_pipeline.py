@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatscope.llm import bpe, lang_id, packing, simhash
+from chatscope.llm import bpe, lang_id, packing, quality_crf, simhash
 from chatscope.llm.common import crc32_mod, materialize, table
 
 
@@ -20,6 +20,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lang_id.keep_confident(docs, model)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts that the line field scores below 0.3; it learns from the labelled documents among ``docs``."""
+    labels = table(spark, sf_dir, "labels").where(crc32_mod("doc_id", 5) != 0)
+    return quality_crf.keep_good(docs, quality_crf.train(docs, labels))
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of fingerprints at most two bits apart."""
     return simhash.keep_one(docs, shingle=3, radius=2)
@@ -32,6 +38,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("language_id", language_id),
+    ("quality_classifier", quality_classifier),
     ("simhash_near_dedup", simhash_near_dedup),
     ("best_fit_packing", best_fit_packing),
 ]
