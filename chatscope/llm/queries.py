@@ -74,7 +74,7 @@ SQL: dict[str, str] = {
         WITH t AS (
           SELECT doc_id, source, coalesce(text, '') AS text,
                  regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w,
-                 list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{_WORDS}')) AS l
+                 list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS l
           FROM documents),
         win AS (
           SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
@@ -112,7 +112,7 @@ SQL: dict[str, str] = {
         c AS (
           SELECT *, regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/+$', '') || coalesce('?' || nullif(
                    array_to_string(list_sort(list_filter(string_split(q, '&'),
-                     x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&'), ''), '') AS canon
+                     lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&'), ''), '') AS canon
           FROM p),
         listed AS (
           SELECT DISTINCT canon FROM c

@@ -136,7 +136,9 @@ def judge_urls(pages: DataFrame, urls: DataFrame | None = None, rules: DataFrame
     possible = may_contain(offered, bloom, n_blocks, bloom_small)
     exact = possible.join(F.broadcast(listed) if list_small else listed, "key")
     best = exact.groupBy("url").agg(
-        F.min_by(F.struct("rule", "action"), F.struct(-F.length("rule"), "rule")).alias("by_rule"),
+        # a null order, that of listed URLs, is left out
+        F.min_by(F.struct("rule", "action"), F.when(F.col("rule").isNotNull(), F.struct(
+            -F.length("rule"), F.col("rule")))).alias("by_rule"),
         F.bool_or(F.col("rule").isNull()).alias("is_listed"))
     best = materialize(best.select("url", "by_rule.rule", F.coalesce(
         F.when(F.col("by_rule.rule").isNotNull(), F.col("by_rule.action")),
