@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatscope.llm import bpe, host_rules, lang_id, packing, quality_crf, simhash, syncmers, url_filter
+from chatscope.llm import bpe, host_rules, lang_id, packing, quality_crf, simhash, syncmers, url_filter, warc
 from chatscope.llm.common import crc32_mod, table
+from chatscope.session import scratch_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +52,10 @@ def op6_line_field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, f"warc/{uuid.uuid4().hex}"))
+
+
 def op8_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), is_scan=True)
 
@@ -64,7 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_closed_syncmers, op3_host_quality_rules, op4_simhash_near_dedup,
-        op5_bloom_url_filter, op6_line_field_quality, op8_bpe_distinct_words, op10_language_id)}
+        op5_bloom_url_filter, op6_line_field_quality, op7_warc_round_trip, op8_bpe_distinct_words, op10_language_id)}
 
 _HOST = "CASE WHEN url LIKE '%://%' THEN lower(regexp_extract(url, '://([^/?#]*)', 1)) ELSE '' END"
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -104,6 +110,15 @@ SQL: dict[str, str] = {
                NOT base_failed AND coalesce((h.f + p.m * p.weight) / (h.n + p.weight) <= 0.5, true) AS kept
         FROM b LEFT JOIN h ON h.source = b.source, p
     """,
+    "op7_warc_round_trip": """
+        WITH p AS (
+          SELECT page_id, sha1(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages),
+        w AS (SELECT digest, max(page_id) AS winner FROM p WHERE bytes >= 1000 GROUP BY digest)
+        SELECT page_id, bytes::BIGINT AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN winner IS NOT NULL AND page_id IS DISTINCT FROM winner THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM winner THEN winner END AS refers_to
+        FROM p LEFT JOIN w ON w.digest = p.digest AND bytes >= 1000
+    """,
     "op5_bloom_url_filter": rf"""
         WITH p AS (
           SELECT page_id, url, {_HOST} AS host,
