@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatscope.llm import bpe, host_rules, lang_id, packing, quality_crf, simhash, syncmers, url_filter, warc
+from chatscope.llm import (
+    bpe, host_rules, lang_id, masked_lm, packing, quality_crf, simhash, syncmers, url_filter, warc)
 from chatscope.llm.common import crc32_mod, table
 from chatscope.session import scratch_path
 
@@ -60,6 +61,12 @@ def op8_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), is_scan=True)
 
 
+def op9_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    vocab = masked_lm.vocabulary(docs)
+    return masked_lm.score(docs, vocab, masked_lm.train(docs, vocab))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lang_id.train(docs.where(crc32_mod("doc_id", 4) != 2))
@@ -70,7 +77,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_closed_syncmers, op3_host_quality_rules, op4_simhash_near_dedup,
-        op5_bloom_url_filter, op6_line_field_quality, op7_warc_round_trip, op8_bpe_distinct_words, op10_language_id)}
+        op5_bloom_url_filter, op6_line_field_quality, op7_warc_round_trip, op8_bpe_distinct_words,
+        op9_masked_lm_scoring, op10_language_id)}
 
 _HOST = "CASE WHEN url LIKE '%://%' THEN lower(regexp_extract(url, '://([^/?#]*)', 1)) ELSE '' END"
 _WORDS = r"[^\x20\x09-\x0D]+"
