@@ -24,6 +24,7 @@ repeated rows each get a row; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 from chatscope.llm.common import materialize, shuffle_width
 
 BLOCK_BYTES = 16 << 20
-_ODD_SPACE = re.compile(r"[^\S ]| {2}|^ | $")  # any white space but a single inner space
+# white space other than the plain space and \n (in Python's or in Unicode's sense)
+_RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -71,16 +73,52 @@ def piece_table(tok) -> list[bytes]:
 
 
 def split_words(text: str) -> list[str]:
-    """Words whose BPE ids, joined, are the text's: each but the first starts with its space."""
+    """Pieces whose BPE ids, joined, are the text's: all but the first have lost the single space before them."""
     if not text:
         return []
-    # fast path: cutting at every space is right unless white space meets white space
-    parts = text.split(" ") if not _ODD_SPACE.search(text) else _CUT.split(text)
-    return [parts[0], *[" " + p for p in parts[1:]]]
+    if ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " "
+            or _RARE_SPACE.search(text)):
+        return _CUT.split(text)
+    return text.split(" ")  # no white space meets white space: every space is a cut
 
 
-def encode_words(tok, words: list[str]) -> list[list[int]]:
-    return [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+# Fixed value: the split pattern of byte-level BPE.
+SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def load_encoder(path: str) -> Callable[[str], list[int]]:
+    """``text -> ids`` as the tokenizers library gives them for the file at ``path``, without special tokens added.
+
+    Where the file is plain byte-level BPE whose ids follow the order of its merges, the same
+    vocabulary runs in tiktoken, which is several times faster per text;
+    any other file runs in the tokenizers library itself.
+    """
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    vocab = {k: v for k, v in model.get("vocab", {}).items() if k not in added}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", ())]
+    plain = (spec["normalizer"] is None and model["type"] == "BPE" and pre.get("type") == "ByteLevel"
+             and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not model.get("dropout")
+             and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+             and not model.get("ignore_merges") and len(vocab) == 256 + len(merges)
+             and [vocab.get(a + b) for a, b in merges] == list(range(256, 256 + len(merges)))
+             and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"]))
+    if not plain:
+        tok = load_tokenizer(path)
+        return lambda text: tok.encode(text, add_special_tokens=False).ids
+    import tiktoken
+    table = byte_table()
+    enc = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, special_tokens=added,
+                            mergeable_ranks={bytes(table[c] for c in k): v for k, v in vocab.items()})
+    return lambda text: enc.encode(text, allowed_special="all")
+
+
+def encoder(name: str = "byte_bpe_50k.json") -> Callable[[str], np.ndarray]:
+    """``text -> uint32 ids`` for a public vocabulary file, loaded where it is called."""
+    encode = load_encoder(vocabulary_file(name))
+    return lambda text: np.array(encode(text), dtype=np.uint32)
 
 
 def pack_numbers(v: np.ndarray) -> bytes:
@@ -110,30 +148,38 @@ def unpack_numbers(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << (7 * k), start)
 
 
+class _Numbers(dict):
+    """Numbers keys in the order they are first asked for."""
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 class _Block:
     """Distinct words of consecutive texts, numbered by falling frequency (ties: first seen)."""
 
     def __init__(self) -> None:
         self.ids: list = []
         self.seqs: list[np.ndarray] = []
-        self.words: dict[str, int] = {}
+        self.words = _Numbers()  # a text's first word, which has no space before it, is a one-tuple
         self.size = 0
 
     def add(self, doc_id, text: str) -> None:
-        seen, words = self.words, split_words(text)
-        self.seqs.append(np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int32, count=len(words)))
+        words = split_words(text)
+        if words:
+            words[0] = (words[0],)
+        self.seqs.append(np.fromiter(map(self.words.__getitem__, words), dtype=np.int32, count=len(words)))
         self.ids.append(doc_id)
         self.size += len(text) + 64
 
     def ranked(self) -> tuple[list[str], np.ndarray]:
         """Words by rank, and rank by first-seen number."""
-        freq = np.zeros(len(self.words), dtype=np.int64)
-        for s in self.seqs:
-            np.add.at(freq, s, 1) if len(s) < 64 else freq.__iadd__(np.bincount(s, minlength=len(freq)))
+        freq = np.bincount(np.concatenate(self.seqs), minlength=len(self.words))
         order = np.argsort(-freq, kind="stable")
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        names = list(self.words)
+        names = [" " + k if type(k) is str else k[0] for k in self.words]
         return [names[i] for i in order.tolist()], rank
 
 
@@ -180,12 +226,12 @@ def word_lists(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES) ->
 def encode_lists(lists: DataFrame, tokenizer_path: Callable[[], str], width: int) -> DataFrame:
     """``(block, bucket, ids)``: the ids of each listed word; every distinct word is encoded once."""
     def encode(batches):
-        tok, known = load_tokenizer(tokenizer_path()), {}
+        encode_word, known = load_encoder(tokenizer_path()), {}
         for b in batches:
             for k in range(b.num_rows):
                 words = b.column(2)[k].as_py()
                 new = [w for w in words if w not in known]
-                known.update(zip(new, map(tuple, encode_words(tok, new)), strict=True))
+                known.update(zip(new, map(encode_word, new), strict=True))
                 ids = [known[w] for w in words]
                 n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
                 flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(n.sum()))
@@ -304,15 +350,3 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: Callable[[], str] = vocab
     from pyspark.sql.pandas.types import to_arrow_type
     return sorted_.mapInArrow(_rebuild(tokenizer_path, to_arrow_type(rows.schema["doc_id"].dataType)),
                               f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-
-
-def tiktoken_encoder(ranks_name: str = "byte_bpe_50k.tiktoken",
-                     special: tuple[tuple[str, int], ...] = (("<|endoftext|>", 50256),)) -> Callable[[str], np.ndarray]:
-    """``text -> uint32 ids`` equal to the tokenizer file's, from the same vocabulary as ranks (several times faster)."""
-    import base64
-    import public_tokenizers
-    import tiktoken
-    with open(public_tokenizers.path(ranks_name), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(special))
-    return lambda text: enc.encode_to_numpy(text, allowed_special="all")

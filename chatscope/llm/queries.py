@@ -15,7 +15,7 @@ from chatscope.session import scratch_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), bpe.tiktoken_encoder)
+    return packing.pack(table(spark, sf_dir, "documents"), bpe.encoder)
 
 
 def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 2048 tokens."""
-    return packing.pack(docs, bpe.tiktoken_encoder)
+    return packing.pack(docs, bpe.encoder)
 
 
 STAGES = [
