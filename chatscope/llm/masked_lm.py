@@ -278,7 +278,7 @@ def score_texts(flat: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
     w = Windows.of(texts)
     p = np.concatenate([np.empty(0)] + [log_probs(flat, w.context[a:a + BATCH], w.target[a:a + BATCH])
                                        for a in range(0, len(w.target), BATCH)])
-    return np.bincount(w.owner, weights=p, minlength=len(texts))
+    return np.bincount(w.owner, weights=p, minlength=len(texts)).astype(np.float64)  # whole numbers if no word
 
 
 def score(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
