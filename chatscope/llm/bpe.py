@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from chatscope.llm.common import materialize, shuffle_width
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 # white space other than the plain space and \n (in Python's or in Unicode's sense)
 _RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
