@@ -1,67 +1,97 @@
 """Run-configuration registry as JSON-table jobs (M1–M6).
 
-A configuration is a nested JSON object. ``key_paths`` enumerates every node as
-``(path, kind, value)`` with paths ``a``, ``a/b``, ... (inner nodes included),
-by a fixed-depth, row-local expansion: objects are cast to
-``map<string,variant>`` level by level inside one projection and exploded once,
-so there is one scan and no per-level re-read. Documents deeper than
-``max_depth`` are flagged (``truncated``), never silently cut.
+A configuration is a nested JSON object. ``with_nodes`` turns each document,
+row by row and to its full depth, into an array of nodes ``(path, depth, kind,
+value_json)`` with paths ``a``, ``a/b``, ... (inner nodes included; arrays are
+values). Deleting, pruning and fingerprinting are expressions over that array, so
+no document is exploded and collected again and none is lost: ``{}``, null and
+unparseable documents keep their row and carry a ``status``.
 
 Pruning keeps a node when its path is one of the base keys and neither it nor
-any ancestor is an exception. Two pruned trees are equal when their node sets
-``(path, kind, value)`` are equal; that set is fingerprinted with md5 over
-the sorted entries of one document (bounded by the document, never by the table).
+any ancestor is an exception. Two pruned trees are equal when their entries
+(path, kind and, but for objects, value) are equal. Numbers compare by value: ``1`` and ``1.0`` are the
+same entry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatscope.operators.sampling import consecutive_index
 from chatscope.session import materialize
 
-MAX_DEPTH = 8
-
-
-def _kind_of_json(j: Column) -> Column:
-    """JSON type of a canonical JSON text, from its first character (no subtree walk)."""
-    c = F.substring(j, 1, 1)
-    return (F.when(c == "{", "OBJECT").when(c == "[", "ARRAY").when(c == '"', "STRING")
-            .when(c.isin("t", "f"), "BOOLEAN").when(c == "n", "VOID")
-            .when(F.regexp_like(j, F.lit("[.eE]")), "DOUBLE").otherwise("BIGINT"))
-
-
-def _children(nodes: Column, depth: int) -> Column:
-    def expand(n):
-        entries = F.map_entries(F.coalesce(F.try_variant_get(n["value"], "$", "map<string,variant>"),
-                                           F.create_map().cast("map<string,variant>")))
-        return F.transform(entries, lambda e: F.struct(
-            F.concat(n["path"], F.lit("/"), e["key"]).alias("path"), F.lit(depth).alias("depth"),
-            e["value"].alias("value")))
-    return F.flatten(F.transform(nodes, expand))
-
-
-def key_paths(docs: DataFrame, doc_col: str = "config", key: str = "config_id",
-              max_depth: int = MAX_DEPTH) -> DataFrame:
-    """M1: one row per node: ``(key, path, depth, kind, value_json, truncated)``."""
-    v = F.try_parse_json(F.col(doc_col))
-    top = F.map_entries(F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"),
-                                   F.create_map().cast("map<string,variant>")))
-    level = F.transform(top, lambda e: F.struct(e["key"].alias("path"), F.lit(1).alias("depth"),
-                                                e["value"].alias("value")))
-    levels = [level]
-    for d in range(2, max_depth + 2):
-        levels.append(_children(levels[-1], d))
-    deeper = F.size(levels[-1]) > 0
-    allnodes = F.flatten(F.array(*levels[:-1]))
-    out = docs.select(key, deeper.alias("truncated"), F.explode(allnodes).alias("n"))
-    out = out.select(key, F.col("n.path").alias("path"), F.col("n.depth").alias("depth"),
-                     F.to_json(F.col("n.value")).alias("value_json"), "truncated")
-    return out.select(key, "path", "depth", _kind_of_json(F.col("value_json")).alias("kind"), "value_json",
-                      "truncated")
+NODE = "struct<path:string,depth:int,kind:string,value_json:string,entry:string>"
+STATUSES = ("ok", "null", "invalid_json", "not_object")
+_KINDS = {dict: "OBJECT", list: "ARRAY", str: "STRING", bool: "BOOLEAN", int: "BIGINT", float: "DOUBLE", type(None): "VOID"}
+_SEP = "\u0001"
+
+
+def _dump(value: object) -> str:
+    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+
+
+def _plain_numbers(value: object) -> object:
+    """Whole floats as integers, all the way down."""
+    if isinstance(value, float) and value.is_integer():
+        return int(value)
+    if isinstance(value, list):
+        return [_plain_numbers(v) for v in value]
+    if isinstance(value, dict):
+        return {k: _plain_numbers(v) for k, v in value.items()}
+    return value
+
+
+def _entry(path: str, value: object) -> str:
+    kind = "NUMBER" if type(value) in (int, float) else _KINDS[type(value)]
+    return _SEP.join((path, kind, "" if kind == "OBJECT" else _dump(_plain_numbers(value))))
+
+
+def flatten_document(text: str | None) -> tuple[str, list[tuple[str, int, str, str, str]]]:
+    """Status and nodes of one document, to any depth (of a repeated key the last value counts)."""
+    if text is None:
+        return "null", []
+    try:
+        doc = json.loads(text)
+    except (ValueError, RecursionError):
+        return "invalid_json", []
+    if not isinstance(doc, dict):
+        return "not_object", []
+    out, todo = [], [(k, 1, v) for k, v in reversed(doc.items())]
+    while todo:
+        path, depth, value = todo.pop()
+        out.append((path, depth, _KINDS[type(value)], _dump(value), _entry(path, value)))
+        if isinstance(value, dict):
+            todo += [(f"{path}/{k}", depth + 1, v) for k, v in reversed(value.items())]
+    return "ok", out
+
+
+def with_nodes(docs: DataFrame, doc_col: str = "config") -> DataFrame:
+    """Adds ``status`` and ``nodes`` to every row of ``docs`` (an Arrow UDF; a row's work is its own document)."""
+    @F.pandas_udf(f"status string, nodes array<{NODE}>")
+    def json_nodes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            yield pd.DataFrame([flatten_document(t) for t in s], columns=["status", "nodes"])
+
+    return docs.withColumn("_n", json_nodes(F.col(doc_col))).withColumns(
+        {"status": F.col("_n.status"), "nodes": F.col("_n.nodes")}).drop("_n")
+
+
+def key_paths(docs: DataFrame, doc_col: str = "config", key: str = "config_id") -> DataFrame:
+    """M1: one row per node, ``(key, status, path, depth, kind, value_json)``.
+
+    A document without nodes has one row whose ``path`` is null.
+    """
+    return explode_nodes(with_nodes(docs.select(key, doc_col), doc_col), key)
+
+
+def explode_nodes(df: DataFrame, key: str = "config_id") -> DataFrame:
+    return df.select(key, "status", F.explode_outer("nodes").alias("n")).select(
+        key, "status", "n.path", "n.depth", "n.kind", "n.value_json")
 
 
 def _ancestors_or_self(path: Column) -> Column:
@@ -69,120 +99,135 @@ def _ancestors_or_self(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
 
 
-def drop_exceptions(nodes: DataFrame, except_keys: Sequence[str]) -> DataFrame:
-    """Remove nodes whose path or any ancestor path is in ``except_keys`` (a small literal list)."""
+def drop_exceptions(nodes: Column, except_keys: Sequence[str]) -> Column:
+    """Without the nodes whose path or any ancestor path is in ``except_keys`` (a small literal list)."""
     if not except_keys:
         return nodes
-    exc = F.array(*[F.lit(k) for k in except_keys])
-    return nodes.where(~F.exists(_ancestors_or_self(F.col("path")), lambda p: F.array_contains(exc, p)))
+    gone = F.lit(False)
+    return F.filter(nodes, lambda n: ~_any_of(n["path"], except_keys, gone))
+
 
+def _any_of(path: Column, keys: Sequence[str], start: Column) -> Column:
+    out = start
+    for k in keys:
+        out = out | (path == k) | F.startswith(path, F.lit(k + "/"))
+    return out
 
-def delete_path(nodes: DataFrame, path: str, keep_falsy: bool = True) -> DataFrame:
-    """M2: delete one path and its subtree; a missing path is a no-op.
+
+def delete_path(df: DataFrame, path: str, keep_falsy: bool = True) -> DataFrame:
+    """M2: delete one path and its subtree in every document; a missing path is a no-op.
 
     ``keep_falsy=True`` reproduces the reference: a falsy value (``0``, ``""``,
     ``false``, ``null``, ``{}``, ``[]``) is not deleted.
     """
-    key = nodes.columns[0]
-    target = (F.col("path") == path)
-    falsy = F.col("value_json").isin("0", "0.0", '""', "false", "null", "{}", "[]")
-    hit = nodes.where(target & (~falsy if keep_falsy else F.lit(True))).select(key, F.lit(True).alias("_hit"))
-    j = nodes.join(hit, key, "left")
-    gone = F.coalesce(F.col("_hit"), F.lit(False)) & ((F.col("path") == path) | F.startswith(F.col("path"), F.lit(path + "/")))
-    return j.where(~gone).drop("_hit")
-
-
-def prune(nodes: DataFrame, base_paths: DataFrame, except_keys: Sequence[str] = (), by: str | None = None) -> DataFrame:
-    """M3: keep nodes whose path is a base key and that are not excepted.
-
-    ``base_paths`` holds ``path`` (and ``by`` when base keys differ per group).
-    The base-key table is prefix-closed, so a path in it has all its
-    ancestors in it. Join is an equi-join on the path (AQE may broadcast it
-    when its runtime size is small).
+    falsy = ("0", "0.0", "-0.0", "-0", '""', "false", "null", "{}", "[]")
+
+    def hit(n: Column) -> Column:
+        own = n["path"] == path
+        return own & ~n["value_json"].isin(*falsy) if keep_falsy else own
+
+    gone = F.filter("nodes", lambda n: ~((n["path"] == path) | F.startswith(n["path"], F.lit(path + "/"))))
+    return df.withColumn("nodes", F.when(F.exists("nodes", hit), gone).otherwise(F.col("nodes")))
+
+
+def paths_of(df: DataFrame, base_id, key: str = "config_id") -> Column:
+    """All paths of one document, as a scalar subquery bounded by that document (empty if there is none)."""
+    one = df.where(F.col(key) == F.lit(base_id)).select(F.transform("nodes", lambda n: n["path"]).alias("p"))
+    return F.coalesce(one.agg(F.flatten(F.collect_list("p"))).scalar(), F.array().cast("array<string>"))
+
+
+def prune(df: DataFrame, base_paths: Column, except_keys: Sequence[str] = ()) -> DataFrame:
+    """M3: in every document keep the nodes whose path is a base key and that are not excepted.
+
+    The base keys of one document contain the ancestors of each, so what is kept is a tree.
     """
-    keys = ["path"] + ([by] if by else [])
-    base = base_paths.select(*keys).distinct()
-    return drop_exceptions(nodes.join(base, keys, "left_semi"), except_keys)
+    kept = df.withColumn("_base", base_paths)  # a subquery may not sit under a lambda
+    return kept.withColumn("nodes", drop_exceptions(
+        F.filter("nodes", lambda n: F.array_contains(F.col("_base"), n["path"])), except_keys)).drop("_base")
 
 
-def _entry() -> Column:
-    """``path|kind|value`` of one node (objects contribute their path and kind only)."""
-    return F.concat_ws("\u0001", "path", "kind",
-                       F.when(F.col("kind") == "OBJECT", F.lit("")).otherwise(F.col("value_json")))
+def entries(nodes: Column) -> Column:
+    """Sorted entries of a tree: equal arrays are equal trees."""
+    return F.array_sort(F.transform(nodes, lambda n: n["entry"]))
 
 
-def fingerprint(nodes: DataFrame, key: str = "config_id") -> DataFrame:
-    """Per document: md5 over its sorted ``path|kind|value`` entries (exact tree identity)."""
-    return nodes.groupBy(key).agg(
-        F.md5(F.array_join(F.array_sort(F.collect_list(_entry())), "\u0002")).alias("fp"),
-        F.count(F.lit(1)).alias("n_nodes"))
+def fingerprint(nodes: Column) -> Column:
+    return F.md5(F.array_join(entries(nodes), "\u0002"))
 
 
-def config_identical(nodes: DataFrame, base_id, except_keys: Sequence[str] = (), key: str = "config_id") -> DataFrame:
+def config_identical(df: DataFrame, base_id, except_keys: Sequence[str] = (), key: str = "config_id") -> DataFrame:
     """M4: for every document, is its pruned tree equal to the base document's pruned tree?
 
-    Base keys are all paths of the base document, taken as one array (a scalar
-    subquery bounded by one document). Each document is pruned with
-    ``array_contains`` and fingerprinted in a single grouping, with no join.
+    Row-local: the base's paths and fingerprint are scalar subqueries over one
+    document. A document that is no object is identical to none.
+    """
+    base = paths_of(df, base_id, key)
+    fps = prune(df, base, except_keys).select(key, "status", fingerprint(F.col("nodes")).alias("fp"))
+    base_fp = fps.where((F.col(key) == F.lit(base_id)) & (F.col("status") == "ok")).agg(F.min("fp")).scalar()
+    return fps.select(key, "status", F.coalesce((F.col("fp") == base_fp) & (F.col("status") == "ok"), F.lit(False)).alias(
+        "identical"))
+
+
+def _trees(df: DataFrame, except_keys: Sequence[str]) -> DataFrame:
+    out = df.withColumn("entries", entries(drop_exceptions(F.col("nodes"), except_keys)))
+    return out.withColumn("fp", F.md5(F.array_join("entries", "\u0002"))).drop("nodes")
+
+
+def match_registry(requests: DataFrame, registry: DataFrame, except_keys: Sequence[str] = (),
+                   key: str = "config_id") -> DataFrame:
+    """``(key, status, fp, matched_run, n_matches)`` for every request.
+
+    A stored config matches when, pruned to the request's keys, it equals the pruned
+    request; that is, when it holds all of the request's entries. Both sides are reduced to
+    their distinct trees. Each request tree is joined on its entry that the fewest
+    stored trees hold, and the few candidates are compared in full.
+    A request without entries matches every stored config that is an object.
     """
-    base_paths = nodes.where(F.col(key) == F.lit(base_id)).agg(F.collect_set("path")).scalar()
-    exc = F.array(*[F.lit(k) for k in except_keys]) if except_keys else F.array().cast("array<string>")
-    kept = F.array_contains(base_paths, F.col("path")) & ~F.exists(
-        _ancestors_or_self(F.col("path")), lambda p: F.array_contains(exc, p))
-    # the flag is projected first: a subquery may not sit under array_sort's lambda
-    fps = nodes.withColumn("_kept", kept).groupBy(key).agg(
-        F.md5(F.array_join(F.array_sort(F.collect_list(F.when(F.col("_kept"), _entry()))), "\u0002")).alias("fp"))
-    base_fp = fps.where(F.col(key) == F.lit(base_id)).select("fp").scalar()
-    return fps.select(key, F.coalesce(F.col("fp") == base_fp, F.lit(False)).alias("identical"))
+    req = materialize(_trees(with_nodes(requests.select(key, "config")), except_keys).drop("config"))
+    want = materialize(req.where("status = 'ok'").groupBy("fp").agg(F.first("entries").alias("entries")))
+    have = materialize(_trees(with_nodes(registry.select("run_id", "config")), except_keys).where("status = 'ok'").groupBy(
+        "fp").agg(F.first("entries").alias("entries"), F.min("run_id").alias("run_id"), F.count(F.lit(1)).alias("n")))
+    held = have.select(F.col("fp").alias("stored"), F.explode("entries").alias("entry"))
+    counts = held.groupBy("entry").agg(F.count(F.lit(1)).alias("held_by"))
+    asked = want.select("fp", F.explode("entries").alias("entry")).join(counts, "entry", "left")
+    rarest = asked.groupBy("fp").agg(F.min_by("entry", F.struct(F.coalesce("held_by", F.lit(0)), F.col("entry"))).alias("entry"))
+    pairs = rarest.join(held, "entry").select("fp", "stored")
+    full = pairs.join(want, "fp").join(have.select(F.col("fp").alias("stored"), F.col("entries").alias("all"), "run_id", "n"),
+                                       "stored")
+    best = full.where(F.size(F.array_except("entries", "all")) == 0).groupBy("fp").agg(
+        F.min("run_id").alias("matched_run"), F.sum("n").alias("n_matches"))
+    every = have.agg(F.min("run_id").alias("matched_run"), F.sum("n").alias("n_matches"))
+    none = F.size("entries") == 0
+    out = req.join(best, "fp", "left").where("TRUE")
+    any_run, any_n = every.select("matched_run").scalar(), every.select("n_matches").scalar()
+    ok = F.col("status") == "ok"
+    return out.select(
+        key, "status", F.when(ok, F.col("fp")).alias("fp"),
+        F.when(ok, F.when(none, any_run).otherwise(F.col("matched_run"))).alias("matched_run"),
+        F.when(ok, F.coalesce(F.when(none, any_n).otherwise(F.col("n_matches")), F.lit(0))).otherwise(0).cast("bigint").alias(
+            "n_matches"))
 
 
 def assign_run_slot(requests: DataFrame, registry: DataFrame, except_keys: Sequence[str] = (),
-                    key: str = "config_id", max_depth: int = MAX_DEPTH) -> DataFrame:
-    """M5: find-or-assign a run slot for every requested configuration.
+                    key: str = "config_id") -> DataFrame:
+    """M5: find-or-assign a run slot: ``(key, status, run_id, reused)``, one row per request.
 
     ``requests``: ``(config_id, config)``; ``registry``: ``(run_id, config)``.
-    A request reuses the lowest ``run_id`` whose stored config, pruned to the
-    request's key set, equals the pruned request. Key sets are fingerprinted
-    too, so stored configs are pruned once per distinct key set through a
-    path equi-join, not once per request. Unmatched requests get new slots
-    ``max(run_id) + 1, + 2, ...`` in order of their first config id; identical
-    unmatched requests share one new slot.
+    A request reuses the lowest matching ``run_id`` (``match_registry``). Unmatched
+    requests get new slots ``max(run_id) + 1, + 2, ...`` in order of their first config
+    id; identical unmatched requests share one. A request that is no object gets none.
     """
-    req_nodes = key_paths(requests, "config", key, max_depth)
-    exc = F.array(*[F.lit(k) for k in except_keys]) if except_keys else F.array().cast("array<string>")
-    excepted = F.exists(_ancestors_or_self(F.col("path")), lambda p: F.array_contains(exc, p))
-    # one grouping per request: its key set (all paths) and its pruned-tree fingerprint
-    req = req_nodes.groupBy(key).agg(
-        F.array_sort(F.collect_list("path")).alias("paths"),
-        F.array_sort(F.collect_list(F.when(~excepted, _entry()))).alias("entries"))
-    # one row per request, read by the key-set join, the new-slot numbering and
-    # the final join: written once instead of re-deriving every key path each time
-    req = materialize(req.select(key, "paths", F.md5(F.array_join("paths", "\u0002")).alias("ks"),
-                                 F.md5(F.array_join("entries", "\u0002")).alias("fp")))
-
-    keysets = req.select("ks", F.explode("paths").alias("path")).distinct()
-    st_nodes = drop_exceptions(key_paths(registry, "config", "run_id", max_depth), except_keys)
-    # ``path`` is a hot key (every stored config has the same top keys) but
-    # ``keysets`` is tiny: AQE broadcasts it at run time when it is under the
-    # threshold, and otherwise splits the skewed side of the sort-merge join.
-    st = st_nodes.join(keysets, "path")
-    st_fp = st.groupBy("ks", "run_id").agg(F.md5(F.array_join(F.array_sort(F.collect_list(_entry())), "\u0002")).alias("fp"))
-    best = st_fp.groupBy("ks", "fp").agg(F.min("run_id").alias("matched_run"))
-
-    matched = req.drop("paths").join(best, ["ks", "fp"], "left")
-    # a scalar subquery: evaluated once, no join and no single-partition window
+    matched = materialize(match_registry(requests, registry, except_keys, key))
     max_run = registry.select(F.coalesce(F.max("run_id"), F.lit(0))).scalar()
-    new = matched.where(F.col("matched_run").isNull()).groupBy("fp").agg(F.min(key).alias("first_id"))
+    new = matched.where("status = 'ok' AND matched_run IS NULL").groupBy("fp").agg(F.min(key).alias("first_id"))
     slots = consecutive_index(new, "first_id").select("fp", (max_run + F.col("idx") + 1).alias("new_run"))
-    out = matched.join(slots, "fp", "left")
-    return out.select(key, F.coalesce("matched_run", "new_run").alias("run_id"),
-                      F.col("matched_run").isNotNull().alias("reused"))
+    return matched.join(slots, "fp", "left").select(
+        key, "status", F.coalesce("matched_run", "new_run").alias("run_id"), F.col("matched_run").isNotNull().alias("reused"))
 
 
 def overlay(docs: DataFrame, group: str, priority: str, doc_col: str = "config") -> DataFrame:
     """M6: top-level overlay (``dict.update``) of the documents of each group in priority order."""
-    v = F.try_parse_json(F.col(doc_col))
-    top = docs.select(group, priority, F.explode(F.map_entries(
-        F.try_variant_get(v, "$", "map<string,variant>"))).alias("e"))
-    return top.groupBy(group, F.col("e.key").alias("key")).agg(
-        F.to_json(F.max_by(F.col("e.value"), F.col(priority))).alias("value_json"))
+    top = with_nodes(docs.select(group, priority, doc_col), doc_col).select(
+        group, priority, F.explode(F.filter("nodes", lambda n: n["depth"] == 1)).alias("n"))
+    return top.groupBy(group, F.col("n.path").alias("key")).agg(
+        F.max_by(F.col("n.value_json"), F.col(priority)).alias("value_json"))

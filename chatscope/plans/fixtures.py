@@ -183,16 +183,28 @@ def token_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- FX4 configs
+CONFIG_DEPTH = 11  # levels of the nested variant
+
+
 def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(config_id, config)``: one nested JSON run configuration per event."""
+    """``(config_id, config)``: one run configuration per event, in eight variants by ``config_id % 24``.
+
+    Most are nested objects of one shape; others are null, ``{}``, cut off, no
+    object, lack keys, have extra keys (a list among them) or nest ``CONFIG_DEPTH`` levels.
+    """
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     k = _k(F.col("props"))
-    doc = F.concat(
-        F.lit('{"FROM": "'), F.col("event_type"),
-        F.lit('", "Model": {"name": "m'), (F.col("user_id") % 5).cast("string"),
-        F.lit('", "opt": {"k": '), (k % 4).cast("string"),
-        F.lit('}}, "NumEpochs": '), ((F.floor("value").cast("bigint") % 3) + 1).cast("string"), F.lit("}"),
-    )
+    head = F.concat(F.lit('{"FROM": "'), F.col("event_type"), F.lit('"'))
+    model = F.concat(F.lit(', "Model": {"name": "m'), (F.col("user_id") % 5).cast("string"),
+                     F.lit('", "opt": {"k": '), (k % 4).cast("string"), F.lit("}}"))
+    epochs = F.concat(F.lit(', "NumEpochs": '), ((F.floor("value").cast("bigint") % 3) + 1).cast("string"))
+    deep = F.concat(F.lit("".join(f', "d{i}": {{"a": {i}' for i in range(1, CONFIG_DEPTH))), F.lit(', "end": '),
+                    (k % 2).cast("string"), F.lit("}" * (CONFIG_DEPTH - 1)))
+    v = F.col("event_id") % 24
+    doc = (F.when(v == 3, F.lit(None).cast("string")).when(v == 7, F.lit("{}")).when(v == 11, head)
+           .when(v == 13, F.concat(F.lit("["), (k % 4).cast("string"), F.lit("]")))
+           .when(v == 15, F.concat(head, F.lit("}"))).when(v == 17, F.concat(head, model, epochs, F.lit(', "Tags": ["x", 1, null]}')))
+           .when(v == 19, F.concat(head, epochs, deep, F.lit("}"))).otherwise(F.concat(head, model, epochs, F.lit("}"))))
     return ev.select(F.col("event_id").alias("config_id"), doc.alias("config"))
 
 

@@ -427,69 +427,117 @@ SQL["metrics_long"] = (
 )
 
 
-# FX4 configs and the registry, through DuckDB's json_tree.
-CFG = """
-cfg AS (
-  SELECT event_id AS config_id, event_type,
-    '{"FROM": "' || event_type || '", "Model": {"name": "m' || CAST(user_id % 5 AS VARCHAR) || '", "opt": {"k": '
-      || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 AS VARCHAR) || '}}, "NumEpochs": '
-      || CAST((CAST(floor(value) AS BIGINT) % 3) + 1 AS VARCHAR) || '}' AS config
+# FX4 configs and the registry, through DuckDB's json_tree. Equality and matching are
+# stated on node rows: a stored config matches a request when every (path, value) of the
+# request (outside the exceptions) is found in it.
+CFG_DEPTH = 11
+CFG = f"""
+cfg0 AS (
+  SELECT event_id AS config_id, event_type, event_id % 24 AS v,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+    '{{"FROM": "' || event_type || '"' AS head,
+    ', "Model": {{"name": "m' || CAST(user_id % 5 AS VARCHAR) || '", "opt": {{"k": '
+      || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 AS VARCHAR) || '}}}}' AS model,
+    ', "NumEpochs": ' || CAST((CAST(floor(value) AS BIGINT) % 3) + 1 AS VARCHAR) AS epochs
   FROM events
 ),
+cfg AS (
+  SELECT config_id, event_type,
+    CASE v WHEN 3 THEN NULL WHEN 7 THEN '{{}}' WHEN 11 THEN head WHEN 13 THEN '[' || (k % 4) || ']'
+      WHEN 15 THEN head || '}}'
+      WHEN 17 THEN head || model || epochs || ', "Tags": ["x", 1, null]}}'
+      WHEN 19 THEN head || epochs || '{"".join(f', "d{i}": {{{{"a": {i}' for i in range(1, CFG_DEPTH)).replace("{{", "{")}'
+        || ', "end": ' || (k % 2) || '{"}" * (CFG_DEPTH - 1)}}}'
+      ELSE head || model || epochs || '}}' END AS config
+  FROM cfg0
+),
+st AS (
+  SELECT *, CASE WHEN config IS NULL THEN 'null' WHEN NOT json_valid(config) THEN 'invalid_json'
+                 WHEN json_type(config) <> 'OBJECT' THEN 'not_object' ELSE 'ok' END AS status FROM cfg
+),
 nodes AS (
   SELECT c.config_id, c.event_type, replace(substring(t.fullkey, 3), '.', '/') AS path,
     length(t.fullkey) - length(replace(t.fullkey, '.', '')) AS depth,
     CASE t.type WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' ELSE t.type END AS kind,
     CAST(t.value AS VARCHAR) AS value_json
-  FROM cfg c, json_tree(c.config) t
-  WHERE t.fullkey <> '$'
+  FROM (SELECT * FROM st WHERE status = 'ok') c, json_tree(c.config) t
+  WHERE t.fullkey <> '$' AND NOT contains(t.fullkey, '[')
 )"""
 
 
 def _no_except(keys) -> str:
-    conds = " AND ".join(f"NOT (path = '{k}' OR starts_with(path, '{k}/'))" for k in keys)
-    return conds
-
-
-SQL["json_key_paths"] = f"WITH {CFG} SELECT config_id, path, depth, kind, value_json FROM nodes"
-
-SQL["json_delete_path"] = f"""WITH {CFG}
-SELECT config_id, path, value_json FROM nodes n
-WHERE NOT EXISTS (
-  SELECT 1 FROM nodes t WHERE t.config_id = n.config_id AND t.path = 'Model/opt/k' AND t.value_json NOT IN ('0', '0.0', '""', 'false', 'null', '{{}}', '[]')
-    AND (n.path = 'Model/opt/k' OR starts_with(n.path, 'Model/opt/k/')))"""
-
-SQL["json_prune"] = f"""WITH {CFG}
-SELECT config_id, path, value_json FROM nodes
-WHERE path IN (SELECT path FROM nodes WHERE config_id = 0) AND {_no_except(('NumEpochs',))}"""
-
-FP = f"""{CFG},
-kept AS (SELECT * FROM nodes WHERE {_no_except(('NumEpochs', 'Model/opt/k'))}),
-fp AS (
-  SELECT config_id, event_type,
-    md5(string_agg(path || chr(1) || kind || chr(1) || CASE WHEN kind = 'OBJECT' THEN '' ELSE value_json END, chr(2)
-        ORDER BY path || chr(1) || kind || chr(1) || CASE WHEN kind = 'OBJECT' THEN '' ELSE value_json END)) AS fp
-  FROM kept GROUP BY config_id, event_type
-),
-reg AS (SELECT config_id AS run_id, fp FROM fp WHERE event_type = 'view'),
-per_fp AS (SELECT fp, min(run_id) AS matched_run, count(*) AS n_matches FROM reg GROUP BY fp)"""
+    return " AND ".join(f"NOT (path = '{k}' OR starts_with(path, '{k}/'))" for k in keys)
+
+
+SQL["json_key_paths"] = f"""WITH {CFG}
+SELECT st.config_id, status, path, depth, kind, value_json FROM st LEFT JOIN nodes USING (config_id)"""
+
+SQL["json_delete_path"] = f"""WITH {CFG},
+left_over AS (
+  SELECT config_id, path, value_json FROM nodes n
+  WHERE NOT EXISTS (
+    SELECT 1 FROM nodes t WHERE t.config_id = n.config_id AND t.path = 'Model/opt/k'
+      AND t.value_json NOT IN ('0', '0.0', '""', 'false', 'null', '{{}}', '[]')
+      AND (n.path = 'Model/opt/k' OR starts_with(n.path, 'Model/opt/k/'))))
+SELECT st.config_id, path, value_json FROM st LEFT JOIN left_over USING (config_id)"""
+
+SQL["json_prune"] = f"""WITH {CFG},
+kept AS (
+  SELECT config_id, path, value_json FROM nodes
+  WHERE path IN (SELECT path FROM nodes WHERE config_id = 0) AND {_no_except(('NumEpochs',))})
+SELECT st.config_id, path, value_json FROM st LEFT JOIN kept USING (config_id)"""
+
+KEPT = f"""{CFG},
+kept AS (
+  SELECT config_id, event_type, path, kind || ':' || CASE WHEN kind = 'OBJECT' THEN '' ELSE value_json END AS val
+  FROM nodes WHERE {_no_except(('NumEpochs', 'Model/opt/k'))}
+)"""
 
-SQL["config_identical"] = f"""WITH {FP}
-SELECT config_id, fp = (SELECT fp FROM fp WHERE config_id = 0) AS identical FROM fp"""
+SQL["config_identical"] = f"""WITH {KEPT},
+base AS (SELECT path, val FROM kept WHERE config_id = 0),
+same AS (SELECT k.config_id, count(*) AS n FROM kept k JOIN base b ON b.path = k.path AND b.val = k.val GROUP BY 1)
+SELECT st.config_id, status,
+  status = 'ok' AND coalesce(same.n, 0) = (SELECT count(*) FROM base) AS identical
+FROM st LEFT JOIN same USING (config_id)"""
+
+REG = f"""{KEPT},
+tree AS (
+  SELECT st.config_id, event_type, coalesce(t, '') AS tree, coalesce(n, 0) AS n
+  FROM st LEFT JOIN (SELECT config_id, string_agg(path || '=' || val, ';' ORDER BY path) AS t, count(*) AS n
+                     FROM kept GROUP BY config_id) USING (config_id)
+  WHERE status = 'ok'
+),
+req AS (SELECT tree, any_value(n) AS n, min(config_id) AS one FROM tree GROUP BY tree),
+sto AS (SELECT tree, min(config_id) AS run_id, count(*) AS times, min(config_id) AS one FROM tree
+        WHERE event_type = 'view' GROUP BY tree),
+shared AS (
+  SELECT req.tree AS r, sto.tree AS s, count(*) AS n
+  FROM req JOIN kept a ON a.config_id = req.one JOIN kept b ON b.path = a.path AND b.val = a.val
+  JOIN sto ON sto.one = b.config_id GROUP BY 1, 2
+),
+hit AS (
+  SELECT r AS tree, min(run_id) AS matched_run, sum(times) AS n_matches
+  FROM (SELECT shared.r, sto.run_id, sto.times FROM shared JOIN req ON req.tree = shared.r AND req.n = shared.n
+        JOIN sto ON sto.tree = shared.s
+        UNION ALL SELECT req.tree, sto.run_id, sto.times FROM req, sto WHERE req.n = 0) GROUP BY r
+),
+m AS (
+  SELECT st.config_id, st.status, tree.tree, matched_run, coalesce(n_matches, 0)::BIGINT AS n_matches
+  FROM st LEFT JOIN tree USING (config_id) LEFT JOIN hit ON hit.tree = tree.tree
+)"""
 
-SQL["registry_match"] = f"""WITH {FP}
-SELECT f.config_id, p.matched_run, coalesce(p.n_matches, 0) AS n_matches FROM fp f LEFT JOIN per_fp p USING (fp)"""
+SQL["registry_match"] = f"WITH {REG} SELECT config_id, status, matched_run, n_matches FROM m"
 
-SQL["assign_run_slot"] = f"""WITH {FP},
-m AS (SELECT f.config_id, f.fp, p.matched_run FROM fp f LEFT JOIN per_fp p USING (fp)),
-nw AS (SELECT fp, min(config_id) AS first_id FROM m WHERE matched_run IS NULL GROUP BY fp),
-nn AS (SELECT fp, (SELECT max(run_id) FROM reg) + row_number() OVER (ORDER BY first_id) AS new_run FROM nw)
-SELECT m.config_id, coalesce(m.matched_run, nn.new_run) AS run_id, m.matched_run IS NOT NULL AS reused
-FROM m LEFT JOIN nn USING (fp)"""
+SQL["assign_run_slot"] = f"""WITH {REG},
+nw AS (SELECT tree, min(config_id) AS first_id FROM m WHERE status = 'ok' AND matched_run IS NULL GROUP BY tree),
+nn AS (SELECT tree, (SELECT max(config_id) FROM st WHERE event_type = 'view') + row_number() OVER (ORDER BY first_id) AS new_run
+       FROM nw)
+SELECT m.config_id, m.status, coalesce(m.matched_run, nn.new_run) AS run_id, m.matched_run IS NOT NULL AS reused
+FROM m LEFT JOIN nn ON nn.tree = m.tree"""
 
 SQL["config_overlay"] = f"""WITH {CFG},
 top AS (SELECT c.config_id, c.event_type, j.key, CAST(j.value AS VARCHAR) AS value_json
-        FROM cfg c, json_each(c.config) j)
+        FROM (SELECT * FROM st WHERE status = 'ok') c, json_each(c.config) j)
 SELECT event_type, key, arg_max(value_json, config_id) AS value_json FROM top GROUP BY event_type, key"""
 
 

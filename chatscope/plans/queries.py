@@ -370,34 +370,34 @@ EXCEPT_1 = ("NumEpochs",)
 EXCEPT_2 = ("NumEpochs", "Model/opt/k")
 
 
-def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chatscope.operators.registry import key_paths
-    return key_paths(FX.configs(spark, sf_dir))
+def _with_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.registry import with_nodes
+    return with_nodes(FX.configs(spark, sf_dir))
 
 
 @register
 def q_json_key_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nodes(spark, sf_dir).select("config_id", "path", "depth", "kind", "value_json")
+    from chatscope.operators.registry import key_paths
+    return key_paths(FX.configs(spark, sf_dir))
 
 
 @register
 def q_json_delete_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chatscope.operators.registry import delete_path
-    return delete_path(_nodes(spark, sf_dir), "Model/opt/k").select("config_id", "path", "value_json")
+    from chatscope.operators.registry import delete_path, explode_nodes
+    return explode_nodes(delete_path(_with_nodes(spark, sf_dir), "Model/opt/k")).select("config_id", "path", "value_json")
 
 
 @register
 def q_json_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chatscope.operators.registry import prune
-    n = _nodes(spark, sf_dir)
-    base = n.where(F.col("config_id") == 0).select("path")
-    return prune(n, base, EXCEPT_1).select("config_id", "path", "value_json")
+    from chatscope.operators.registry import explode_nodes, paths_of, prune
+    n = _with_nodes(spark, sf_dir)
+    return explode_nodes(prune(n, paths_of(n, 0), EXCEPT_1)).select("config_id", "path", "value_json")
 
 
 @register
 def q_config_identical(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.registry import config_identical
-    return config_identical(_nodes(spark, sf_dir), 0, EXCEPT_2)
+    return config_identical(_with_nodes(spark, sf_dir), 0, EXCEPT_2)
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,12 +415,9 @@ def q_assign_run_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_registry_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chatscope.operators.registry import drop_exceptions, fingerprint, key_paths
-    req = fingerprint(drop_exceptions(key_paths(FX.configs(spark, sf_dir)), EXCEPT_2))
-    reg = fingerprint(drop_exceptions(key_paths(_registry(spark, sf_dir), "config", "run_id"), EXCEPT_2), "run_id")
-    per_fp = reg.groupBy("fp").agg(F.min("run_id").alias("matched_run"), F.count(F.lit(1)).alias("n_matches"))
-    j = req.join(per_fp, "fp", "left")
-    return j.select("config_id", "matched_run", F.coalesce("n_matches", F.lit(0)).alias("n_matches"))
+    from chatscope.operators.registry import match_registry
+    m = match_registry(FX.configs(spark, sf_dir), _registry(spark, sf_dir), EXCEPT_2)
+    return m.select("config_id", "status", "matched_run", "n_matches")
 
 
 @register

@@ -53,7 +53,7 @@ def test_json_escape_matches_python(spark):
     from pyspark.sql import functions as F
 
     from chatscope.functions.text import json_escape_body
-    samples = ['Please SMS +14165550107 with \\"Don\\\'t forget\\".', "tab\there", "é ü ß", "emoji 😀 ok",
+    samples = ['call "Ana\'s" desk \\ ext. 7', "tab\there", "é ü ß", "emoji 😀 ok",
                "ctrl \x01\x1f end", 'quote " and back \\ slash', ""]
     df = spark.createDataFrame([(s,) for s in samples], "s string")
     got = [r[0] for r in df.select(json_escape_body(F.col("s"))).collect()]
@@ -61,39 +61,70 @@ def test_json_escape_matches_python(spark):
 
 
 def test_registry_prune_and_slots(spark):
-    from chatscope.operators.registry import assign_run_slot, key_paths, prune
+    from chatscope.operators.registry import assign_run_slot, explode_nodes, paths_of, prune, with_nodes
     cfg = spark.createDataFrame([
         (1, '{"a": 1, "b": {"c": 2, "d": 3}, "e": 5}'),
         (2, '{"a": 1, "b": {"c": 2, "d": 4}}'),
         (3, '{"a": 2, "b": {"c": 2, "d": 3}}'),
         (4, '{"a": 1, "b": {"c": 2, "d": 9}}'),
     ], "config_id long, config string")
-    nodes = key_paths(cfg)
-    base = nodes.where("config_id = 2").select("path")
-    kept = {(r["config_id"], r["path"]) for r in prune(nodes, base, ["b/d"]).collect()}
+    nodes = with_nodes(cfg)
+    kept = {(r["config_id"], r["path"]) for r in explode_nodes(prune(nodes, paths_of(nodes, 2), ["b/d"])).collect()}
     assert (1, "e") not in kept and (1, "b/d") not in kept and (1, "b/c") in kept and (1, "b") in kept
     registry = spark.createDataFrame([(10, '{"a": 1, "b": {"c": 2, "d": 0}}')], "run_id long, config string")
     slots = {r["config_id"]: (r["run_id"], r["reused"]) for r in assign_run_slot(cfg, registry, ["b/d"]).collect()}
-    # 2 and 4 equal the stored run once b/d is excepted; 1 has an extra key (pruned away from the stored
-    # side only when the stored config lacks it), 3 differs in a -> new slots in order of first id
+    # 2 and 4 equal the stored run once b/d is excepted; 1 has a key that the stored run lacks,
+    # 3 differs in a -> new slots in order of first id
     assert slots[2] == (10, True) and slots[4] == (10, True)
     assert slots[1] == (11, False) and slots[3] == (12, False)
 
 
-def test_key_paths_depth_and_truncation(spark):
-    from chatscope.operators.registry import key_paths
-    deep = {"x": {"y": {"z": 1}}}
-    df = spark.createDataFrame([(1, json.dumps(deep))], "config_id long, config string")
-    rows = key_paths(df, max_depth=2).collect()
-    assert {r["path"] for r in rows} == {"x", "x/y"} and all(r["truncated"] for r in rows)
-    rows = key_paths(df).collect()
-    assert {r["path"] for r in rows} == {"x", "x/y", "x/y/z"} and not any(r["truncated"] for r in rows)
+def test_every_document_keeps_a_row_at_any_depth(spark):
+    from chatscope.operators.registry import assign_run_slot, config_identical, key_paths, match_registry, with_nodes
+
+    def nest(leaf, depth=300):
+        return "".join(f'{{"k{i}":' for i in range(depth)) + leaf + "}" * depth
+
+    docs = [(1, '{"a": 1}'), (2, "{}"), (3, "not json"), (4, None), (5, "[1]"), (6, nest("1")), (7, nest("2")),
+            (8, '{"a": 1e0}'), (9, '{"a": 2, "a": 1}'), (10, '{"a": true}')]
+    cfg = spark.createDataFrame(docs, "config_id long, config string")
+    rows = key_paths(cfg).collect()
+    assert {r.config_id for r in rows} == {d for d, _ in docs}
+    assert {r.config_id: r.status for r in rows} == {
+        1: "ok", 2: "ok", 3: "invalid_json", 4: "null", 5: "not_object", 6: "ok", 7: "ok", 8: "ok", 9: "ok", 10: "ok"}
+    assert max(r.depth for r in rows if r.config_id == 6) == 300
+    same = {r.config_id: r.identical for r in config_identical(with_nodes(cfg), 6).collect()}
+    assert same == {d: d == 6 for d, _ in docs}
+    assert {r.config_id for r in config_identical(with_nodes(cfg), 1).collect() if r.identical} == {1, 8, 9}
+    stored = spark.createDataFrame([(5, nest("1")), (3, '{"a": 1.0, "extra": 5}'), (9, '{"extra": 5, "a": 1}'), (4, "broken")],
+                                   "run_id long, config string")
+    hit = {r.config_id: (r.matched_run, r.n_matches) for r in match_registry(cfg, stored).collect()}
+    assert hit == {1: (3, 2), 2: (3, 3), 3: (None, 0), 4: (None, 0), 5: (None, 0), 6: (5, 1), 7: (None, 0), 8: (3, 2),
+                   9: (3, 2), 10: (None, 0)}
+    slots = {r.config_id: (r.run_id, r.reused) for r in assign_run_slot(cfg, stored).collect()}
+    assert slots == {1: (3, True), 2: (3, True), 3: (None, False), 4: (None, False), 5: (None, False), 6: (5, True),
+                     7: (10, False), 8: (3, True), 9: (3, True), 10: (11, False)}
+
+
+def test_delete_path_variants(spark):
+    from chatscope.operators.registry import delete_path, explode_nodes, with_nodes
+    cfg = spark.createDataFrame([(1, '{"a": {"b": 1}, "ab": 2}'), (2, '{"a": {}}'), (3, '{"a": 0}'), (4, '{"c": 1}')],
+                                "config_id long, config string")
+
+    def left(**kw):
+        return sorted((r.config_id, r.path) for r in explode_nodes(delete_path(with_nodes(cfg), "a", **kw)).collect() if r.path)
+
+    assert left() == [(1, "ab"), (2, "a"), (3, "a"), (4, "c")]
+    assert left(keep_falsy=False) == [(1, "ab"), (4, "c")]
 
 
 def test_run_slots_edge_cases(spark):
     from chatscope.operators.registry import assign_run_slot
     cfg = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": 1}')], "config_id long, config string")
     stored = spark.createDataFrame([(7, '{"a": 1}')], "run_id long, config string")
-    assert sorted(tuple(r) for r in assign_run_slot(cfg, stored).collect()) == [(1, 7, True), (2, 7, True)]
+    def slots(registry):
+        return sorted((r.config_id, r.run_id, r.reused) for r in assign_run_slot(cfg, registry).collect())
+
+    assert slots(stored) == [(1, 7, True), (2, 7, True)]
     empty = spark.createDataFrame([], "run_id long, config string")
-    assert sorted(tuple(r) for r in assign_run_slot(cfg, empty).collect()) == [(1, 1, False), (2, 1, False)]
+    assert slots(empty) == [(1, 1, False), (2, 1, False)]
