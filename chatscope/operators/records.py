@@ -20,26 +20,49 @@ from chatscope.schemas import CALL
 REASONS = (
     "invalid_json", "not_object", "missing_messages", "missing_tools",
     "messages_unparseable", "tools_unparseable", "messages_not_list", "tools_not_list",
-    "missing_metadata",
+    "missing_metadata", "message_not_object", "message_without_role", "call_without_name",
 )
+# Replaces invalid_json where the text is JSON but for a repeated key: VARIANT rejects it
+# unless the session sets spark.sql.variant.allowDuplicateKeys (then the last value counts).
+DUPLICATE_KEY = "duplicate_key"
+
+_QUOTED = r"""\"[^"\\]*+(?:\\.[^"\\]*+)*+\"|'[^'\\]*+(?:\\.[^'\\]*+)*+'"""
+_PIECES = r"(?s)" + _QUOTED + r"""|[^"']++|["']"""
+
+
+def _outside_strings(s: Column, fix) -> Column:
+    """Apply ``fix`` to the stretches of ``s`` that lie outside quoted strings."""
+    pieces = F.regexp_extract_all(s, F.lit(_PIECES), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda p: F.when(
+        F.startswith(p, F.lit('"')) | F.startswith(p, F.lit("'")), p).otherwise(fix(p))), "")
+
+
+def _fix_tokens(p: Column) -> Column:
+    p = F.regexp_replace(p, r",\s*([\]}])", "$1")
+    p = F.regexp_replace(p, r"\bTrue\b", "true")
+    p = F.regexp_replace(p, r"\bFalse\b", "false")
+    return F.regexp_replace(p, r"\bNone\b", "null")
 
 
 def repair_json(s: Column | str) -> Column:
     """Closed, documented repair chain; NULL when still unparseable.
 
-    1. strict parse; 2. strip a BOM and surrounding whitespace, drop trailing
-    commas before ``]``/``}``, map Python ``True/False/None`` to JSON; 3. parse
-    leniently (single-quoted strings and unquoted field names are accepted by
-    Spark's JSON reader options).
+    1. strict parse; 2. without a BOM, leniently (single-quoted strings and
+    unquoted field names are accepted by Spark's JSON reader options); 3. the same after
+    dropping trailing commas before ``]``/``}`` and mapping Python
+    ``True/False/None`` to JSON. Step 3 only touches text outside quoted
+    strings, so string contents are never rewritten.
     """
-    s = col_of(s)
-    fixed = F.regexp_replace(s, r"^\x{FEFF}", "")
-    fixed = F.regexp_replace(fixed, r",\s*([\]}])", "$1")
-    fixed = F.regexp_replace(fixed, r"\bTrue\b", "true")
-    fixed = F.regexp_replace(fixed, r"\bFalse\b", "false")
-    fixed = F.regexp_replace(fixed, r"\bNone\b", "null")
-    lenient = F.from_json(fixed, "variant", {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"})
-    return F.coalesce(F.try_parse_json(s), F.try_parse_json(fixed), lenient)
+    s = F.regexp_replace(col_of(s), r"^\x{FEFF}", "")
+    options = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
+    return F.coalesce(F.try_parse_json(s), F.from_json(s, "variant", options),
+                      F.from_json(_outside_strings(s, _fix_tokens), "variant", options))
+
+
+def _repeats_a_key(text: Column) -> Column:
+    """The text is a JSON object for a parser that lets the last of equal keys count."""
+    parsed = F.from_json(text, "metadata string, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return F.regexp_like(text, F.lit(r"^\s*\{")) & parsed.isNotNull() & parsed["_bad"].isNull()
 
 
 def _vtype(v: Column) -> Column:
@@ -75,14 +98,18 @@ def decode_nested(v: Column) -> tuple[Column, Column]:
     return value, how
 
 
-def unwrap_singleton(v: Column, levels: int = 2) -> Column:
-    """D3: ``[[m, ...]] -> [m, ...]`` while the list has one element that is itself a list."""
-    out = v
-    for _ in range(levels):
+def unwrap_singleton(v: Column) -> Column:
+    """D3: ``[[m, ...]] -> [m, ...]`` while the list has one element that is itself a list.
+
+    At any nesting: the text opens with one ``[`` per wrapper, which bounds the steps.
+    """
+    def step(out: Column, _: Column) -> Column:
         first = F.try_variant_get(out, "$[0]", "variant")
         nest = (F.size(F.try_variant_get(out, "$", "array<variant>")) == 1) & _is_array(first)
-        out = F.when(F.coalesce(nest, F.lit(False)), first).otherwise(out)
-    return out
+        return F.when(F.coalesce(nest, F.lit(False)), first).otherwise(out)
+
+    opens = F.length(F.regexp_extract(F.to_json(v), r"^(\[*)", 1))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(opens, F.lit(1))), v, step)
 
 
 def _fence(df: DataFrame, **cols: Column) -> DataFrame:
@@ -117,6 +144,11 @@ def normalise_messages(v: Column) -> Column:
     return F.transform(F.try_variant_get(v, "$", "array<variant>"), msg)
 
 
+def _nameless_call(m: Column) -> Column:
+    calls = F.coalesce(F.try_variant_get(m, "$.tool_calls", "array<variant>"), F.array().cast("array<variant>"))
+    return F.exists(calls, lambda c: F.try_variant_get(c, "$.function.name", "string").isNull())
+
+
 def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -> DataFrame:
     """A2 + C2 + D1–D3: add ``messages``, ``tools_json``, ``split``, ``decoded_from`` and ``reason``.
 
@@ -136,6 +168,7 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
     is_obj = rec.isNotNull() & F.regexp_like(F.col(text_col), F.lit(r"^[ \t\n\r]*\{"))
     out = _fence(out, _obj=is_obj, _m_raw=raw_m, _t_raw=raw_t, _m=m_val, decoded_from=m_how, _t=t_val,
                  _meta=F.try_variant_get(rec, "$.metadata", "string"))
+    items = F.try_variant_get(F.col("_m"), "$", "array<variant>")
     checks = [
         rec.isNull(),
         ~F.col("_obj"),
@@ -146,11 +179,16 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
         ~_is_array(F.col("_m")),
         ~_is_array(F.col("_t")),
         F.col("_meta").isNull(),
+        F.exists(items, lambda m: ~_is_object(m)),
+        F.exists(items, lambda m: F.try_variant_get(m, "$.role", "string").isNull()),
+        F.exists(items, _nameless_call),
     ]
     # only the first failing check is kept as the reason, later ones are implied
     reason = F.lit(None).cast("string")
     for name, bad in reversed(list(zip(REASONS, checks))):
         reason = F.when(F.coalesce(bad, F.lit(True)), F.lit(name)).otherwise(reason)
+    reason = F.when(rec.isNull() & F.coalesce(_repeats_a_key(F.col(text_col)), F.lit(False)), F.lit(DUPLICATE_KEY)).otherwise(
+        reason)
     return (out.withColumn("reason", reason)
                .withColumn("messages", F.when(F.col("reason").isNull(), normalise_messages(F.col("_m"))))
                .withColumn("n_messages", F.when(F.col("reason").isNull(),

@@ -59,12 +59,13 @@ def render_call(call: Column, t: ChatTemplate = DEFAULT_TEMPLATE) -> Column:
                     lambda kv: F.concat(kv["key"], F.lit(":" + t.escape), F.coalesce(kv["value"], F.lit("")), F.lit(t.escape))),
         ",",
     )
-    return F.concat(F.lit(t.call_open), call["name"], F.lit("{"), args, F.lit("}" + t.call_close))
+    return F.concat(F.lit(t.call_open), F.coalesce(call["name"], F.lit("")), F.lit("{"), args, F.lit("}" + t.call_close))
 
 
 def render_message(m: Column, t: ChatTemplate = DEFAULT_TEMPLATE) -> Column:
+    """One turn; a missing role or name renders as empty, so no message is ever left out."""
     calls = F.array_join(F.transform(F.coalesce(m["tool_calls"], F.array()), lambda c: render_call(c, t)), "")
-    return F.concat(F.lit(t.turn_open), t.role(m["role"]), F.lit("\n"),
+    return F.concat(F.lit(t.turn_open), F.coalesce(t.role(m["role"]), F.lit("")), F.lit("\n"),
                     F.coalesce(m["content"], F.lit("")), calls, F.lit(t.turn_close))
 
 
@@ -111,6 +112,8 @@ def strip_prompt_prefix(generated: Column | str, prompt: Column | str) -> Column
 
 # The developer-turn texts of the reference's ad-hoc evaluation.
 DEVELOPER_CLOCK_INTRO = "You are a model that can do function calling with the following functions. \n    "
+CLOCK_FORMAT_INTRO = "Current date and time given in YYYY-MM-DDTHH:MM:SS format: "
+CLOCK_DAY = ".\n    Day of week is "
 DEVELOPER_FIXED = ("Current date and time given in YYYY-MM-DDTHH:MM:SS format: 2024-11-15T05:59:00. "
                    "You are a model that can do function calling with the following functions")
 
@@ -127,9 +130,9 @@ def time_context(ts: Column | str, zone: str = "America/Toronto", std: str = "ES
     off = F.timestamp_diff("MINUTE", utc, local)
     abbr = F.when(off == -240, F.lit(dst)).otherwise(F.lit(std))
     return F.concat(
-        F.lit(DEVELOPER_CLOCK_INTRO + "Current date and time given in YYYY-MM-DDTHH:MM:SS format: "),
+        F.lit(DEVELOPER_CLOCK_INTRO + CLOCK_FORMAT_INTRO),
         F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(" "), abbr,
-        F.lit(".\n    Day of week is "), F.date_format(local, "EEEE"),
+        F.lit(CLOCK_DAY), F.date_format(local, "EEEE"),
     )
 
 

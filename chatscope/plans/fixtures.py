@@ -18,6 +18,7 @@ TEXT_ONLY_REPLY = "I can not help with that.<end_of_turn>"
 CALL_OPEN = "<start_function_call>"
 CALL_CLOSE = "<end_function_call>"
 ESC = "<escape>"
+ODD_TEXT = " (True, or None of these? pick [a, ] or {b , } False)"  # contents that JSON repair must leave alone
 
 
 # id column of each driver table, used to spread small scans over the cores
@@ -69,9 +70,10 @@ def _event_parts(ev: DataFrame) -> DataFrame:
     args = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"k": '), k.cast("string"), F.lit("}"))).otherwise(
         F.concat(F.lit('{"k": "'), k.cast("string"), F.lit('", "user": "'), uid, F.lit('"}'))
     )
+    ask = F.concat(et, F.lit(" for user "), uid, F.when(F.col("event_id") % 16 == 5, F.lit(ODD_TEXT)).when(
+        F.col("event_id") % 16 == 1, F.lit(ODD_TEXT)).otherwise(F.lit("")))
     msgs = F.concat(
-        F.lit('[{"role": "developer", "content": "' + DEVELOPER_TEXT + '"}, {"role": "user", "content": "'),
-        et, F.lit(" for user "), uid,
+        F.lit('[{"role": "developer", "content": "' + DEVELOPER_TEXT + '"}, {"role": "user", "content": "'), ask,
         F.lit('"}, {"role": "assistant", "tool_calls": [{"function": {"name": "'), et,
         F.lit('", "arguments": '), args, F.lit("}}]}]"),
     )
@@ -88,7 +90,11 @@ def _event_parts(ev: DataFrame) -> DataFrame:
 
 
 def tool_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(sample_id, text)``: one chat-record JSON line per event, with the defect mix of FX1."""
+    """``(sample_id, text)``: one chat-record JSON line per event, with the defect mix of FX1.
+
+    By ``sample_id % 32``: 3 lacks a role, 11 holds a plain string as a message, 19 a call
+    without a name, 27 repeats a key; the rest by ``sample_id % 8``.
+    """
     p = _event_parts(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
     d = F.col("sample_id") % 8
     full = F.concat(F.lit('{"messages": '), F.col("msgs"), F.lit(', "tools": '), F.col("tools"),
@@ -99,7 +105,15 @@ def tool_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit('", "tools": '), F.col("tools"), F.lit(', "metadata": "'), F.col("meta"), F.lit('"}'))
     no_tools = F.concat(F.lit('{"messages": '), F.col("msgs"), F.lit(', "metadata": "'), F.col("meta"), F.lit('"}'))
     truncated = F.expr("substring(full, 1, length(full) div 2)")
-    text = (F.when(d == 4, as_string).when(d == 5, single_q).when(d == 6, no_tools)
+    e = F.col("sample_id") % 32
+    record = lambda m: F.concat(F.lit('{"messages": '), m, F.lit(', "tools": '), F.col("tools"), F.lit(', "metadata": "'),
+                                F.col("meta"), F.lit('"}'))
+    no_role = record(F.replace(F.col("msgs"), F.lit('"role": "developer", '), F.lit("")))
+    plain = record(F.concat(F.lit('["hello", '), F.substring("msgs", F.lit(2), F.length("msgs"))))
+    nameless = record(F.replace(F.col("msgs"), F.concat(F.lit('"name": "'), F.col("event_type"), F.lit('", ')), F.lit("")))
+    twice = F.concat(F.substring(full, F.lit(1), F.length(full) - 1), F.lit(', "metadata": "twice"}'))
+    text = (F.when(e == 3, no_role).when(e == 11, plain).when(e == 19, nameless).when(e == 27, twice)
+            .when(d == 4, as_string).when(d == 5, single_q).when(d == 6, no_tools)
             .when(d == 7, truncated).otherwise(full))
     return p.withColumn("full", full).select("sample_id", text.alias("text"))
 

@@ -59,9 +59,13 @@ ev AS (
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events
 ),
+asks AS (
+  SELECT *, et || ' for user ' || uid || CASE WHEN sample_id % 16 IN (1, 5)
+    THEN ' (True, or None of these? pick [a, ] or {b , } False)' ELSE '' END AS ask FROM ev
+),
 parts AS (
-  SELECT sample_id, et, uid, k,
-    '[{"role": "developer", "content": "@DEV@"}, {"role": "user", "content": "' || et || ' for user ' || uid
+  SELECT sample_id, et, uid, k, ask,
+    '[{"role": "developer", "content": "@DEV@"}, {"role": "user", "content": "' || ask
       || '"}, {"role": "assistant", "tool_calls": [{"function": {"name": "' || et || '", "arguments": '
       || CASE WHEN sample_id % 3 = 0 THEN '{"k": ' || CAST(k AS VARCHAR) || '}'
               ELSE '{"k": "' || CAST(k AS VARCHAR) || '", "user": "' || uid || '"}' END
@@ -73,18 +77,23 @@ parts AS (
          ELSE '{"k":"' || CAST(k AS VARCHAR) || '","user":"' || uid || '"}' END AS args_json,
     'k:<escape>' || CAST(k AS VARCHAR) || '<escape>'
       || CASE WHEN sample_id % 3 = 0 THEN '' ELSE ',user:<escape>' || uid || '<escape>' END AS pairs
-  FROM ev
+  FROM asks
 ),
 fx1 AS (
   SELECT *,
-    CASE sample_id % 8
+    CASE WHEN sample_id % 32 = 3 THEN replace(full_line, '"role": "developer", ', '')
+      WHEN sample_id % 32 = 11 THEN replace(full_line, '"messages": [', '"messages": ["hello", ')
+      WHEN sample_id % 32 = 19 THEN replace(full_line, '{"function": {"name": "' || et || '", ', '{"function": {')
+      WHEN sample_id % 32 = 27 THEN substring(full_line, 1, length(full_line) - 1) || ', "metadata": "twice"}'
+      ELSE CASE sample_id % 8
       WHEN 4 THEN '{"messages": "' || replace(msgs, '"', '\\"') || '", "tools": ' || tools || ', "metadata": "' || meta || '"}'
       WHEN 5 THEN '{"messages": "' || replace(msgs, '"', '''') || '", "tools": ' || tools || ', "metadata": "' || meta || '"}'
       WHEN 6 THEN '{"messages": ' || msgs || ', "metadata": "' || meta || '"}'
       WHEN 7 THEN substring(full_line, 1, length(full_line) // 2)
-      ELSE full_line END AS text,
-    CASE sample_id % 8 WHEN 6 THEN 'missing_tools' WHEN 7 THEN 'invalid_json' END AS reason,
-    CASE sample_id % 8 WHEN 4 THEN 'string' WHEN 5 THEN 'repaired' WHEN 7 THEN NULL ELSE 'native' END AS decoded_from
+      ELSE full_line END END AS text,
+    CASE WHEN sample_id % 8 = 3 THEN ['message_without_role', 'message_not_object', 'call_without_name', 'duplicate_key'][
+           (sample_id % 32) // 8 + 1] WHEN sample_id % 8 = 6 THEN 'missing_tools' WHEN sample_id % 8 = 7 THEN 'invalid_json' END AS reason,
+    CASE WHEN sample_id % 32 = 27 THEN NULL ELSE CASE sample_id % 8 WHEN 4 THEN 'string' WHEN 5 THEN 'repaired' WHEN 7 THEN NULL ELSE 'native' END END AS decoded_from
   FROM (SELECT *, '{"messages": ' || msgs || ', "tools": ' || tools || ', "metadata": "' || meta || '"}' AS full_line
         FROM parts) p
 ),
@@ -92,7 +101,7 @@ ok AS (
   SELECT *,
     '<start_of_turn>developer' || chr(10) || '<tools>' || tools || '</tools><end_of_turn>' || chr(10)
       || '<start_of_turn>developer' || chr(10) || '@DEV@<end_of_turn>' || chr(10)
-      || '<start_of_turn>user' || chr(10) || et || ' for user ' || uid || '<end_of_turn>' || chr(10) AS head,
+      || '<start_of_turn>user' || chr(10) || ask || '<end_of_turn>' || chr(10) AS head,
     '<start_of_turn>model' || chr(10) || '<start_function_call>call:' || et || '{' || pairs
       || '}<end_function_call><end_of_turn>' || chr(10) AS last_seg
   FROM fx1 WHERE reason IS NULL
@@ -110,7 +119,7 @@ FROM fx1"""
 SQL["cached_dataset"] = f"WITH {FX1} SELECT sample_id, text FROM fx1"
 
 SQL["valid_records"] = f"""WITH {FX1}
-SELECT sample_id, meta AS split, 3 AS n_messages, et || ' for user ' || uid AS user_content,
+SELECT sample_id, meta AS split, 3 AS n_messages, ask AS user_content,
        et AS call_name, args_json
 FROM fx1 WHERE reason IS NULL"""
 
@@ -124,12 +133,13 @@ FROM fx1 WHERE decoded_from IN ('string', 'repaired') AND reason IS NULL"""
 
 SQL["repair_json_field"] = f"""WITH {FX1}
 SELECT sample_id,
-  '[{{"content":"@DEV@","role":"developer"}},{{"content":"' || et || ' for user ' || uid
+  '[{{"content":"@DEV@","role":"developer"}},{{"content":"' || ask
     || '","role":"user"}},{{"role":"assistant","tool_calls":[{{"function":{{"arguments":' || args_json
     || ',"name":"' || et || '"}}}}]}}]' AS repaired
 FROM parts""".replace("@DEV@", "You are a model that can do function calling with the following functions")
 
-SQL["unwrap_singleton"] = "SELECT event_id AS sample_id, 3 AS n_items, 'OBJECT' AS first_type FROM events"
+SQL["unwrap_singleton"] = """SELECT event_id AS sample_id, 3 AS n_items,
+  CASE WHEN event_id % 5 = 3 THEN 'ARRAY' ELSE 'OBJECT' END AS first_type FROM events"""
 
 SQL["split_train"] = f"""WITH {FX1}
 SELECT sample_id, meta AS split, head || '<start_of_turn>model' || chr(10) AS prompt,

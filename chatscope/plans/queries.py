@@ -138,6 +138,8 @@ def q_unwrap_singleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("sample_id") % 5
     wrapped = (F.when(v == 0, F.concat(F.lit("["), F.col("msgs"), F.lit("]")))
                .when(v == 1, F.concat(F.lit("[["), F.col("msgs"), F.lit("]]")))
+               .when(v == 2, F.concat(F.lit("[" * 9), F.col("msgs"), F.lit("]" * 9)))
+               .when(v == 3, F.concat(F.lit("[["), F.col("msgs"), F.lit("],[1],[2]]")))
                .otherwise(F.col("msgs")))
     u = unwrap_singleton(F.try_parse_json(wrapped))
     return p.select("sample_id", F.size(F.try_variant_get(u, "$", "array<variant>")).alias("n_items"),
