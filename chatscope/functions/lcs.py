@@ -30,19 +30,6 @@ def lcs_length(a, b) -> int:
     return m - bin(v).count("1")
 
 
-def lcs_dp(a, b) -> int:
-    """Plain dynamic programme; reference implementation for tests."""
-    if not a or not b:
-        return 0
-    prev = [0] * (len(b) + 1)
-    for x in a:
-        cur = [0]
-        for j, y in enumerate(b, 1):
-            cur.append(prev[j - 1] + 1 if x == y else max(prev[j], cur[j - 1]))
-        prev = cur
-    return prev[-1]
-
-
 @F.pandas_udf(T.LongType())
 def lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int64")

@@ -5,9 +5,8 @@
 * ``bleu13a_tokens``: the "13a" tokenizer of mteval / sacreBLEU (Post 2018).
 * ``chrf_chars``: characters with all whitespace removed (Popović 2015).
 
-``ngrams(tokens, n)`` builds the n-grams of one order as strings joined by a
-separator that cannot occur inside a token; ``sequence`` is guarded because
-``sequence(1, 0)`` counts down.
+White space is Python's: what ``str.split()`` splits on, no-break and other
+Unicode spaces included.
 """
 
 from __future__ import annotations
@@ -15,9 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chatscope.functions.text import chars, col_of
-
-WS = r"[ \t\n\x0B\f\r]"
+from chatscope.functions.text import WS, chars, col_of
 
 # Fixed values of the 13a tokenizer (mteval-v13a / sacreBLEU), applied in order.
 BLEU13A_RULES = (
@@ -38,7 +35,7 @@ def rouge_tokens(text: Column | str) -> Column:
 
 
 def bleu13a_tokens(text: Column | str) -> Column:
-    s = F.regexp_replace(F.coalesce(col_of(text), F.lit("")), r"(?U)\s+\z", "")  # rstrip
+    s = F.regexp_replace(F.coalesce(col_of(text), F.lit("")), WS + r"+\z", "")  # rstrip
     s = F.replace(s, F.lit("<skipped>"), F.lit(""))
     s = F.replace(s, F.lit("-\n"), F.lit(""))
     s = F.replace(s, F.lit("\n"), F.lit(" "))
@@ -55,40 +52,3 @@ def bleu13a_tokens(text: Column | str) -> Column:
 def chrf_chars(text: Column | str) -> Column:
     s = F.regexp_replace(F.coalesce(col_of(text), F.lit("")), WS + "+", "")
     return chars(s)
-
-
-def chrf_string(text: Column | str) -> Column:
-    """Whitespace-free text; character n-grams are taken with ``substring``."""
-    return F.regexp_replace(F.coalesce(col_of(text), F.lit("")), WS + "+", "")
-
-
-def char_ngrams(s: Column, n: int) -> Column:
-    size = F.length(s)
-    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(s, i, n))) \
-        .otherwise(F.array().cast("array<string>"))
-
-
-def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
-    """All n-grams of one order, as joined strings; empty when there are fewer than n tokens."""
-    size = F.size(tokens)
-    return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1),
-                                         lambda i: F.array_join(F.slice(tokens, i, n), sep))) \
-        .otherwise(F.array().cast("array<string>"))
-
-
-def ngram_entries(tokens: Column, orders: tuple[int, ...], sep: str | None = " ") -> Column:
-    """``ARRAY<STRUCT<n, gram>>`` over several orders (to be exploded once).
-
-    ``sep=None`` means ``tokens`` is a string and grams are its character n-grams.
-    """
-    def tag(n: int):
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
-
-    build = (lambda n: char_ngrams(tokens, n)) if sep is None else (lambda n: ngrams(tokens, n, sep))
-    parts = [F.transform(build(n), tag(n)) for n in orders]
-    return F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0]
-
-
-def ngram_total(tokens: Column, n: int, chars_: bool = False) -> Column:
-    size = F.length(tokens) if chars_ else F.size(tokens)
-    return F.greatest(size - n + 1, F.lit(0))

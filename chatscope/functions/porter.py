@@ -1,7 +1,10 @@
 """Porter stemmer (Porter 1980, "An algorithm for suffix stripping"), written from the paper.
 
-Applied to tokens longer than three characters, as ROUGE does with stemming
-on. The Spark entry points dedupe tokens per Arrow batch before stemming, so
+Two variants: the paper's, and the extended one that the public ROUGE package
+uses through NLTK (irregular forms, ``ies``/``ied`` of four letters, ``y`` only after a
+consonant, ``bli``/``fulli``/``logi``, two-letter vowel-consonant stems); the extended
+one is the default. Applied to tokens longer than three characters, as ROUGE
+does with stemming on. The Spark entry points dedupe tokens per Arrow batch before stemming, so
 Python work is proportional to the distinct words of a batch.
 """
 
@@ -49,9 +52,9 @@ def _double_c(w: str) -> bool:
     return len(w) >= 2 and w[-1] == w[-2] and _cons(w, len(w) - 1)
 
 
-def _cvc(w: str) -> bool:
+def _cvc(w: str, extended: bool = False) -> bool:
     if len(w) < 3:
-        return False
+        return extended and len(w) == 2 and not _cons(w, 0) and _cons(w, 1)
     return (_cons(w, len(w) - 3) and not _cons(w, len(w) - 2) and _cons(w, len(w) - 1)
             and w[-1] not in "wxy")
 
@@ -75,8 +78,17 @@ STEP4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment
          "ism", "ate", "iti", "ous", "ive", "ize")
 
 
-def _step1ab(w: str) -> str:
-    if w.endswith("sses"):
+# Fixed values of the extended variant: words with a stem of their own, and step 2's changes.
+IRREGULAR = {"skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+             "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing", "cannings": "canning",
+             "canning": "canning", "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed"}
+STEP2_EXTENDED = tuple(("bli", "ble") if r == ("abli", "able") else r for r in STEP2) + (("fulli", "ful"),)
+
+
+def _step1ab(w: str, extended: bool) -> str:
+    if extended and len(w) == 4 and w.endswith("ies"):
+        w = w[:-1]
+    elif w.endswith("sses"):
         w = w[:-2]
     elif w.endswith("ies"):
         w = w[:-2]
@@ -84,6 +96,8 @@ def _step1ab(w: str) -> str:
         pass
     elif w.endswith("s"):
         w = w[:-1]
+    if extended and w.endswith("ied"):
+        return w[:-1] if len(w) == 4 else w[:-2]
     if w.endswith("eed"):
         if _m(w[:-3]) > 0:
             w = w[:-1]
@@ -95,16 +109,28 @@ def _step1ab(w: str) -> str:
                 return w + "e"
             if _double_c(w) and w[-1] not in "lsz":
                 return w[:-1]
-            if _m(w) == 1 and _cvc(w):
+            if _m(w) == 1 and _cvc(w, extended):
                 return w + "e"
             return w
     return w
 
 
-def _step1c(w: str) -> str:
-    if w.endswith("y") and _has_vowel(w[:-1]):
-        return w[:-1] + "i"
-    return w
+def _step1c(w: str, extended: bool) -> str:
+    if not w.endswith("y"):
+        return w
+    rest = w[:-1]
+    change = len(rest) > 1 and _cons(rest, len(rest) - 1) if extended else _has_vowel(rest)
+    return rest + "i" if change else w
+
+
+def _step2(w: str, extended: bool) -> str:
+    if not extended:
+        return _longest_rule(w, STEP2, lambda s: _m(s) > 0)
+    if w.endswith("alli") and _m(w[:-4]) > 0:
+        return _step2(w[:-2], extended)
+    if w.endswith("logi"):
+        return w[:-1] if _m(w[:-3]) > 0 else w
+    return _longest_rule(w, STEP2_EXTENDED, lambda s: _m(s) > 0)
 
 
 def _step4(w: str) -> str:
@@ -121,10 +147,10 @@ def _step4(w: str) -> str:
     return stem if _m(stem) > 1 else w
 
 
-def _step5(w: str) -> str:
+def _step5(w: str, extended: bool) -> str:
     if w.endswith("e"):
         stem = w[:-1]
-        if _m(stem) > 1 or (_m(stem) == 1 and not _cvc(stem)):
+        if _m(stem) > 1 or (_m(stem) == 1 and not _cvc(stem, extended)):
             w = stem
     if _m(w) > 1 and _double_c(w) and w.endswith("l"):
         w = w[:-1]
@@ -142,16 +168,15 @@ def _longest_rule(w: str, table, cond) -> str:
 
 
 @lru_cache(maxsize=1 << 16)
-def stem(word: str) -> str:
+def stem(word: str, extended: bool = True) -> str:
+    if extended and word in IRREGULAR:
+        return IRREGULAR[word]
     if len(word) <= 2:
         return word
-    w = _step1ab(word)
-    w = _step1c(w)
-    w = _longest_rule(w, STEP2, lambda s: _m(s) > 0)
+    w = _step1c(_step1ab(word, extended), extended)
+    w = _step2(w, extended)
     w = _longest_rule(w, STEP3, lambda s: _m(s) > 0)
-    w = _step4(w)
-    w = _step5(w)
-    return w
+    return _step5(_step4(w), extended)
 
 
 def stem_token(tok: str) -> str:

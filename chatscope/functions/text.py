@@ -10,13 +10,17 @@ def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters of Python's ``str.isspace()``, as a regular-expression class.
+WS = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def py_strip(c: Column | str) -> Column:
     """Python ``str.strip()``: remove leading and trailing whitespace.
 
     Spark ``trim`` only removes spaces, so this is a regex. ``\\z`` (not ``$``)
     anchors at the true end of the string.
     """
-    return F.regexp_replace(col_of(c), r"(?U)^\s+|\s+\z", "")
+    return F.regexp_replace(col_of(c), rf"\A{WS}+|{WS}+\z", "")
 
 
 def md5_bucket(c: Column | str) -> Column:

@@ -44,14 +44,22 @@ def batch_generate(df: DataFrame, make_fn: Callable[[], ModelFn], input_col: str
     """G1: one output string per input row; ``keep`` columns pass through.
 
     ``batch_size`` bounds the rows handed to the model at once (Arrow batches
-    are re-chunked). ``on_error='null'`` turns a failing batch into NULL
-    outputs (the judge path scores those as failures) instead of failing the task.
+    are re-chunked). With ``on_error='null'`` the rows of a failing batch are
+    tried again one by one, and only those that fail alone get a NULL output
+    (the judge path scores those as failures), so the result does not depend
+    on ``batch_size``.
     """
     keep = list(keep or [c for c in df.columns if c != input_col])
     fields = [f for f in df.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField(output_col, T.StringType(), True)])
     cols = keep + [input_col]
 
+    def alone(fn: ModelFn, value: str | None) -> str | None:
+        try:
+            return pd.Series(fn(pd.Series([value], dtype="object")), dtype="object").iloc[0]
+        except Exception:  # noqa: BLE001 - whatever the caller's model raises for this row
+            return None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = _model_for(make_fn)
         for pdf in batches:
@@ -62,7 +70,7 @@ def batch_generate(df: DataFrame, make_fn: Callable[[], ModelFn], input_col: str
                 except Exception:
                     if on_error != "null":
                         raise
-                    out = pd.Series([None] * len(part), dtype="object")
+                    out = pd.Series([alone(fn, v) for v in part[input_col]], dtype="object")
                 res = part[keep].reset_index(drop=True).copy()
                 res[output_col] = out.values
                 yield res

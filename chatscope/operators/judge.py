@@ -7,7 +7,8 @@ reference's all-or-nothing rules:
 
 * text between the first two triple-backtick fences is used when a fence
   exists, with a leading ``json`` dropped;
-* unparseable JSON or a non-object reply zeroes every criterion;
+* unparseable JSON or a non-object reply zeroes every criterion (so does a
+  repeated key, unless the session sets ``spark.sql.variant.allowDuplicateKeys``);
 * a missing key scores 0 for that key only;
 * an explicit ``null``, a non-numeric string, an object or a list as a value
   zeroes the whole row; booleans count 1/0; numeric strings are accepted;
@@ -20,6 +21,8 @@ the mean.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
+from inspect import signature
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,10 +85,17 @@ def parse_judge_reply(df: DataFrame, reply_col: str = "reply",
 
 
 def judge_batch(df: DataFrame, make_judge, criteria: Sequence[str] = JUDGE_CRITERIA,
-                keep: list[str] | None = None, batch_size: int = 16) -> DataFrame:
-    """Build prompts, run the judge (errors → NULL reply → failed row), parse."""
+                keep: list[str] | None = None, batch_size: int = 16,
+                system_prompt: str = SYSTEM_PROMPT) -> DataFrame:
+    """Build prompts, run the judge (errors → NULL reply → failed row), parse.
+
+    ``make_judge`` is a model factory as in ``batch_generate``; one that takes an
+    argument is given the system prompt, to send with every call.
+    """
     from chatscope.operators.inference import batch_generate
     keep = keep or ["model", "sample_id"]
+    if signature(make_judge).parameters:
+        make_judge = partial(make_judge, system_prompt)
     prompts = df.select(*keep, judge_prompt("prompt", "reference", "prediction", criteria).alias("judge_prompt"))
     replies = batch_generate(prompts, make_judge, "judge_prompt", "reply", keep, batch_size, on_error="null")
     return parse_judge_reply(replies, "reply", criteria)

@@ -21,33 +21,53 @@ bounded chunks per sample and joined to prediction vectors by ``sample_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatscope.functions import ngrams as NG
+from chatscope.session import materialize
 
-KEYS = ["model", "sample_id"]
+SAMPLE = ["model", "sample_id"]
+KEYS = [*SAMPLE, "_copy"]  # unique per row even where a sample occurs twice
 
 
 def _f1(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
+BYTES_PER_TASK = 32 << 20
+
+
 def work_partitions(df: DataFrame) -> int:
-    """Partition count for CPU-heavy stages: the session's shuffle width, at least one per core.
+    """Partition count for stages whose rows explode into many more: by the input's estimated size.
 
-    An explicit count keeps AQE from coalescing a small-in-bytes shuffle whose
-    rows explode into much more work downstream.
+    One partition for every ``BYTES_PER_TASK`` of the plan's size estimate, and at
+    least the session's shuffle width, without a ceiling. An explicit count
+    keeps AQE from merging a shuffle that is small in bytes but not in work.
     """
-    from chatscope.session import parallelism
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 62 else 0  # a plan of unknown size reports the largest long
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-known // BYTES_PER_TASK))
+
+
+def _keyed(pairs: DataFrame) -> DataFrame:
+    """Narrow pairs, hash-partitioned by sample, with a number for each row of a sample.
+
+    Every metric builds the same exchange over the same input, so Spark runs it once for all of them.
+    """
+    narrow = pairs.select(*SAMPLE, "prediction", "reference").repartition(work_partitions(pairs), *SAMPLE)
+    order = Window.partitionBy(*SAMPLE).orderBy("prediction", "reference")
+    return narrow.withColumn("_copy", F.row_number().over(order))
 
 
 def _tokenised(pairs: DataFrame, tok, stem: bool = False) -> DataFrame:
-    """Narrow token table, hash-partitioned by the unique sample key."""
-    narrow = pairs.select(*KEYS, "prediction", "reference").repartition(work_partitions(pairs), *KEYS)
-    t = narrow.select(*KEYS, tok(F.col("prediction")).alias("pt"), tok(F.col("reference")).alias("rt"))
+    """Narrow token table, partitioned by sample."""
+    t = _keyed(pairs).select(*KEYS, tok(F.col("prediction")).alias("pt"), tok(F.col("reference")).alias("rt"))
     if stem:
         from chatscope.functions.porter import stem_tokens_udf
         t = t.select(*KEYS, stem_tokens_udf("pt").alias("pt"), stem_tokens_udf("rt").alias("rt"))
@@ -132,7 +152,7 @@ def rouge_n_per_sample(pairs: DataFrame, orders: tuple[int, ...] = (1, 2), stem:
     j = _gram_counts(_tokenised(pairs, NG.rouge_tokens, stem), orders, " ")
     p = F.col("match") / F.greatest(F.col("hyp"), F.lit(1))
     r = F.col("match") / F.greatest(F.col("ref"), F.lit(1))
-    return j.select(*KEYS, "n", p.alias("precision"), r.alias("recall"), _f1(p, r).alias("f1"))
+    return j.select(*SAMPLE, "n", p.alias("precision"), r.alias("recall"), _f1(p, r).alias("f1"))
 
 
 def rouge_n(pairs: DataFrame, orders: tuple[int, ...] = (1, 2), stem: bool = False) -> DataFrame:
@@ -152,7 +172,7 @@ def rouge_l_per_sample(pairs: DataFrame, stem: bool = False) -> DataFrame:
     p = F.when(F.col("np") > 0, F.col("lcs") / F.col("np")).otherwise(0.0)
     r = F.when(F.col("nr") > 0, F.col("lcs") / F.col("nr")).otherwise(0.0)
     ok = (F.col("np") > 0) & (F.col("nr") > 0)
-    return t.select(*KEYS, "lcs", F.when(ok, p).otherwise(0.0).alias("precision"),
+    return t.select(*SAMPLE, "lcs", F.when(ok, p).otherwise(0.0).alias("precision"),
                     F.when(ok, r).otherwise(0.0).alias("recall"), F.when(ok, _f1(p, r)).otherwise(0.0).alias("f1"))
 
 
@@ -209,6 +229,8 @@ def chrf_stats(pairs: DataFrame, order: int = 6) -> DataFrame:
     # UTF-8 walks from the start of the string for every gram (quadratic)
     codes = lambda c: F.transform(NG.chrf_chars(c), lambda ch: F.ascii(ch))
     per = _char_gram_counts(_tokenised(pairs, codes), orders)
+    # as sacreBLEU: a segment whose reference has no n-gram of an order adds no hypothesis n-grams of it
+    per = per.withColumn("hyp", F.when(F.col("ref") > 0, F.col("hyp")).otherwise(F.lit(0)))
     return per.groupBy("model", "n").agg(F.sum("hyp").alias("hyp"), F.sum("ref").alias("ref"),
                                          F.sum("match").alias("match"))
 
@@ -233,68 +255,96 @@ def chrf(pairs: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- embedding match
-def _unit(v: Column) -> Column:
-    d = F.transform(v, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(d, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
+def _packed(vectors: DataFrame, keys: list[str], chunk: int, name: str) -> DataFrame:
+    """At most ``chunk`` vectors of a sample per row: positions and one flat array of unit vectors' numbers."""
+    rows = vectors.groupBy(*keys, F.floor(F.col("pos") / chunk).alias("_b")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.col("embedding").cast("array<double>").alias("e")))).alias(name))
+    return rows.withColumnRenamed("_b", f"{name}_block")
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+def _unit_rows(items) -> np.ndarray:
+    m = np.array([np.asarray(x["e"], dtype=np.float64) for x in items])
+    norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
-def _greedy(src: DataFrame, dst: DataFrame, keys: list[str], chunk: int) -> DataFrame:
-    """For every vector of ``src``: max cosine against all vectors of ``dst`` in the same sample.
+def _block_best(left: Column, right: Column) -> Column:
+    """Of two blocks of one sample: every vector's largest cosine in the other block, by one matrix product."""
+    @F.pandas_udf("p array<struct<pos:long,best:double>>, r array<struct<pos:long,best:double>>")
+    def block_best(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for lefts, rights in batches:
+            out = []
+            for a, b in zip(lefts, rights, strict=True):
+                cos = _unit_rows(a) @ _unit_rows(b).T
+                out.append(([(int(x["pos"]), float(v)) for x, v in zip(a, cos.max(axis=1), strict=True)],
+                            [(int(x["pos"]), float(v)) for x, v in zip(b, cos.max(axis=0), strict=True)]))
+            yield pd.DataFrame(out, columns=["p", "r"])
 
-    ``dst`` is packed into chunks of at most ``chunk`` vectors per sample, so no
-    collected group is larger than ``chunk`` and the join emits
-    ``|src| * ceil(|dst| / chunk)`` rows, not all vector pairs.
-    """
-    packed = dst.groupBy(*keys, F.floor(F.col("pos") / chunk).alias("blk")).agg(F.collect_list("u").alias("us"))
-    j = src.join(packed, keys)
-    best = F.array_max(F.transform("us", lambda u: _dot(F.col("u"), u)))
-    return j.groupBy(*keys, "pos").agg(F.max(best).alias("best"))
+    return block_best(left, right)
 
 
-def embedding_match(vectors: DataFrame, chunk: int = 256, keys: list[str] | None = None) -> DataFrame:
+def embedding_match(vectors: DataFrame, chunk: int = 256, keys: Sequence[str] = ("sample_id",)) -> DataFrame:
     """Greedy max-cosine matching (BERTScore without IDF or rescaling).
 
-    ``vectors``: ``(keys..., side in {pred, ref}, pos, embedding)``. Returns per
-    sample ``precision`` (mean over prediction vectors of the best match),
-    ``recall`` (the reverse) and ``f1``.
+    ``vectors``: ``(keys..., side in {pred, ref}, pos, embedding)``; name the model in
+    ``keys`` to match per model. Returns per sample ``precision`` (mean over prediction
+    vectors of the best match), ``recall`` (the reverse) and ``f1``. Vectors are packed into
+    blocks of at most ``chunk`` of a sample, so no group is larger than that and
+    the join emits one row per pair of blocks, not of vectors.
     """
-    keys = keys or ["sample_id"]
-    u = vectors.select(*keys, "side", "pos", _unit(F.col("embedding")).alias("u"))
-    pred, ref = u.where(F.col("side") == "pred"), u.where(F.col("side") == "ref")
-    p = _greedy(pred, ref, keys, chunk).groupBy(*keys).agg(F.avg("best").alias("precision"))
-    r = _greedy(ref, pred, keys, chunk).groupBy(*keys).agg(F.avg("best").alias("recall"))
-    j = p.join(r, keys, "full_outer").fillna(0.0, ["precision", "recall"])
-    return j.select(*keys, "precision", "recall", _f1(F.col("precision"), F.col("recall")).alias("f1"))
-
-
-def embedding_match_corpus(per_sample: DataFrame, group: list[str] | None = None) -> DataFrame:
-    g = per_sample.groupBy(*(group or [])) if group else per_sample.groupBy()
-    out = g.agg(F.avg("precision").alias("p"), F.avg("recall").alias("r"), F.avg("f1").alias("f"))
-    cols = list(group or [])
-    return out.select(*cols, F.explode(F.array(
-        F.struct(F.lit("bertscore_precision").alias("metric"), F.col("p").alias("value")),
-        F.struct(F.lit("bertscore_recall").alias("metric"), F.col("r").alias("value")),
-        F.struct(F.lit("bertscore_f1").alias("metric"), F.col("f").alias("value")))).alias("m")
-    ).select(*cols, "m.metric", "m.value")
+    keys = list(keys)
+    v = vectors.select(*keys, "side", "pos", "embedding")
+    pred = _packed(v.where(F.col("side") == "pred").drop("side"), keys, chunk, "_p")
+    ref = _packed(v.where(F.col("side") == "ref").drop("side"), keys, chunk, "_r")
+    best = pred.join(ref, keys).select(*keys, _block_best(F.col("_p"), F.col("_r")).alias("m"))
+    sides = best.select(*keys, F.explode(F.concat(
+        F.transform("m.p", lambda x: F.struct(F.lit("pred").alias("side"), x["pos"].alias("pos"), x["best"].alias("best"))),
+        F.transform("m.r", lambda x: F.struct(F.lit("ref").alias("side"), x["pos"].alias("pos"), x["best"].alias("best"))),
+    )).alias("x")).groupBy(*keys, "x.side", "x.pos").agg(F.max("x.best").alias("best"))
+    both = sides.groupBy(*keys).agg(F.avg(F.when(F.col("side") == "pred", F.col("best"))).alias("precision"),
+                                    F.avg(F.when(F.col("side") == "ref", F.col("best"))).alias("recall"))
+    # a sample with one side only has no match: all zero
+    out = v.select(*keys).distinct().join(both, keys, "left").fillna(0.0, ["precision", "recall"])
+    return out.select(*keys, "precision", "recall", _f1(F.col("precision"), F.col("recall")).alias("f1"))
+
+
+def embedding_match_corpus(per_sample: DataFrame) -> DataFrame:
+    """Corpus means of ``embedding_match`` keyed by model → ``(model, metric, value)``."""
+    means = per_sample.groupBy("model").agg(*[F.avg(c).alias(c) for c in ("precision", "recall", "f1")])
+    return means.select("model", F.explode(F.array(*[
+        F.struct(F.lit(f"bertscore_{c}").alias("metric"), F.col(c).alias("value")) for c in ("precision", "recall", "f1")
+    ])).alias("m")).select("model", "m.metric", "m.value")
 
 
 # --------------------------------------------------------------- J7 merge
-def metrics_long(pairs: DataFrame, rouge: bool = True, bleu_: bool = True, rouge_l_: bool = True,
-                 stem: bool = False) -> DataFrame:
-    """Only the requested metrics, unioned to ``(model, metric, value)``."""
+ROUGE_KEYS = ("rouge1", "rouge2", "rougeL")
+
+
+def metrics_long(pairs: DataFrame, rouge: bool = True, bleu_: bool = True, chrf_: bool = True,
+                 rouge_keys: Sequence[str] = ROUGE_KEYS, stem: bool = True,
+                 vectors: DataFrame | None = None) -> DataFrame:
+    """Only the requested metrics, unioned to ``(model, metric, value)``.
+
+    ROUGE is stemmed by default and limited to ``rouge_keys`` (``rougeN`` for any N, ``rougeL``).
+    Token vectors ``(model, sample_id, side, pos, embedding)`` add BERTScore.
+    The pairs are written once and shared by all metrics.
+    """
+    pairs = materialize(pairs.select(*SAMPLE, "prediction", "reference"))
     parts = []
     if rouge:
-        parts.append(rouge_n(pairs, (1, 2), stem))
-        if rouge_l_:
+        orders = tuple(int(k.removeprefix("rouge")) for k in rouge_keys if k != "rougeL")
+        if orders:
+            parts.append(rouge_n(pairs, orders, stem))
+        if "rougeL" in rouge_keys:
             parts.append(rouge_l(pairs, stem))
     if bleu_:
         parts.append(bleu(pairs))
+    if chrf_:
         parts.append(chrf(pairs))
+    if vectors is not None:
+        parts.append(embedding_match_corpus(embedding_match(vectors, keys=SAMPLE)))
+    if not parts:
+        raise ValueError("no metric is requested")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatscope.functions.ngrams import WS
-from chatscope.functions.text import col_of
+from chatscope.functions.text import WS, col_of
 
 
 def shuffle_key(id_col: str, seed: int) -> Column:

@@ -26,27 +26,15 @@ KEYS = {"events": "event_id", "conversations": "conv_id", "documents": "doc_id",
         "embeddings": "vec_id", "benchmark": "item_id"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, KEYS[name]) if name in KEYS else df
-
+# set by a test or bench session to spread the one-file driver tables over its cores
+SPREAD_CONF = "chatscope.fixture.partitions"
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition on ``key`` only when the scan yields fewer partitions than cores.
 
-    A single-row-group file is one scan task; on a cluster reading many files
-    the scan already has more partitions than cores and this is a no-op. Hash
-    (not round-robin) partitioning needs no sort for deterministic retries,
-    and a later grouping on ``key`` reuses it without another exchange.
-    """
-    from chatscope.session import parallelism
-    cores = parallelism(df.sparkSession)
-    try:
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(cores, key)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; hash-spread on its id over ``SPREAD_CONF`` partitions where the session sets that."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(n), KEYS[name]) if n and name in KEYS else df
 
 
 def _k(props: Column) -> Column:
@@ -128,7 +116,7 @@ def _pair(key: str, value: Column) -> Column:
 
 
 def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(model, sample_id, output)`` with the eight output cases of FX1b for both models."""
+    """``(model, sample_id, output)`` with the eight output cases of FX1b for both models; some rows are missing."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
     k = _k(F.col("props"))
     uid = F.col("user_id").cast("string")
@@ -152,29 +140,52 @@ def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(c == 5, F.concat(_call(F.concat(F.lit("open_"), name), pairs), _call(name, pairs)))
            .when(c == 6, _call(name, reversed_))
            .otherwise(_call(name, dup)))
-    return ev.select("model", F.col("event_id").alias("sample_id"), out.alias("output"))
+    # no generation at all for some samples of either model
+    there = (F.expr("event_id div 10") + offset) % 7 != 3
+    return ev.where(there).select("model", F.col("event_id").alias("sample_id"), out.alias("output"))
 
 
 # ---------------------------------------------------------------- FX2 pairs
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(model, sample_id, prompt, reference, prediction)`` from user→assistant turn pairs."""
+NBSP = "\u00a0"
+TURNS = 1_000_000  # sample_id = conv_id * TURNS + turn
+
+
+def _pair_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(sample_id, prompt, reference, other)``: ``other`` is the conversation's text two turns earlier, if any."""
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     w = Window.partitionBy("conv_id").orderBy("turn")
     nxt = conv.select(
-        "conv_id", "turn", "role", "text",
-        F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("next_text"),
+        "conv_id", "turn", "role", "text", F.lead("role").over(w).alias("next_role"),
+        F.lead("text").over(w).alias("next_text"), F.lag("text").over(w).alias("before"),
     ).where((F.col("role") == "user") & (F.col("next_role") == "assistant"))
-    base = nxt.select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("sample_id"),
-        F.col("text").alias("prompt"), F.col("next_text").alias("reference"),
-    )
-    base = base.select("*", F.explode(F.array(F.lit("fine_tuned"), F.lit("baseline"))).alias("model"))
-    pred = F.when(F.col("model") == "fine_tuned",
-                  F.expr("substring(reference, 1, (length(reference) * 2) div 3)")).otherwise(F.col("prompt"))
-    pred = F.when(md5_bucket("sample_id") % 20 == 0, F.lit("")).otherwise(pred)
+    return nxt.select((F.col("conv_id") * TURNS + F.col("turn")).alias("sample_id"), F.col("text").alias("prompt"),
+                      F.col("next_text").alias("reference"), F.coalesce("before", F.col("text")).alias("other"))
+
+
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(model, sample_id, prompt, reference, prediction)`` from user→assistant turn pairs.
+
+    The fine-tuned model's prediction is part of the reference, cut short, between stretches of another
+    turn; the baseline's is another turn's text. Some are empty, and some have no-break
+    spaces for spaces.
+    """
+    base = _pair_base(spark, sf_dir).select("*", F.explode(F.array(F.lit("fine_tuned"), F.lit("baseline"))).alias("model"))
+    bucket = md5_bucket("sample_id")
+    mixed = F.concat(F.expr("substring(other, 1, length(other) div 4)"), F.lit(" "),
+                     F.expr("substring(reference, length(reference) div 5 + 1, length(reference) div 2)"))
+    pred = F.when(F.col("model") == "fine_tuned", mixed).otherwise(F.col("other"))
+    pred = F.when(bucket % 7 == 3, F.replace(pred, F.lit(" "), F.lit(NBSP))).otherwise(pred)
+    pred = F.when(bucket % 20 == 0, F.lit("")).otherwise(pred)
     return base.select("model", "sample_id", "prompt", "reference", pred.alias("prediction"))
 
 
+def metric_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX2d: the pairs, a fiftieth of the samples twice (a metric must count both rows)."""
+    p = pairs(spark, sf_dir)
+    times = F.when(md5_bucket("sample_id") % 50 == 7, 2).otherwise(1)
+    return p.select("*", F.explode(F.sequence(F.lit(1), times)).alias("_t")).drop("_t")
+
+
 def long_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX2L: documents as references, their first half as the prediction (one model)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -196,6 +207,12 @@ def token_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX3m: the token vectors keyed by model (even samples: fine_tuned, odd ones: baseline)."""
+    return token_vectors(spark, sf_dir).withColumn(
+        "model", F.when(F.col("sample_id") % 2 == 0, "fine_tuned").otherwise("baseline"))
+
+
 # --------------------------------------------------------------- FX4 configs
 CONFIG_DEPTH = 11  # levels of the nested variant
 

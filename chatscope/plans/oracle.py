@@ -186,6 +186,7 @@ gen AS (
       ELSE '<start_function_call>call:' || et || '{k:<escape>0<escape>,' || pairs || '}<end_function_call>'
     END AS output
   FROM parts p CROSS JOIN (VALUES ('fine_tuned', 0), ('baseline', 1)) m(model, off)
+  WHERE ((p.sample_id // 10) + m.off) % 7 <> 3
 ),
 xc AS (
   SELECT model, sample_id, output,
@@ -235,7 +236,11 @@ scored AS (
     CAST(NULL AS VARCHAR) AS target_text, o.output_text,
     ('["' || et || '"]') = o.output_names AS correct_names,
     ('[' || args_json || ']') = o.output_arguments AS correct_arguments
-  FROM ok JOIN outs o USING (sample_id)
+  FROM ok JOIN (
+    SELECT m.model, ok.sample_id, coalesce(outs.output_names, '[]') AS output_names,
+      coalesce(outs.output_arguments, '[]') AS output_arguments, outs.output_text
+    FROM ok CROSS JOIN (VALUES ('fine_tuned'), ('baseline')) m(model)
+    LEFT JOIN outs ON outs.model = m.model AND outs.sample_id = ok.sample_id) o USING (sample_id)
   WHERE ok.meta = 'eval'
 )"""
 
@@ -267,8 +272,9 @@ SELECT model, round(avg(CASE WHEN correct_names AND correct_arguments THEN 1.0 E
 FROM scored GROUP BY model"""
 
 SQL["align_generations"] = f"""WITH {GEN}
-SELECT g.model, g.sample_id, g.output IS NOT NULL AS has_output, length(g.output) AS output_chars
-FROM ok JOIN gen g USING (sample_id) WHERE ok.meta = 'eval'"""
+SELECT m.model, ok.sample_id, g.output IS NOT NULL AS has_output, length(g.output) AS output_chars
+FROM ok CROSS JOIN (VALUES ('fine_tuned'), ('baseline')) m(model)
+LEFT JOIN gen g ON g.sample_id = ok.sample_id AND g.model = m.model WHERE ok.meta = 'eval'"""
 
 SQL["compare_models"] = f"""WITH {GEN},
 w AS (SELECT sample_id,
@@ -284,20 +290,35 @@ PAIRS = f"""
 nx AS (
   SELECT conv_id, turn, role, text,
          lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
-         lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
+         lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text,
+         lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before
   FROM conversations
 ),
 base AS (
-  SELECT conv_id * 100 + turn AS sample_id, text AS prompt, next_text AS reference
+  SELECT conv_id * 1000000 + turn AS sample_id, text AS prompt, next_text AS reference, coalesce(before, text) AS other
   FROM nx WHERE role = 'user' AND next_role = 'assistant'
 ),
-pairs AS (
-  SELECT m.model, b.sample_id, b.prompt, b.reference,
-    CASE WHEN {h('b.sample_id')} % 20 = 0 THEN ''
-         WHEN m.model = 'fine_tuned' THEN substring(b.reference, 1, (length(b.reference) * 2) // 3)
-         ELSE b.prompt END AS prediction
+raw AS (
+  SELECT m.model, b.*, {h('b.sample_id')} AS bucket,
+    CASE WHEN m.model = 'fine_tuned' THEN substring(other, 1, length(other) // 4) || ' '
+           || substring(reference, length(reference) // 5 + 1, length(reference) // 2)
+         ELSE other END AS p
   FROM base b CROSS JOIN (VALUES ('fine_tuned'), ('baseline')) m(model)
+),
+pairs AS (
+  SELECT model, sample_id, prompt, reference, bucket,
+    CASE WHEN bucket % 20 = 0 THEN '' WHEN bucket % 7 = 3 THEN replace(p, ' ', chr(160)) ELSE p END AS prediction
+  FROM raw
+)"""
+
+# the rows that metrics score: some samples twice, each row under a number of its own
+ROWS = PAIRS + """,
+scored_rows AS (
+  SELECT model, row_number() OVER () AS sample_id, prompt, reference, prediction
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM pairs WHERE bucket % 50 = 7)
 )"""
+# Python's white space
+SPACE = "[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 
 SQL["pair_ref_pred"] = f"""WITH {PAIRS}
 SELECT model, sample_id, length(reference) AS ref_chars, length(prediction) AS pred_chars FROM pairs"""
@@ -309,7 +330,7 @@ def _rouge_tok(x: str) -> str:
 
 
 def _bleu_tok(x: str) -> str:
-    s = f"regexp_replace(coalesce({x}, ''), '\\s+$', '')"
+    s = f"regexp_replace(coalesce({x}, ''), '{SPACE}+$', '')"
     for a, b in (("<skipped>", ""), ("-' || chr(10) || '", ""), ("' || chr(10) || '", " "),
                  ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
         s = f"replace({s}, '{a}', '{b}')"
@@ -317,11 +338,11 @@ def _bleu_tok(x: str) -> str:
     for pat, rep in (("([{-~\\[-` -&(-+:-@/])", " \\1 "), ("([^0-9])([\\.,])", "\\1 \\2 "),
                      ("([\\.,])([^0-9])", " \\1 \\2"), ("([0-9])(-)", "\\1 \\2 ")):
         s = f"regexp_replace({s}, '{pat}', '{rep}', 'g')"
-    return f"list_filter(regexp_split_to_array({s}, '[ \\t\\n\\x0B\\f\\r]+'), lambda t: t <> '')"
+    return f"list_filter(regexp_split_to_array({s}, '{SPACE}+'), lambda t: t <> '')"
 
 
 def _chars(x: str) -> str:
-    return f"regexp_replace(coalesce({x}, ''), '[ \\t\\n\\x0B\\f\\r]+', '', 'g')"
+    return f"regexp_replace(coalesce({x}, ''), '{SPACE}+', '', 'g')"
 
 
 def _word_grams(orders: str, sep: str = " ") -> str:
@@ -341,8 +362,8 @@ cnt AS (
 mt AS (SELECT model, sample_id, n, sum(least(cp, cr)) AS match FROM cnt GROUP BY model, sample_id, n)"""
 
 
-ROUGE_N = f"""WITH {PAIRS},
-tok AS (SELECT model, sample_id, {_rouge_tok('prediction')} AS pt, {_rouge_tok('reference')} AS rt FROM pairs),
+ROUGE_N = f"""WITH {ROWS},
+tok AS (SELECT model, sample_id, {_rouge_tok('prediction')} AS pt, {_rouge_tok('reference')} AS rt FROM scored_rows),
 {_word_grams('(1), (2)')},
 per AS (
   SELECT t.model, t.sample_id, o.n, greatest(len(t.pt) - o.n + 1, 0) AS hyp, greatest(len(t.rt) - o.n + 1, 0) AS ref,
@@ -355,8 +376,8 @@ SELECT model, 'rouge_rouge' || CAST(n AS VARCHAR) AS metric,
 FROM f GROUP BY model, n"""
 SQL["rouge_n"] = ROUGE_N
 
-BLEU = f"""WITH {PAIRS},
-tok AS (SELECT model, sample_id, {_bleu_tok('prediction')} AS pt, {_bleu_tok('reference')} AS rt FROM pairs),
+BLEU = f"""WITH {ROWS},
+tok AS (SELECT model, sample_id, {_bleu_tok('prediction')} AS pt, {_bleu_tok('reference')} AS rt FROM scored_rows),
 {_word_grams('(1), (2), (3), (4)')},
 ms AS (SELECT model, n, sum(match) AS match FROM mt GROUP BY model, n),
 tot AS (
@@ -381,8 +402,8 @@ SELECT a.model, 'bleu' AS metric,
 FROM agg a JOIN lens l USING (model)"""
 SQL["bleu_corpus"] = BLEU
 
-CHRF = f"""WITH {PAIRS},
-tok AS (SELECT model, sample_id, {_chars('prediction')} AS ps, {_chars('reference')} AS rs FROM pairs),
+CHRF = f"""WITH {ROWS},
+tok AS (SELECT model, sample_id, {_chars('prediction')} AS ps, {_chars('reference')} AS rs FROM scored_rows),
 ng AS (
   SELECT model, sample_id, o.n, 1 AS side, substring(ps, i, o.n) AS gram
   FROM tok, (VALUES (1), (2), (3), (4), (5), (6)) o(n), LATERAL (SELECT unnest(range(1, length(ps) - o.n + 2)) AS i)
@@ -395,7 +416,10 @@ cnt AS (
          sum(CASE WHEN side = 2 THEN 1 ELSE 0 END) AS cr
   FROM ng GROUP BY model, sample_id, n, gram
 ),
-st AS (SELECT model, n, sum(cp) AS hyp, sum(cr) AS ref, sum(least(cp, cr)) AS match FROM cnt GROUP BY model, n),
+seg AS (SELECT model, sample_id, n, sum(cp) AS hyp, sum(cr) AS ref, sum(least(cp, cr)) AS match
+        FROM cnt GROUP BY model, sample_id, n),
+st AS (SELECT model, n, sum(CASE WHEN ref > 0 THEN hyp ELSE 0 END) AS hyp, sum(ref) AS ref, sum(match) AS match
+       FROM seg GROUP BY model, n),
 pr AS (
   SELECT model,
     sum(CASE WHEN hyp > 0 AND ref > 0 THEN match / hyp ELSE 0 END) AS sp,
@@ -727,8 +751,8 @@ SELECT true AS use_fine_tuned, true AS use_baseline, (SELECT count(DISTINCT samp
 # ROUGE-L: LCS by a recursive CTE over reference tokens. Row i of the DP table is
 # L[i][j] = max over k <= j of (a_i = b_k ? L[i-1][k-1] + 1 : L[i-1][k]), i.e. a
 # running max over j of a value built from the previous row with lag().
-ROUGE_L = f"""WITH RECURSIVE {PAIRS},
-tok AS (SELECT model, sample_id, {_rouge_tok('reference')} AS rt, {_rouge_tok('prediction')} AS pt FROM pairs),
+ROUGE_L = f"""WITH RECURSIVE {ROWS},
+tok AS (SELECT model, sample_id, {_rouge_tok('reference')} AS rt, {_rouge_tok('prediction')} AS pt FROM scored_rows),
 bt AS (
   SELECT model, sample_id, j, CASE WHEN j = 0 THEN NULL ELSE pt[j] END AS b, len(rt) AS n
   FROM tok, LATERAL (SELECT unnest(range(0, len(pt) + 1)) AS j)

@@ -311,19 +311,19 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
 @register
 def q_rouge_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import rouge_n
-    return _r6(rouge_n(FX.pairs(spark, sf_dir)), "value")
+    return _r6(rouge_n(FX.metric_pairs(spark, sf_dir)), "value")
 
 
 @register
 def q_rouge_n_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import rouge_n
-    return _r6(rouge_n(FX.pairs(spark, sf_dir), stem=True), "value")
+    return _r6(rouge_n(FX.metric_pairs(spark, sf_dir), stem=True), "value")
 
 
 @register
 def q_rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import rouge_l
-    return _r6(rouge_l(FX.pairs(spark, sf_dir)), "value")
+    return _r6(rouge_l(FX.metric_pairs(spark, sf_dir)), "value")
 
 
 @register
@@ -346,13 +346,13 @@ def q_stem_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_bleu_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import bleu
-    return _r6(bleu(FX.pairs(spark, sf_dir)), "value")
+    return _r6(bleu(FX.metric_pairs(spark, sf_dir)), "value")
 
 
 @register
 def q_chrf_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import chrf
-    return _r6(chrf(FX.pairs(spark, sf_dir)), "value")
+    return _r6(chrf(FX.metric_pairs(spark, sf_dir)), "value")
 
 
 @register
