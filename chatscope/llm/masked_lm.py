@@ -42,6 +42,7 @@ DIM, HIDDEN = 8, 32
 WARM_DOCS, WARM_CHARS = 2000, 50_000
 FAN_IN = 64
 BATCH = 1 << 15
+_REMEMBERED = 200_000  # words a task keeps the ids of
 _COUNT_LIMIT = 200_000  # distinct words a counting task holds before it hands on partial sums
 
 
@@ -50,10 +51,13 @@ def split_words(text: str | None) -> list[bytes]:
 
 
 class Vocabulary(dict):
-    """word -> id; words outside the frequent ones hash by their ending."""
+    """word -> id; words outside the frequent ones hash by their ending (and are remembered, up to a bound)."""
 
     def __missing__(self, word: bytes) -> int:
-        return FREQUENT + zlib.crc32(word[-3:]) % (VOCAB - FREQUENT)
+        i = FREQUENT + zlib.crc32(word[-3:]) % (VOCAB - FREQUENT)
+        if len(self) < _REMEMBERED:
+            self[word] = i
+        return i
 
     def ids(self, text: str | None) -> np.ndarray:
         words = split_words(text)
@@ -128,13 +132,17 @@ class Windows:
         return cls(ctx, line[at], owner)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+_ONES = np.ones(SIDE, dtype=np.float32)
+
+
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of the logits (clipped in place to +-40, so that no maximum need be taken) and their row sums."""
+    e = np.exp(np.clip(logits, -40, 40, out=logits))
+    return e, e @ _ONES.astype(e.dtype, copy=False)
 
 
 def _by_class(cls: np.ndarray):
-    order = np.argsort(cls, kind="stable")
+    order = np.argsort(cls.astype(np.uint8), kind="stable")  # a radix sort
     cuts = np.searchsorted(cls[order], np.arange(SIDE + 1))
     return [(c, order[cuts[c]:cuts[c + 1]]) for c in range(SIDE) if cuts[c] < cuts[c + 1]]
 
@@ -148,12 +156,25 @@ def log_probs(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.n
     v = views(flat)
     _, h = _hidden(v, context)
     cls, member = target // SIDE, target % SIDE
-    out = _log_softmax(h @ v["wc"] + v["bc"])[np.arange(len(target)), cls].astype(np.float64)
+
+    def of(logits, k):
+        _, total = _exponentials(logits)
+        return logits[np.arange(len(k)), k] - np.log(total)
+
+    out = of(h @ v["wc"] + v["bc"], cls).astype(np.float64)
     for c, rows in _by_class(cls):
-        out[rows] += _log_softmax(h[rows] @ v["ww"][c] + v["bw"][c])[np.arange(len(rows)), member[rows]]
+        out[rows] += of(h[rows] @ v["ww"][c] + v["bw"][c], member[rows])
     return out
 
 
+def _residual(logits: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Derivative of the log-probability of ``k`` by the logits."""
+    e, total = _exponentials(logits)
+    e *= (-1 / total)[:, None]
+    e[np.arange(len(k)), k] += 1
+    return e
+
+
 def gradient(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Mean gradient of the log-probability with respect to all weights."""
     v, g = views(flat), np.zeros(N_WEIGHTS, dtype=np.float32)
@@ -161,23 +182,21 @@ def gradient(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.nd
     n = len(target)
     x, h = _hidden(v, context)
     cls, member = target // SIDE, target % SIDE
-    e = -np.exp(_log_softmax(h @ v["wc"] + v["bc"]))
-    e[np.arange(n), cls] += 1
-    d["wc"][:], d["bc"][:] = h.T @ e / n, e.sum(axis=0) / n
+    e = _residual(h @ v["wc"] + v["bc"], cls)
+    d["wc"][:], d["bc"][:] = h.T @ e, e.sum(axis=0)
     dh = e @ v["wc"].T
     for c, rows in _by_class(cls):
         hr = h[rows]
-        e = -np.exp(_log_softmax(hr @ v["ww"][c] + v["bw"][c]))
-        e[np.arange(len(rows)), member[rows]] += 1
-        d["ww"][c], d["bw"][c] = hr.T @ e / n, e.sum(axis=0) / n
+        e = _residual(hr @ v["ww"][c] + v["bw"][c], member[rows])
+        d["ww"][c], d["bw"][c] = hr.T @ e, e.sum(axis=0)
         dh[rows] += e @ v["ww"][c].T
     dz = dh * (1 - h * h)
-    d["w1"][:], d["b1"][:] = x.T @ dz / n, dz.sum(axis=0) / n
-    dx = dz @ v["w1"].T
-    for p in range(2 * REACH):
-        for k in range(DIM):
-            d["emb"][:, k] += np.bincount(context[:, p], weights=dx[:, p * DIM + k], minlength=VOCAB + 1) / n
-    return g
+    d["w1"][:], d["b1"][:] = x.T @ dz, dz.sum(axis=0)
+    dx = (dz @ v["w1"].T).reshape(-1, DIM)
+    at = context.reshape(-1)
+    for k in range(DIM):
+        d["emb"][:, k] = np.bincount(at, weights=dx[:, k], minlength=VOCAB + 1)
+    return g / n
 
 
 class Trainer:
