@@ -314,8 +314,8 @@ pairs AS (
 # the rows that metrics score: some samples twice, each row under a number of its own
 ROWS = PAIRS + """,
 scored_rows AS (
-  SELECT model, row_number() OVER () AS sample_id, prompt, reference, prediction
-  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM pairs WHERE bucket % 50 = 7)
+  SELECT model, row_number() OVER (ORDER BY model, sample_id, copy) AS sample_id, prompt, reference, prediction
+  FROM (SELECT *, 1 AS copy FROM pairs UNION ALL SELECT *, 2 AS copy FROM pairs WHERE bucket % 50 = 7)
 )"""
 # Python's white space
 SPACE = "[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
@@ -362,8 +362,106 @@ cnt AS (
 mt AS (SELECT model, sample_id, n, sum(least(cp, cr)) AS match FROM cnt GROUP BY model, sample_id, n)"""
 
 
+def _cv(x: str) -> str:
+    """Consonant/vowel pattern of a word: C and V, with y a vowel after a consonant."""
+    e = f"regexp_replace(regexp_replace({x}, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g')"
+    for _ in range(3):
+        e = f"regexp_replace(regexp_replace({e}, '(^|V)y', '\\1C', 'g'), 'Cy', 'CV', 'g')"
+    return e
+
+
+M_POS, M_ONE, M_TWO = "regexp_matches(c, '^C*V+C')", "regexp_matches(c, '^C*V+C+V*$')", "regexp_matches(c, '^C*V+C+V+C')"
+CVC = "(c = 'VC' OR regexp_matches(c, 'CVC$') AND NOT regexp_matches(r, '[wxy]$'))"
+
+
+def _suffix_step(prev: str, name: str, table, cond: str) -> str:
+    """Strip the longest matching suffix of ``w`` and put its replacement where ``cond`` holds for the rest."""
+    table = sorted(table, key=lambda t: -len(t[0]))
+    size = " ".join(f"WHEN ends_with(w, '{a}') THEN {len(a)}" for a, _ in table)
+    rep = " ".join(f"WHEN ends_with(w, '{a}') THEN '{b}'" for a, b in table)
+    return f"""
+{name}_a AS (SELECT token, w, CASE {size} ELSE 0 END AS cut, CASE {rep} END AS rep FROM {prev}),
+{name}_b AS (SELECT *, left(w, length(w) - cut) AS r FROM {name}_a),
+{name}_c AS (SELECT *, {_cv('r')} AS c FROM {name}_b),
+{name} AS (SELECT token, CASE WHEN cut > 0 AND {cond} THEN r || rep ELSE w END AS w FROM {name}_c)"""
+
+
+# Porter's steps as public ROUGE packages run them (NLTK's extended variant), on words(token).
+STEMS = f"""
+irregular(token, stem) AS (VALUES ('skies', 'sky'), ('dying', 'die'), ('lying', 'lie'), ('tying', 'tie'), ('news', 'news'),
+  ('innings', 'inning'), ('inning', 'inning'), ('outings', 'outing'), ('outing', 'outing'), ('cannings', 'canning'),
+  ('canning', 'canning'), ('howe', 'howe'), ('proceed', 'proceed'), ('exceed', 'exceed'), ('succeed', 'succeed')),
+s1a AS (
+  SELECT token, CASE WHEN length(token) = 4 AND ends_with(token, 'ies') THEN left(token, 3)
+    WHEN ends_with(token, 'sses') OR ends_with(token, 'ies') THEN left(token, length(token) - 2)
+    WHEN ends_with(token, 'ss') THEN token WHEN ends_with(token, 's') THEN left(token, length(token) - 1) ELSE token END AS w
+  FROM words WHERE length(token) > 3
+),
+s1b_a AS (
+  SELECT token, w, CASE WHEN ends_with(w, 'ied') THEN 'ied' WHEN ends_with(w, 'eed') THEN 'eed'
+    WHEN ends_with(w, 'ed') AND contains({_cv('left(w, length(w) - 2)')}, 'V') THEN 'ed'
+    WHEN ends_with(w, 'ing') AND contains({_cv('left(w, length(w) - 3)')}, 'V') THEN 'ing' ELSE '' END AS suf FROM s1a
+),
+s1b_b AS (SELECT *, left(w, length(w) - length(suf)) AS r FROM s1b_a),
+s1b_c AS (SELECT *, {_cv('r')} AS c FROM s1b_b),
+s1b AS (
+  SELECT token, CASE
+    WHEN suf = '' THEN w
+    WHEN suf = 'ied' THEN left(w, CASE WHEN length(w) = 4 THEN 3 ELSE length(w) - 2 END)
+    WHEN suf = 'eed' THEN CASE WHEN {M_POS} THEN left(w, length(w) - 1) ELSE w END
+    WHEN regexp_matches(r, '(at|bl|iz)$') THEN r || 'e'
+    WHEN length(r) > 1 AND right(r, 1) = left(right(r, 2), 1) AND ends_with(c, 'C')
+      THEN CASE WHEN regexp_matches(r, '[lsz]$') THEN r ELSE left(r, length(r) - 1) END
+    WHEN {M_ONE} AND {CVC} THEN r || 'e' ELSE r END AS w FROM s1b_c
+),
+s1c AS (
+  SELECT token, CASE WHEN ends_with(w, 'y') AND length(w) > 2 AND ends_with({_cv('left(w, length(w) - 1)')}, 'C')
+    THEN left(w, length(w) - 1) || 'i' ELSE w END AS w FROM s1b
+),
+{_suffix_step('s1c', 's2l', [('logi', 'log')], M_POS.replace('c,', _cv("(r || 'l')") + ',')).strip()},
+{_suffix_step("(SELECT token, CASE WHEN ends_with(w, 'logi') THEN w || '.' ELSE w END AS w FROM s2l)", 's2x', [
+    ('ational', 'ate'), ('tional', 'tion'), ('enci', 'ence'), ('anci', 'ance'), ('izer', 'ize'), ('bli', 'ble'), ('alli', 'al'),
+    ('entli', 'ent'), ('eli', 'e'), ('ousli', 'ous'), ('ization', 'ize'), ('ation', 'ate'), ('ator', 'ate'), ('alism', 'al'),
+    ('iveness', 'ive'), ('fulness', 'ful'), ('ousness', 'ous'), ('aliti', 'al'), ('iviti', 'ive'), ('biliti', 'ble'),
+    ('fulli', 'ful')], M_POS).strip()},
+s2 AS (SELECT token, rtrim(w, '.') AS w FROM s2x),
+{_suffix_step('s2', 's3', [('icate', 'ic'), ('ative', ''), ('alize', 'al'), ('iciti', 'ic'), ('ical', 'ic'), ('ful', ''),
+                          ('ness', '')], M_POS).strip()},
+{_suffix_step('s3', 's4', [(x, '') for x in ('al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize'
+                                            ).split()], M_TWO + " AND (NOT ends_with(w, 'ion') OR regexp_matches(r, '[st]$'))").strip()},
+{_suffix_step('s4', 's5a', [('e', '')], f"({M_TWO} OR {M_ONE} AND NOT {CVC})").strip()},
+s5b AS (SELECT token, w, {_cv('w')} AS c FROM s5a),
+stems AS (
+  SELECT words.token, coalesce(irregular.stem, CASE WHEN ends_with(w, 'll') AND {M_TWO} THEN left(w, length(w) - 1) ELSE w END,
+                               words.token) AS stem
+  FROM words LEFT JOIN irregular USING (token) LEFT JOIN s5b USING (token)
+)"""
+
+SQL["stem_vocabulary"] = f"""WITH {PAIRS},
+words AS (
+  SELECT DISTINCT token FROM (SELECT unnest({_rouge_tok('prediction')}) AS token FROM pairs
+                              UNION ALL SELECT unnest({_rouge_tok('reference')}) FROM pairs)),
+{STEMS}
+SELECT token, stem FROM stems"""
+
+PLAIN_TOK = f"""tok AS (
+  SELECT model, sample_id, {_rouge_tok('prediction')} AS pt, {_rouge_tok('reference')} AS rt FROM scored_rows)"""
+
+
+def _stem_list(col: str) -> str:
+    return f"""(SELECT sample_id, list(stem ORDER BY i) AS l
+    FROM (SELECT sample_id, unnest({col}) AS token, generate_subscripts({col}, 1) AS i FROM tok0) JOIN stems USING (token) GROUP BY 1)"""
+
+
+STEMMED_TOK = f"""{PLAIN_TOK.replace('tok AS', 'tok0 AS')},
+words AS (SELECT DISTINCT token FROM (SELECT unnest(pt) AS token FROM tok0 UNION ALL SELECT unnest(rt) FROM tok0)),
+{STEMS},
+tok AS (
+  SELECT t.model, t.sample_id, coalesce(p.l, []::VARCHAR[]) AS pt, coalesce(r.l, []::VARCHAR[]) AS rt
+  FROM tok0 t LEFT JOIN {_stem_list('pt')} p USING (sample_id) LEFT JOIN {_stem_list('rt')} r USING (sample_id))"""
+
 ROUGE_N = f"""WITH {ROWS},
-tok AS (SELECT model, sample_id, {_rouge_tok('prediction')} AS pt, {_rouge_tok('reference')} AS rt FROM scored_rows),
+{PLAIN_TOK},
 {_word_grams('(1), (2)')},
 per AS (
   SELECT t.model, t.sample_id, o.n, greatest(len(t.pt) - o.n + 1, 0) AS hyp, greatest(len(t.rt) - o.n + 1, 0) AS ref,
@@ -375,6 +473,8 @@ SELECT model, 'rouge_rouge' || CAST(n AS VARCHAR) AS metric,
        round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END), 6) AS value
 FROM f GROUP BY model, n"""
 SQL["rouge_n"] = ROUGE_N
+ROUGE_N_STEMMED = ROUGE_N.replace(PLAIN_TOK, STEMMED_TOK)
+SQL["rouge_n_stemmed"] = ROUGE_N_STEMMED
 
 BLEU = f"""WITH {ROWS},
 tok AS (SELECT model, sample_id, {_bleu_tok('prediction')} AS pt, {_bleu_tok('reference')} AS rt FROM scored_rows),
@@ -456,10 +556,6 @@ SELECT sample_id, round(p, 6) AS precision, round(r, 6) AS recall,
        round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1
 FROM pr"""
 
-SQL["metrics_long"] = (
-    "SELECT * FROM (" + ROUGE_N + ") UNION ALL SELECT * FROM (" + BLEU + ") UNION ALL SELECT * FROM (" + CHRF + ")"
-)
-
 
 # FX4 configs and the registry, through DuckDB's json_tree. Equality and matching are
 # stated on node rows: a stored config matches a request when every (path, value) of the
@@ -737,22 +833,11 @@ SELECT model, 'judge_accuracy' AS metric, round(a, 6) AS value, n_failed FROM a
 UNION ALL SELECT model, 'judge_relevance', round(r, 6), n_failed FROM a
 UNION ALL SELECT model, 'judge_tone', round(t, 6), n_failed FROM a"""
 
-SQL["eval_report"] = f"""WITH {PAIRS},
-ml AS (
-  SELECT * FROM ({ROUGE_N}) UNION ALL SELECT * FROM ({BLEU}) UNION ALL SELECT * FROM ({CHRF})
-  UNION ALL SELECT model, 'judge_accuracy', round(avg(length(prediction) % 11), 6) FROM pairs GROUP BY model
-  UNION ALL SELECT model, 'judge_relevance', round(avg(length(reference) % 11), 6) FROM pairs GROUP BY model
-  UNION ALL SELECT model, 'judge_tone', round(avg(length(prompt) % 11), 6) FROM pairs GROUP BY model
-)
-SELECT true AS use_fine_tuned, true AS use_baseline, (SELECT count(DISTINCT sample_id) FROM pairs) AS num_eval_samples,
-       model, metric, value FROM ml"""
-
-
 # ROUGE-L: LCS by a recursive CTE over reference tokens. Row i of the DP table is
 # L[i][j] = max over k <= j of (a_i = b_k ? L[i-1][k-1] + 1 : L[i-1][k]), i.e. a
 # running max over j of a value built from the previous row with lag().
 ROUGE_L = f"""WITH RECURSIVE {ROWS},
-tok AS (SELECT model, sample_id, {_rouge_tok('reference')} AS rt, {_rouge_tok('prediction')} AS pt FROM scored_rows),
+{PLAIN_TOK},
 bt AS (
   SELECT model, sample_id, j, CASE WHEN j = 0 THEN NULL ELSE pt[j] END AS b, len(rt) AS n
   FROM tok, LATERAL (SELECT unnest(range(0, len(pt) + 1)) AS j)
@@ -791,3 +876,39 @@ pr AS (
 SELECT model, 'rouge_rougeL' AS metric, round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END), 6) AS value
 FROM pr GROUP BY model"""
 SQL["rouge_l"] = ROUGE_L
+ROUGE_L_STEMMED = ROUGE_L.replace(PLAIN_TOK, STEMMED_TOK)
+
+# FX2L predictions are prefixes of their references, so the LCS has a closed form: all
+# prediction tokens where they are a prefix of the reference's; otherwise all but the last (cut) one,
+# and that too if it occurs in the reference at or after its own place.
+SQL["rouge_l_long"] = f"""
+WITH t AS (
+  SELECT doc_id, {_rouge_tok("substring(text, 1, length(text) // 2)")} AS pt, {_rouge_tok('text')} AS rt FROM documents
+),
+l AS (
+  SELECT doc_id, len(pt) AS np, len(rt) AS nr, CASE WHEN len(pt) = 0 OR len(rt) = 0 THEN 0
+    WHEN rt[1:len(pt)] = pt THEN len(pt)
+    ELSE len(pt) - 1 + list_contains(rt[len(pt):], pt[len(pt)])::INT END AS lcs FROM t
+)
+SELECT 'fine_tuned' AS model, doc_id AS sample_id, lcs::BIGINT AS lcs,
+  round(CASE WHEN lcs > 0 THEN 2.0 * (lcs / np) * (lcs / nr) / (lcs / np + lcs / nr) ELSE 0.0 END, 6) AS f1 FROM l"""
+
+# J7 and the report, with every metric on
+BERT = """
+SELECT model, 'bertscore_' || m AS metric, round(avg(v), 6) AS value
+FROM (SELECT CASE WHEN sample_id % 2 = 0 THEN 'fine_tuned' ELSE 'baseline' END AS model,
+        unnest(['precision', 'recall', 'f1']) AS m, unnest([p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END]) AS v
+      FROM pr) GROUP BY 1, 2"""
+BERT = SQL["embedding_match"].split("SELECT sample_id, round(p, 6)")[0] + BERT
+ALL_METRICS = " UNION ALL ".join(f"SELECT * FROM ({q})" for q in (ROUGE_N_STEMMED, ROUGE_L_STEMMED, BLEU, CHRF, BERT))
+SQL["metrics_long"] = ALL_METRICS
+
+SQL["eval_report"] = f"""WITH {PAIRS},
+ml AS (
+  {ALL_METRICS}
+  UNION ALL SELECT model, 'judge_accuracy', round(avg(length(prediction) % 11), 6) FROM pairs GROUP BY model
+  UNION ALL SELECT model, 'judge_relevance', round(avg(length(reference) % 11), 6) FROM pairs GROUP BY model
+  UNION ALL SELECT model, 'judge_tone', round(avg(length(prompt) % 11), 6) FROM pairs GROUP BY model
+)
+SELECT true AS use_fine_tuned, true AS use_baseline, (SELECT count(DISTINCT sample_id) FROM pairs) AS num_eval_samples,
+       model, metric, value FROM ml"""

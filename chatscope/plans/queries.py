@@ -328,7 +328,7 @@ def q_rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_rouge_l_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX2L: ROUGE-L over whole documents (scale/spill case, rows-only check)."""
+    """FX2L: ROUGE-L over whole documents."""
     from chatscope.operators.metrics import rouge_l_per_sample
     s = rouge_l_per_sample(FX.long_pairs(spark, sf_dir))
     return _r6(s.select("model", "sample_id", "lcs", "f1"), "f1")
@@ -364,7 +364,7 @@ def q_embedding_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import metrics_long
-    return _r6(metrics_long(FX.pairs(spark, sf_dir), rouge_l_=False), "value")
+    return _r6(metrics_long(FX.metric_pairs(spark, sf_dir), vectors=FX.model_vectors(spark, sf_dir)), "value")
 
 
 # ------------------------------------------------------------ config registry
@@ -531,7 +531,7 @@ def q_eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.sources.sinks import report_document, write_report
     pairs = FX.pairs(spark, sf_dir)
     judged = judge_aggregate(judge_batch(pairs, make_length_judge)).drop("n_failed")
-    m = metrics_long(pairs, rouge_l_=False).unionByName(judged)
+    m = metrics_long(FX.metric_pairs(spark, sf_dir), vectors=FX.model_vectors(spark, sf_dir)).unionByName(judged)
     n = pairs.select(F.count_distinct("sample_id")).scalar()
     doc = report_document(m, {"use_fine_tuned": True, "use_baseline": True, "num_eval_samples": n})
     path = _scratch(spark, "report")

@@ -34,6 +34,18 @@ def scored_stream(generations: DataFrame, targets: DataFrame, models: list[str])
     return score(extract_outputs(generations).join(t, ["model", "sample_id"], "inner"))
 
 
+def score_missing(scored: DataFrame, targets: DataFrame, models: list[str]) -> DataFrame:
+    """Scored rows of the targets that no generation has reached (run once the stream has ended).
+
+    A stream cannot know that a generation will never come; ``scored`` is what it has written.
+    """
+    t = targets.select("*", F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
+    left = t.join(scored.select("model", "sample_id"), ["model", "sample_id"], "left_anti")
+    none = left.withColumns({"output_names": F.lit(None).cast("array<string>"), "output_text": F.lit(None).cast("string"),
+                             "output_arguments": F.lit(None).cast("array<string>")})
+    return score(none)
+
+
 def start_scoring(spark: SparkSession, generations_path: str, targets: DataFrame, models: list[str],
                   out_path: str, name: str = "scoring", available_now: bool = True) -> StreamingQuery:
     """Write scored rows as Parquet; ``available_now`` processes what exists and stops."""

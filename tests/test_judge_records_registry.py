@@ -128,3 +128,107 @@ def test_run_slots_edge_cases(spark):
     assert slots(stored) == [(1, 7, True), (2, 7, True)]
     empty = spark.createDataFrame([], "run_id long, config string")
     assert slots(empty) == [(1, 1, False), (2, 1, False)]
+
+
+def test_judge_failures_do_not_depend_on_the_batch(spark):
+    """One failing row of forty gives one failed row, whatever the batch size."""
+    import pandas as pd
+
+    from chatscope.operators.judge import SYSTEM_PROMPT, judge_batch
+
+    def make(system_prompt):
+        def fn(prompts: pd.Series) -> pd.Series:
+            assert system_prompt == SYSTEM_PROMPT
+            if prompts.str.contains("poison").any():
+                raise ValueError("refused")
+            return prompts.map(lambda p: '{"accuracy": 5, "relevance": 6, "tone": %d}' % (len(p) % 7))
+        return fn
+
+    rows = [("m", i, "ask", "ref", "poison" if i == 17 else f"answer {i}") for i in range(40)]
+    pairs = spark.createDataFrame(rows, "model string, sample_id long, prompt string, reference string, prediction string").coalesce(1)
+    results = [{r.sample_id: (r.accuracy, r.tone, r.failed) for r in judge_batch(pairs, make, batch_size=n).collect()} for n in (1, 16, 64)]
+    assert results[0] == results[1] == results[2]
+    assert [i for i, r in results[0].items() if r[2]] == [17]
+
+
+def test_repair_leaves_string_contents_alone(spark):
+    from pyspark.sql import functions as F
+
+    from chatscope.operators.records import repair_json
+    cases = {
+        """{'a': 'Is it True, or None of these?', 'b': True,}""": {"a": "Is it True, or None of these?", "b": True},
+        """["pick [a, ] or {b , }", None, ]""": ["pick [a, ] or {b , }", None],
+        '{"quote": "say \\"None, ]\\" now", "x": False}': {"quote": 'say "None, ]" now', "x": False},
+        "\ufeff{a: 1, 'b': [True, {},],}": {"a": 1, "b": [True, {}]},
+        '{"ok": "True"}': {"ok": "True"}, "{broken": None,
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, s string")
+    got = {r.i: r.j for r in df.select("i", F.to_json(repair_json("s")).alias("j")).collect()}
+    assert [json.loads(got[i]) if got[i] else None for i in range(len(cases))] == list(cases.values())
+
+
+def test_messages_are_validated_and_never_left_out(spark):
+    from pyspark.sql import functions as F
+
+    from chatscope.operators.records import parse_records, unwrap_singleton
+    from chatscope.operators.template import with_rendered
+    rec = lambda m: '{"messages": %s, "tools": [], "metadata": "train"}' % m
+    lines = [rec('[{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]'), rec('[{"content": "no role"}]'),
+             rec('["text"]'), rec('[{"role": "assistant", "tool_calls": [{"function": {"arguments": {}}}]}]'),
+             '{"messages": [], "messages": [], "tools": [], "metadata": "x"}', '{"a": 1, "a": 2'] 
+    p = parse_records(spark.createDataFrame(list(enumerate(lines)), "sample_id long, text string"))
+    assert {r.sample_id: r.reason for r in p.collect()} == {
+        0: None, 1: "message_without_role", 2: "message_not_object", 3: "call_without_name", 4: "duplicate_key", 5: "invalid_json"}
+    turns = spark.sql("SELECT 1 AS i, array(named_struct('role', CAST(NULL AS STRING), 'content', 'lost?', 'tool_calls', "
+                      "CAST(array() AS array<struct<name:string,arguments:array<struct<key:string,value:string>>>>)),"
+                      "named_struct('role', 'user', 'content', 'x', 'tool_calls', "
+                      "array(named_struct('name', CAST(NULL AS STRING), 'arguments', "
+                      "CAST(array() AS array<struct<key:string,value:string>>))))) AS messages")
+    full = with_rendered(turns, "messages").first().full
+    assert full.count("<start_of_turn>") == 2 and "lost?" in full and "call:{}" in full
+    nests = ["[[[[1, 2]]]]", "[[1],[2]]", "[[]]", "[3]", "{}", "[" * 40 + "5" + "]" * 40, "[[[1],[2]]]"]
+    df = spark.createDataFrame(list(enumerate(nests)), "i int, s string")
+    got = {r.i: r.u for r in df.select("i", F.to_json(unwrap_singleton(F.try_parse_json("s"))).alias("u")).collect()}
+    assert got == {0: "[1,2]", 1: "[[1],[2]]", 2: "[]", 3: "[3]", 4: "{}", 5: "[5]", 6: "[[1],[2]]"}
+
+
+def test_cached_dataset_serves_whole_tables_only(spark, tmp_path):
+    from chatscope.sources.readers import cached_dataset
+    path, built = f"{tmp_path}/cache", []
+
+    def build():
+        built.append(1)
+        return spark.range(5)
+
+    assert cached_dataset(spark, path, build).count() == 5 and cached_dataset(spark, path, build).count() == 5 and len(built) == 1
+    assert [x.name for x in tmp_path.iterdir()] == ["cache"]
+    spark.range(3).write.parquet(f"{tmp_path}/half")
+    (tmp_path / "half" / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError, match="no complete table"):
+        cached_dataset(spark, f"{tmp_path}/half", build)
+
+    def slow():  # another builder finishes first
+        spark.range(7).write.parquet(f"{tmp_path}/race")
+        return spark.range(9)
+
+    assert cached_dataset(spark, f"{tmp_path}/race", slow).count() == 7
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["cache", "half", "race"]
+
+
+def test_shared_dir_is_read_never_set(spark):
+    from chatscope import session
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+    class Bare:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master, applicationId = "spark://host:7077", "app"
+            _jsc = spark.sparkContext._jsc
+
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(Bare)
+        Bare.sparkContext.master = "local[2]"
+        assert session.shared_dir(Bare) == session.shared_dir(Bare)

@@ -5,10 +5,21 @@ import random
 
 import pytest
 
-from chatscope.functions.lcs import lcs_dp, lcs_length
+from chatscope.functions.lcs import lcs_length
 from chatscope.functions.porter import stem
 
 
+def lcs_dp(a, b):
+    """Plain dynamic programme."""
+    prev = [0] * (len(b) + 1)
+    for x in a or ():
+        cur = [0]
+        for j, y in enumerate(b, 1):
+            cur.append(prev[j - 1] + 1 if x == y else max(prev[j], cur[j - 1]))
+        prev = cur
+    return prev[-1]
+
+
 def test_lcs_bit_parallel_equals_dp():
     rng = random.Random(7)
     for _ in range(2000):
@@ -32,6 +43,14 @@ def test_porter(word, expected):
     assert stem(word) == expected
 
 
+@pytest.mark.parametrize("word,plain,extended", [
+    ("dying", "dy", "die"), ("news", "new", "news"), ("innings", "in", "inning"), ("dies", "di", "die"), ("died", "di", "die"),
+    ("enjoy", "enjoi", "enjoy"), ("happy", "happi", "happi"), ("possibly", "possibli", "possibl"),
+    ("carefully", "carefulli", "care"), ("geology", "geologi", "geolog"), ("skies", "ski", "sky"), ("applied", "appli", "appli")])
+def test_stem_variants(word, plain, extended):
+    assert stem(word, extended=False) == plain and stem(word) == extended
+
+
 def _pairs(spark, rows):
     return spark.createDataFrame([("m", i, "", r, p) for i, (r, p) in enumerate(rows)],
                                  "model string, sample_id long, prompt string, reference string, prediction string")
@@ -73,6 +92,56 @@ def test_rouge_l_symmetric_f1_and_empty(spark):
     assert rouge_l_per_sample(_pairs(spark, [("x y", "")])).first()["f1"] == 0.0
 
 
+def test_white_space_is_pythons(spark):
+    from pyspark.sql import functions as F
+
+    from chatscope.functions import ngrams as NG
+    from chatscope.functions.text import py_strip
+    texts = ["a\u00a0b c", "\x1c x\u2003y\u3000", "\u200bz\x85", "tab\tnl\n", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(NG.bleu13a_tokens("t").alias("b"), NG.chrf_chars("t").alias("c"), py_strip("t").alias("s")).collect()
+    assert [r.b for r in got] == [t.split() for t in texts]
+    assert ["".join(r.c) for r in got] == ["".join(t.split()) for t in texts]
+    assert [r.s for r in got] == [t.strip() for t in texts]
+    assert df.select(F.count("*")).first()[0] == len(texts)
+
+
+def test_repeated_samples_count_twice(spark):
+    from chatscope.operators import metrics as M
+    rows = [("m", 1, "a b c d e f", "a b c d e f"), ("m", 1, "a b c d e f", "a b x y z w"), ("m", 1, "a b c d e f", "a b x y z w"),
+            ("m", 2, "p q r s", "p q r s")]
+    both = spark.createDataFrame(rows, "model string, sample_id long, reference string, prediction string")
+    apart = spark.createDataFrame([(m, i, r, p) for i, (m, _, r, p) in enumerate(rows)],
+                                  "model string, sample_id long, reference string, prediction string")
+    for metric in (M.rouge_n, M.rouge_l, M.bleu, M.chrf):
+        a, b = ({r.metric: r.value for r in metric(df).collect()} for df in (both, apart))
+        assert a.keys() == b.keys() and all(math.isclose(a[k], b[k], rel_tol=1e-12) for k in a)
+
+
+def test_chrf_leaves_out_hypotheses_without_reference_grams(spark):
+    """Hypothesis n-grams of a segment count only for orders that its reference has."""
+    from chatscope.operators.metrics import chrf_stats
+    rows = {r.n: r for r in chrf_stats(_pairs(spark, [("ab", "abcdef"), ("abcd", "abcd")])).collect()}
+    assert [rows[n].hyp for n in range(1, 5)] == [6 + 4, 5 + 3, 2, 1]
+
+
+def test_metric_selection(spark):
+    from chatscope.operators.metrics import metrics_long
+    pairs = _pairs(spark, [("the running dogs", "a running dog")])
+    with pytest.raises(ValueError, match="no metric"):
+        metrics_long(pairs, rouge=False, bleu_=False, chrf_=False)
+    got = {r.metric: r.value for r in metrics_long(pairs, bleu_=False, chrf_=False, rouge_keys=("rouge1", "rougeL")).collect()}
+    assert set(got) == {"rouge_rouge1", "rouge_rougeL"} and math.isclose(got["rouge_rouge1"], 2 / 3)  # dogs and dog share a stem
+    plain = metrics_long(pairs, bleu_=False, chrf_=False, rouge_keys=("rouge1",), stem=False).first()
+    assert math.isclose(plain.value, 1 / 3)
+    vectors = spark.createDataFrame([("m", 1, "pred", 0, [1.0, 0.0]), ("m", 1, "ref", 0, [0.0, 1.0]), ("m", 1, "ref", 1, [2.0, 0.0]),
+                                     ("n", 1, "pred", 0, [1.0, 1.0])],
+                                    "model string, sample_id long, side string, pos long, embedding array<double>")
+    bert = {(r.model, r.metric): r.value for r in metrics_long(pairs, rouge=False, bleu_=False, chrf_=False, vectors=vectors).collect()}
+    assert bert == {("m", "bertscore_precision"): 1.0, ("m", "bertscore_recall"): 0.5, ("m", "bertscore_f1"): 2 / 3,
+                    **{("n", f"bertscore_{k}"): 0.0 for k in ("precision", "recall", "f1")}}
+
+
 def test_chrf_identity(spark):
     from chatscope.operators.metrics import chrf
     v = chrf(_pairs(spark, [("hello world", "hello world")])).first()["value"]

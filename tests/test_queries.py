@@ -6,7 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from chatscope.plans.oracle import SQL
+from chatscope.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
+from tests.test_metrics import lcs_dp
 
 TABLES = ["events", "documents", "embeddings", "benchmark", "conversations"]
 
@@ -49,9 +52,9 @@ def test_matches_oracle_sf0001(spark, duck, name):
     assert _rows(cols, sdf.collect()) == _rows(cols, drows)
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"rouge_l_long", "rouge_n_stemmed", "stem_vocabulary"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(SQL)
+    assert set(SQL) <= set(E.oracle_sql()) and set(QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", ["rouge_n", "scored_frame", "assign_run_slot"])
@@ -75,7 +78,6 @@ def test_rouge_l_against_brute_force(spark):
     """Per-sample ROUGE-L against a plain-DP Python computation on the sf0.001 pairs."""
     import re
 
-    from chatscope.functions.lcs import lcs_dp
     from chatscope.operators.metrics import rouge_l_per_sample
     from chatscope.plans import fixtures as FX
     pairs = FX.pairs(spark, SF_SMALL)

@@ -18,11 +18,14 @@ def test_consecutive_index_is_exact_permutation(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_spread_only_when_too_few_partitions(spark):
-    from chatscope.plans.fixtures import spread
-    from chatscope.session import parallelism
-    cores = parallelism(spark)
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(many, "id").rdd.getNumPartitions() == cores * 2
-    one = spark.range(0, 1000, numPartitions=1)
-    assert spread(one, "id").rdd.getNumPartitions() == cores
+def test_tables_are_spread_only_where_the_session_says_so(spark):
+    from chatscope.plans import fixtures as FX
+    from tests.conftest import SF_SMALL
+    assert FX.table(spark, SF_SMALL, "events").rdd.getNumPartitions() == int(spark.conf.get(FX.SPREAD_CONF))
+    before = spark.conf.get(FX.SPREAD_CONF)
+    spark.conf.unset(FX.SPREAD_CONF)
+    try:
+        plain = FX.table(spark, SF_SMALL, "events")
+        assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(FX.SPREAD_CONF, before)

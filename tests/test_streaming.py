@@ -11,7 +11,7 @@ def test_stream_equals_batch(spark):
     from chatscope.operators import scoring as S
     from chatscope.operators.records import parse_records, split_filter, valid
     from chatscope.plans import fixtures as FX
-    from chatscope.streaming.scoring import start_scoring
+    from chatscope.streaming.scoring import score_missing, start_scoring
 
     targets = S.eval_targets(split_filter(valid(parse_records(FX.tool_records(spark, SF_SMALL))), "eval"))
     gens = FX.generations(spark, SF_SMALL)
@@ -20,7 +20,10 @@ def test_stream_equals_batch(spark):
     gens.write.mode("overwrite").json(src)
     q = start_scoring(spark, src, targets, ["fine_tuned", "baseline"], out, name="t" + src[-6:])
     q.awaitTermination(300)
-    got = spark.read.parquet(out).select("model", "sample_id", "correct")
+    written = spark.read.parquet(out)
+    missing = score_missing(written, targets, ["fine_tuned", "baseline"])
+    assert missing.count() > 0 and missing.where("correct").count() == 0
+    got = written.unionByName(missing).select("model", "sample_id", "correct")
     want = S.score(S.align_generations(targets, S.extract_outputs(gens), ["fine_tuned", "baseline"])) \
         .select("model", "sample_id", "correct")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
