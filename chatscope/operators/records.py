@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatscope.functions.text import col_of
+from chatscope.operators.sampling import first_row
 from chatscope.schemas import CALL
 
 # Fixed reason codes, in the order they are checked.
@@ -112,7 +113,7 @@ def unwrap_singleton(v: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(opens, F.lit(1))), v, step)
 
 
-def _fence(df: DataFrame, **cols: Column) -> DataFrame:
+def fence(df: DataFrame, **cols: Column) -> DataFrame:
     """Materialise expensive columns once per row.
 
     A one-element ``inline`` is a Generate node: filters on its output cannot
@@ -153,10 +154,10 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
     """A2 + C2 + D1–D3: add ``messages``, ``tools_json``, ``split``, ``decoded_from`` and ``reason``.
 
     All other input columns are kept. Map-only: no shuffle. The record is
-    parsed once and its fields decoded once (``_fence``); validity checks are
+    parsed once and its fields decoded once (``fence``); validity checks are
     cheap tests on those values.
     """
-    out = _fence(df, _rec=F.try_parse_json(F.col(text_col)))
+    out = fence(df, _rec=F.try_parse_json(F.col(text_col)))
     rec = F.col("_rec")
     raw_m = F.try_variant_get(rec, "$.messages", "variant")
     raw_t = F.try_variant_get(rec, "$.tools", "variant")
@@ -166,7 +167,7 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
         m_val = unwrap_singleton(m_val)
     # the text parsed as JSON, so it is an object exactly when it opens with a brace
     is_obj = rec.isNotNull() & F.regexp_like(F.col(text_col), F.lit(r"^[ \t\n\r]*\{"))
-    out = _fence(out, _obj=is_obj, _m_raw=raw_m, _t_raw=raw_t, _m=m_val, decoded_from=m_how, _t=t_val,
+    out = fence(out, _obj=is_obj, _m_raw=raw_m, _t_raw=raw_t, _m=m_val, decoded_from=m_how, _t=t_val,
                  _meta=F.try_variant_get(rec, "$.metadata", "string"))
     items = F.try_variant_get(F.col("_m"), "$", "array<variant>")
     checks = [
@@ -198,6 +199,26 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
                .drop("_rec", "_obj", "_m_raw", "_t_raw", "_m", "_t", "_meta"))
 
 
+def first_tools(raw: DataFrame, order: str, text_col: str = "text") -> str:
+    """The tools of the first valid record by ``order``.
+
+    Only the first rows are parsed, ever more of them until one is valid. A table
+    without a valid record, or whose first one has no tools, is an error (C6).
+    """
+    n = 16
+    while True:
+        head = raw.select(order, text_col).orderBy(order).limit(n)
+        row = first_row(valid(parse_records(head, text_col)), order).select("tools_json").first()
+        if row or head.count() < n:
+            break
+        n *= 16
+    if row is None:
+        raise ValueError("no valid record to take the tools from")
+    if row.tools_json in ("[]", "null"):
+        raise ValueError("the first valid record has no tools")
+    return row.tools_json
+
+
 def valid(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull()).drop("reason")
 

@@ -43,9 +43,12 @@ def consecutive_index(df: DataFrame, order: list[str] | str, name: str = "idx")
 
 
 def shuffle_seeded(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
-    """K1: deterministic shuffle; adds ``rank`` (0-based position in shuffled order)."""
-    keyed = df.withColumn("_k", shuffle_key(id_col, seed))
-    return consecutive_index(keyed, ["_k", id_col], "rank").drop("_k")
+    """K1: deterministic shuffle; adds ``rank`` (0-based position in shuffled order).
+
+    Only the (unique) ids are sorted and numbered; the rows meet their ranks in a join on the id.
+    """
+    ranks = consecutive_index(df.select(id_col, shuffle_key(id_col, seed).alias("_k")), ["_k", id_col], "rank").drop("_k")
+    return df.join(ranks, id_col)
 
 
 def sample_rows(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatscope.functions import toolcalls as TC
+from chatscope.operators.records import fence
 
 EMPTY_CALLS = "array<struct<name:string,arguments:array<struct<key:string,value:string>>,arguments_json:string>>"
 
@@ -41,15 +42,6 @@ def align_generations(targets: DataFrame, generations: DataFrame, models: list[s
     return t.join(generations, ["model", "sample_id"], "left")
 
 
-def generations_for(generations: DataFrame, targets: DataFrame) -> DataFrame:
-    """Keep only generations that have a target (left-semi join on ``sample_id``).
-
-    Extraction then runs on the rows that will be scored, not on every
-    generation; the semi join ships only the target keys.
-    """
-    return generations.join(targets.select("sample_id"), "sample_id", "left_semi")
-
-
 def extract_outputs(generations: DataFrame) -> DataFrame:
     """Per generation: called names, canonical arguments and text.
 
@@ -63,6 +55,19 @@ def extract_outputs(generations: DataFrame) -> DataFrame:
                     TC.extract_text("output").alias("output_text"))
 
 
+def score_generations(targets: DataFrame, generations: DataFrame, models: list[str], strict_types: bool = True) -> DataFrame:
+    """E4 from raw generations: align, extract, score; one row per model and target.
+
+    The targets are read once, for the join; calls are extracted behind it, so
+    only from generations that have a target, and once (``fence``).
+    """
+    aligned = align_generations(targets, generations.select("model", "sample_id", "output"), models)
+    out = fence(aligned, _fc=TC.extract_calls("output"))
+    out = fence(out, output_names=TC.call_names(F.col("_fc")), output_arguments=TC.canonical_args(F.col("_fc")),
+                output_text=TC.extract_text("output"))
+    return score(out.drop("_fc", "output"), strict_types)
+
+
 def score(aligned: DataFrame, strict_types: bool = True) -> DataFrame:
     """The scored frame (names, canonical arguments, texts, correctness flags).
 
@@ -86,7 +91,7 @@ def score(aligned: DataFrame, strict_types: bool = True) -> DataFrame:
 
 
 def review_errors(scored: DataFrame) -> DataFrame:
-    """C5 + E5: incorrect rows with expected vs actual (ordered by sample id for display)."""
+    """C5 + E5: incorrect rows with expected vs actual."""
     return scored.where(~F.col("correct_names") | ~F.col("correct_arguments")).select(
         "model", "sample_id", F.col("user").alias("prompt"),
         F.col("target_names").alias("expected_names"), F.col("target_arguments").alias("expected_arguments"),

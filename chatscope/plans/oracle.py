@@ -754,8 +754,7 @@ FROM t"""
 # ---------------------------------------------------------------- sinks
 SQL["export_csv_roundtrip"] = f"WITH {PREP} SELECT sample_id AS row_id, split, prompt, completion FROM prep"
 
-SQL["scored_json_roundtrip"] = f"""WITH {GEN}
-SELECT model, sample_id, output_names, correct_names AND correct_arguments AS correct FROM scored"""
+SQL["scored_json_roundtrip"] = SQL["scored_frame"]
 
 # ---------------------------------------------------------------- generation & judge
 SQL["batch_generate"] = f"""WITH {FX1}

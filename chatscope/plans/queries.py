@@ -199,8 +199,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators import scoring as S
     from chatscope.operators.records import split_filter, valid
     targets = S.eval_targets(split_filter(valid(_parsed(spark, sf_dir)), "eval"))
-    outs = S.extract_outputs(S.generations_for(FX.generations(spark, sf_dir), targets))
-    return S.score(S.align_generations(targets, outs, MODELS))
+    return S.score_generations(targets, FX.generations(spark, sf_dir), MODELS)
 
 
 def _json_list(c):
@@ -472,17 +471,13 @@ def q_prompt_lines_escaped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompt_lines(FX.prompt_lines(spark, sf_dir)).select("item_id", "line_no", "user_prompt", "rejected")
 
 
-def _first_tools(spark: SparkSession, sf_dir: str):
-    """D14 + K6: tools of the first valid record, as a scalar subquery (no join, no cross product)."""
-    from chatscope.operators.records import valid
-    from chatscope.operators.sampling import first_row
-    return first_row(valid(_parsed(spark, sf_dir)), "sample_id").select("tools_json").scalar()
-
-
 def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D14 + K6: every prompt line with the tools of the first valid record."""
+    from chatscope.operators.records import first_tools
     from chatscope.sources.readers import prompt_lines
     lines = prompt_lines(FX.prompt_lines(spark, sf_dir)).where(~F.col("rejected"))
-    return lines.select("item_id", "line_no", "user_prompt", _first_tools(spark, sf_dir).alias("tools_json"))
+    tools = first_tools(FX.tool_records(spark, sf_dir), "sample_id")
+    return lines.select("item_id", "line_no", "user_prompt", F.lit(tools).alias("tools_json"))
 
 
 @register
@@ -519,8 +514,13 @@ def q_scored_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.sources.sinks import write_json
     path = _scratch(spark, "json")
     write_json(_scored(spark, sf_dir), path)
-    back = spark.read.schema("model string, sample_id long, output_names array<string>, correct boolean").json(path)
-    return back.select("model", "sample_id", F.to_json("output_names").alias("output_names"), "correct")
+    back = spark.read.schema(
+        "model string, sample_id long, user string, target_names array<string>, output_names array<string>, "
+        "target_arguments array<string>, output_arguments array<string>, target_text string, output_text string, "
+        "correct_names boolean, correct_arguments boolean, correct boolean").json(path)
+    return back.withColumns({
+        **{c: F.to_json(c) for c in ("target_names", "output_names")},
+        **{c: _json_list(F.col(c)) for c in ("target_arguments", "output_arguments")}})
 
 
 @register

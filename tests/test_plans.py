@@ -26,3 +26,19 @@ def test_no_cartesian_products(spark):
     for name in ("scored_frame", "embedding_match", "assign_run_slot", "attach_tools"):
         plan = _plan(E.queries()[name](spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_scoring_parses_the_records_once(spark):
+    for name in ("scored_frame", "accuracy_by_model", "review_errors"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert plan.count("FileScan parquet") == 2, name  # targets and generations, each once
+
+
+def test_first_tools_do_not_parse_the_table(spark):
+    plan = _plan(E.queries()["attach_tools"](spark, SF_SMALL))
+    assert "parse" not in plan.lower() and plan.count("FileScan parquet") == 1
+
+
+def test_registry_never_explodes_to_collect_again(spark):
+    plan = _plan(E.queries()["config_identical"](spark, SF_SMALL))
+    assert "Generate" not in plan and "SortMergeJoin" not in plan
