@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatscope.session import materialize
 
-__all__ = ["materialize", "table", "crc32_mod", "as_text", "shuffle_width", "free_name", "typed"]
+__all__ = ["materialize", "table", "crc32_mod", "as_text", "shuffle_width", "free_name"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +36,3 @@ def free_name(df: DataFrame, base: str) -> str:
     while name.lower() in used:
         name += "_"
     return name
-
-
-def typed(df: DataFrame, **casts: str) -> DataFrame:
-    """Select exactly the named columns with the given types, under those names."""
-    return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in casts.items()])
-
-
-def named(fn: Callable, name: str) -> Callable:
-    """Give a closure a readable name in plans."""
-    fn.__name__ = name
-    return fn
