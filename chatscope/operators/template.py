@@ -122,13 +122,18 @@ def time_context(ts: Column | str, zone: str = "America/Toronto", std: str = "ES
     """The developer turn with a clock line, from an event-time column (never the wall clock).
 
     ``ts`` is a UTC wall time (``timestamp_ntz``); ``convert_timezone`` keeps the
-    result independent of the session time zone. The abbreviation follows the
-    UTC offset: -4 h is daylight time for the default zone.
+    result independent of the session time zone. The abbreviation is ``dst`` where the
+    UTC offset is above the smaller of the zone's offsets at the year's start and in its middle.
     """
     utc = col_of(ts).cast("timestamp_ntz")
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    off = F.timestamp_diff("MINUTE", utc, local)
-    abbr = F.when(off == -240, F.lit(dst)).otherwise(F.lit(std))
+
+    def offset(at: Column) -> Column:
+        return F.timestamp_diff("MINUTE", at, F.convert_timezone(F.lit("UTC"), F.lit(zone), at))
+
+    start = F.date_trunc("year", utc).cast("timestamp_ntz")
+    standard = F.least(offset(start), offset(start + F.expr("INTERVAL 182 DAYS")))
+    abbr = F.when(offset(utc) > standard, F.lit(dst)).otherwise(F.lit(std))
     return F.concat(
         F.lit(DEVELOPER_CLOCK_INTRO + CLOCK_FORMAT_INTRO),
         F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(" "), abbr,

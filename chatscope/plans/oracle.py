@@ -678,6 +678,10 @@ SELECT sample_id, row_number() OVER (ORDER BY md5(CAST(sample_id AS VARCHAR) ||
 SQL["sample_rows"] = f"""WITH {FX1}
 SELECT sample_id, text FROM fx1 ORDER BY md5(CAST(sample_id AS VARCHAR) || '|42'), sample_id LIMIT 5"""
 
+SQL["sample_fraction"] = f"""WITH {FX1}
+SELECT sample_id, text FROM fx1
+WHERE ('0x' || substr(md5(CAST(sample_id AS VARCHAR) || '|42'), 1, 8))::BIGINT < floor(0.05 * 4294967296)"""
+
 PREP = FX1 + """,
 prep AS (
   SELECT sample_id, meta AS split, head || '<start_of_turn>model' || chr(10) AS prompt,
@@ -726,6 +730,8 @@ pe AS (
   FROM pl
 )"""
 
+SQL["prompt_file"] = f"WITH {PLINES} SELECT user_prompt, rejected FROM pe"
+
 SQL["prompt_lines_escaped"] = f"WITH {PLINES} SELECT item_id, line_no, user_prompt, rejected FROM pe"
 
 FIRST_TOOLS = f"(SELECT tools FROM ok ORDER BY sample_id LIMIT 1)"

@@ -442,6 +442,12 @@ def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(FX.tool_records(spark, sf_dir), "sample_id", 5, 42).select("sample_id", "text")
 
 
+@register
+def q_sample_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.sampling import sample_fraction
+    return sample_fraction(FX.tool_records(spark, sf_dir), "sample_id", 0.05, 42).select("sample_id", "text")
+
+
 @register
 def q_longest_example(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.sampling import longest_example
@@ -480,6 +486,15 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("item_id", "line_no", "user_prompt", F.lit(tools).alias("tools_json"))
 
 
+@register
+def q_prompt_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 from a text file: the prompt lines written as one line each and read back (without their places)."""
+    from chatscope.sources.readers import read_prompt_file
+    path = _scratch(spark, "prompts")
+    FX.prompt_lines(spark, sf_dir).select("line").write.text(path)
+    return read_prompt_file(spark, path).select("user_prompt", "rejected")
+
+
 @register
 def q_attach_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _adhoc(spark, sf_dir).select("item_id", "line_no", "tools_json")

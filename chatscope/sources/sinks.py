@@ -18,18 +18,22 @@ def _flatten_for_csv(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
+NULL_TEXT = "\\N"  # a null in an export; the empty string stays the empty string
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "ignore") -> None:
     """B1: write with a header, skipping if the target exists (``mode='ignore'``).
 
     Multiline text is quoted and escaped so it reads back row for row.
     """
     (_flatten_for_csv(df).write.mode(mode).option("header", True)
-       .option("quoteAll", True).option("escape", '"')
+       .option("quoteAll", True).option("escape", '"').option("nullValue", NULL_TEXT).option("emptyValue", "")
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option(
+        "nullValue", NULL_TEXT).option("emptyValue", "")
     if schema:
         r = r.schema(schema)
     return r.csv(path)

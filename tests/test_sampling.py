@@ -29,3 +29,20 @@ def test_tables_are_spread_only_where_the_session_says_so(spark):
         assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(FX.SPREAD_CONF, before)
+
+
+def test_csv_export_keeps_nulls_and_empty_strings_apart(spark, tmp_path):
+    from chatscope.sources.sinks import export_csv, read_csv_export
+    rows = [(1, None, "a"), (2, "", 'line\n"two", é'), (3, " padded ", None)]
+    df = spark.createDataFrame(rows, "i int, a string, b string")
+    export_csv(df, f"{tmp_path}/x")
+    export_csv(df.limit(0), f"{tmp_path}/x")  # there already: skipped
+    assert sorted(map(tuple, read_csv_export(spark, f"{tmp_path}/x", df.schema).collect())) == rows
+
+
+def test_fraction_sample_is_the_same_on_every_run(spark):
+    from chatscope.operators.sampling import sample_fraction
+    one = {r.id for r in sample_fraction(spark.range(0, 20000, numPartitions=3), "id", 0.1).collect()}
+    two = {r.id for r in sample_fraction(spark.range(0, 20000, numPartitions=7), "id", 0.1).collect()}
+    assert one == two and abs(len(one) - 2000) < 200
+    assert sample_fraction(spark.range(100), "id", 0.0).count() == 0 and sample_fraction(spark.range(100), "id", 1.0).count() == 100
