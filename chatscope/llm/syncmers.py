@@ -148,16 +148,17 @@ def _deal_in_order(docs: DataFrame, ranges: int) -> DataFrame:
     order = sorted(first)  # ranges that have rows
     if not order:
         return dealt.withColumn("_head", F.lit(False))
-    before = dict(zip(order, [order[-1], *order[:-1]], strict=True))
+    before = [0] * (order[-1] + 1)  # of each range, the one before it that has rows (of the first, the last)
+    for r, earlier in zip(order, [order[-1], *order[:-1]], strict=True):
+        before[r] = earlier
     # only range 0 can hold null ids; they come first there
     ids = [r.doc_id for r in first.values() if not r.nulls]
     wanted = value.isin(ids) if ids else F.lit(False)
     if len(ids) < len(first):
         wanted = wanted | value.isNull()
     heads = dealt.where(wanted).groupBy("_range").agg(F.min(F.struct("doc_id", "text")).alias("r"))
-    earlier = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
-    heads = heads.select("r.doc_id", "r.text", F.get(F.map_values(F.map_filter(
-        earlier, lambda k, v: k == F.col("_range"))), F.lit(0)).alias("_range"), F.lit(True).alias("_head"))
+    heads = heads.select("r.doc_id", "r.text", F.get(F.lit(before), F.col("_range")).alias("_range"),
+                         F.lit(True).alias("_head"))
     return dealt.withColumn("_head", F.lit(False)).unionByName(heads)
 
 
