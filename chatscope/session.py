@@ -81,15 +81,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}"
 
 
+_WRITTEN: list[str] = []
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process has written; results that still read them must be done.
+
+    Returns how many there were.
+    """
+    jvm, n = spark.sparkContext._jvm, len(_WRITTEN)
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return n
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a written table in the shared folder.
 
     For results that several branches of one plan must see identically (an
     exchange that is executed twice may sample and order its input
     differently). The data is computed once, written as Parquet under the
-    shared folder (so it survives executor loss) and read back. The caller, or
-    whoever empties the checkpoint folder, removes it.
+    shared folder (so it survives executor loss) and read back. ``release_tables``
+    removes the tables that this process has written.
     """
     path = scratch_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -46,3 +46,15 @@ def test_fraction_sample_is_the_same_on_every_run(spark):
     two = {r.id for r in sample_fraction(spark.range(0, 20000, numPartitions=7), "id", 0.1).collect()}
     assert one == two and abs(len(one) - 2000) < 200
     assert sample_fraction(spark.range(100), "id", 0.0).count() == 0 and sample_fraction(spark.range(100), "id", 1.0).count() == 100
+
+
+def test_written_tables_are_released(spark):
+    import os
+
+    from chatscope import session
+    t = session.materialize(spark.range(3))
+    path = session._WRITTEN[-1]
+    assert t.count() == 3 and os.path.exists(path.removeprefix("file:"))
+    kept, session._WRITTEN[:] = session._WRITTEN[:-1], [path]
+    assert session.release_tables(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
+    session._WRITTEN[:] = kept
