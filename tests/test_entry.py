@@ -31,3 +31,14 @@ def test_nothing_else_names_the_subpackage():
         for f in files:
             with open(os.path.join(top, f), encoding="utf-8") as text:
                 assert "chatscope.llm" not in text.read(), f"{top}/{f}"
+
+
+def test_workers_find_the_library_from_anywhere(tmp_path):
+    code = (f"import sys; sys.path.insert(0, {REPO!r})\n"
+            "from pyspark.sql import SparkSession\n"
+            "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "import __spark_entry__ as e\n"
+            "print('ROWS', e.queries()['json_key_paths'](spark, '/root/testdata/sf0.001').count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in done.stdout, done.stderr[-2000:]
