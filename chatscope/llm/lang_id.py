@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
+MIN_SCORE = 0.3  # a filter's posterior: below it hardly any language stands out
 N_BUCKETS = 1 << 13
 ORDERS = (1, 2, 3)
 _MULT = np.uint32(2654435761)  # Knuth's multiplicative constant
@@ -133,7 +134,7 @@ def classify(docs: DataFrame, model: LangModel, doc_id: str = "doc_id", text: st
         "doc_id", "p.lang_pred", "p.score")
 
 
-def keep_confident(docs: DataFrame, model: LangModel, text: str = "text", min_score: float = 0.5) -> DataFrame:
+def keep_confident(docs: DataFrame, model: LangModel, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """Rows whose language is known with a posterior of at least ``min_score``; all columns kept."""
     from chatscope.llm.common import free_name
     tmp = free_name(docs, "_lang")

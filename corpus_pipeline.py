@@ -15,7 +15,7 @@ from chatscope.llm.common import crc32_mod, materialize, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those whose language stays uncertain (posterior below 0.5)."""
+    """Drops texts without a letter and those whose language stays uncertain (posterior below 0.3)."""
     model = lang_id.train(docs.where(crc32_mod("doc_id", 4) != 2))
     return lang_id.keep_confident(docs, model)
 

@@ -16,7 +16,7 @@ def test_pipeline_against_brute_force(spark):
     docs = table(spark, SF_SMALL, "documents")
     rows = {r.doc_id: r for r in docs.collect()}
     langs = lang_id.train(docs.where(crc32_mod("doc_id", 4) != 2))
-    left = [d for d, r in rows.items() if (p := langs.predict(r.text))[0] != "und" and p[1] >= 0.5]
+    left = [d for d, r in rows.items() if (p := langs.predict(r.text))[0] != "und" and p[1] >= lang_id.MIN_SCORE]
     kept = P.language_id(spark, docs, SF_SMALL)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(left)
     field = quality_crf.train(kept, table(spark, SF_SMALL, "labels").where(crc32_mod("doc_id", 5) != 0))
