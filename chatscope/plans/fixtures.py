@@ -27,7 +27,7 @@ KEYS = {"events": "event_id", "conversations": "conv_id", "documents": "doc_id",
 
 
 # set by a test or bench session to spread the one-file driver tables over its cores
-SPREAD_CONF = "chatscope.fixture.partitions"
+SPREAD_CONF = "spark.chatscope.fixture.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("CHATSCOPE_DRIVER_MEMORY", "8g"))
         # the driver tables are one-file tables: a scan of one would be a single task
-        .config("chatscope.fixture.partitions", str(os.cpu_count() if cores == "*" else cores))
+        .config("spark.chatscope.fixture.partitions", str(os.cpu_count() if cores == "*" else cores))
         .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="chatscope-ckpt-"))
     )
     spark = builder.getOrCreate()
