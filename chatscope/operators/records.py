@@ -246,15 +246,21 @@ def assemble_messages(turns: DataFrame, key: str = "conv_id", order: str = "turn
     """One row per conversation with its ordered messages.
 
     A conversation is one model input, so its size is bounded by the context
-    window; the ``collect_list`` is per conversation, never per table.
+    window; the ``collect_list`` is per conversation, never per table. Turns without
+    a conversation id belong to none (``orphan_turns``) and never form a group.
     """
     calls_t = f"array<{CALL}>"
-    return turns.groupBy(key).agg(
+    return turns.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(order, "role", "text"))),
                     lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content"),
                                        F.array().cast(calls_t).alias("tool_calls"))).alias("messages"))
 
 
+def orphan_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
+    """The turns that ``assemble_messages`` leaves out, for quarantine."""
+    return turns.where(F.col(key).isNull())
+
+
 def explode_messages(df: DataFrame, key: str = "conv_id") -> DataFrame:
     """Inverse of D4: one row per message with its 0-based position."""
     return df.select(key, F.posexplode("messages").alias("turn", "m")).select(

@@ -232,3 +232,12 @@ def test_shared_dir_is_read_never_set(spark):
             session.shared_dir(Bare)
         Bare.sparkContext.master = "local[2]"
         assert session.shared_dir(Bare) == session.shared_dir(Bare)
+
+
+def test_turns_without_a_conversation_form_no_group(spark):
+    from chatscope.operators.records import assemble_messages, orphan_turns
+    turns = spark.createDataFrame([(1, 1, "user", "b"), (1, 0, "user", "a"), (None, 0, "user", "x"), (None, 1, "user", "y")],
+                                  "conv_id long, turn int, role string, text string")
+    got = assemble_messages(turns).collect()
+    assert [(r.conv_id, [m.content for m in r.messages]) for r in got] == [(1, ["a", "b"])]
+    assert sorted(r.text for r in orphan_turns(turns).collect()) == ["x", "y"]
