@@ -8,8 +8,8 @@ weighted by line length. Training maximises the conditional likelihood, each
 line of a labelled document bearing the document's label.
 
 The field is fitted on a bounded sample: at most ``SAMPLE_DOCS`` labelled
-documents of at most ``SAMPLE_CHARS`` characters, those with the smallest
-hashes of their ids. Scoring covers every line of every text.
+documents, those with the smallest hashes of their ids, without those of more than
+``SAMPLE_CHARS`` characters or ``SAMPLE_LINES`` lines. Scoring covers every line of every text.
 
 Defined results: null and empty texts are one empty line; a document with
 several labels counts with their mean (0.5 or more is good); rows with a null label or
@@ -32,6 +32,7 @@ from chatscope.llm.common import free_name
 
 SAMPLE_DOCS = 6000
 SAMPLE_CHARS = 50_000
+SAMPLE_LINES = 300
 THRESHOLD = 0.3
 _PIECE = 4 << 20
 
@@ -109,10 +110,6 @@ def _pad(feats: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, np.arange(x.shape[1])[None, :] < n[:, None]
 
 
-def _log_add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.logaddexp(a, b)
-
-
 def forward_backward(emit: np.ndarray, mask: np.ndarray, step: np.ndarray, weight: np.ndarray | None = None):
     """Marginals of label 1 of right-padded chains and, given chain weights, the weighted expected label pairs.
 
@@ -124,13 +121,13 @@ def forward_backward(emit: np.ndarray, mask: np.ndarray, step: np.ndarray, weigh
     alpha[:, 0] = emit[:, 0]
     for k in range(1, t):
         prev = alpha[:, k - 1]
-        new = _log_add(prev[:, :1] + step[0], prev[:, 1:] + step[1]) + emit[:, k]
+        new = np.logaddexp(prev[:, :1] + step[0], prev[:, 1:] + step[1]) + emit[:, k]
         alpha[:, k] = np.where(mask[:, k, None], new, prev)
     for k in range(t - 2, -1, -1):
         nxt = beta[:, k + 1] + emit[:, k + 1]
-        new = _log_add(step[:, 0] + nxt[:, :1], step[:, 1] + nxt[:, 1:])
+        new = np.logaddexp(step[:, 0] + nxt[:, :1], step[:, 1] + nxt[:, 1:])
         beta[:, k] = np.where(mask[:, k + 1, None], new, beta[:, k + 1])
-    log_z = _log_add(alpha[:, -1, 0], alpha[:, -1, 1])
+    log_z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
     good = np.exp(np.minimum(alpha[:, :, 1] + beta[:, :, 1] - log_z[:, None], 0)) * mask
     pairs = np.zeros((2, 2))
     if t > 1 and weight is not None:
@@ -221,17 +218,18 @@ def _observed(y: np.ndarray, stay: np.ndarray, share: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-          sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> LineField:
+          sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, sample_lines: int = SAMPLE_LINES) -> LineField:
     """Fit on the bounded sample of ``labels(doc_id, <label>)`` joined to ``docs``.
 
     The features of the sample are computed in Spark; what reaches the driver is
-    bounded by ``sample_docs`` and ``sample_chars``.
+    bounded by ``sample_docs`` and ``sample_lines``.
     """
     marks = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(
         F.col(doc_id).alias("id")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     chosen = marks.orderBy(F.xxhash64("id"), "id").limit(sample_docs)
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where(
-        F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
+        (F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
+        & (F.coalesce(F.size(F.split("text", "\n")), F.lit(1)) <= sample_lines))
     # the sample has at most sample_docs rows of two numbers
     picked = rows.join(F.broadcast(chosen), "id").select("id", "text", "y")
 
