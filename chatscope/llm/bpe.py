@@ -28,6 +28,7 @@ import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -72,6 +73,12 @@ def piece_table(tok) -> list[bytes]:
     return out
 
 
+@lru_cache(maxsize=4)
+def _pieces_and_decimals(path: str) -> tuple[list[bytes], list[bytes]]:
+    pieces = piece_table(load_tokenizer(path))
+    return pieces, [str(i).encode() for i in range(len(pieces))]
+
+
 def split_words(text: str) -> list[str]:
     """Pieces whose BPE ids, joined, are the text's: all but the first have lost the single space before them."""
     if not text:
@@ -86,6 +93,7 @@ def split_words(text: str) -> list[str]:
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+@lru_cache(maxsize=4)  # once per Python worker, not per task
 def load_encoder(path: str) -> Callable[[str], list[int]]:
     """``text -> ids`` as the tokenizers library gives them for the file at ``path``, without special tokens added.
 
@@ -271,7 +279,7 @@ def word_numbers(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES)
 
 def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType):
     def rebuild(batches):
-        pieces = piece_table(load_tokenizer(tokenizer_path()))
+        tables = _pieces_and_decimals(tokenizer_path())
         block, lists, sizes, texts, raw = None, {}, None, [], []
         for b in batches:
             out = []
@@ -282,7 +290,7 @@ def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType):
                     high = np.frombuffer(row["high"], "<u2").astype(np.uint32) << 16 if row["high"] else np.uint32(0)
                     lists[row["bucket"]] = (unpack_numbers(row["seq"]), np.frombuffer(row["low"], "<u2") + high)
                 elif row["kind"] == 1:
-                    sizes, texts, raw = _word_table(unpack_numbers(row["seq"]), lists, pieces)
+                    sizes, texts, raw = _word_table(unpack_numbers(row["seq"]), lists, *tables)
                     if zlib.crc32(b"\0".join(raw)) != row["check"]:
                         raise RuntimeError(f"block {block}: word list and word numbers come from different rows")
                     lists = {}
@@ -301,11 +309,10 @@ def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType):
     return rebuild
 
 
-def _word_table(buckets: np.ndarray, lists: dict, pieces: list[bytes]):
+def _word_table(buckets: np.ndarray, lists: dict, pieces: list[bytes], decimal: list[bytes]):
     """Token counts, comma-joined decimal ids and decoded bytes of a block's words, by rank."""
     sizes = np.zeros(len(buckets), dtype=np.int64)
     texts, raw = [b""] * len(buckets), [b""] * len(buckets)
-    decimal = [str(i).encode() for i in range(len(pieces))]
     order = np.argsort(buckets, kind="stable")
     cuts = np.searchsorted(buckets[order], np.arange(int(buckets.max()) + 2)) if len(buckets) else [0]
     for k, (n, flat) in lists.items():
