@@ -42,26 +42,30 @@ DIM, HIDDEN = 8, 32
 WARM_DOCS, WARM_CHARS = 2000, 50_000
 FAN_IN = 64
 BATCH = 1 << 15
-_REMEMBERED = 200_000  # words a task keeps the ids of
-_COUNT_LIMIT = 200_000  # distinct words a counting task holds before it hands on partial sums
+_ENDINGS = 100_000  # endings a task remembers
+_COUNT_LIMIT = 400_000  # distinct words a counting task holds before it hands on partial sums
 
 
 def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-class Vocabulary(dict):
-    """word -> id; words outside the frequent ones hash by their ending (and are remembered, up to a bound)."""
+class _Endings(dict):
+    """Last three bytes of a word -> shared id."""
 
-    def __missing__(self, word: bytes) -> int:
-        i = FREQUENT + zlib.crc32(word[-3:]) % (VOCAB - FREQUENT)
-        if len(self) < _REMEMBERED:
-            self[word] = i
+    def __missing__(self, ending: bytes) -> int:
+        self[ending] = i = FREQUENT + zlib.crc32(ending) % (VOCAB - FREQUENT)
         return i
 
+
+class Vocabulary(dict):
+    """word -> id of the frequent words; any other word has the id of its ending."""
+
     def ids(self, text: str | None) -> np.ndarray:
-        words = split_words(text)
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=len(words))
+        words, own, shared = split_words(text), self.get, self.__dict__.setdefault("endings", _Endings())
+        if len(shared) > _ENDINGS:
+            shared.clear()
+        return np.array([i if (i := own(w)) is not None else shared[w[-3:]] for w in words], dtype=np.int32)
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -141,10 +145,11 @@ def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e, e @ _ONES.astype(e.dtype, copy=False)
 
 
-def _by_class(cls: np.ndarray):
+def _class_slices(cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The order that sorts by class, and where each class then lies."""
     order = np.argsort(cls.astype(np.uint8), kind="stable")  # a radix sort
     cuts = np.searchsorted(cls[order], np.arange(SIDE + 1))
-    return [(c, order[cuts[c]:cuts[c + 1]]) for c in range(SIDE) if cuts[c] < cuts[c + 1]]
+    return order, [(c, slice(cuts[c], cuts[c + 1])) for c in range(SIDE) if cuts[c] < cuts[c + 1]]
 
 
 def _hidden(v: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,16 +159,19 @@ def _hidden(v: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def log_probs(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     v = views(flat)
-    _, h = _hidden(v, context)
-    cls, member = target // SIDE, target % SIDE
+    order, slices = _class_slices(target // SIDE)
+    _, h = _hidden(v, context[order])
+    cls, member = target[order] // SIDE, target[order] % SIDE
 
     def of(logits, k):
         _, total = _exponentials(logits)
         return logits[np.arange(len(k)), k] - np.log(total)
 
-    out = of(h @ v["wc"] + v["bc"], cls).astype(np.float64)
-    for c, rows in _by_class(cls):
-        out[rows] += of(h[rows] @ v["ww"][c] + v["bw"][c], member[rows])
+    by_class = of(h @ v["wc"] + v["bc"], cls).astype(np.float64)
+    for c, s in slices:
+        by_class[s] += of(h[s] @ v["ww"][c] + v["bw"][c], member[s])
+    out = np.empty_like(by_class)
+    out[order] = by_class
     return out
 
 
@@ -180,16 +188,17 @@ def gradient(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.nd
     v, g = views(flat), np.zeros(N_WEIGHTS, dtype=np.float32)
     d = views(g)
     n = len(target)
+    order, slices = _class_slices(target // SIDE)
+    context, target = context[order], target[order]
     x, h = _hidden(v, context)
     cls, member = target // SIDE, target % SIDE
     e = _residual(h @ v["wc"] + v["bc"], cls)
     d["wc"][:], d["bc"][:] = h.T @ e, e.sum(axis=0)
     dh = e @ v["wc"].T
-    for c, rows in _by_class(cls):
-        hr = h[rows]
-        e = _residual(hr @ v["ww"][c] + v["bw"][c], member[rows])
-        d["ww"][c], d["bw"][c] = hr.T @ e, e.sum(axis=0)
-        dh[rows] += e @ v["ww"][c].T
+    for c, s in slices:
+        e = _residual(h[s] @ v["ww"][c] + v["bw"][c], member[s])
+        d["ww"][c], d["bw"][c] = h[s].T @ e, e.sum(axis=0)
+        dh[s] += e @ v["ww"][c].T
     dz = dh * (1 - h * h)
     d["w1"][:], d["b1"][:] = x.T @ dz, dz.sum(axis=0)
     dx = (dz @ v["w1"].T).reshape(-1, DIM)
