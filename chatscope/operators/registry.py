@@ -16,9 +16,10 @@ same entry.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,12 +47,17 @@ def _plain_numbers(value: object) -> object:
     return value
 
 
-def _entry(path: str, value: object) -> str:
+def _entry(path: str, value: object, dumped: str | None) -> str:
+    if isinstance(value, dict):
+        return f"{path}{_SEP}OBJECT{_SEP}"
+    text = dumped if dumped is not None else _dump(value)
+    if not isinstance(value, (str, int)) and ("." in text or "e" in text):  # a float may be in it
+        text = _dump(_plain_numbers(value))
     kind = "NUMBER" if type(value) in (int, float) else _KINDS[type(value)]
-    return _SEP.join((path, kind, "" if kind == "OBJECT" else _dump(_plain_numbers(value))))
+    return f"{path}{_SEP}{kind}{_SEP}{text}"
 
 
-def flatten_document(text: str | None) -> tuple[str, list[tuple[str, int, str, str, str]]]:
+def flatten_document(text: str | None, values: bool = True) -> tuple[str, list[tuple[str, int, str, str | None, str]]]:
     """Status and nodes of one document, to any depth (of a repeated key the last value counts)."""
     if text is None:
         return "null", []
@@ -64,20 +70,34 @@ def flatten_document(text: str | None) -> tuple[str, list[tuple[str, int, str, s
     out, todo = [], [(k, 1, v) for k, v in reversed(doc.items())]
     while todo:
         path, depth, value = todo.pop()
-        out.append((path, depth, _KINDS[type(value)], _dump(value), _entry(path, value)))
+        dumped = _dump(value) if values else None
+        out.append((path, depth, _KINDS[type(value)], dumped, _entry(path, value, dumped)))
         if isinstance(value, dict):
             todo += [(f"{path}/{k}", depth + 1, v) for k, v in reversed(value.items())]
     return "ok", out
 
 
-def with_nodes(docs: DataFrame, doc_col: str = "config") -> DataFrame:
-    """Adds ``status`` and ``nodes`` to every row of ``docs`` (an Arrow UDF; a row's work is its own document)."""
-    @F.pandas_udf(f"status string, nodes array<{NODE}>")
-    def json_nodes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in batches:
-            yield pd.DataFrame([flatten_document(t) for t in s], columns=["status", "nodes"])
+_NODE_ARROW = (("path", pa.string()), ("depth", pa.int32()), ("kind", pa.string()), ("value_json", pa.string()), ("entry", pa.string()))
+
 
-    return docs.withColumn("_n", json_nodes(F.col(doc_col))).withColumns(
+def with_nodes(docs: DataFrame, doc_col: str = "config", values: bool = True) -> DataFrame:
+    """Adds ``status`` and ``nodes`` to every row of ``docs`` (an Arrow UDF; a row's work is its own document).
+
+    Without ``values`` the nodes' ``value_json`` stays null, which spares writing every subtree.
+    """
+    @F.arrow_udf(f"status string, nodes array<{NODE}>")
+    def json_nodes(texts: pa.Array) -> pa.Array:
+        found = [flatten_document(t, values) for t in texts.to_pylist()]
+        flat = list(zip(*[n for _, nodes in found for n in nodes], strict=True)) or [()] * len(_NODE_ARROW)
+        rows = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(flat, _NODE_ARROW, strict=True)],
+                                          names=[n for n, _ in _NODE_ARROW])
+        ends = list(accumulate((len(nodes) for _, nodes in found), initial=0))
+        return pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.string()),
+                                           pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)], names=["status", "nodes"])
+
+    # declared nondeterministic so that a later filter on the status is not pushed below it with a second run of it
+    once = json_nodes.asNondeterministic()
+    return docs.withColumn("_n", once(F.col(doc_col))).withColumns(
         {"status": F.col("_n.status"), "nodes": F.col("_n.nodes")}).drop("_n")
 
 
@@ -183,9 +203,9 @@ def match_registry(requests: DataFrame, registry: DataFrame, except_keys: Sequen
     stored trees hold, and the few candidates are compared in full.
     A request without entries matches every stored config that is an object.
     """
-    req = materialize(_trees(with_nodes(requests.select(key, "config")), except_keys).drop("config"))
+    req = materialize(_trees(with_nodes(requests.select(key, "config"), values=False), except_keys).drop("config"))
     want = materialize(req.where("status = 'ok'").groupBy("fp").agg(F.first("entries").alias("entries")))
-    have = materialize(_trees(with_nodes(registry.select("run_id", "config")), except_keys).where("status = 'ok'").groupBy(
+    have = materialize(_trees(with_nodes(registry.select("run_id", "config"), values=False), except_keys).where("status = 'ok'").groupBy(
         "fp").agg(F.first("entries").alias("entries"), F.min("run_id").alias("run_id"), F.count(F.lit(1)).alias("n")))
     held = have.select(F.col("fp").alias("stored"), F.explode("entries").alias("entry"))
     counts = held.groupBy("entry").agg(F.count(F.lit(1)).alias("held_by"))
