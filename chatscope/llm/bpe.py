@@ -27,7 +27,7 @@ import hashlib
 import json
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -277,8 +277,9 @@ def word_numbers(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES)
     return docs.mapInArrow(numbered, f"block bigint, kind int, doc_id {id_type}, seq binary, check bigint")
 
 
-def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType):
+def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType, columns: Sequence[str]):
     def rebuild(batches):
+        makers = [_OUTPUTS[c][2] for c in columns]
         tables = _pieces_and_decimals(tokenizer_path())
         block, lists, sizes, texts, raw = None, {}, None, [], []
         for b in batches:
@@ -297,18 +298,32 @@ def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType):
                 else:
                     at = unpack_numbers(row["seq"])
                     where = at.tolist()
-                    ids = b",".join([texts[i] for i in where])
-                    text = b"".join([raw[i] for i in where]).decode("utf-8", "replace").encode()
-                    out.append((row["doc_id"], int(sizes[at].sum()) if len(at) else 0,
-                                hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()))
+                    out.append((row["doc_id"], *[make(at, where, sizes, texts, raw) for make in makers]))
             if out:
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], id_type), pa.array(cols[1], pa.int64()), pa.array(cols[2]), pa.array(cols[3])],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    [pa.array(c, t) for c, t in zip(cols, [id_type, *[_OUTPUTS[c][1] for c in columns]], strict=True)],
+                    names=["doc_id", *columns])
     return rebuild
 
 
+def _decoded(raw: list[bytes], where: list[int]) -> str:
+    return b"".join([raw[i] for i in where]).decode("utf-8", "replace")
+
+
+# column -> SQL type, Arrow type, and how a text's word ranks give it
+_OUTPUTS = {
+    "n_tokens": ("bigint", pa.int64(), lambda at, where, sizes, texts, raw: int(sizes[at].sum()) if where else 0),
+    "ids": ("array<int>", pa.list_(pa.int32()), lambda at, where, sizes, texts, raw: [
+        int(x) for i in where for x in texts[i].split(b",")]),
+    "text": ("string", pa.string(), lambda at, where, sizes, texts, raw: _decoded(raw, where)),
+    "ids_sha256": ("string", pa.string(), lambda at, where, sizes, texts, raw: hashlib.sha256(
+        b",".join([texts[i] for i in where])).hexdigest()),
+    "decoded_sha256": ("string", pa.string(), lambda at, where, sizes, texts, raw: hashlib.sha256(
+        _decoded(raw, where).encode()).hexdigest()),
+}
+
+
 def _word_table(buckets: np.ndarray, lists: dict, pieces: list[bytes], decimal: list[bytes]):
     """Token counts, comma-joined decimal ids and decoded bytes of a block's words, by rank."""
     sizes = np.zeros(len(buckets), dtype=np.int64)
@@ -330,11 +345,12 @@ def _word_table(buckets: np.ndarray, lists: dict, pieces: list[bytes], decimal:
 
 
 def encode_and_decode(docs: DataFrame, tokenizer_path: Callable[[], str] = vocabulary_file, doc_id: str = "doc_id",
-                      text: str = "text", block_bytes: int = BLOCK_BYTES, is_scan: bool = False) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, one row per input row.
+                      text: str = "text", block_bytes: int = BLOCK_BYTES, is_scan: bool = False,
+                      columns: Sequence[str] = ("n_tokens", "ids", "text")) -> DataFrame:
+    """``doc_id`` and the chosen columns, one row per input row.
 
-    ``ids_sha256`` hashes the decimal ids joined by commas, ``decoded_sha256``
-    the text decoded from them. Set ``is_scan`` if ``docs`` reads a table
+    ``ids`` are the token ids and ``text`` what they decode to; ``ids_sha256`` hashes the decimal ids
+    joined by commas, ``decoded_sha256`` the decoded text, for those who need no more. Set ``is_scan`` if ``docs`` reads a table
     directly, so that two runs see the same rows in the same tasks; anything
     else is written to the shared folder first.
     """
@@ -355,5 +371,5 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: Callable[[], str] = vocab
     ).unionByName(numbers.withColumns({"bucket": none("int"), "low": none("binary"), "high": none("binary")}))
     sorted_ = both.repartition(width, "block").sortWithinPartitions("block", "kind")
     from pyspark.sql.pandas.types import to_arrow_type
-    return sorted_.mapInArrow(_rebuild(tokenizer_path, to_arrow_type(rows.schema["doc_id"].dataType)),
-                              f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return sorted_.mapInArrow(_rebuild(tokenizer_path, to_arrow_type(rows.schema["doc_id"].dataType), tuple(columns)),
+                              f"doc_id {id_type}, " + ", ".join(f"{c} {_OUTPUTS[c][0]}" for c in columns))

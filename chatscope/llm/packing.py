@@ -172,8 +172,8 @@ def slots(patterns: list[Pattern], capacity: int) -> Slots:
 
 
 def pieces(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]], doc_id: str = "doc_id",
-           text: str = "text", capacity: int = CAPACITY, terminator: int = TERMINATOR) -> DataFrame:
-    """Tokenise and cut: ``(doc_id, piece, start, length, ids_crc32, part, local)``, ids themselves not kept.
+           text: str = "text", capacity: int = CAPACITY, terminator: int = TERMINATOR, keep_ids: bool = False) -> DataFrame:
+    """Tokenise and cut: ``(doc_id, piece, start, length, ids_crc32, part, local)``, and with ``keep_ids`` the ``ids``.
 
     ``encoder()`` is called once per task and returns ``text -> uint32 ids``.
     A document is its ids and the terminator; one longer than the capacity is cut
@@ -185,7 +185,7 @@ def pieces(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]],
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for b in batches:
-            took, out = [], []
+            took, out, kept = [], [], []
             for row, t in enumerate(b.column(1)):
                 ids = np.append(encode(t.as_py() or ""), np.uint32(terminator)).astype("<u4")
                 head = len(ids) % capacity or capacity
@@ -193,7 +193,10 @@ def pieces(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]],
                 begin = 0
                 for k, end in enumerate(ends):
                     n = end - begin
-                    out.append((k, begin, n, zlib.crc32(ids[begin:end].tobytes()), part, seen[n]))
+                    own = ids[begin:end].tobytes()
+                    out.append((k, begin, n, zlib.crc32(own), part, seen[n]))
+                    if keep_ids:
+                        kept.append(own)
                     seen[n] += 1
                     begin = end
                 took.extend([row] * len(ends))
@@ -201,23 +204,26 @@ def pieces(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]],
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(took, pa.int64())),
                  pa.array(cols[:, 0], pa.int32())] + [pa.array(cols[:, k]) for k in range(1, 4)]
-                + [pa.array(cols[:, 4], pa.int32()), pa.array(cols[:, 5])],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "local"])
+                + [pa.array(cols[:, 4], pa.int32()), pa.array(cols[:, 5])] + [pa.array(kept, pa.binary())] * keep_ids,
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "local"] + ["ids"] * keep_ids)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(cut, f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, "
-                                "part int, local bigint")
+                                "part int, local bigint" + ", ids binary" * keep_ids)
 
 
 def pack(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]], doc_id: str = "doc_id",
-         text: str = "text", capacity: int = CAPACITY, terminator: int = TERMINATOR) -> DataFrame:
+         text: str = "text", capacity: int = CAPACITY, terminator: int = TERMINATOR, keep_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``, one row per piece.
 
+    With ``keep_ids`` a last column ``ids`` holds the piece's ids (little-endian
+    unsigned 32-bit numbers), to be laid into the sequences (``sequences``).
+
     The narrow pieces are written once. Their histogram (at most ``capacity``
     rows) is packed on the driver; the ranks' offsets stay in Spark.
     """
-    rows = materialize(pieces(docs, encoder, doc_id, text, capacity, terminator))
+    rows = materialize(pieces(docs, encoder, doc_id, text, capacity, terminator, keep_ids))
     by_part = materialize(rows.groupBy("part", "length").agg(F.count("*").alias("n")))
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect():
@@ -226,15 +232,26 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]], do
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = materialize(by_part.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n"))
     ranked = rows.join(bases, ["part", "length"]).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("local")).alias("rank"))
+        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("local")).alias("rank"), *["ids"] * keep_ids)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for b in batches:
             seq, off = table.place(np.asarray(b.column("length")), np.asarray(b.column("rank")))
-            yield pa.RecordBatch.from_arrays([b.column(k) for k in range(5)] + [pa.array(seq), pa.array(off)],
-                                             names=b.schema.names[:5] + ["sequence_id", "offset"])
+            names = b.schema.names
+            yield pa.RecordBatch.from_arrays(
+                [b.column(k) for k in range(5)] + [pa.array(seq), pa.array(off)] + [b.column(k) for k in range(6, len(names))],
+                names=names[:5] + ["sequence_id", "offset"] + names[6:])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return ranked.mapInArrow(place, f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, "
-                                    "sequence_id bigint, offset bigint")
+                                    "sequence_id bigint, offset bigint" + ", ids binary" * keep_ids)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """``(sequence_id, n_pieces, length, ids)`` of a packing with ids; a sequence is bounded by the capacity."""
+    joined = packed.groupBy("sequence_id").agg(
+        F.count("*").alias("n_pieces"), F.sum("length").alias("length"),
+        F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
+    return joined.select("sequence_id", "n_pieces", "length", F.aggregate(
+        "p", F.lit(b""), lambda acc, x: F.concat(acc, x["ids"])).alias("ids"))

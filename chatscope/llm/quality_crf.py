@@ -260,6 +260,27 @@ def scorer(docs: DataFrame, field: LineField) -> Column:
     return quality_score
 
 
+def label_lines(docs: DataFrame, field: LineField, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, line_no, line, probability, good)``: every line of every text with its marginal and label."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                texts = [t or "" for t in b.column(1).slice(at, 256).to_pylist()]
+                good = shared.value.line_marginals([line_features(t)[0] for t in texts])
+                n = [len(g) for g in good]
+                p = np.concatenate(good)
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0).take(pa.array(np.repeat(np.arange(at, at + len(n)), n))),
+                    pa.array(np.concatenate([np.arange(k) for k in n])), pa.array([x for t in texts for x in t.split("\n")], pa.string()),
+                    pa.array(p), pa.array(p >= 0.5)], names=["doc_id", "line_no", "line", "probability", "good"])
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(label, f"doc_id {id_type}, line_no bigint, line string, probability double, good boolean")
+
+
 def classify(docs: DataFrame, field: LineField, doc_id: str = "doc_id", text: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, score, predicted)``, one row per input row."""

@@ -58,7 +58,8 @@ def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), is_scan=True)
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), is_scan=True,
+                                 columns=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op9_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

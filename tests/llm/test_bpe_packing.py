@@ -11,6 +11,7 @@ from chatscope.llm import bpe, packing
 from tests.conftest import SF_SMALL
 
 PATH = bpe.vocabulary_file()
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
 
 
 @pytest.fixture(scope="module")
@@ -46,16 +47,20 @@ def expected_bpe(tok, text):
 def test_bpe_against_library(spark, tok, is_scan):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
-    got = bpe.encode_and_decode(docs, is_scan=is_scan, block_bytes=50_000).collect()  # many blocks
+    got = bpe.encode_and_decode(docs, is_scan=is_scan, block_bytes=50_000, columns=DIGESTS).collect()  # many blocks
     assert len(got) == len(texts)
     assert all(tuple(r)[1:] == expected_bpe(tok, texts[r.doc_id]) for r in got)
 
 
 def test_bpe_odd_rows(tok, odd_docs, no_docs):
-    got = sorted(map(repr, (tuple(r) for r in bpe.encode_and_decode(odd_docs).collect())))
+    got = sorted(map(repr, (tuple(r) for r in bpe.encode_and_decode(odd_docs, columns=DIGESTS).collect())))
     want = sorted(repr((r.doc_id, *expected_bpe(tok, r.text))) for r in odd_docs.collect())
     assert got == want
     assert bpe.encode_and_decode(no_docs).collect() == []
+    real = bpe.encode_and_decode(odd_docs).collect()
+    assert sorted(repr((r.doc_id, r.n_tokens, r.ids, r.text)) for r in real) == sorted(
+        repr((r.doc_id, len(ids), ids, r.text or "")) for r in odd_docs.collect()
+        for ids in [tok.encode(r.text or "", add_special_tokens=False).ids])
 
 
 def check_packing(docs_rows, pieces, tok, capacity):
@@ -95,6 +100,15 @@ def test_packing_real_and_odd_rows(spark, tok, odd_docs, no_docs):
     assert packing.pack(no_docs, bpe.encoder).collect() == []
 
 
+def test_sequences_hold_the_ids(tok, odd_docs):
+    packed = packing.pack(odd_docs, bpe.encoder, capacity=64, keep_ids=True)
+    rows = packed.collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    for s in packing.sequences(packed).collect():
+        own = sorted((r.offset, bytes(r.ids)) for r in rows if r.sequence_id == s.sequence_id)
+        assert bytes(s.ids) == b"".join(x for _, x in own) and s.n_pieces == len(own) and s.length * 4 == len(s.ids) <= 256
+
+
 def best_possible(sizes, capacity):
     """Fewest bins by exhaustive search."""
     best = len(sizes)

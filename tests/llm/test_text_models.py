@@ -123,6 +123,16 @@ def test_quality_held_out_and_odd_rows(spark, odd_docs, no_docs):
     assert quality_crf.keep_good(odd_docs, field).columns == odd_docs.columns
     empty = quality_crf.train(no_docs, labels.limit(0))
     assert {r.score for r in quality_crf.classify(odd_docs, empty).collect()} == {0.5}
+    lines = quality_crf.label_lines(odd_docs, field)
+    per_doc = {}
+    for r in lines.where("doc_id = 1").collect():
+        assert r.good == (r.probability >= 0.5)
+        per_doc[r.line_no] = (r.line, r.probability)
+    text = odd_docs.where("doc_id = 1").first().text
+    assert [per_doc[k][0] for k in range(len(per_doc))] == text.split("\n")
+    weighed = sum(max(len(x.encode()), 1) * p for x, p in per_doc.values()) / sum(max(len(x.encode()), 1) for x, _ in per_doc.values())
+    assert weighed == pytest.approx(field.scores([text])[0])
+    assert lines.count() == sum((r.text or "").count("\n") + 1 for r in odd_docs.collect())
     null_marks = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
     assert quality_crf.train(odd_docs, null_marks).constant == 0.5
 
