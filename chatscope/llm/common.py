@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatscope.session import materialize
 
-__all__ = ["materialize", "table", "crc32_mod", "as_text", "shuffle_width", "free_name"]
+__all__ = ["materialize", "table", "crc32_mod", "as_text", "shuffle_width", "free_name", "for_rows"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,3 +36,11 @@ def free_name(df: DataFrame, base: str) -> str:
     while name.lower() in used:
         name += "_"
     return name
+
+
+ROWS_PER_TASK = 250_000
+
+
+def for_rows(df: DataFrame, n: int) -> DataFrame:
+    """``df`` in as few partitions as ``n`` narrow rows need, so that small steps do not pay for many tasks."""
+    return df.coalesce(max(1, -(-n // ROWS_PER_TASK)))

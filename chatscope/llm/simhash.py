@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatscope.llm.common import free_name, materialize, shuffle_width
+from chatscope.llm.common import for_rows, free_name, materialize, shuffle_width
 from chatscope.llm.components import components
 
 SEED = 42
@@ -174,13 +174,15 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int)
     """Written tables ``(doc_id, fp)`` of all rows and ``(fp, root, component_id)`` of all distinct fingerprints."""
     rows = materialize(docs.select(F.col(doc_id).alias("doc_id"),
                                    fingerprint_column(shingle)(F.col(text).cast("string")).alias("fp")))
-    distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(distinct.select("fp"), radius))
+    n = rows.count()
+    distinct = materialize(for_rows(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), n))
+    n = distinct.count()
+    roots = components(links(distinct.select("fp"), radius), n)
     # every fingerprint with its root: those without a link are their own
-    classes = materialize(distinct.join(roots.withColumnRenamed("v", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    ids = materialize(classes.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    return rows, materialize(classes.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"))
+    classes = materialize(for_rows(distinct.join(roots.withColumnRenamed("v", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), n))
+    ids = materialize(for_rows(classes.groupBy("root").agg(F.min("first_id").alias("component_id")), n))
+    return rows, materialize(for_rows(classes.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"), n))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,

@@ -68,7 +68,7 @@ def test_forest_spans_exactly_the_links():
     ([(i, i + 1) for i in range(-40, 40)], {i: -40 for i in range(-40, 41)}),
     ([(0, i) for i in range(1, 60)] + [(100, 101), (None, 5)], {**{i: 0 for i in range(60)}, 100: 100, 101: 100})])
 def test_components(spark, pairs, want):
-    got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    got = components(spark.createDataFrame(pairs, "a long, b long"), 10).collect()
     assert len(got) == len(want) and {r.v: r.root for r in got} == want
 
 
