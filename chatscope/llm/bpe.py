@@ -279,8 +279,7 @@ def word_numbers(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES)
 
 def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType, columns: Sequence[str]):
     def rebuild(batches):
-        makers = [_OUTPUTS[c][2] for c in columns]
-        tables = _pieces_and_decimals(tokenizer_path())
+        makers, tables = [_OUTPUTS[c][2] for c in columns], None
         block, lists, sizes, texts, raw = None, {}, None, [], []
         for b in batches:
             out = []
@@ -291,6 +290,7 @@ def _rebuild(tokenizer_path: Callable[[], str], id_type: pa.DataType, columns: S
                     high = np.frombuffer(row["high"], "<u2").astype(np.uint32) << 16 if row["high"] else np.uint32(0)
                     lists[row["bucket"]] = (unpack_numbers(row["seq"]), np.frombuffer(row["low"], "<u2") + high)
                 elif row["kind"] == 1:
+                    tables = tables or _pieces_and_decimals(tokenizer_path())
                     sizes, texts, raw = _word_table(unpack_numbers(row["seq"]), lists, *tables)
                     if zlib.crc32(b"\0".join(raw)) != row["check"]:
                         raise RuntimeError(f"block {block}: word list and word numbers come from different rows")
@@ -369,7 +369,8 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: Callable[[], str] = vocab
         "block", F.lit(0).alias("kind"), none(id_type).alias("doc_id"), F.col("sizes").alias("seq"),
         F.lit(0).cast("bigint").alias("check"), "bucket", "low", "high",
     ).unionByName(numbers.withColumns({"bucket": none("int"), "low": none("binary"), "high": none("binary")}))
-    sorted_ = both.repartition(width, "block").sortWithinPartitions("block", "kind")
+    # blocks are few and large: more partitions than blocks, so that few tasks get two
+    sorted_ = both.repartition(4 * width, "block").sortWithinPartitions("block", "kind")
     from pyspark.sql.pandas.types import to_arrow_type
     return sorted_.mapInArrow(_rebuild(tokenizer_path, to_arrow_type(rows.schema["doc_id"].dataType), tuple(columns)),
                               f"doc_id {id_type}, " + ", ".join(f"{c} {_OUTPUTS[c][0]}" for c in columns))
