@@ -6,6 +6,9 @@ rendering and scoring are done at row level with ``string_agg`` / list lambdas.
 
 from __future__ import annotations
 
+from chatscope.operators.template import CLOCK_DAY, CLOCK_FORMAT_INTRO, DEVELOPER_CLOCK_INTRO, DEVELOPER_FIXED
+from chatscope.plans.fixtures import DEVELOPER_TEXT
+
 
 def h(x: str) -> str:
     """First 8 hex digits of md5(x as text) as an integer."""
@@ -105,7 +108,7 @@ ok AS (
     '<start_of_turn>model' || chr(10) || '<start_function_call>call:' || et || '{' || pairs
       || '}<end_function_call><end_of_turn>' || chr(10) AS last_seg
   FROM fx1 WHERE reason IS NULL
-)""".replace("@DEV@", "You are a model that can do function calling with the following functions")
+)""".replace("@DEV@", DEVELOPER_TEXT)
 
 SQL["scan_text_lines"] = f"WITH {FX1} SELECT text FROM fx1"
 
@@ -136,7 +139,7 @@ SELECT sample_id,
   '[{{"content":"@DEV@","role":"developer"}},{{"content":"' || ask
     || '","role":"user"}},{{"role":"assistant","tool_calls":[{{"function":{{"arguments":' || args_json
     || ',"name":"' || et || '"}}}}]}}]' AS repaired
-FROM parts""".replace("@DEV@", "You are a model that can do function calling with the following functions")
+FROM parts""".replace("@DEV@", DEVELOPER_TEXT)
 
 SQL["unwrap_singleton"] = """SELECT event_id AS sample_id, 3 AS n_items,
   CASE WHEN event_id % 5 = 3 THEN 'ARRAY' ELSE 'OBJECT' END AS first_type FROM events"""
@@ -743,18 +746,22 @@ SQL["render_adhoc_prompts"] = f"""WITH {FX1}, {PLINES}
 SELECT item_id, line_no,
   '<start_of_turn>developer' || chr(10) || '<tools>' || {FIRST_TOOLS} || '</tools><end_of_turn>' || chr(10)
   || '<start_of_turn>developer' || chr(10)
-  || 'Current date and time given in YYYY-MM-DDTHH:MM:SS format: 2024-11-15T05:59:00. You are a model that can do function calling with the following functions'
+  || '{DEVELOPER_FIXED}'
   || '<end_of_turn>' || chr(10) || '<start_of_turn>user' || chr(10) || user_prompt || '<end_of_turn>' || chr(10)
   || '<start_of_turn>model' || chr(10) AS prompt
 FROM pe WHERE NOT rejected"""
 
-SQL["render_time_context"] = """
+def _text(x: str) -> str:
+    """A SQL string of ``x`` with its line breaks as chr(10)."""
+    return " || chr(10) || ".join(f"'{part}'" for part in x.split("\n"))
+
+
+SQL["render_time_context"] = f"""
 WITH t AS (SELECT event_id, ts, timezone('America/Toronto', timezone('UTC', ts)) AS loc FROM events)
 SELECT event_id,
-  'You are a model that can do function calling with the following functions. ' || chr(10) || '    '
-  || 'Current date and time given in YYYY-MM-DDTHH:MM:SS format: ' || strftime(loc, '%Y-%m-%dT%H:%M:%S') || ' '
+  {_text(DEVELOPER_CLOCK_INTRO + CLOCK_FORMAT_INTRO)} || strftime(loc, '%Y-%m-%dT%H:%M:%S') || ' '
   || CASE WHEN date_diff('minute', ts, loc) = -240 THEN 'EDT' ELSE 'EST' END
-  || '.' || chr(10) || '    Day of week is ' || dayname(loc) AS developer_content
+  || {_text(CLOCK_DAY)} || dayname(loc) AS developer_content
 FROM t"""
 
 # ---------------------------------------------------------------- sinks
