@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from chatscope.functions.text import col_of, py_strip
 
+# Fixed values of the call format.
 CALL_RE = r"(?s)<start_function_call>(.*?)<end_function_call>"
 PAIR_RE = r"(?s)([^:,]*?):<escape>(.*?)<escape>"
 END_OF_TURN = "<end_of_turn>"
