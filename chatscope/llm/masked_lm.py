@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatscope.llm.common import materialize
@@ -43,6 +43,7 @@ WARM_DOCS, WARM_CHARS = 2000, 50_000
 FAN_IN = 64
 BATCH = 1 << 15
 _ENDINGS = 100_000  # endings a task remembers
+BLOCK_WORDS, BLOCK_TOKENS = 400_000, 8_000_000  # distinct words and occurrences after which a block of texts ends
 _COUNT_LIMIT = 400_000  # distinct words a counting task holds before it hands on partial sums
 
 
@@ -67,6 +68,10 @@ class Vocabulary(dict):
             shared.clear()
         return np.array([i if (i := own(w)) is not None else shared[w[-3:]] for w in words], dtype=np.int32)
 
+    def shared_words(self, text: str | None) -> list[bytes]:
+        """The words of a text that share their id with others, repeated as often as they occur."""
+        return [w for w in split_words(text) if w not in self]
+
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n)`` over all texts; tasks add up before the shuffle."""
@@ -309,26 +314,144 @@ def score_texts(flat: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
     return np.bincount(w.owner, weights=p, minlength=len(texts)).astype(np.float64)  # whole numbers if no word
 
 
+def _score_batch(words: Vocabulary, flat: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words and the ids' log-probability of each text of a column."""
+    ids, sums, held = [words.ids(t.as_py()) for t in texts], [], 0
+    at = 0
+    for k in range(len(ids)):
+        held += len(ids[k])
+        if held >= 4 * BATCH or k == len(ids) - 1:
+            sums.append(score_texts(flat, ids[at:k + 1]))
+            at, held = k + 1, 0
+    return np.array([len(x) for x in ids], dtype=np.int64), np.concatenate(sums) if sums else np.empty(0)
+
+
+_BLOCK_NAMES = ["block", "doc_id", "n_words", "log_prob", "numbers", "words", "counts", "ids", "totals"]
+
+
 def score(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_words, log_prob, mean_log_prob)``, one row per input row."""
+    """``(doc_id, n_words, log_prob, mean_log_prob)`` of the texts' ids, one row per input row."""
     shared = docs.sparkSession.sparkContext.broadcast((vocab, weights))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def scored(batches):
         words, flat = shared.value
         for b in batches:
-            ids, sums, held = [words.ids(t.as_py()) for t in b.column(1)], [], 0
-            at = 0
-            for k in range(len(ids)):
-                held += len(ids[k])
-                if held >= 4 * BATCH or k == len(ids) - 1:
-                    sums.append(score_texts(flat, ids[at:k + 1]))
-                    at, held = k + 1, 0
-            n = np.array([len(x) for x in ids], dtype=np.int64)
-            total = np.concatenate(sums) if sums else np.empty(0)
+            n, total = _score_batch(words, flat, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total)],
                                              names=["doc_id", "n_words", "log_prob"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(scored, f"doc_id {id_type}, n_words bigint, log_prob double").withColumn(
-        "mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
+    return _with_mean(rows.mapInArrow(scored, f"doc_id {id_type}, n_words bigint, log_prob double"))
+
+
+def _with_mean(df: DataFrame) -> DataFrame:
+    return df.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
+
+
+# ------------------------------------------------------------------ words that share an id
+class _Block(dict):
+    """word -> number within the block, in order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = i = len(self)
+        return i
+
+
+def _pack(numbers: list[int]) -> bytes:
+    """Sorted numbers, byte plane by byte plane: the upper planes compress to little."""
+    return np.sort(np.array(numbers, dtype="<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def score_words(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, doc_id: str = "doc_id",
+                text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """As ``score``, but of the words themselves: log P(id | neighbours) + log P(word | id).
+
+    Word counts are those of ``docs``.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((vocab, weights))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
+                       F.spark_partition_id().cast("bigint").alias("part"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    base = (f"block bigint, doc_id {id_type}, n_words bigint, log_prob double, numbers binary, "
+            "words array<binary>, counts array<bigint>, ids binary, totals array<bigint>")
+
+    def blocks(batches):
+        words, flat = shared.value
+        endings, numbers, used, serial, part = _Endings(), _Block(), [], 0, 0
+        doc_type = None
+
+        def close():
+            n = np.bincount(np.concatenate(used), minlength=len(numbers))
+            ids = np.fromiter((endings[w[-3:]] for w in numbers), dtype=np.int64, count=len(numbers)) - FREQUENT
+            totals = np.bincount(ids, weights=n, minlength=VOCAB - FREQUENT).astype(np.int64)
+            return pa.RecordBatch.from_arrays([
+                pa.array([block()], pa.int64()), pa.nulls(1, doc_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()),
+                pa.nulls(1, pa.binary()), pa.array([list(numbers)], pa.list_(pa.binary())),
+                pa.array([n], pa.list_(pa.int64())), pa.array([ids.astype(np.uint8).tobytes()], pa.binary()),
+                pa.array([totals], pa.list_(pa.int64()))], names=_BLOCK_NAMES)
+
+        def block():
+            return (part << 32) + serial  # the partition and the block's number in it
+
+        held = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            part, doc_type = b.column(2)[0].as_py(), b.schema.field(0).type
+            n, total = _score_batch(words, flat, b.column(1))
+            at, packed = 0, []
+            for k, t in enumerate(b.column(1)):
+                got = [numbers[w] for w in words.shared_words(t.as_py())]
+                used.append(np.array(got, dtype=np.int32))
+                packed.append(_pack(got))
+                held += len(got)
+                full = len(numbers) >= block_words or held >= BLOCK_TOKENS
+                if full or k == b.num_rows - 1:
+                    m = k + 1 - at
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([block()] * m, pa.int64()), b.column(0).slice(at, m), pa.array(n[at:k + 1]),
+                        pa.array(total[at:k + 1]), pa.array(packed, pa.binary()), pa.nulls(m, pa.list_(pa.binary())),
+                        pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.list_(pa.int64()))],
+                        names=_BLOCK_NAMES)
+                    at, packed = k + 1, []
+                if full:
+                    yield close()
+                    numbers.clear()
+                    used.clear()
+                    serial, held = serial + 1, 0
+        if numbers:
+            yield close()
+
+    made = materialize(rows.mapInArrow(blocks, base))
+    listed = made.where(F.col("words").isNotNull())
+    totals = np.ones(VOCAB - FREQUENT)
+    for r in listed.select(F.posexplode("totals").alias("id", "n")).groupBy("id").agg(F.sum("n").alias("n")).collect():
+        totals[r.id] = max(r.n, 1)  # one row per shared id
+    each = listed.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
+        "block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    counted = each.select("block", "at", F.sum("n").over(Window.partitionBy("word")).alias("n"))
+    all_of = spark.sparkContext.broadcast(np.log(totals))
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.combine_chunks()
+        is_block = np.asarray(left["ids"].is_valid())
+        log_share = np.zeros(right.num_rows)
+        if right.num_rows:
+            (ids,) = left["ids"].filter(pa.array(is_block)).to_pylist()
+            log_share[np.asarray(right["at"])] = np.log(np.asarray(right["n"]))
+            log_share -= all_of.value[np.frombuffer(ids, np.uint8)]
+        left = left.filter(pa.array(~is_block))
+        extra = np.array([log_share[_unpack(x.as_py())].sum() for x in left["numbers"]], dtype=np.float64)
+        return pa.table({"doc_id": left["doc_id"], "n_words": left["n_words"],
+                         "log_prob": pa.array(np.asarray(left["log_prob"]) + extra, pa.float64())})
+
+    texts = made.select("block", "doc_id", "n_words", "log_prob", "numbers", "ids")
+    done = texts.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
+        add, f"doc_id {id_type}, n_words bigint, log_prob double")
+    return _with_mean(done)

@@ -65,7 +65,7 @@ def op8_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     vocab = masked_lm.vocabulary(docs)
-    return masked_lm.score(docs, vocab, masked_lm.train(docs, vocab))
+    return masked_lm.score_words(docs, vocab, masked_lm.train(docs, vocab))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,6 +191,40 @@ def test_masked_lm_against_brute_force_and_unigrams(spark, odd_docs, no_docs):
     masked_lm.train(odd_docs, masked_lm.vocabulary(odd_docs))
 
 
+def test_masked_lm_scores_the_words_themselves(spark, odd_docs, no_docs):
+    common = " ".join(f"c{i}" for i in range(masked_lm.FREQUENT))
+    rows = [(k, common) for k in range(6)] + [(10, "c1 ztion c2 c3"), (11, "c1 qtion c2 c3"), (None, "ztion ztion"), (12, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    vocab = masked_lm.vocabulary(docs)
+    weights = masked_lm.train(docs, vocab)
+    got = {r.doc_id: r for r in masked_lm.score_words(docs, vocab, weights).collect()}
+    assert got[10].log_prob - got[11].log_prob == pytest.approx(math.log(3))  # one ending, three times as frequent
+    real = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    vocab = masked_lm.vocabulary(real)
+    weights = masked_lm.train(real, vocab)
+    texts = {r.doc_id: r.text for r in real.collect()}
+    n, total = {}, {}
+    for t in texts.values():
+        for w, i in zip(masked_lm.split_words(t), vocab.ids(t), strict=True):
+            n[w], total[i] = n.get(w, 0) + 1, total.get(i, 0) + 1
+    ids = {r.doc_id: r.log_prob for r in masked_lm.score(real, vocab, weights).collect()}
+    whole = {r.doc_id: r for r in masked_lm.score_words(real.repartition(2), vocab, weights, block_words=500).collect()}
+    assert whole.keys() == texts.keys()
+    for d, t in texts.items():
+        share = sum(math.log(n[w] / total[i]) for w, i in zip(masked_lm.split_words(t), vocab.ids(t), strict=True))
+        assert whole[d].log_prob == pytest.approx(ids[d] + share, rel=1e-6)
+    odd = masked_lm.score_words(odd_docs, vocab, weights).collect()
+    assert sorted((repr(r.doc_id), r.n_words) for r in odd) == sorted(
+        (repr(r.doc_id), len(masked_lm.split_words(r.text))) for r in odd_docs.collect())
+    assert all((r.mean_log_prob is None) == (r.n_words == 0) and (r.n_words or r.log_prob == 0.0) for r in odd)
+    assert masked_lm.score_words(no_docs, vocab, weights).collect() == []
+
+
+def test_masked_lm_packs_numbers():
+    assert masked_lm._unpack(masked_lm._pack([70_000, 3, 3, 1 << 24])).tolist() == [3, 3, 70_000, 1 << 24]
+    assert masked_lm._unpack(masked_lm._pack([])).tolist() == []
+
+
 def test_shard_average_is_weighted():
     import pyarrow as pa
     a, b = np.ones(masked_lm.N_WEIGHTS, "<f4"), np.full(masked_lm.N_WEIGHTS, 4, "<f4")
