@@ -8,12 +8,18 @@ Arrow batch is scored in numpy from the sparse bucket counts of its texts.
 Defined results: a null text or one without any letter is ``und`` with score
 0.0; so is every text when nothing could be learned (no training rows). Ties go
 to the alphabetically first language. Rows without a language are not trained on.
+
+The posterior only compares the learned languages with each other and is close to 1 for nearly any text, so
+it says nothing about texts in none of them. For a filter, ``with_floors`` learns from the same rows how probable
+texts of each language are: the mean log-probability per n-gram of every training row under its own language.
+A text less probable under its best language than that language's mean by ``SPREADS`` standard deviations
+is in no learned language. At most one in ``SPREADS ** 2`` training rows can lie so low, whatever their distribution.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -23,6 +29,8 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 MIN_SCORE = 0.3  # a filter's posterior: below it hardly any language stands out
+SPREADS = 10.0  # a filter's standard deviations below the mean of a language's training rows
+MIN_SPREAD = 0.25  # nats per n-gram; the least standard deviation assumed, for languages of few or equal rows
 N_BUCKETS = 1 << 13
 ORDERS = (1, 2, 3)
 _MULT = np.uint32(2654435761)  # Knuth's multiplicative constant
@@ -61,16 +69,22 @@ class LangModel:
     langs: tuple[str, ...]
     log_prior: np.ndarray  # (languages,)
     log_prob: np.ndarray  # (n_buckets, languages)
+    floor: np.ndarray | None = None  # (languages,) least mean log-probability per n-gram of a text in the language
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, posterior, and whether the text is as probable as texts of that language are (true without floors)."""
         if not self.langs or not has_letter(text):
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, False
         counts = bucket_counts(text, self.log_prob.shape[0])
         hit = np.flatnonzero(counts)
         scores = self.log_prior + counts[hit] @ self.log_prob[hit]
         p = np.exp(scores - scores.max())
         best = int(scores.argmax())
-        return self.langs[best], float(p[best] / p.sum())
+        fits = self.floor is None or (scores[best] - self.log_prior[best]) / counts.sum() >= self.floor[best]
+        return self.langs[best], float(p[best] / p.sum()), bool(fits)
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", n_buckets: int = N_BUCKETS,
@@ -114,15 +128,46 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", n_buckets: in
     return LangModel(langs, np.log(docs_of / max(docs_of.sum(), 1.0)), np.log(smooth / smooth.sum(axis=0, keepdims=True)))
 
 
+def with_floors(docs: DataFrame, model: LangModel, text: str = "text", lang: str = "lang") -> LangModel:
+    """``model`` with a floor for each language, learned from every row of ``docs`` that has a language."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.where(F.col(lang).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        sums = np.zeros((len(m.langs), 3))
+        at = {la: k for k, la in enumerate(m.langs)}
+        for b in batches:
+            for la, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                t = t.as_py()
+                if la in at and has_letter(t):
+                    counts = bucket_counts(t, m.log_prob.shape[0])
+                    hit = np.flatnonzero(counts)
+                    x = counts[hit] @ m.log_prob[hit, at[la]] / counts.sum()
+                    sums[at[la]] += 1, x, x * x
+        yield pa.RecordBatch.from_pydict({"k": pa.array(np.arange(len(sums))), "n": pa.array(sums[:, 0]),
+                                          "x": pa.array(sums[:, 1]), "xx": pa.array(sums[:, 2])})
+
+    summed = rows.mapInArrow(moments, "k bigint, n double, x double, xx double").groupBy("k").agg(
+        *(F.sum(c).alias(c) for c in ("n", "x", "xx")))
+    floor = np.full(len(model.langs), -np.inf)
+    for r in summed.collect():  # one row per language
+        if r.n:
+            mean = r.x / r.n
+            floor[r.k] = mean - SPREADS * max(max(r.xx / r.n - mean * mean, 0.0) ** 0.5, MIN_SPREAD)
+    return replace(model, floor=floor)
+
+
 def predictor(docs: DataFrame, model: LangModel) -> Column:
-    """A column expression ``struct<lang_pred, score>`` of a text column, model broadcast once."""
+    """A column expression ``struct<lang_pred, score, fits>`` of a text column, model broadcast once."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, fits boolean")
     def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for s in batches:
-            yield pd.DataFrame([m.predict(t) for t in s], columns=["lang_pred", "score"])
+            yield pd.DataFrame([m.judge(t) for t in s], columns=["lang_pred", "score", "fits"])
 
     return language
 
@@ -135,9 +180,12 @@ def classify(docs: DataFrame, model: LangModel, doc_id: str = "doc_id", text: st
 
 
 def keep_confident(docs: DataFrame, model: LangModel, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
-    """Rows whose language is known with a posterior of at least ``min_score``; all columns kept."""
+    """Rows whose language is known with a posterior of at least ``min_score`` and, if the model has
+    floors, whose text is no less probable than its language's floor; all columns kept.
+    """
     from chatscope.llm.common import free_name
     tmp = free_name(docs, "_lang")
     p = predictor(docs, model)
     return docs.withColumn(tmp, p(F.col(text).cast("string"))).where(
-        (F.col(f"{tmp}.lang_pred") != UNDETERMINED) & (F.col(f"{tmp}.score") >= min_score)).drop(tmp)
+        (F.col(f"{tmp}.lang_pred") != UNDETERMINED) & (F.col(f"{tmp}.score") >= min_score)
+        & F.col(f"{tmp}.fits")).drop(tmp)

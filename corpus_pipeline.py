@@ -15,9 +15,11 @@ from chatscope.llm.common import crc32_mod, materialize, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those whose language stays uncertain (posterior below 0.3)."""
-    model = lang_id.train(docs.where(crc32_mod("doc_id", 4) != 2))
-    return lang_id.keep_confident(docs, model)
+    """Drops texts without a letter, those far less probable under every learned language than its training
+    rows are (``lang_id.with_floors``), and those whose language stays uncertain (posterior below 0.3).
+    """
+    rows = docs.where(crc32_mod("doc_id", 4) != 2)
+    return lang_id.keep_confident(docs, lang_id.with_floors(rows, lang_id.train(rows)))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,18 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and all(any(c.isalpha() for c in r.text) for r in kept.collect())
 
 
+def test_language_filter_drops_unlearned_languages(spark):
+    import corpus_pipeline
+    base = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    odd = ["Быстрая коричневая лиса прыгает через ленивую собаку и бежит дальше в лес. " * 5,
+           "素早い茶色の狐はのろまな犬を飛び越える。そして森へ走っていく。" * 6, "bcdfg hjklm npqrs tvwxz zxvbn mkjhg fdspq rtwcx " * 8]
+    rows = [(10**6 + k, t, None, "s", len(t)) for k, t in enumerate(odd)]
+    docs = base.unionByName(spark.createDataFrame(rows, base.schema))
+    got = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF_ORACLE).select("doc_id").collect()}
+    assert not any(10**6 + k in got for k in range(len(odd)))
+    assert got == {r.doc_id for r in base.collect() if any(map(str.isalpha, r.text or ""))}  # learned languages stay
+
+
 # ------------------------------------------------------------------ line field
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(2)
