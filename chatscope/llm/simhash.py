@@ -201,22 +201,26 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
              radius: int = 2) -> DataFrame:
     """One row of ``docs`` (all columns) per component: that with the component's id.
 
-    Rows repeating a kept id are the same document: the one with the smallest
-    text stays, then the smallest hash of the other columns. A component whose
-    rows all lack an id keeps one of them by the same order.
+    Where several rows of a component have its id, the one with the smallest text stays, then the
+    smallest hash of the other columns; rows of other components do not count, whatever their id.
+    A component whose rows all lack an id keeps one of them by the same order.
     """
     _, classes = _classes(docs, doc_id, text, shingle, radius)
-    key, rank, tag, fp = (free_name(docs, x) for x in ("_keep", "_rank", "_tag", "_fp"))
+    key, rank, tag, fp, kept_fp, root = (
+        free_name(docs, x) for x in ("_keep", "_rank", "_tag", "_fp", "_kept_fp", "_root"))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
     tagged = docs.withColumn(tag, F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0))
+    prints = fingerprint_column(shingle)(F.col(text).cast("string"))
 
-    def first_of(df: DataFrame, by: str) -> DataFrame:
-        order = Window.partitionBy(by).orderBy(F.col(text), F.col(tag))
+    def first_of(df: DataFrame) -> DataFrame:
+        order = Window.partitionBy(root).orderBy(F.col(text), F.col(tag))
         return df.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
 
-    keepers = classes.where("component_id IS NOT NULL").select(F.col("component_id").alias(key)).distinct()
-    with_id = tagged.join(keepers, tagged[doc_id] == keepers[key], "left_semi")
-    no_id = classes.where("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(key))
-    without = tagged.where(F.col(doc_id).isNull()).withColumn(
-        fp, fingerprint_column(shingle)(F.col(text).cast("string"))).join(no_id, fp)
-    return first_of(with_id, doc_id).unionByName(first_of(without, key))
+    keepers = classes.where("component_id IS NOT NULL").select(
+        F.col("component_id").alias(key), F.col("fp").alias(kept_fp), F.col("root").alias(root))
+    # ids first, so that only rows that may stay are fingerprinted again
+    maybe = tagged.join(keepers.select(key).distinct(), tagged[doc_id] == F.col(key), "left_semi").withColumn(fp, prints)
+    with_id = maybe.join(keepers, (maybe[doc_id] == F.col(key)) & (maybe[fp] == F.col(kept_fp)))
+    no_id = classes.where("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root))
+    without = tagged.where(F.col(doc_id).isNull()).withColumn(fp, prints).join(no_id, fp)
+    return first_of(with_id).unionByName(first_of(without))

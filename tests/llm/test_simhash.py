@@ -95,3 +95,12 @@ def test_odd_rows_and_keep_one(odd_docs, no_docs):
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(
         {repr(c) for c in comp if c is not None} | {"None" for r, c in zip(rows, comp, strict=True) if c is None})
     assert simhash.near_duplicates(no_docs).collect() == [] and simhash.keep_one(no_docs).collect() == []
+
+
+def test_keep_one_with_repeated_ids_of_differing_texts(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(40)) for x in "abc")
+    rows = [(5, b), (5, a), (3, a), (9, c), (5, c)]
+    comp = brute_components(list(range(5)), [plain_fingerprint(t) for _, t in rows], 2)
+    assert comp[1] == comp[2] and len(set(comp)) == 3
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id int, text string"))
+    assert sorted(map(tuple, kept.collect())) == sorted([(3, a), (5, b), (5, c)])  # one of each component
