@@ -9,7 +9,8 @@ line of a labelled document bearing the document's label.
 
 The field is fitted on a bounded sample: at most ``SAMPLE_DOCS`` labelled
 documents, those with the smallest hashes of their ids, without those of more than
-``SAMPLE_CHARS`` characters or ``SAMPLE_LINES`` lines. Scoring covers every line of every text.
+``SAMPLE_CHARS`` characters or ``SAMPLE_LINES`` lines; of documents that repeat an id, the one
+with the smallest text. Scoring covers every line of every text.
 
 Defined results: null and empty texts are one empty line; a document with
 several labels counts with their mean (0.5 or more is good); rows with a null label or
@@ -230,8 +231,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where(
         (F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
         & (F.coalesce(F.size(F.split("text", "\n")), F.lit(1)) <= sample_lines))
-    # the sample has at most sample_docs rows of two numbers
-    picked = rows.join(F.broadcast(chosen), "id").select("id", "text", "y")
+    # the sample has at most sample_docs rows of two numbers; of a repeated id one row counts
+    picked = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

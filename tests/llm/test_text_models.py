@@ -149,6 +149,19 @@ def test_quality_held_out_and_odd_rows(spark, odd_docs, no_docs):
     assert quality_crf.train(odd_docs, null_marks).constant == 0.5
 
 
+def test_quality_sample_has_one_row_per_id(spark, monkeypatch):
+    rows = [(1, "good line here"), *[(1, f"good line {i}") for i in range(300)], (2, "### !!! ***"), (3, None), (3, "more good words")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id int, quality int")
+    seen = []
+    monkeypatch.setattr(quality_crf, "fit", lambda feats, y: seen.append((feats, y)))
+    quality_crf.train(docs, labels)
+    (feats, y), = seen
+    assert y.tolist() == [1, 0, 1]
+    for f, text in zip(feats, ["good line 0", "### !!! ***", "more good words"], strict=True):
+        assert np.allclose(f, quality_crf.line_features(text)[0])
+
+
 # ------------------------------------------------------------------ masked LM
 def test_masked_lm_gradient():
     rng = np.random.default_rng(0)
