@@ -11,6 +11,10 @@ two fingerprints is the Dice coefficient of their distinct anchors: 2 |A and B|
 (|A| + |B|), 1 for two without anchors. To give short texts anchors too,
 ``k - 1`` empty border words frame each text.
 
+A word of more than ``LONG`` code points counts as that many one-character words, so that texts
+without white space (Chinese, Japanese, minified code, base64) have anchors inside too. Shorter
+pieces between white space stay whole, in any script.
+
 Defined results: null and empty texts, and texts without a word, have an empty
 fingerprint; equal texts have equal fingerprints. In the edit query the next
 document follows in ascending id (nulls first, then the text); repeated ids
@@ -27,11 +31,15 @@ from chatscope.llm.common import as_text, shuffle_width
 
 K = 5
 S = 2
+LONG = 20  # code points of the longest word that is one word
 
 
 def words_of(text: Column) -> Column:
-    """Words between ASCII white space."""
-    return F.array_remove(F.split(text, r"[\x09-\x0D\x20]+"), "")
+    """Words between ASCII white space, those of more than ``LONG`` code points cut into characters."""
+    words = F.array_remove(F.split(text, r"[\x09-\x0D\x20]+"), "")
+    cut = F.flatten(F.transform(words, lambda w: F.when(F.length(w) > LONG, F.split(w, "(?s)(?<=.)(?=.)")).otherwise(F.array(w))))
+    # few texts have such a word; the rest are split once
+    return F.when(text.rlike(rf"(?:^|[\x09-\x0D\x20])[^\x09-\x0D\x20]{{{LONG + 1}}}"), cut).otherwise(words)
 
 
 def _runs(words: Column, k: int, s: int) -> Column:

@@ -225,3 +225,19 @@ def test_anchors_are_closed_syncmers_and_context_free(spark):
         syncmers.match_positions(syncmers.F.col("a.anchors"), syncmers.F.col("b.anchors")).alias("m")).collect() for p in r.m}
     assert 47 in shift
     assert got[2] and not got[3]
+
+
+def test_texts_without_white_space_share_anchors(spark):
+    chinese = "".join(chr(0x4E00 + i * 7919 % 5000) for i in range(300))
+    astral = "".join(chr(0x1F300 + i * 31 % 250) for i in range(120))
+    code = "".join(f"f{i}(x{i * 37 % 101});" for i in range(60))
+    rows = [(0, chinese), (1, "ab"), (2, code), (3, "ab"), (4, astral), (5, "ab"), (6, "\u00a0".join(["one", "line"] * 40)), (7, "ab")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r for r in syncmers.edit_with_next(df).collect()}
+    assert all(got[i].near_edited > 0.3 for i in (0, 2, 4, 6))  # the edit keeps the first half
+    prints = syncmers.fingerprints(spark.createDataFrame([(0, chinese), (1, "x " + chinese[100:200] + " y")], "doc_id int, text string"))
+    a, b = ({x.hash for x in r.anchors} for r in prints.orderBy("doc_id").collect())
+    assert len(a & b) > 20
+    words = {r.t: r.w for r in spark.createDataFrame([("a" * 20 + " b",), ("c " + "d" * 21,), (astral[:21],), ("",), (None,)], "t string").select(
+        "t", syncmers.words_of(syncmers.F.col("t")).alias("w")).collect()}
+    assert words == {"a" * 20 + " b": ["a" * 20, "b"], "c " + "d" * 21: ["c", *"d" * 21], astral[:21]: list(astral[:21]), "": [], None: None}
