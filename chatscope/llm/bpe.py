@@ -89,7 +89,8 @@ def split_words(text: str) -> list[str]:
     return text.split(" ")  # no white space meets white space: every space is a cut
 
 
-# Fixed value: the split pattern of byte-level BPE.
+# The split pattern of byte-level BPE, and its white space.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -118,9 +119,39 @@ def load_encoder(path: str) -> Callable[[str], list[int]]:
         return lambda text: tok.encode(text, add_special_tokens=False).ids
     import tiktoken
     table = byte_table()
-    enc = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, special_tokens=added,
-                            mergeable_ranks={bytes(table[c] for c in k): v for k, v in vocab.items()})
-    return lambda text: enc.encode(text, allowed_special="all")
+    ranks = {bytes(table[c] for c in k): v for k, v in vocab.items()}
+    enc = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, special_tokens=added, mergeable_ranks=ranks)
+    spaces = tiktoken.Encoding("spaces", pat_str=r"\s+", special_tokens={}, mergeable_ranks=ranks)
+
+    def encode(text: str) -> list[int]:
+        try:
+            return enc.encode(text, allowed_special="all")
+        except ValueError:  # the pattern's look-ahead gives up on runs of about a million spaces
+            out: list[int] = []
+            for part, is_run in cut_long_runs(text, tuple(added)):
+                out += spaces.encode_ordinary(part) if is_run else enc.encode(part, allowed_special="all")
+            return out
+
+    return encode
+
+
+def cut_long_runs(text: str, specials: tuple[str, ...] = (), least: int = 1 << 12) -> Iterator[tuple[str, bool]]:
+    """``text`` in parts that are encoded apart; flagged ones are white space and one piece of the split pattern.
+
+    By the pattern a run of white space is one piece without its last character, or as a whole
+    where the text ends behind it or a special token follows.
+    """
+    at = 0
+    for run in re.finditer(f"[{_SPACE}]{{{least},}}", text):
+        end = run.end()
+        if end < len(text) and not text.startswith(specials, end):
+            end -= 1
+        if run.start() > at:
+            yield text[at:run.start()], False
+        yield text[run.start():end], True
+        at = end
+    if at < len(text):
+        yield text[at:], False
 
 
 def encoder(name: str = "byte_bpe_50k.json") -> Callable[[str], np.ndarray]:

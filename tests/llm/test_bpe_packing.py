@@ -32,6 +32,21 @@ def test_encoder_and_word_cuts_equal_the_library(tok):
         assert b"".join(pieces[i] for i in ids).decode("utf-8", "replace") == tok.decode(ids, skip_special_tokens=False)
 
 
+LONG_RUNS = [" " * 2_000_000 + "word", "a" + "\t" * 2_000_000 + " b", "x" + " \n\t\u3000" * 500_000,
+             "x" + " \n" * 1_000_000 + "<|endoftext|> y" + " " * 1_100_000]
+
+
+def test_runs_of_millions_of_spaces(spark, tok):
+    enc = bpe.load_encoder(PATH)
+    for t in LONG_RUNS:
+        assert enc(t) == tok.encode(t, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(LONG_RUNS)), "doc_id long, text string")
+    got = bpe.encode_and_decode(docs, columns=DIGESTS).collect()
+    assert sorted(map(tuple, got)) == [(k, *expected_bpe(tok, t)) for k, t in enumerate(LONG_RUNS)]
+    packed = packing.pack(docs, bpe.encoder).groupBy("doc_id").sum("length").collect()
+    assert sorted(map(tuple, packed)) == [(k, len(enc(t)) + 1) for k, t in enumerate(LONG_RUNS)]
+
+
 @given(st.lists(st.integers(0, 2**40)))
 def test_number_packing_round_trip(v):
     assert bpe.unpack_numbers(bpe.pack_numbers(np.array(v, dtype=np.int64))).tolist() == v
