@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatscope.llm import (
-    bpe, host_rules, lang_id, masked_lm, packing, quality_crf, simhash, syncmers, url_filter, warc)
+    bpe, fim, host_rules, lang_id, masked_lm, packing, quality_crf, simhash, syncmers, url_filter, warc)
 from chatscope.llm.common import crc32_mod, table
 from chatscope.session import scratch_path
 
@@ -75,16 +75,37 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_closed_syncmers, op3_host_quality_rules, op4_simhash_near_dedup,
         op5_bloom_url_filter, op6_line_field_quality, op7_warc_round_trip, op8_bpe_distinct_words,
-        op9_masked_lm_scoring, op10_language_id)}
+        op9_masked_lm_scoring, op10_language_id, op11_fill_in_middle)}
 
 _HOST = "CASE WHEN url LIKE '%://%' THEN lower(regexp_extract(url, '://([^/?#]*)', 1)) ELSE '' END"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 SQL: dict[str, str] = {
+    "op11_fill_in_middle": """
+        WITH u AS (
+          SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,
+                 regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+        d AS (
+          SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+                 CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                      WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+        c AS (
+          SELECT *, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+                 array_to_string(u[greatest(a, b) + 1:], '') AS s FROM d)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+        FROM c
+    """,
     "op3_host_quality_rules": rf"""
         WITH t AS (
           SELECT doc_id, source, coalesce(text, '') AS text,

@@ -48,7 +48,8 @@ CONTRACT = {  # query -> its first columns
     "op4_": "doc_id fingerprint component_id", "op5_": "page_id host path rule verdict",
     "op6_": "doc_id held_out score predicted", "op7_": "page_id payload_bytes payload_digest record_type refers_to",
     "op8_": "doc_id n_tokens ids_sha256 decoded_sha256", "op9_": "doc_id n_words log_prob mean_log_prob",
-    "op10_": "doc_id held_out lang_pred score"}
+    "op10_": "doc_id held_out lang_pred score",
+    "op11_": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256"}
 
 
 @pytest.mark.parametrize("prefix", list(CONTRACT))
