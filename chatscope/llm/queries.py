@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatscope.llm import (
-    bpe, fim, host_rules, lang_id, masked_lm, packing, quality_crf, simhash, syncmers, url_filter, warc)
+    bpe, fim, host_rules, lang_id, masked_lm, packing, quality_crf, simhash, syncmers, token_files,
+    url_filter, warc)
 from chatscope.llm.common import crc32_mod, table
 from chatscope.session import scratch_path
 
@@ -79,11 +80,17 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), scratch_path(spark, f"tokens/{uuid.uuid4().hex}"),
+                                  bpe.encoder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_closed_syncmers, op3_host_quality_rules, op4_simhash_near_dedup,
         op5_bloom_url_filter, op6_line_field_quality, op7_warc_round_trip, op8_bpe_distinct_words,
-        op9_masked_lm_scoring, op10_language_id, op11_fill_in_middle)}
+        op9_masked_lm_scoring, op10_language_id, op11_fill_in_middle,
+        op12_token_files)}
 
 _HOST = "CASE WHEN url LIKE '%://%' THEN lower(regexp_extract(url, '://([^/?#]*)', 1)) ELSE '' END"
 _WORDS = r"[^\x20\x09-\x0D]+"

@@ -49,7 +49,8 @@ CONTRACT = {  # query -> its first columns
     "op6_": "doc_id held_out score predicted", "op7_": "page_id payload_bytes payload_digest record_type refers_to",
     "op8_": "doc_id n_tokens ids_sha256 decoded_sha256", "op9_": "doc_id n_words log_prob mean_log_prob",
     "op10_": "doc_id held_out lang_pred score",
-    "op11_": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256"}
+    "op11_": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12_": "doc_id start n_tokens ids_crc32"}
 
 
 @pytest.mark.parametrize("prefix", list(CONTRACT))
