@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatscope.llm import (
-    bpe, fim, host_rules, lang_id, masked_lm, packing, quality_crf, simhash, syncmers, token_files,
+    bpe, collocations, fim, host_rules, lang_id, masked_lm, packing, quality_crf, simhash, syncmers, token_files,
     url_filter, warc)
 from chatscope.llm.common import crc32_mod, table
 from chatscope.session import scratch_path
@@ -85,17 +85,60 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   bpe.encoder)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_closed_syncmers, op3_host_quality_rules, op4_simhash_near_dedup,
         op5_bloom_url_filter, op6_line_field_quality, op7_warc_round_trip, op8_bpe_distinct_words,
         op9_masked_lm_scoring, op10_language_id, op11_fill_in_middle,
-        op12_token_files)}
+        op12_token_files, op13_collocations)}
 
 _HOST = "CASE WHEN url LIKE '%://%' THEN lower(regexp_extract(url, '://([^/?#]*)', 1)) ELSE '' END"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 SQL: dict[str, str] = {
+    "op13_collocations": r"""
+        WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+') AS w, row_number() OVER () AS text_no FROM documents),
+        t AS (SELECT lang, text_no, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM p),
+        s AS (
+          SELECT lang, w1, lead(w1) OVER x AS w2, lead(w1, 2) OVER x AS w3
+          FROM t WINDOW x AS (PARTITION BY text_no ORDER BY i)),
+        e AS (
+          SELECT lang, w1, CASE WHEN NOT regexp_matches(w2, '^[.,;:!?\x0A-\x0D]$') THEN w2 END AS w2,
+                 CASE WHEN NOT regexp_matches(w2, '^[.,;:!?\x0A-\x0D]$')
+                       AND NOT regexp_matches(w3, '^[.,;:!?\x0A-\x0D]$') THEN w3 END AS w3
+          FROM s WHERE NOT regexp_matches(w1, '^[.,;:!?\x0A-\x0D]$')),
+        g AS (
+          SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM e GROUP BY ALL UNION ALL
+          SELECT lang, 2, w1 || ' ' || w2, count(*) FROM e WHERE w2 IS NOT NULL GROUP BY ALL UNION ALL
+          SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM e WHERE w3 IS NOT NULL GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= 10),
+        cut AS (
+          SELECT c.lang, c.phrase, c.k, a, l.f AS l, r.f AS r, x.j,
+                 (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+          FROM c JOIN (SELECT unnest([1, 2]) AS j) x ON x.j < c.k
+          JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:x.j], ' ')
+          JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(w[x.j + 1:], ' ')),
+        best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        inside AS (
+          SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM c WHERE k = 3
+          UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE k = 3),
+        most AS (SELECT lang, phrase, max(a) AS longest FROM inside GROUP BY ALL),
+        kept AS (
+          SELECT best.* FROM best LEFT JOIN most ON most.lang = best.lang AND most.phrase = best.phrase
+          WHERE longest IS NULL OR 100 * longest < 50 * a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT ranked.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+               n.n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+    """,
     "op11_fill_in_middle": """
         WITH u AS (
           SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,

@@ -53,6 +53,11 @@ CONTRACT = {  # query -> its first columns
     "op12_": "doc_id start n_tokens ids_crc32"}
 
 
+def test_collocation_columns(spark):
+    df = queries.QUERIES["op13_collocations"](spark, SF_SMALL)
+    assert df.columns == "lang rank phrase a l r n score".split() and df.count() > 0
+
+
 @pytest.mark.parametrize("prefix", list(CONTRACT))
 def test_contract_columns_and_rows(spark, prefix):
     (name,) = [n for n in queries.QUERIES if n.startswith(prefix)]
