@@ -42,13 +42,14 @@ DIM, HIDDEN = 8, 32
 WARM_DOCS, WARM_CHARS = 2000, 50_000
 FAN_IN = 64
 BATCH = 1 << 15
-_ENDINGS = 100_000  # endings a task remembers
+_REMEMBERED = 400_000  # words whose ids a task remembers
 BLOCK_WORDS, BLOCK_TOKENS = 400_000, 8_000_000  # distinct words and occurrences after which a block of texts ends
 _COUNT_LIMIT = 400_000  # distinct words a counting task holds before it hands on partial sums
 
 
-def split_words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def split_words(text: str | bytes | None) -> list[bytes]:
+    raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    return raw.lower().split()
 
 
 class _Endings(dict):
@@ -59,18 +60,26 @@ class _Endings(dict):
         return i
 
 
+class _Ids(dict):
+    """word -> id; remembers what it is asked for."""
+
+    def __init__(self, own: dict) -> None:
+        super().__init__(own)
+        self.endings = _Endings()
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = i = self.endings[word[-3:]]
+        return i
+
+
 class Vocabulary(dict):
     """word -> id of the frequent words; any other word has the id of its ending."""
 
-    def ids(self, text: str | None) -> np.ndarray:
-        words, own, shared = split_words(text), self.get, self.__dict__.setdefault("endings", _Endings())
-        if len(shared) > _ENDINGS:
-            shared.clear()
-        return np.array([i if (i := own(w)) is not None else shared[w[-3:]] for w in words], dtype=np.int32)
-
-    def shared_words(self, text: str | None) -> list[bytes]:
-        """The words of a text that share their id with others, repeated as often as they occur."""
-        return [w for w in split_words(text) if w not in self]
+    def ids(self, text: str | bytes | None) -> np.ndarray:
+        words, known = split_words(text), self.__dict__.get("known")
+        if known is None or len(known) > _REMEMBERED:
+            known = self.__dict__["known"] = _Ids(self)
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -82,8 +91,8 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             return pa.RecordBatch.from_pydict({"word": pa.array(list(held), pa.binary()),
                                                "n": pa.array(list(held.values()), pa.int64())})
         for b in batches:
-            for t in b.column(0):
-                held.update(split_words(t.as_py()))
+            for t in b.column(0).cast(pa.binary()).to_pylist():
+                held.update(split_words(t))
                 if len(held) > _COUNT_LIMIT:
                     yield out()
                     held.clear()
@@ -224,7 +233,7 @@ class Trainer:
         self._held = 0
 
     def add(self, ids: np.ndarray) -> None:
-        for at in range(0, max(1, len(ids)), 4 * self.batch):  # a very long text in overlapping pieces
+        for at in range(0, max(1, len(ids)), 4 * self.batch):  # a very long text in pieces
             part = ids[at:at + 4 * self.batch]
             self._texts.append(part)
             self._held += len(part)
@@ -284,8 +293,8 @@ def train(docs: DataFrame, vocab: Vocabulary, doc_id: str = "doc_id", text: str
         t, part = Trainer(start.value, rate / 5, BATCH // 4), 0
         for b in batches:
             part = b.column(1)[0].as_py() if b.num_rows else part
-            for x in b.column(0):
-                t.add(words.value.ids(x.as_py()))
+            for x in b.column(0).cast(pa.binary()).to_pylist():
+                t.add(words.value.ids(x))
         t.flush()
         if t.words:
             yield pa.RecordBatch.from_pydict({
@@ -314,10 +323,9 @@ def score_texts(flat: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
     return np.bincount(w.owner, weights=p, minlength=len(texts)).astype(np.float64)  # whole numbers if no word
 
 
-def _score_batch(words: Vocabulary, flat: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and the ids' log-probability of each text of a column."""
-    ids, sums, held = [words.ids(t.as_py()) for t in texts], [], 0
-    at = 0
+def _score_batch(flat: np.ndarray, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words and the ids' log-probability of some texts."""
+    sums, held, at = [], 0, 0
     for k in range(len(ids)):
         held += len(ids[k])
         if held >= 4 * BATCH or k == len(ids) - 1:
@@ -337,7 +345,7 @@ def score(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, doc_id: str =
     def scored(batches):
         words, flat = shared.value
         for b in batches:
-            n, total = _score_batch(words, flat, b.column(1))
+            n, total = _score_batch(flat, [words.ids(t) for t in b.column(1).cast(pa.binary()).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total)],
                                              names=["doc_id", "n_words", "log_prob"])
 
@@ -351,16 +359,32 @@ def _with_mean(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ words that share an id
 class _Block(dict):
-    """word -> number within the block, in order of first use."""
+    """word -> id of a frequent word, or FREQUENT and the word's number within the block, in order of first use."""
+
+    def __init__(self, vocab: Vocabulary) -> None:
+        super().__init__(vocab)
+        self.words: list[bytes] = []
+        self.shared: list[int] = []  # the words' ids
+        self.endings = _Endings()
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = i = len(self)
+        self[word] = i = FREQUENT + len(self.words)
+        self.words.append(word)
+        self.shared.append(self.endings[word[-3:]])
         return i
 
+    def codes(self, text: bytes | None) -> np.ndarray:
+        words = split_words(text)
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def ids(self, codes: list[np.ndarray]) -> list[np.ndarray]:
+        table = np.concatenate([np.arange(FREQUENT), np.array(self.shared, dtype=np.int64)]).astype(np.int32)
+        return [table[c] for c in codes]
+
 
-def _pack(numbers: list[int]) -> bytes:
+def _pack(numbers: np.ndarray | list[int]) -> bytes:
     """Sorted numbers, byte plane by byte plane: the upper planes compress to little."""
-    return np.sort(np.array(numbers, dtype="<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
+    return np.sort(np.asarray(numbers, dtype="<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _unpack(packed: bytes) -> np.ndarray:
@@ -382,50 +406,52 @@ def score_words(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, doc_id:
             "words array<binary>, counts array<bigint>, ids binary, totals array<bigint>")
 
     def blocks(batches):
-        words, flat = shared.value
-        endings, numbers, used, serial, part = _Endings(), _Block(), [], 0, 0
+        vocab, flat = shared.value
+        numbers, used, serial, part, held = _Block(vocab), [], 0, 0, 0
         doc_type = None
 
         def close():
-            n = np.bincount(np.concatenate(used), minlength=len(numbers))
-            ids = np.fromiter((endings[w[-3:]] for w in numbers), dtype=np.int64, count=len(numbers)) - FREQUENT
+            n = np.bincount(np.concatenate(used), minlength=len(numbers.words))
+            ids = np.array(numbers.shared, dtype=np.int64) - FREQUENT
             totals = np.bincount(ids, weights=n, minlength=VOCAB - FREQUENT).astype(np.int64)
             return pa.RecordBatch.from_arrays([
                 pa.array([block()], pa.int64()), pa.nulls(1, doc_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()),
-                pa.nulls(1, pa.binary()), pa.array([list(numbers)], pa.list_(pa.binary())),
+                pa.nulls(1, pa.binary()), pa.array([numbers.words], pa.list_(pa.binary())),
                 pa.array([n], pa.list_(pa.int64())), pa.array([ids.astype(np.uint8).tobytes()], pa.binary()),
                 pa.array([totals], pa.list_(pa.int64()))], names=_BLOCK_NAMES)
 
         def block():
             return (part << 32) + serial  # the partition and the block's number in it
 
-        held = 0
+        def scored(ids: pa.Array, codes: list[np.ndarray]):
+            n, total = _score_batch(flat, numbers.ids(codes))
+            own = [c[c >= FREQUENT] - FREQUENT for c in codes]
+            used.extend(own)
+            m = len(codes)
+            return pa.RecordBatch.from_arrays([
+                pa.array([block()] * m, pa.int64()), ids, pa.array(n), pa.array(total),
+                pa.array([_pack(x) for x in own], pa.binary()), pa.nulls(m, pa.list_(pa.binary())),
+                pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.list_(pa.int64()))],
+                names=_BLOCK_NAMES)
+
         for b in batches:
             if not b.num_rows:
                 continue
             part, doc_type = b.column(2)[0].as_py(), b.schema.field(0).type
-            n, total = _score_batch(words, flat, b.column(1))
-            at, packed = 0, []
-            for k, t in enumerate(b.column(1)):
-                got = [numbers[w] for w in words.shared_words(t.as_py())]
-                used.append(np.array(got, dtype=np.int32))
-                packed.append(_pack(got))
-                held += len(got)
-                full = len(numbers) >= block_words or held >= BLOCK_TOKENS
+            at, codes = 0, []
+            for k, t in enumerate(b.column(1).cast(pa.binary()).to_pylist()):
+                codes.append(numbers.codes(t))
+                held += int(np.count_nonzero(codes[-1] >= FREQUENT))
+                full = len(numbers.words) >= block_words or held >= BLOCK_TOKENS
                 if full or k == b.num_rows - 1:
-                    m = k + 1 - at
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([block()] * m, pa.int64()), b.column(0).slice(at, m), pa.array(n[at:k + 1]),
-                        pa.array(total[at:k + 1]), pa.array(packed, pa.binary()), pa.nulls(m, pa.list_(pa.binary())),
-                        pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.list_(pa.int64()))],
-                        names=_BLOCK_NAMES)
-                    at, packed = k + 1, []
+                    yield scored(b.column(0).slice(at, k + 1 - at), codes)
+                    at, codes = k + 1, []
                 if full:
-                    yield close()
-                    numbers.clear()
-                    used.clear()
+                    if numbers.words:
+                        yield close()
+                    numbers, used = _Block(vocab), []
                     serial, held = serial + 1, 0
-        if numbers:
+        if numbers.words:
             yield close()
 
     made = materialize(rows.mapInArrow(blocks, base))
