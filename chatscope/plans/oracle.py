@@ -158,6 +158,38 @@ SQL["render_chat_full"] = f"WITH {FX1} SELECT sample_id, head || last_seg AS \"f
 SQL["render_chat_prompt"] = f"""WITH {FX1}
 SELECT sample_id, head || '<start_of_turn>model' || chr(10) AS prompt, true AS prefix_ok FROM ok"""
 
+SQL["render_tool_template"] = f"""WITH {FX1}
+SELECT sample_id, head || last_seg AS "full", head || '<start_of_turn>model' || chr(10) AS prompt,
+       substring(last_seg, length('<start_of_turn>model') + 2) AS completion, true AS prefix_ok FROM ok"""
+
+# Two template programs stated turn by turn. The second wants user and assistant turns to alternate behind a
+# leading system turn; other conversations render as NULL.
+_STRIP = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+SQL["render_template_programs"] = rf"""
+WITH n AS (
+  SELECT conv_id, role, regexp_replace(text, '^{_STRIP}|{_STRIP}$', '', 'g') AS body, text,
+         row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS last_i,
+         first_value(role) OVER w = 'system' AS has_system,
+         first_value(regexp_replace(text, '^{_STRIP}|{_STRIP}$', '', 'g')) OVER w AS first_body
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+p AS (
+  SELECT *, i - CASE WHEN has_system THEN 2 ELSE 1 END AS pos,
+         '<|im_start|>' || role || chr(10) || body || '<|im_end|>' || chr(10) AS a FROM n),
+q AS (
+  SELECT *, pos < 0 OR (role = 'user') = (pos % 2 = 0) AS fits,
+         CASE WHEN pos < 0 THEN '' WHEN role = 'user'
+              THEN '[INST] ' || CASE WHEN pos = 0 AND has_system THEN '<<SYS>>' || first_body || '<</SYS>> ' ELSE '' END || body || ' [/INST]'
+              ELSE ' ' || text || '</s>' END AS b FROM p),
+c AS (
+  SELECT conv_id, string_agg(a, '' ORDER BY i) AS chatml,
+         coalesce(string_agg(a, '' ORDER BY i) FILTER (WHERE i < last_i), '') || '<|im_start|>assistant' || chr(10) AS chatml_prompt,
+         max(CASE WHEN i = last_i THEN role END) = 'assistant' AS chatml_ok,
+         CASE WHEN bool_and(fits) THEN '<s>' || string_agg(b, '' ORDER BY i) END AS inst,
+         CASE WHEN coalesce(bool_and(fits) FILTER (WHERE i < last_i), true)
+              THEN '<s>' || coalesce(string_agg(b, '' ORDER BY i) FILTER (WHERE i < last_i), '') END AS inst_prompt
+  FROM q GROUP BY conv_id)
+SELECT *, substring(inst, length(inst_prompt) + 1) AS inst_completion FROM c"""
+
 SQL["assemble_messages"] = """
 SELECT conv_id, count(*) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
        md5(string_agg(text, chr(1) ORDER BY turn)) AS content_md5

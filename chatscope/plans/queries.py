@@ -37,6 +37,30 @@ def q_prompt_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------ template programs
+@register
+def q_render_template_programs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation through two template programs of different make."""
+    from chatscope.operators.chat_template import with_template
+    from chatscope.plans.templates import CHATML, INST
+    chats = FX.chats(spark, sf_dir).select("conv_id", "messages")
+    a = with_template(chats, CHATML).select("conv_id", "messages", F.col("full").alias("chatml"),
+                                            F.col("prompt").alias("chatml_prompt"), F.col("prefix_ok").alias("chatml_ok"))
+    return with_template(a, INST, bos_token="<s>", eos_token="</s>").select(
+        "conv_id", "chatml", "chatml_prompt", "chatml_ok", F.col("full").alias("inst"), F.col("prompt").alias("inst_prompt"),
+        F.col("completion").alias("inst_completion"))
+
+
+@register
+def q_render_tool_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool-calling records through the default format, written as a template program."""
+    from chatscope.operators.chat_template import with_template
+    from chatscope.operators.records import valid
+    from chatscope.plans.templates import MARKERS
+    r = with_template(valid(_parsed(spark, sf_dir)), MARKERS, "messages", "tools_json")
+    return r.select("sample_id", "full", "prompt", "completion", "prefix_ok")
+
+
 # ------------------------------------------------------------ records
 def _scratch(spark: SparkSession, tag: str) -> str:
     import uuid
