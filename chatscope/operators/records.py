@@ -45,19 +45,116 @@ def _fix_tokens(p: Column) -> Column:
     return F.regexp_replace(p, r"\bNone\b", "null")
 
 
+def _lenient(s: Column) -> Column:
+    """Steps 1 to 3 of ``repair_json``."""
+    options = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
+    return F.coalesce(F.try_parse_json(s), F.from_json(s, "variant", options),
+                      F.from_json(_outside_strings(s, _fix_tokens), "variant", options))
+
+
+# a quoted string, the rest of the text behind an unclosed quote, a mark, or a bare word
+_TOKEN = r"(?s)" + _QUOTED + r"""|["'].*|[{}\[\],:]|[^\s{}\[\],:"']++"""
+_NUMBER = r"-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?"
+
+
+def _as_json(token: Column, is_last: Column) -> Column:
+    """A token as JSON: strings closed, double-quoted and without raw control characters, bare words as literals or strings."""
+    quote = F.substring(token, 1, 1)
+    closed = (F.length(token) > 1) & F.regexp_like(token, F.lit(r"(?s)\A(?:" + _QUOTED + r")\z"))
+    inner = F.when(closed, F.substring(token, F.lit(2), F.length(token) - 2)).otherwise(
+        # the cut may have left half an escape
+        F.regexp_replace(F.substring(token, F.lit(2), F.length(token)), r"(?<!\\)((?:\\\\)*)\\(?:u[0-9a-fA-F]{0,3})?\z", "$1"))
+    inner = F.when(quote == "'", F.replace(F.replace(inner, F.lit("\\'"), F.lit("'")), F.lit('"'), F.lit('\\"'))).otherwise(inner)
+    for raw, escape in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        inner = F.replace(inner, F.lit(raw), F.lit(escape))
+    literal = (F.when(token.isin("true", "True"), "true").when(token.isin("false", "False"), "false")
+               .when(token.isin("null", "None"), "null"))
+    number = F.regexp_replace(token, r"[.eE+-]+\z", "")  # a cut may end in the middle of a number
+    bare = (F.when(literal.isNotNull(), literal)
+            .when(F.regexp_like(token, F.lit(rf"\A{_NUMBER}\z")), token)
+            .when(is_last & F.regexp_like(number, F.lit(rf"\A{_NUMBER}\z")), number)
+            .otherwise(F.concat(F.lit('"'), F.replace(token, F.lit("\\"), F.lit("\\\\")), F.lit('"'))))
+    return F.when(quote.isin('"', "'"), F.concat(F.lit('"'), inner, F.lit('"'))).otherwise(bare)
+
+
+def _bound(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def close_json(s: Column | str) -> Column:
+    """JSON text with its structure completed; NULL unless the text opens an object or a list.
+
+    A stack automaton over the tokens: open strings, lists and objects are closed at the end of the text, a list or
+    object that was left open where its parent closes is closed there, and a closing mark that nothing opened goes.
+    Commas are supplied between values that meet and dropped where none follows; a name without a value
+    gets null. Bare words are literals, numbers or strings. What strings hold does not change, but for escapes that the text's end
+    cut in half. The result need not be valid (``{"a" 1}`` has no colon); a parser decides.
+    """
+    # only brackets move the stack; its top is the first character
+    def step(acc: Column, b: Column) -> Column:
+        mark, at = b["t"], b["i"]
+        stack, fixes = acc["stack"], acc["fixes"]
+        below = F.instr(stack, mark)
+        state = lambda s, f: F.struct(s.alias("stack"), f.alias("fixes"))
+        fix = lambda close, keep: F.concat(fixes, F.array(F.struct(at.alias("i"), close.alias("close"), F.lit(keep).alias("keep"))))
+        return (F.when(mark == "{", state(F.concat(F.lit("}"), stack), fixes))
+                .when(mark == "[", state(F.concat(F.lit("]"), stack), fixes))
+                .when(F.startswith(stack, mark), state(F.substring(stack, F.lit(2), F.length(stack)), fixes))
+                .when(below > 0, state(F.substring(stack, below + 1, F.length(stack)),
+                                       fix(F.substring(stack, F.lit(1), below - 1), True)))
+                .otherwise(state(stack, fix(F.lit(""), False))))
+
+    def with_stack(toks: Column, end: Column) -> Column:
+        n = F.size(toks)
+        fixes = end["fixes"]
+        begins = lambda t: ~t.isin("}", "]", ",", ":")
+        ends = lambda t: ~t.isin("{", "[", ",", ":")
+
+        def piece(t: Column, i: Column) -> Column:
+            after = F.get(toks, i + 1)
+            fix = F.get(F.filter(fixes, lambda x: x["i"] == i), F.lit(0))
+            mark = (F.when(t == ",", F.when(after.isNull() | after.isin("}", "]", ","), "").otherwise(","))
+                    .when(t == ":", F.when(after.isNull() | after.isin("}", "]", ","), ":null").otherwise(":"))
+                    .when(t.isin("{", "}", "[", "]"), F.when(F.coalesce(fix["keep"], F.lit(True)), t).otherwise("")))
+            text = F.coalesce(mark, _as_json(t, i == n - 1))
+            comma = F.when(after.isNotNull() & ends(t) & begins(after), ",").otherwise("")
+            return F.concat(F.coalesce(fix["close"], F.lit("")), text, comma)
+
+        last, before = F.get(toks, n - 1), F.get(toks, n - 2)
+        lone = F.startswith(end["stack"], F.lit("}")) & ends(last) & ~last.isin("}", "]") & before.isin("{", ",")
+        tail = F.concat(F.when(F.coalesce(lone, F.lit(False)), ":null").otherwise(""), end["stack"])
+        return F.concat(F.array_join(F.transform(toks, piece), ""), tail)
+
+    def whole(toks: Column) -> Column:
+        marks = F.filter(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
+                         lambda x: x["t"].isin("{", "}", "[", "]"))
+        start = F.struct(F.lit("").alias("stack"), F.array().cast("array<struct<i:int,close:string,keep:boolean>>").alias("fixes"))
+        return _bound(F.aggregate(marks, start, step), lambda end: with_stack(toks, end))
+
+    text = col_of(s)
+    opens = F.regexp_like(text, F.lit(r"\A[\s\x{FEFF}]*[\[{]"))
+    return F.when(opens, _bound(F.regexp_extract_all(F.regexp_replace(text, r"\A\x{FEFF}", ""), F.lit(_TOKEN), F.lit(0)), whole))
+
+
 def repair_json(s: Column | str) -> Column:
-    """Closed, documented repair chain; NULL when still unparseable.
+    """Documented repair chain; NULL when still unparseable.
 
     1. strict parse; 2. without a BOM, leniently (single-quoted strings and
     unquoted field names are accepted by Spark's JSON reader options); 3. the same after
     dropping trailing commas before ``]``/``}`` and mapping Python
     ``True/False/None`` to JSON. Step 3 only touches text outside quoted
-    strings, so string contents are never rewritten.
+    strings, so string contents are never rewritten. 4. ``close_json``: the structure is completed.
     """
     s = F.regexp_replace(col_of(s), r"^\x{FEFF}", "")
-    options = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
-    return F.coalesce(F.try_parse_json(s), F.from_json(s, "variant", options),
-                      F.from_json(_outside_strings(s, _fix_tokens), "variant", options))
+    return F.coalesce(_lenient(s), F.try_parse_json(close_json(s)))
+
+
+def repair_kind(s: Column | str) -> Column:
+    """How far ``repair_json`` had to go: strict, lenient or structural; NULL where it found no way."""
+    s = F.regexp_replace(col_of(s), r"^\x{FEFF}", "")
+    return (F.when(F.try_parse_json(s).isNotNull(), "strict").when(_lenient(s).isNotNull(), "lenient")
+            .when(F.try_parse_json(close_json(s)).isNotNull(), "structural"))
 
 
 def _repeats_a_key(text: Column) -> Column:
@@ -82,7 +179,7 @@ def _is_object(v: Column) -> Column:
 def decode_nested(v: Column) -> tuple[Column, Column]:
     """A field that is a string holding JSON is repaired and parsed; else kept.
 
-    Returns ``(value, how)`` with ``how`` in native / string / repaired / failed.
+    Returns ``(value, how)`` with ``how`` in native / string / repaired / structural / failed.
     Scalars other than strings are treated like strings (they fail the list
     check either way).
     """
@@ -94,7 +191,8 @@ def decode_nested(v: Column) -> tuple[Column, Column]:
     how = (F.when(v.isNull(), F.lit(None))
            .when(~scalar, F.lit("native"))
            .when(strict.isNotNull(), F.lit("string"))
-           .when(repaired.isNotNull(), F.lit("repaired"))
+           .when(_lenient(F.regexp_replace(s, r"^\x{FEFF}", "")).isNotNull(), F.lit("repaired"))
+           .when(repaired.isNotNull(), F.lit("structural"))
            .otherwise(F.lit("failed")))
     return value, how
 

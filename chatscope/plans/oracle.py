@@ -141,6 +141,20 @@ SELECT sample_id,
     || ',"name":"' || et || '"}}}}]}}]' AS repaired
 FROM parts""".replace("@DEV@", DEVELOPER_TEXT)
 
+# what is left of each broken message list, stated piece by piece
+SQL["repair_json_structure"] = f"""WITH {FX1},
+r AS (
+  SELECT sample_id, sample_id % 8 AS v, '[{{"content":"@DEV@","role":"developer"}},{{"content":"' AS a, ask,
+    '","role":"user"}},{{"role":"assistant","tool_calls":[{{"function":{{"arguments":' || args_json || ',"name":"' || et || '"}}}}]}}]' AS b
+  FROM parts)
+SELECT sample_id, CASE v
+    WHEN 0 THEN a || substring(ask, 1, length(ask) - 4) || '","role":"user"}}]'
+    WHEN 4 THEN a || ask || '","role":"user"}},{{"role":"assistant","tool_calls":null}}]'
+    WHEN 5 THEN a || ask || '","role":"user"}},{{"role":"assistant","tool_ca":null}}]'
+    ELSE a || ask || b END AS repaired,
+  CASE WHEN v = 7 THEN 'strict' ELSE 'structural' END AS kind
+FROM r""".replace("@DEV@", DEVELOPER_TEXT)
+
 SQL["unwrap_singleton"] = """SELECT event_id AS sample_id, 3 AS n_items,
   CASE WHEN event_id % 5 = 3 THEN 'ARRAY' ELSE 'OBJECT' END AS first_type FROM events"""
 

@@ -155,6 +155,31 @@ def q_repair_json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("sample_id", F.to_json(repair_json("raw")).alias("repaired"))
 
 
+def _unfinished_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX1 message lists whose structure is broken, by ``sample_id % 8``: cut in a string, without the closing marks, without
+    commas between messages, a list left open inside, cut behind a name, cut in a name, without commas between members, clean.
+    """
+    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    v, m = F.col("sample_id") % 8, F.col("msgs")
+    upto = lambda mark, more: F.substring(m, F.lit(1), F.instr(m, F.lit(mark)) + more)
+    s = (F.when(v == 0, upto('"}, {"role": "assistant"', -5))
+         .when(v == 1, F.regexp_replace(m, r"[\]}]+\z", ""))
+         .when(v == 2, F.replace(m, F.lit("}, {"), F.lit("} {")))
+         .when(v == 3, F.concat(F.substring(m, F.lit(1), F.length(m) - 3), F.lit("}]")))
+         .when(v == 4, upto('"tool_calls":', 12))
+         .when(v == 5, upto('"tool_calls":', 7))
+         .when(v == 6, F.replace(m, F.lit('", "content"'), F.lit('" "content"')))
+         .otherwise(m))
+    return p.select("sample_id", s.alias("raw"))
+
+
+@register
+def q_repair_json_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatscope.operators.records import repair_json, repair_kind
+    return _unfinished_msgs(spark, sf_dir).select(
+        "sample_id", F.to_json(repair_json("raw")).alias("repaired"), repair_kind("raw").alias("kind"))
+
+
 @register
 def q_unwrap_singleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.records import unwrap_singleton
