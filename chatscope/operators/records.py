@@ -87,8 +87,8 @@ def close_json(s: Column | str) -> Column:
 
     A stack automaton over the tokens: open strings, lists and objects are closed at the end of the text, a list or
     object that was left open where its parent closes is closed there, and a closing mark that nothing opened goes.
-    Commas are supplied between values that meet and dropped where none follows; a name without a value
-    gets null. Bare words are literals, numbers or strings. What strings hold does not change, but for escapes that the text's end
+    Commas are supplied between values that meet and dropped where none follows; a quoted name without a
+    value gets null. Bare words are literals, numbers or strings. What strings hold does not change, but for escapes that the text's end
     cut in half. The result need not be valid (``{"a" 1}`` has no colon); a parser decides.
     """
     # only brackets move the stack; its top is the first character
@@ -122,7 +122,7 @@ def close_json(s: Column | str) -> Column:
             return F.concat(F.coalesce(fix["close"], F.lit("")), text, comma)
 
         last, before = F.get(toks, n - 1), F.get(toks, n - 2)
-        lone = F.startswith(end["stack"], F.lit("}")) & ends(last) & ~last.isin("}", "]") & before.isin("{", ",")
+        lone = F.startswith(end["stack"], F.lit("}")) & F.substring(last, 1, 1).isin('"', "'") & before.isin("{", ",")
         tail = F.concat(F.when(F.coalesce(lone, F.lit(False)), ":null").otherwise(""), end["stack"])
         return F.concat(F.array_join(F.transform(toks, piece), ""), tail)
 
