@@ -121,6 +121,8 @@ FROM fx1"""
 
 SQL["cached_dataset"] = f"WITH {FX1} SELECT sample_id, text FROM fx1"
 
+SQL["arrow_dataset_scan"] = SQL["cached_dataset"]
+
 SQL["valid_records"] = f"""WITH {FX1}
 SELECT sample_id, meta AS split, 3 AS n_messages, ask AS user_content,
        et AS call_name, args_json

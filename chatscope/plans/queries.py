@@ -102,6 +102,15 @@ def q_cached_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cached_dataset(spark, path, lambda: first.limit(0)).select("sample_id", "text")
 
 
+@register
+def q_arrow_dataset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX1 saved as a folder of Arrow shards and read back, by byte ranges of the shards."""
+    from chatscope.sources.arrow_dataset import read_arrow_dataset, write_arrow_dataset
+    path = _scratch(spark, "arrow")
+    write_arrow_dataset(FX.tool_records(spark, sf_dir), path, split="train")
+    return read_arrow_dataset(spark, path, columns=["text", "sample_id"], partition_bytes=1 << 20)
+
+
 def _valid_view(p: DataFrame) -> DataFrame:
     m = F.col("messages")
     return p.select(
