@@ -95,13 +95,8 @@ SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 
 
 @lru_cache(maxsize=4)  # once per Python worker, not per task
-def load_encoder(path: str) -> Callable[[str], list[int]]:
-    """``text -> ids`` as the tokenizers library gives them for the file at ``path``, without special tokens added.
-
-    Where the file is plain byte-level BPE whose ids follow the order of its merges, the same
-    vocabulary runs in tiktoken, which is several times faster per text;
-    any other file runs in the tokenizers library itself.
-    """
+def _encoders(path: str) -> tuple[Callable[[str], list[int]], Callable[[str], np.ndarray]]:
+    """``text -> ids`` as a list and as an array."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model, pre = spec["model"], spec["pre_tokenizer"] or {}
@@ -116,23 +111,43 @@ def load_encoder(path: str) -> Callable[[str], list[int]]:
              and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"]))
     if not plain:
         tok = load_tokenizer(path)
-        return lambda text: tok.encode(text, add_special_tokens=False).ids
+        ids_of = lambda text: tok.encode(text, add_special_tokens=False).ids
+        return ids_of, lambda text: np.array(ids_of(text), dtype=np.uint32)
     import tiktoken
     table = byte_table()
     ranks = {bytes(table[c] for c in k): v for k, v in vocab.items()}
     enc = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, special_tokens=added, mergeable_ranks=ranks)
     spaces = tiktoken.Encoding("spaces", pat_str=r"\s+", special_tokens={}, mergeable_ranks=ranks)
 
-    def encode(text: str) -> list[int]:
+    def in_parts(text: str) -> list[int]:
+        out: list[int] = []
+        for part, is_run in cut_long_runs(text, tuple(added)):
+            out += spaces.encode_ordinary(part) if is_run else enc.encode(part, allowed_special="all")
+        return out
+
+    def as_list(text: str) -> list[int]:
         try:
             return enc.encode(text, allowed_special="all")
         except ValueError:  # the pattern's look-ahead gives up on runs of about a million spaces
-            out: list[int] = []
-            for part, is_run in cut_long_runs(text, tuple(added)):
-                out += spaces.encode_ordinary(part) if is_run else enc.encode(part, allowed_special="all")
-            return out
+            return in_parts(text)
+
+    def as_array(text: str) -> np.ndarray:
+        try:
+            return enc.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return np.array(in_parts(text), dtype=np.uint32)
 
-    return encode
+    return as_list, as_array
+
+
+def load_encoder(path: str) -> Callable[[str], list[int]]:
+    """``text -> ids`` as the tokenizers library gives them for the file at ``path``, without special tokens added.
+
+    Where the file is plain byte-level BPE whose ids follow the order of its merges, the same
+    vocabulary runs in tiktoken, which is several times faster per text;
+    any other file runs in the tokenizers library itself.
+    """
+    return _encoders(path)[0]
 
 
 def cut_long_runs(text: str, specials: tuple[str, ...] = (), least: int = 1 << 12) -> Iterator[tuple[str, bool]]:
@@ -156,8 +171,7 @@ def cut_long_runs(text: str, specials: tuple[str, ...] = (), least: int = 1 << 1
 
 def encoder(name: str = "byte_bpe_50k.json") -> Callable[[str], np.ndarray]:
     """``text -> uint32 ids`` for a public vocabulary file, loaded where it is called."""
-    encode = load_encoder(vocabulary_file(name))
-    return lambda text: np.array(encode(text), dtype=np.uint32)
+    return _encoders(vocabulary_file(name))[1]
 
 
 def pack_numbers(v: np.ndarray) -> bytes:

@@ -42,6 +42,7 @@ from chatscope.llm.common import shuffle_width
 BLOCK_TOKENS = 2 << 20
 PARTITION_BYTES = 32 << 20
 _OUT_TOKENS = 1 << 20
+_DENSE = 1 << 22  # ids below this are counted in an array
 MANIFEST = "_manifest.json"
 # Fixed values of the format: a block's opening bytes, and its head (five section lengths).
 MAGIC = b"TKB1"
@@ -78,10 +79,17 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def encode_block(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> bytes:
-    present, at, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")
-    rank = np.empty(len(order), dtype=np.uint32)
-    rank[order] = np.arange(len(order), dtype=np.uint32)
+    if len(ids) and int(ids.max()) < _DENSE:  # ids number themselves
+        count = np.bincount(ids)
+        present, at = np.flatnonzero(count), ids
+        order = np.argsort(-count[present], kind="stable")
+        rank = np.zeros(len(count), dtype=np.uint32)
+        rank[present[order]] = np.arange(len(order), dtype=np.uint32)
+    else:
+        present, at, count = np.unique(ids, return_inverse=True, return_counts=True)
+        order = np.argsort(-count, kind="stable")
+        rank = np.empty(len(order), dtype=np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
     control, data = encode_ranks(rank[at])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, pa.schema([("doc_id", doc_ids.type)])) as w:

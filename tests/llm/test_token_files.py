@@ -33,6 +33,15 @@ def test_block_is_ranked_by_frequency_and_checked():
         token_files.decode_block(block[:-6] + b"\0" + block[-5:], "x")
 
 
+def test_large_ids_give_the_same_ranks(monkeypatch):
+    ids = np.random.default_rng(1).zipf(1.3, 5000).clip(max=900).astype(np.uint32)
+    dense = token_files.encode_block(pa.array([1]), np.array([len(ids)]), ids)
+    monkeypatch.setattr(token_files, "_DENSE", 0)
+    assert token_files.encode_block(pa.array([1]), np.array([len(ids)]), ids) == dense
+    wide = ids.astype(np.uint32) * np.uint32(4_000_000)
+    assert token_files.decode_block(token_files.encode_block(pa.array([1]), np.array([len(ids)]), wide), "x")[2].tolist() == wide.tolist()
+
+
 def expected(rows, tok, end=2):
     """The contract, one document after another."""
     out, start = [], 0
