@@ -167,23 +167,38 @@ def _class_slices(cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]
 
 
 def _hidden(v: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = v["emb"][context].reshape(len(context), -1)
-    return x, np.tanh(x @ v["w1"] + v["b1"])
+    x = np.take(v["emb"], context, axis=0).reshape(len(context), -1)
+    z = x @ v["w1"]
+    z += v["b1"]
+    return x, np.tanh(z, out=z)
+
+
+def _member_logits(v: dict, h: np.ndarray, slices: list[tuple[int, slice]]) -> np.ndarray:
+    """Logits of the members of each row's class, for rows sorted by class."""
+    out = np.empty((len(h), SIDE), dtype=h.dtype)
+    for c, s in slices:
+        np.matmul(h[s], v["ww"][c], out=out[s])
+        out[s] += v["bw"][c]
+    return out
+
+
+def _picked(table: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """``table[i, k[i]]`` of every row."""
+    return table.ravel().take(np.arange(len(k)) * SIDE + k)
 
 
 def log_probs(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     v = views(flat)
     order, slices = _class_slices(target // SIDE)
-    _, h = _hidden(v, context[order])
+    _, h = _hidden(v, np.take(context, order, axis=0))
     cls, member = target[order] // SIDE, target[order] % SIDE
 
     def of(logits, k):
         _, total = _exponentials(logits)
-        return logits[np.arange(len(k)), k] - np.log(total)
+        return _picked(logits, k) - np.log(total)
 
     by_class = of(h @ v["wc"] + v["bc"], cls).astype(np.float64)
-    for c, s in slices:
-        by_class[s] += of(h[s] @ v["ww"][c] + v["bw"][c], member[s])
+    by_class += of(_member_logits(v, h, slices), member)
     out = np.empty_like(by_class)
     out[order] = by_class
     return out
@@ -203,16 +218,17 @@ def gradient(flat: np.ndarray, context: np.ndarray, target: np.ndarray) -> np.nd
     d = views(g)
     n = len(target)
     order, slices = _class_slices(target // SIDE)
-    context, target = context[order], target[order]
+    context, target = np.take(context, order, axis=0), target[order]
     x, h = _hidden(v, context)
     cls, member = target // SIDE, target % SIDE
     e = _residual(h @ v["wc"] + v["bc"], cls)
     d["wc"][:], d["bc"][:] = h.T @ e, e.sum(axis=0)
     dh = e @ v["wc"].T
+    e = _residual(_member_logits(v, h, slices), member)
+    d["bw"][[c for c, _ in slices]] = np.add.reduceat(e, [s.start for _, s in slices], axis=0)
     for c, s in slices:
-        e = _residual(h[s] @ v["ww"][c] + v["bw"][c], member[s])
-        d["ww"][c], d["bw"][c] = h[s].T @ e, e.sum(axis=0)
-        dh[s] += e @ v["ww"][c].T
+        d["ww"][c] = h[s].T @ e[s]
+        dh[s] += e[s] @ v["ww"][c].T
     dz = dh * (1 - h * h)
     d["w1"][:], d["b1"][:] = x.T @ dz, dz.sum(axis=0)
     dx = (dz @ v["w1"].T).reshape(-1, DIM)
