@@ -27,24 +27,46 @@ from chatscope.operators.sampling import consecutive_index
 from chatscope.session import materialize
 
 NODE = "struct<path:string,depth:int,kind:string,value_json:string,entry:string>"
-STATUSES = ("ok", "null", "invalid_json", "not_object")
+STATUSES = ("ok", "null", "invalid_json", "not_object", "too_deep")
 _KINDS = {dict: "OBJECT", list: "ARRAY", str: "STRING", bool: "BOOLEAN", int: "BIGINT", float: "DOUBLE", type(None): "VOID"}
 _SEP = "\u0001"
 
 
 def _dump(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    """Compact JSON with sorted keys, for a value of any depth."""
+    try:
+        return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    except RecursionError:
+        pass
+    out, todo = [], [(False, value)]  # (is text, text or value)
+    while todo:
+        is_text, v = todo.pop()
+        if is_text:
+            out.append(v)
+        elif isinstance(v, (dict, list)) and v:
+            parts = [(True, "{" if isinstance(v, dict) else "[")]
+            for n, x in enumerate(sorted(v) if isinstance(v, dict) else v):
+                parts.append((True, ("," if n else "") + (f"{_dump(x)}:" if isinstance(v, dict) else "")))
+                parts.append((False, v[x] if isinstance(v, dict) else x))
+            todo += reversed([*parts, (True, "}" if isinstance(v, dict) else "]")])
+        else:
+            out.append(_dump(v))
+    return "".join(out)
 
 
 def _plain_numbers(value: object) -> object:
     """Whole floats as integers, all the way down."""
-    if isinstance(value, float) and value.is_integer():
-        return int(value)
-    if isinstance(value, list):
-        return [_plain_numbers(v) for v in value]
-    if isinstance(value, dict):
-        return {k: _plain_numbers(v) for k, v in value.items()}
-    return value
+    whole = lambda v: int(v) if isinstance(v, float) and v.is_integer() else v
+    top = [value]
+    todo: list = [top]
+    while todo:
+        at = todo.pop()
+        for k, v in (at.items() if isinstance(at, dict) else enumerate(at)):
+            if isinstance(v, (dict, list)):
+                v = v.copy()
+                todo.append(v)
+            at[k] = whole(v)
+    return top[0]
 
 
 def _entry(path: str, value: object, dumped: str | None) -> str:
@@ -58,12 +80,17 @@ def _entry(path: str, value: object, dumped: str | None) -> str:
 
 
 def flatten_document(text: str | None, values: bool = True) -> tuple[str, list[tuple[str, int, str, str | None, str]]]:
-    """Status and nodes of one document, to any depth (of a repeated key the last value counts)."""
+    """Status and nodes of one document (of a repeated key the last value counts).
+
+    Documents nested beyond what Python's parser takes (some thousand levels) are ``too_deep``.
+    """
     if text is None:
         return "null", []
     try:
         doc = json.loads(text)
-    except (ValueError, RecursionError):
+    except RecursionError:
+        return "too_deep", []
+    except ValueError:
         return "invalid_json", []
     if not isinstance(doc, dict):
         return "not_object", []

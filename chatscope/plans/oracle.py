@@ -716,6 +716,31 @@ nn AS (SELECT tree, (SELECT max(config_id) FROM st WHERE event_type = 'view') +
 SELECT m.config_id, m.status, coalesce(m.matched_run, nn.new_run) AS run_id, m.matched_run IS NOT NULL AS reused
 FROM m LEFT JOIN nn ON nn.tree = m.tree"""
 
+# which tree holds all entries of which; first and second round of new slots, in the order of the first request
+SQL["register_runs"] = f"""WITH {KEPT},
+tree AS (
+  SELECT st.config_id, coalesce(t, '') AS tree, coalesce(n, 0) AS n
+  FROM st LEFT JOIN (SELECT config_id, string_agg(path || '=' || val, ';' ORDER BY path) AS t, count(*) AS n
+                     FROM kept GROUP BY config_id) USING (config_id) WHERE status = 'ok'),
+u AS (SELECT tree, any_value(n) AS n, min(config_id) AS f2, min(config_id) FILTER (WHERE config_id % 2 = 0) AS f1 FROM tree GROUP BY tree),
+holds AS (
+  SELECT r, s FROM (
+    SELECT a.tree AS r, b.tree AS s, any_value(a.n) AS n, count(*) AS both_have
+    FROM u a JOIN kept x ON x.config_id = a.f2 JOIN kept y ON y.path = x.path AND y.val = x.val JOIN u b ON b.f2 = y.config_id
+    GROUP BY 1, 2) WHERE n = both_have
+  UNION ALL SELECT a.tree, b.tree FROM u a, u b WHERE a.n = 0),
+own1 AS (SELECT r AS tree, min(b.f1) AS first_id FROM holds JOIN u a ON a.tree = r AND a.f1 IS NOT NULL
+         JOIN u b ON b.tree = s WHERE b.f1 IS NOT NULL GROUP BY r),
+run1 AS (SELECT u.tree, row_number() OVER (ORDER BY f1) AS run_id FROM own1 JOIN u ON u.tree = own1.tree AND u.f1 = first_id),
+rest AS (SELECT * FROM u WHERE tree NOT IN (SELECT r FROM holds JOIN run1 ON run1.tree = s)),
+own2 AS (SELECT r AS tree, min(b.f2) AS first_id FROM holds JOIN rest a ON a.tree = r JOIN rest b ON b.tree = s GROUP BY r),
+run2 AS (SELECT u.tree, (SELECT max(run_id) FROM run1) + row_number() OVER (ORDER BY f2) AS run_id
+         FROM own2 JOIN u ON u.tree = own2.tree AND u.f2 = first_id),
+slot AS (SELECT r AS tree, min(run_id) AS run_id FROM holds
+         JOIN (SELECT * FROM run1 UNION ALL SELECT * FROM run2) q ON q.tree = s GROUP BY r)
+SELECT st.config_id, st.status, run_id::BIGINT AS run_id, run_id IS NOT NULL AS reused
+FROM st LEFT JOIN tree USING (config_id) LEFT JOIN slot ON slot.tree = tree.tree"""
+
 SQL["config_overlay"] = f"""WITH {CFG},
 top AS (SELECT c.config_id, c.event_type, j.key, CAST(j.value AS VARCHAR) AS value_json
         FROM (SELECT * FROM st WHERE status = 'ok') c, json_each(c.config) j)

@@ -91,3 +91,28 @@ def test_whole_versions_and_failures(spark, tmp_path, monkeypatch):
     with pytest.raises(OSError):
         store.register(frame(spark, [{"k": 99}], 99))
     assert store.version() == 5 and store.read().count() == 5
+
+
+def test_documents_of_any_depth_keep_their_row(spark):
+    from chatscope.operators import registry as R
+    deep = {n: '{"a":' + "[" * n + "1.0" + "]" * n + ', "b": 2.0}' for n in (10, 2_000, 20_000)}
+    df = spark.createDataFrame(list(deep.items()), "config_id long, config string").coalesce(1)
+    got = {r.config_id: (r.status, [n.path for n in r.nodes], [n.entry[-3:] for n in r.nodes]) for r in R.with_nodes(df).collect()}
+    assert got[10] == got[2_000] == ("ok", ["a", "b"], ["]]]", "R\u00012"]) and "1.0" not in got[2_000][2][0]
+    assert got[20_000] == ("too_deep", [], [])
+    value = {"b": [1, 2.0, {"x": []}], "a": {"z": 1e3, "y": 'é"', "q": {}}}
+    assert R._plain_numbers(value) == {"b": [1, 2, {"x": []}], "a": {"z": 1000, "y": 'é"', "q": {}}} and value["b"][1] == 2.0
+
+
+def test_deep_values_are_written_alike(monkeypatch):
+    from chatscope.operators import registry as R
+    value = {"b": [1, 2.0, {"x": [], "w": None}], "a": {"z": 1e3, "y": 'é"', "q": {}}}
+    plain, whole = R._dump(value), json.dumps
+
+    def shallow(v, **options):
+        if isinstance(v, (dict, list)) and v:
+            raise RecursionError
+        return whole(v, **options)
+
+    monkeypatch.setattr(R.json, "dumps", shallow)
+    assert R._dump(value) == plain
