@@ -859,6 +859,8 @@ SELECT model, sample_id, CAST(length(prediction) % 11 AS DOUBLE) AS accuracy,
        CAST(length(reference) % 11 AS DOUBLE) AS relevance, CAST(length(prompt) % 11 AS DOUBLE) AS tone, false AS failed
 FROM pairs"""
 
+SQL["judge_resume"] = SQL["judge_batch"].replace("false AS failed", "false AS failed, 1::BIGINT AS times_sent")
+
 FX5 = """
 jr AS (
   SELECT CASE WHEN event_id % 2 = 0 THEN 'fine_tuned' ELSE 'baseline' END AS model, event_id AS sample_id,

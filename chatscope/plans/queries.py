@@ -651,6 +651,37 @@ def q_judge_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("model", "sample_id", "accuracy", "relevance", "tone", "failed")
 
 
+def make_failing_judge():
+    """The length judge, but a task whose prompts hold a marked one dies (not an error of a call: the whole task)."""
+    from chatscope.operators.inference import make_length_judge
+    judge = make_length_judge()
+
+    def fn(prompts):
+        if prompts.str.len().mod(97).eq(0).any():
+            raise SystemExit("worker lost")
+        return judge(prompts)
+    return fn
+
+
+@register
+def q_judge_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judging that dies half-way, then goes on from its journal; ``times_sent`` counts the replies on record."""
+    from chatscope.operators.inference import make_length_judge
+    from chatscope.operators.judge import SYSTEM_PROMPT, judge_prompt
+    from chatscope.operators.judge_journal import JudgeJournal, prompt_key, resume
+    journal, pairs = JudgeJournal(spark, _scratch(spark, "journal")), FX.pairs(spark, sf_dir)
+    try:
+        resume(journal, pairs, make_failing_judge, task_rows=20)
+    except Exception as e:  # the lost worker
+        if "worker lost" not in str(e):
+            raise
+    done = resume(journal, pairs, make_length_judge, task_rows=20)
+    sent = journal.read().where("valid").groupBy("key").agg(F.count(F.lit(1)).alias("times_sent"))
+    key = prompt_key(judge_prompt("prompt", "reference", "prediction"), SYSTEM_PROMPT)
+    keys = pairs.select("model", "sample_id", key.alias("key")).join(sent, "key").drop("key")
+    return done.join(keys, ["model", "sample_id"]).select("model", "sample_id", "accuracy", "relevance", "tone", "failed", "times_sent")
+
+
 @register
 def q_judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.judge import parse_judge_reply
