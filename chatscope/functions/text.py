@@ -10,6 +10,11 @@ def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once, however often ``f`` uses it, also under lambdas."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 # The characters of Python's ``str.isspace()``, as a regular-expression class.
 WS = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chatscope.functions.text import col_of, py_strip
+from chatscope.functions.text import bound, col_of, py_strip
 
 # Fixed values of the call format.
 CALL_RE = r"(?s)<start_function_call>(.*?)<end_function_call>"
@@ -35,16 +35,19 @@ def _one_call(raw: Column) -> Column:
     rest = F.substring(raw, F.length(pre) + 2, F.lit(2147483647))
     args = py_strip(rest)
     args = F.when(F.endswith(args, F.lit("}")), F.substring(args, F.lit(1), F.length(args) - 1)).otherwise(args)
-    keys = F.transform(F.regexp_extract_all(args, F.lit(PAIR_RE), F.lit(1)), lambda k: py_strip(k))
-    vals = F.regexp_extract_all(args, F.lit(PAIR_RE), F.lit(2))
-    pairs = F.zip_with(keys, vals, lambda k, v: F.struct(k.alias("key"), v.alias("value")))
-    # last value wins: keep a pair only if its key does not occur again later
-    last_wins = F.filter(
-        pairs,
-        lambda e, i: ~F.array_contains(F.transform(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))),
-                                                   lambda x: x["key"]), e["key"]),
-    )
-    return F.struct(py_strip(F.replace(pre, F.lit("call:"), F.lit(""))).alias("name"), last_wins.alias("arguments"))
+
+    def last_wins(p: Column) -> Column:
+        # a pair stays if its key, searched from the end, is found at its own place
+        n = F.size(p["keys"])
+        pairs = F.zip_with(p["keys"], p["values"], lambda k, v: F.struct(k.alias("key"), v.alias("value")))
+        return bound(F.reverse(p["keys"]), lambda back: F.filter(pairs, lambda e, i: F.array_position(back, e["key"]) == n - i))
+
+    def found(text: Column) -> Column:
+        keys = F.transform(F.regexp_extract_all(text, F.lit(PAIR_RE), F.lit(1)), lambda k: py_strip(k))
+        return F.struct(keys.alias("keys"), F.regexp_extract_all(text, F.lit(PAIR_RE), F.lit(2)).alias("values"))
+
+    pairs = bound(args, lambda text: bound(found(text), last_wins))
+    return F.struct(py_strip(F.replace(pre, F.lit("call:"), F.lit(""))).alias("name"), pairs.alias("arguments"))
 
 
 def extract_calls(output: Column | str) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatscope.functions.text import col_of
+from chatscope.functions.text import bound, col_of
 from chatscope.operators.sampling import first_row
 from chatscope.schemas import CALL
 
@@ -77,11 +77,6 @@ def _as_json(token: Column, is_last: Column) -> Column:
     return F.when(quote.isin('"', "'"), F.concat(F.lit('"'), inner, F.lit('"'))).otherwise(bare)
 
 
-def _bound(value: Column, f) -> Column:
-    """``f(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def close_json(s: Column | str) -> Column:
     """JSON text with its structure completed; NULL unless the text opens an object or a list.
 
@@ -130,11 +125,11 @@ def close_json(s: Column | str) -> Column:
         marks = F.filter(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
                          lambda x: x["t"].isin("{", "}", "[", "]"))
         start = F.struct(F.lit("").alias("stack"), F.array().cast("array<struct<i:int,close:string,keep:boolean>>").alias("fixes"))
-        return _bound(F.aggregate(marks, start, step), lambda end: with_stack(toks, end))
+        return bound(F.aggregate(marks, start, step), lambda end: with_stack(toks, end))
 
     text = col_of(s)
     opens = F.regexp_like(text, F.lit(r"\A[\s\x{FEFF}]*[\[{]"))
-    return F.when(opens, _bound(F.regexp_extract_all(F.regexp_replace(text, r"\A\x{FEFF}", ""), F.lit(_TOKEN), F.lit(0)), whole))
+    return F.when(opens, bound(F.regexp_extract_all(F.regexp_replace(text, r"\A\x{FEFF}", ""), F.lit(_TOKEN), F.lit(0)), whole))
 
 
 def repair_json(s: Column | str) -> Column:

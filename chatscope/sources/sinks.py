@@ -13,6 +13,8 @@ def _flatten_for_csv(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
             cols.append(F.to_json(F.col(f.name)).alias(f.name))
+        elif isinstance(f.dataType, T.StringType):  # a text that looks like a null, or like such a text, gets one more backslash
+            cols.append(F.regexp_replace(F.col(f.name), r"\A(\\+N)\z", r"\\$1").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(cols)
@@ -36,7 +38,9 @@ def read_csv_export(spark: SparkSession, path: str, schema: str | None = None) -
         "nullValue", NULL_TEXT).option("emptyValue", "")
     if schema:
         r = r.schema(schema)
-    return r.csv(path)
+    df = r.csv(path)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.regexp_replace(F.col(c), r"\A\\(\\+N)\z", "$1") for c in texts})
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

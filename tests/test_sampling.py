@@ -58,3 +58,14 @@ def test_written_tables_are_released(spark):
     kept, session._WRITTEN[:] = session._WRITTEN[:-1], [path]
     assert session.release_tables(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
     session._WRITTEN[:] = kept
+
+
+def test_csv_export_keeps_texts_that_look_like_nulls(spark, tmp_path):
+    from chatscope.sources.sinks import export_csv, read_csv_export
+    texts = ["\\N", "\\\\N", "\\\\\\N", "\\Nx", "x\\N", "N", "\\", "\\\\", None, "", 'a "q", \\N\r\nb', "\\N\n"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i long, t string")
+    export_csv(df, f"{tmp_path}/x")
+    assert sorted(map(tuple, read_csv_export(spark, f"{tmp_path}/x", df.schema).collect())) == rows
+    raw = "".join(p.read_text() for p in (tmp_path / "x").glob("*.csv"))
+    assert '"\\Nx"' in raw  # other texts are written as they are

@@ -63,3 +63,22 @@ def test_type_strict_arguments(spark):
     assert res[2]["correct"]
     loose = {r["sample_id"]: r for r in score(j, strict_types=False).collect()}
     assert loose[1]["correct"]
+
+
+def test_many_arguments_take_linear_time(spark):
+    import time
+
+    from chatscope.functions.toolcalls import extract_calls
+
+    def call(n):
+        return "<start_function_call>call:f{" + ",".join(f"k{i % (n - n // 10)}:<escape>v{i}<escape>" for i in range(n)) + "}<end_function_call>"
+
+    def seconds(n):
+        df = spark.createDataFrame([(call(n),)], "o string").select(extract_calls("o").alias("c"))
+        t0 = time.perf_counter()
+        args = {a.key: a.value for a in df.first().c[0].arguments}
+        assert len(args) == n - n // 10 and args["k0"] == f"v{n - n // 10}" and args[f"k{n // 2}"] == f"v{n // 2}"
+        return time.perf_counter() - t0
+
+    seconds(100)
+    assert seconds(3200) < 15  # 800 arguments took 20 s when the pairs were cut again for each pair
