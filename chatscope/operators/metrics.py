@@ -21,6 +21,7 @@ bounded chunks per sample and joined to prediction vectors by ``sample_id``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -182,6 +183,28 @@ def rouge_l(pairs: DataFrame, stem: bool = False) -> DataFrame:
     return s.groupBy("model").agg(F.avg("f1").alias("value")).select("model", F.lit("rouge_rougeL").alias("metric"), "value")
 
 
+def rouge_lsum_per_sample(pairs: DataFrame, stem: bool = False) -> DataFrame:
+    """Summary-level ROUGE-L per sample: sentences are lines, hits come from the union of their common subsequences."""
+    from chatscope.functions.lcs import union_lcs_udf
+    lines = lambda c: F.transform(F.split(F.coalesce(F.col(c), F.lit("")), "\n"), NG.rouge_tokens)
+    t = _keyed(pairs).select(*KEYS, lines("prediction").alias("p"), lines("reference").alias("r"))
+    sizes = lambda c: F.transform(c, lambda x: F.size(x))
+    t = t.select(*KEYS, F.flatten("p").alias("pt"), sizes("p").alias("ps"), F.flatten("r").alias("rt"), sizes("r").alias("rs"))
+    if stem:
+        from chatscope.functions.porter import stem_tokens_udf
+        t = t.select(*KEYS, stem_tokens_udf("pt").alias("pt"), "ps", stem_tokens_udf("rt").alias("rt"), "rs")
+    t = t.select(*SAMPLE, F.size("pt").alias("np"), F.size("rt").alias("nr"), union_lcs_udf("rt", "rs", "pt", "ps").alias("hits"))
+    share = lambda n: F.when((F.col("np") > 0) & (F.col("nr") > 0), F.col("hits") / F.col(n)).otherwise(0.0)
+    return t.select(*SAMPLE, "hits", share("np").alias("precision"), share("nr").alias("recall"),
+                    _f1(share("np"), share("nr")).alias("f1"))
+
+
+def rouge_lsum(pairs: DataFrame, stem: bool = False) -> DataFrame:
+    """Corpus mean summary-level ROUGE-L F1 per model."""
+    s = rouge_lsum_per_sample(pairs, stem)
+    return s.groupBy("model").agg(F.avg("f1").alias("value")).select("model", F.lit("rouge_rougeLsum").alias("metric"), "value")
+
+
 # --------------------------------------------------------------------- BLEU
 def bleu_stats(pairs: DataFrame, max_order: int = 4) -> DataFrame:
     """Corpus sums per model: ``match_n``, ``total_n`` (n=1..4), ``sys_len``, ``ref_len``."""
@@ -325,18 +348,23 @@ def metrics_long(pairs: DataFrame, rouge: bool = True, bleu_: bool = True, chrf_
                  vectors: DataFrame | None = None) -> DataFrame:
     """Only the requested metrics, unioned to ``(model, metric, value)``.
 
-    ROUGE is stemmed by default and limited to ``rouge_keys`` (``rougeN`` for any N, ``rougeL``).
+    ROUGE is stemmed by default and limited to ``rouge_keys`` (``rougeN`` for any N, ``rougeL``, ``rougeLsum``).
     Token vectors ``(model, sample_id, side, pos, embedding)`` add BERTScore.
     The pairs are written once and shared by all metrics.
     """
     pairs = materialize(pairs.select(*SAMPLE, "prediction", "reference"))
     parts = []
     if rouge:
-        orders = tuple(int(k.removeprefix("rouge")) for k in rouge_keys if k != "rougeL")
+        unknown = [k for k in rouge_keys if k not in ("rougeL", "rougeLsum") and not re.fullmatch(r"rouge[1-9]\d*", k)]
+        if unknown:
+            raise ValueError(f"unknown ROUGE key {unknown[0]!r}")
+        orders = tuple(int(k.removeprefix("rouge")) for k in rouge_keys if not k.startswith("rougeL"))
         if orders:
             parts.append(rouge_n(pairs, orders, stem))
         if "rougeL" in rouge_keys:
             parts.append(rouge_l(pairs, stem))
+        if "rougeLsum" in rouge_keys:
+            parts.append(rouge_lsum(pairs, stem))
     if bleu_:
         parts.append(bleu(pairs))
     if chrf_:

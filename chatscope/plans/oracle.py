@@ -965,6 +965,53 @@ FROM pr GROUP BY model"""
 SQL["rouge_l"] = ROUGE_L
 ROUGE_L_STEMMED = ROUGE_L.replace(PLAIN_TOK, STEMMED_TOK)
 
+# Summary-level ROUGE-L: the same table for every pair of lines, then the way back through it (to the left where
+# the cell there is larger than the one above), the union of its places per reference line, and clipped counts.
+SQL["rouge_lsum"] = f"""WITH RECURSIVE {ROWS},
+lines AS MATERIALIZED (
+  SELECT model, sample_id, side, x, {_rouge_tok("line")} AS t FROM (
+    SELECT model, sample_id, side, generate_subscripts(l, 1) AS x, unnest(l) AS line FROM (
+      SELECT model, sample_id, 'r' AS side, string_split(coalesce(reference, ''), chr(10)) AS l FROM scored_rows
+      UNION ALL SELECT model, sample_id, 'p', string_split(coalesce(prediction, ''), chr(10)) FROM scored_rows))),
+pair AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY r.model, r.sample_id, r.x, p.x) AS id, r.model, r.sample_id, r.x, r.t AS rt, p.t AS pt
+  FROM lines r JOIN lines p ON p.model = r.model AND p.sample_id = r.sample_id AND p.side = 'p' AND len(p.t) > 0
+  WHERE r.side = 'r' AND len(r.t) > 0),
+rtok AS (SELECT id, generate_subscripts(rt, 1)::INT AS i, unnest(rt) AS a FROM pair),
+dp AS (
+  SELECT id, 0 AS i, j, CASE WHEN j > 0 THEN pt[j] END AS b, len(rt) AS n, 0 AS v
+  FROM pair, LATERAL (SELECT unnest(range(0, len(pt) + 1)) AS j)
+  UNION ALL
+  SELECT id, i, j, b, n, max(w) OVER (PARTITION BY id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  FROM (SELECT d.id, d.i + 1 AS i, d.j, d.b, d.n, CASE WHEN d.j = 0 THEN 0
+               WHEN rtok.a = d.b THEN lag(d.v) OVER (PARTITION BY d.id ORDER BY d.j) + 1 ELSE d.v END AS w
+        FROM dp d JOIN rtok ON rtok.id = d.id AND rtok.i = d.i + 1 WHERE d.i < d.n)),
+cell AS MATERIALIZED (
+  SELECT dp.id, dp.i, j, CASE WHEN rtok.a = b THEN 'd'
+           WHEN lag(v) OVER (PARTITION BY dp.id, dp.i ORDER BY j) > lag(v) OVER (PARTITION BY dp.id, j ORDER BY dp.i) THEN 'l' ELSE 'u' END AS way
+  FROM dp LEFT JOIN rtok ON rtok.id = dp.id AND rtok.i = dp.i),
+moves AS MATERIALIZED (
+  SELECT id, i, string_agg(way, '' ORDER BY j) AS way FROM cell WHERE i > 0 AND j > 0 GROUP BY id, i),
+walk AS (  -- a row at a time: left as far as it goes, then up
+  SELECT id, len(rt)::BIGINT AS i, len(pt)::BIGINT AS j, NULL::BIGINT AS hit FROM pair
+  UNION ALL
+  SELECT id, i - 1, CASE WHEN ends_with(way, 'd') THEN length(way) - 1 ELSE length(way) END, CASE WHEN ends_with(way, 'd') THEN i END
+  FROM (SELECT w.id, w.i, rtrim(substring(moves.way, 1, w.j), 'l') AS way
+        FROM walk w JOIN moves ON moves.id = w.id AND moves.i = w.i WHERE w.i > 0 AND w.j > 0)),
+places AS (
+  SELECT DISTINCT model, sample_id, x, hit, rt[hit] AS tok FROM walk JOIN pair ON pair.id = walk.id WHERE hit IS NOT NULL),
+had AS (SELECT model, sample_id, side, tok, count(*) AS n FROM (SELECT model, sample_id, side, unnest(t) AS tok FROM lines) GROUP BY ALL),
+hits AS (
+  SELECT h.model, h.sample_id, sum(least(h.n, r.n, p.n)) AS hits
+  FROM (SELECT model, sample_id, tok, count(*) AS n FROM places GROUP BY ALL) h
+  JOIN had r ON r.model = h.model AND r.sample_id = h.sample_id AND r.tok = h.tok AND r.side = 'r'
+  JOIN had p ON p.model = h.model AND p.sample_id = h.sample_id AND p.tok = h.tok AND p.side = 'p' GROUP BY 1, 2),
+total AS (
+  SELECT model, sample_id, sum(len(t)) FILTER (WHERE side = 'p') AS np, sum(len(t)) FILTER (WHERE side = 'r') AS nr
+  FROM lines GROUP BY 1, 2)
+SELECT t.model, 'rouge_rougeLsum' AS metric, round(avg(CASE WHEN h.hits > 0 THEN 2.0 * h.hits / (np + nr) ELSE 0.0 END), 6) AS value
+FROM total t LEFT JOIN hits h ON h.model = t.model AND h.sample_id = t.sample_id GROUP BY t.model"""
+
 # FX2L predictions are prefixes of their references, so the LCS has a closed form: all
 # prediction tokens where they are a prefix of the reference's; otherwise all but the last (cut) one,
 # and that too if it occurs in the reference at or after its own place.

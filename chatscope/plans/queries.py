@@ -383,6 +383,13 @@ def q_rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r6(rouge_l(FX.metric_pairs(spark, sf_dir)), "value")
 
 
+@register
+def q_rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary-level ROUGE-L through the metric selection, plain and per model."""
+    from chatscope.operators.metrics import metrics_long
+    return _r6(metrics_long(FX.metric_pairs(spark, sf_dir), bleu_=False, chrf_=False, rouge_keys=("rougeLsum",), stem=False), "value")
+
+
 @register
 def q_rouge_l_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX2L: ROUGE-L over whole documents."""

@@ -162,3 +162,54 @@ def test_embedding_match_chunking_is_exact(spark):
     for k in a:
         assert math.isclose(a[k]["f1"], b[k]["f1"], rel_tol=1e-12)
     assert v.select(F.count("*")).first()[0] == len(rows)
+
+
+def _table_places(ref, cand):
+    """A plain table and the way back."""
+    t = [[0] * (len(cand) + 1) for _ in range(len(ref) + 1)]
+    for i, a in enumerate(ref, 1):
+        for j, b in enumerate(cand, 1):
+            t[i][j] = t[i - 1][j - 1] + 1 if a == b else max(t[i - 1][j], t[i][j - 1])
+    out, i, j = set(), len(ref), len(cand)
+    while i and j:
+        if ref[i - 1] == cand[j - 1]:
+            i, j = i - 1, j - 1
+            out.add(i)
+        elif t[i][j - 1] > t[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return out
+
+
+def test_rouge_lsum_against_a_plain_table(spark):
+    import random
+    from collections import Counter
+
+    from chatscope.functions.lcs import lcs_places, union_lcs_hits
+    from chatscope.operators.metrics import metrics_long, rouge_lsum_per_sample
+    rng = random.Random(3)
+    text = lambda: "\n".join(" ".join(rng.choice("abcde") * 2 for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(1, 5)))
+    rows, want = [], {}
+    for k in range(150):
+        r, p = text(), text()
+        rs, ps = ([x.split() for x in t.split("\n")] for t in (r, p))
+        assert all(lcs_places(x, y) == _table_places(x, y) for x in rs for y in ps)
+        left_r, left_p, hits = Counter(sum(rs, [])), Counter(sum(ps, [])), 0
+        for x in rs:
+            for i in sorted(set().union(*(_table_places(x, y) for y in ps))):
+                if left_r[x[i]] and left_p[x[i]]:
+                    hits, left_r[x[i]], left_p[x[i]] = hits + 1, left_r[x[i]] - 1, left_p[x[i]] - 1
+        assert union_lcs_hits(sum(rs, []), [len(x) for x in rs], sum(ps, []), [len(x) for x in ps]) == hits
+        rows.append(("m", k, r, p))
+        n, m = sum(map(len, rs)), sum(map(len, ps))
+        want[k] = 2 * hits / (n + m) if hits else 0.0
+    pairs = spark.createDataFrame(rows + [("m", 900, None, "aa"), ("m", 901, "aa", "")], "model string, sample_id long, reference string, prediction string")
+    got = {r.sample_id: r.f1 for r in rouge_lsum_per_sample(pairs).collect()}
+    assert all(abs(got[k] - v) < 1e-12 for k, v in want.items()) and got[900] == got[901] == 0.0
+    for stem in (True, False):
+        keys = {r.metric for r in metrics_long(pairs, bleu_=False, chrf_=False, rouge_keys=("rouge1", "rougeL", "rougeLsum"), stem=stem).collect()}
+        assert keys == {"rouge_rouge1", "rouge_rougeL", "rouge_rougeLsum"}
+    import pytest
+    with pytest.raises(ValueError, match="rougeX"):
+        metrics_long(pairs, rouge_keys=("rougeX",))
