@@ -205,7 +205,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     smallest hash of the other columns; rows of other components do not count, whatever their id.
     A component whose rows all lack an id keeps one of them by the same order.
     """
-    _, classes = _classes(docs, doc_id, text, shingle, radius)
+    rows, classes = _classes(docs, doc_id, text, shingle, radius)
     key, rank, tag, fp, kept_fp, root = (
         free_name(docs, x) for x in ("_keep", "_rank", "_tag", "_fp", "_kept_fp", "_root"))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
@@ -218,9 +218,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
 
     keepers = classes.where("component_id IS NOT NULL").select(
         F.col("component_id").alias(key), F.col("fp").alias(kept_fp), F.col("root").alias(root))
-    # ids first, so that only rows that may stay are fingerprinted again
-    maybe = tagged.join(keepers.select(key).distinct(), tagged[doc_id] == F.col(key), "left_semi").withColumn(fp, prints)
-    with_id = maybe.join(keepers, (maybe[doc_id] == F.col(key)) & (maybe[fp] == F.col(kept_fp)))
-    no_id = classes.where("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root))
-    without = tagged.where(F.col(doc_id).isNull()).withColumn(fp, prints).join(no_id, fp)
-    return first_of(with_id).unionByName(first_of(without))
+    # an id that one row has decides by itself, on narrow rows; only texts of repeated ids are looked at again
+    repeated = materialize(rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    ids = keepers.select(key).distinct()
+    kept = docs.join(ids.join(repeated, F.col(key) == repeated["doc_id"], "left_anti"), docs[doc_id] == F.col(key), "left_semi")
+    if not repeated.isEmpty():
+        again = keepers.join(repeated, F.col(key) == repeated["doc_id"], "left_semi")
+        # ids first, so that only rows that may stay are fingerprinted again
+        maybe = tagged.join(again.select(key).distinct(), tagged[doc_id] == F.col(key), "left_semi").withColumn(fp, prints)
+        kept = kept.unionByName(first_of(maybe.join(again, (maybe[doc_id] == F.col(key)) & (maybe[fp] == F.col(kept_fp)))))
+    if not rows.where("doc_id IS NULL").isEmpty():
+        no_id = classes.where("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root))
+        kept = kept.unionByName(first_of(tagged.where(F.col(doc_id).isNull()).withColumn(fp, prints).join(no_id, fp)))
+    return kept
