@@ -7,8 +7,8 @@ reference's all-or-nothing rules:
 
 * text between the first two triple-backtick fences is used when a fence
   exists, with a leading ``json`` dropped;
-* unparseable JSON or a non-object reply zeroes every criterion (so does a
-  repeated key, unless the session sets ``spark.sql.variant.allowDuplicateKeys``);
+* unparseable JSON, text behind the JSON value or a non-object reply zeroes every
+  criterion; of a repeated key the last value counts;
 * a missing key scores 0 for that key only;
 * an explicit ``null``, a non-numeric string, an object or a list as a value
   zeroes the whole row; booleans count 1/0; numeric strings are accepted;
@@ -26,8 +26,10 @@ from inspect import signature
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatscope.functions.text import col_of
+from chatscope.operators.records import parse_whole_object
 from chatscope.schemas import JUDGE_CRITERIA
 
 FENCE = "```"
@@ -59,25 +61,23 @@ def judge_prompt(prompt: Column | str, reference: Column | str, candidate: Colum
 
 def _reply_json(raw: Column) -> Column:
     seg = F.when(F.contains(raw, F.lit(FENCE)), F.element_at(F.split(raw, FENCE), 2)).otherwise(raw)
-    seg = F.when(F.startswith(seg, F.lit("json")), F.substring(seg, F.lit(5), F.lit(2147483647))).otherwise(seg)
-    return F.try_parse_json(seg)
+    return F.when(F.startswith(seg, F.lit("json")), F.substring(seg, F.lit(5), F.lit(2147483647))).otherwise(seg)
 
 
 def parse_judge_reply(df: DataFrame, reply_col: str = "reply",
                       criteria: Sequence[str] = JUDGE_CRITERIA) -> DataFrame:
     """Add one double column per criterion and a ``failed`` flag."""
-    v = F.col("_v")
-    is_obj = F.regexp_extract(F.schema_of_variant(v), "^([A-Z]+)", 1) == "OBJECT"
-    out = df.withColumn("_v", _reply_json(F.col(reply_col)))
-    bad = ~F.coalesce(is_obj, F.lit(False))
+    # each criterion keeps its JSON type; NULL: not there
+    fields = T.StructType([T.StructField(c, T.VariantType()) for c in criteria])
+    out = df.withColumn("_v", parse_whole_object(_reply_json(F.col(reply_col)), fields))
+    bad = F.col("_v").isNull()
     vals = {}
     for c in criteria:
-        field = F.try_variant_get(v, f"$.{c}", "variant")
+        field = F.col("_v")[c]
         kind = F.regexp_extract(F.schema_of_variant(field), "^([A-Z]+)", 1)
-        num = F.try_variant_get(v, f"$.{c}", "double")
-        missing = field.isNull()
-        bad = bad | (~missing & (kind.isin("VOID", "OBJECT", "ARRAY") | num.isNull()))
-        vals[c] = F.when(missing, F.lit(0.0)).otherwise(num)
+        num = F.try_variant_get(field, "$", "double")
+        bad = bad | (field.isNotNull() & (kind.isin("VOID", "OBJECT", "ARRAY") | num.isNull()))
+        vals[c] = F.when(field.isNull(), F.lit(0.0)).otherwise(num)
     out = out.withColumn("failed", F.coalesce(bad, F.lit(True)))
     for c in criteria:
         out = out.withColumn(c, F.when(F.col("failed"), F.lit(0.0)).otherwise(vals[c]))

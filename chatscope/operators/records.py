@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatscope.functions.text import bound, col_of
 from chatscope.operators.sampling import first_row
@@ -152,10 +153,32 @@ def repair_kind(s: Column | str) -> Column:
             .when(F.try_parse_json(close_json(s)).isNotNull(), "structural"))
 
 
+def parse_whole(text: Column) -> Column:
+    """The JSON value that ``text`` is; NULL where it is none, or where anything but white space follows the value.
+
+    Spark's parser stops behind the first value. So the text is parsed as the first of two elements of a list, the second of
+    which is the text's own hash: it is found there only if the text is exactly one value.
+    """
+    mark = F.md5(text)
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    return bound(both, lambda v: F.when(F.try_variant_get(v, "$[1]", "string") == mark, F.try_variant_get(v, "$[0]", "variant")))
+
+
+def parse_whole_object(text: Column, fields: T.StructType) -> Column:
+    """As ``parse_whole`` for an object with some known fields; of a repeated name the last value counts."""
+    mark = F.md5(text)
+    end = "_end"
+    while end in fields.names:
+        end += "_"
+    schema = T.ArrayType(T.StructType([*fields.fields, T.StructField(end, T.StringType())]))
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{end}":"'), mark, F.lit('"}]')), schema)
+    return bound(both, lambda v: F.when((F.size(v) == 2) & (F.get(v, F.lit(1))[end] == mark), F.get(v, F.lit(0))))
+
+
 def _repeats_a_key(text: Column) -> Column:
     """The text is a JSON object for a parser that lets the last of equal keys count."""
-    parsed = F.from_json(text, "metadata string, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    return F.regexp_like(text, F.lit(r"^\s*\{")) & parsed.isNotNull() & parsed["_bad"].isNull()
+    parsed = parse_whole_object(text, T.StructType([T.StructField("metadata", T.StringType())]))
+    return F.regexp_like(text, F.lit(r"^\s*\{")) & parsed.isNotNull()
 
 
 def _vtype(v: Column) -> Column:
@@ -250,7 +273,7 @@ def parse_records(df: DataFrame, text_col: str = "text", unwrap: bool = False) -
     parsed once and its fields decoded once (``fence``); validity checks are
     cheap tests on those values.
     """
-    out = fence(df, _rec=F.try_parse_json(F.col(text_col)))
+    out = fence(df, _rec=parse_whole(F.col(text_col)))
     rec = F.col("_rec")
     raw_m = F.try_variant_get(rec, "$.messages", "variant")
     raw_t = F.try_variant_get(rec, "$.tools", "variant")

@@ -913,6 +913,16 @@ parsed AS (
 
 SQL["judge_parse"] = f"WITH {FX5} SELECT model, sample_id, accuracy, relevance, tone, failed FROM parsed"
 
+SQL["judge_parse_strict"] = """
+WITH e AS (SELECT event_id AS sample_id, event_id % 7 AS v, CAST(json_extract_string(props, '$.k') AS BIGINT) % 11 AS k FROM events)
+SELECT sample_id, CASE WHEN v IN (1, 6) THEN k::DOUBLE WHEN v = 2 THEN 3.0 ELSE 0.0 END AS accuracy,
+       CASE WHEN v IN (1, 2, 6) THEN 4.0::DOUBLE ELSE 0.0 END AS relevance, CASE WHEN v IN (1, 2, 6) THEN 2.0::DOUBLE ELSE 0.0 END AS tone,
+       v NOT IN (1, 2, 6) AS failed FROM e"""
+
+SQL["record_acceptance"] = """
+SELECT event_id AS sample_id, CASE WHEN event_id % 6 IN (2, 3, 4) THEN 'invalid_json' WHEN event_id % 6 = 5 THEN 'duplicate_key' END AS reason,
+       CASE WHEN event_id % 6 IN (0, 1) THEN 'train' END AS split FROM events"""
+
 SQL["judge_aggregate"] = f"""WITH {FX5},
 a AS (SELECT model, avg(accuracy) AS a, avg(relevance) AS r, avg(tone) AS t, sum(failed::INT) AS n_failed
       FROM parsed GROUP BY model)

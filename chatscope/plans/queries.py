@@ -696,6 +696,38 @@ def q_judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("model", "sample_id", "accuracy", "relevance", "tone", "failed")
 
 
+@register
+def q_judge_parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge replies with text around the object, two objects, repeated keys and repeated nulls."""
+    from chatscope.operators.judge import parse_judge_reply
+    e = FX.table(spark, sf_dir, "events").select("event_id", "props")
+    k = FX._k(F.col("props")) % 11
+    obj = lambda a: F.concat(F.lit('{"accuracy": '), a.cast("string"), F.lit(', "relevance": 4, "tone": 2'))
+    v = F.col("event_id") % 7
+    reply = (F.when(v == 0, F.concat(obj(k), F.lit("} hope this helps")))
+             .when(v == 1, F.concat(obj(k), F.lit("}\n\t ")))
+             .when(v == 2, F.concat(obj(k), F.lit(', "accuracy": 3}')))
+             .when(v == 3, F.concat(obj(k), F.lit("} "), obj(k), F.lit("}")))
+             .when(v == 4, F.concat(obj(k), F.lit(', "accuracy": null}')))
+             .when(v == 5, F.concat(obj(k), F.lit('}, {"accuracy": 1}')))
+             .otherwise(F.concat(F.lit(" "), obj(k), F.lit(', "extra": {"a": 1, "a": 2}}'))))
+    j = parse_judge_reply(e.select(F.col("event_id").alias("sample_id"), reply.alias("reply")))
+    return j.select("sample_id", "accuracy", "relevance", "tone", "failed")
+
+
+@register
+def q_record_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean records with something behind them, by ``sample_id % 6``."""
+    from chatscope.operators.records import parse_records
+    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    line = F.concat(F.lit('{"messages": '), F.col("msgs"), F.lit(', "tools": '), F.col("tools"), F.lit(', "metadata": "train"'))
+    v = F.col("sample_id") % 6
+    text = (F.when(v == 0, F.concat(line, F.lit("}"))).when(v == 1, F.concat(F.lit(" "), line, F.lit("} \t")))
+            .when(v == 2, F.concat(line, F.lit("} and more"))).when(v == 3, F.concat(line, F.lit("}{}")))
+            .when(v == 4, F.concat(line, F.lit(', "metadata": "eval"} x'))).otherwise(F.concat(line, F.lit(', "metadata": "eval"}'))))
+    return parse_records(p.select("sample_id", text.alias("text"))).select("sample_id", "reason", "split")
+
+
 @register
 def q_judge_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.judge import judge_aggregate, parse_judge_reply

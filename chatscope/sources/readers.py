@@ -16,11 +16,6 @@ def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "text")
 
 
-def read_json_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """JSON-lines records kept as raw ``text`` so that parsing and repair stay in our hands."""
-    return read_text_lines(spark, path)
-
-
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
