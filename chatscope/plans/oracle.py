@@ -1037,6 +1037,28 @@ l AS (
 SELECT 'fine_tuned' AS model, doc_id AS sample_id, lcs::BIGINT AS lcs,
   round(CASE WHEN lcs > 0 THEN 2.0 * (lcs / np) * (lcs / nr) / (lcs / np + lcs / nr) ELSE 0.0 END, 6) AS f1 FROM l"""
 
+# the hash encoder: eight bytes of each token's md5, and half of those of the token before
+SQL["bertscore_texts"] = f"""WITH {PAIRS},
+tok AS (
+  SELECT model, sample_id, side, generate_subscripts(w, 1) AS i, unnest(w) AS t FROM (
+    SELECT model, sample_id, side, list_filter(regexp_split_to_array(x, '{SPACE}+'), lambda y: y <> '') AS w FROM (
+      SELECT model, sample_id, 'pred' AS side, prediction AS x FROM pairs UNION ALL SELECT model, sample_id, 'ref', reference FROM pairs))),
+h AS (SELECT t, list_transform(range(8), lambda d: ('0x' || substr(md5(t), 2 * d + 1, 2))::INT / 127.5 - 1) AS v
+      FROM (SELECT DISTINCT t FROM tok)),
+vec AS (
+  SELECT model, sample_id, side, i, CASE WHEN before IS NULL THEN v ELSE list_transform(range(1, 9), lambda d: v[d] + 0.5 * before[d]) END AS v
+  FROM (SELECT tok.*, h.v, lag(h.v) OVER (PARTITION BY model, sample_id, side ORDER BY i) AS before FROM tok JOIN h ON h.t = tok.t)),
+cos AS (
+  SELECT p.model, p.sample_id, p.i AS pi, r.i AS ri, list_cosine_similarity(p.v, r.v) AS c
+  FROM vec p JOIN vec r ON r.model = p.model AND r.sample_id = p.sample_id AND r.side = 'ref' WHERE p.side = 'pred'),
+bp AS (SELECT model, sample_id, avg(c) AS p FROM (SELECT model, sample_id, pi, max(c) AS c FROM cos GROUP BY ALL) GROUP BY ALL),
+br AS (SELECT model, sample_id, avg(c) AS r FROM (SELECT model, sample_id, ri, max(c) AS c FROM cos GROUP BY ALL) GROUP BY ALL),
+b AS (
+  SELECT s.model, s.sample_id, coalesce(p, 0) AS p, coalesce(r, 0) AS r FROM (SELECT DISTINCT model, sample_id FROM tok) s
+  LEFT JOIN bp ON bp.model = s.model AND bp.sample_id = s.sample_id LEFT JOIN br ON br.model = s.model AND br.sample_id = s.sample_id)
+SELECT model, sample_id, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1
+FROM b"""
+
 # J7 and the report, with every metric on
 BERT = """
 SELECT model, 'bertscore_' || m AS metric, round(avg(v), 6) AS value

@@ -425,6 +425,15 @@ def q_embedding_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r6(embedding_match(FX.token_vectors(spark, sf_dir)), "precision", "recall", "f1")
 
 
+@register
+def q_bertscore_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts to token vectors in overlapping windows, then the embedding match, per sample."""
+    from chatscope.operators.encoding import encode_tokens, make_hash_encoder
+    from chatscope.operators.metrics import embedding_match
+    vectors = encode_tokens(FX.pairs(spark, sf_dir), make_hash_encoder, window=24, overlap=8)
+    return _r6(embedding_match(vectors, keys=("model", "sample_id")), "precision", "recall", "f1")
+
+
 @register
 def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.metrics import metrics_long
