@@ -18,7 +18,8 @@ block lists and the word numbers come from two runs over the same scan;
 a checksum per block fails the job should the two ever differ.
 
 Defined results: null texts count as empty (no ids, the empty text decoded);
-repeated rows each get a row; an empty table gives no rows.
+repeated rows each get a row; an empty table gives no rows. Very long texts are encoded whole; a run of white
+space of any length is one word's piece (``cut_long_runs``).
 """
 
 from __future__ import annotations

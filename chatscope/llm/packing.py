@@ -18,7 +18,8 @@ and offset. Ranks within a length come from per-partition counts and prefix
 sums, so no length is ever gathered in one task.
 
 Defined results: null and empty texts are documents of the terminator alone;
-repeated rows are packed separately; no documents give no pieces.
+repeated rows are packed separately; no documents give no pieces. Texts of any length
+are encoded whole, with runs of millions of white-space characters too, and cut into pieces of the capacity.
 """
 
 from __future__ import annotations

@@ -65,7 +65,7 @@ def _word_features(line: bytes) -> tuple[float, float, float, float, float, floa
 
 
 def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Features ``(lines, N_FEATURES)`` and weights (characters of the line, at least 1) of a whole text."""
+    """Features ``(lines, N_FEATURES)`` and weights (UTF-8 bytes of the line, at least 1) of a whole text."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     lines = raw.split(b"\n")
     size = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))

@@ -16,7 +16,8 @@ pairs; components of these are the components of all links.
 
 Defined results: null and empty texts, and texts without a word, have
 fingerprint zero and are linked like any other. Null ids are never the id of
-a component unless it has no other.
+a component unless it has no other. Texts are fingerprinted whole, whatever their length;
+repeated rows are equal fingerprints of one component; an empty table gives no rows.
 """
 
 from __future__ import annotations
