@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatscope.functions import ngrams as NG
-from chatscope.session import materialize
+from chatscope.session import materialize, plan_bytes
 
 SAMPLE = ["model", "sample_id"]
 KEYS = [*SAMPLE, "_copy"]  # unique per row even where a sample occurs twice
@@ -50,10 +50,7 @@ def work_partitions(df: DataFrame) -> int:
     least the session's shuffle width, without a ceiling. An explicit count
     keeps AQE from merging a shuffle that is small in bytes but not in work.
     """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    known = size if size < 1 << 62 else 0  # a plan of unknown size reports the largest long
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-known // BYTES_PER_TASK))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-plan_bytes(df) // BYTES_PER_TASK))
 
 
 def _keyed(pairs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatscope.functions.text import md5_bucket
+from chatscope.session import parallelism, plan_bytes
 
 # Fixed values of the fixtures (must equal the oracle SQL text).
 DEVELOPER_TEXT = "You are a model that can do function calling with the following functions"
@@ -29,11 +30,19 @@ KEYS = {"events": "event_id", "conversations": "conv_id", "documents": "doc_id",
 # set by a test or bench session to spread the one-file driver tables over its cores
 SPREAD_CONF = "spark.chatscope.fixture.partitions"
 
+# bytes of a file for one task, of tables whose rows are short but cost much work each
+DENSE = {"events": 2 << 20}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; hash-spread on its id over ``SPREAD_CONF`` partitions where the session sets that."""
+    """A driver table; hash-spread on its id over ``SPREAD_CONF`` partitions where the session sets that.
+
+    A ``DENSE`` table is always spread: a scan has no more tasks than its files have row groups, which may be one.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     n = spark.conf.get(SPREAD_CONF, None)
+    if not n and name in DENSE:
+        n = max(parallelism(spark), -(-plan_bytes(df) // DENSE[name]))
     return df.repartition(int(n), KEYS[name]) if n and name in KEYS else df
 
 

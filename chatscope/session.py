@@ -76,6 +76,12 @@ def parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The plan's size estimate; 0 where it is unknown (such a plan reports the largest long)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 62 else 0
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared folder for written intermediate tables."""
     return f"{shared_dir(spark)}/{name}"
