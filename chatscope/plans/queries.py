@@ -284,7 +284,8 @@ def q_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_strip_prompt_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _prepared(spark, sf_dir).select("sample_id", "prompt")
     g = FX.generations(spark, sf_dir)
-    j = g.join(p, "sample_id")
+    # a parsed record's size is underestimated many times, so the prompts would go to the driver for a broadcast
+    j = g.join(p.hint("merge"), "sample_id")
     generated = F.concat(F.col("prompt"), F.lit("\n "), F.col("output"), F.lit(" \n"))
     return j.select("model", "sample_id", T.strip_prompt_prefix(generated, F.col("prompt")).alias("model_output"))
 

@@ -34,3 +34,8 @@ def test_records_of_one_file_are_parsed_by_many_tasks(spark, events):
     assert E.queries()["repair_json_structure"](spark, events).count() == 64
     files = {r.f for r in E.queries()["export_csv_roundtrip"](spark, events).selectExpr("input_file_name() AS f").collect()}
     assert len(files) > 1
+
+
+def test_prompts_are_never_broadcast(spark, events):
+    for name in ("strip_prompt_prefix", "compare_models"):
+        assert "Broadcast" not in _plan(E.queries()[name](spark, events)), name
