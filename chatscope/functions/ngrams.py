@@ -3,7 +3,7 @@
 * ``rouge_tokens``: lowercase, every run of characters outside ``[a-z0-9]`` is
   a separator (Lin 2004; the public rouge-score tokenizer).
 * ``bleu13a_tokens``: the "13a" tokenizer of mteval / sacreBLEU (Post 2018).
-* ``chrf_chars``: characters with all whitespace removed (Popović 2015).
+* ``chrf_text``, ``chrf_chars``: characters with all whitespace removed (Popović 2015).
 
 White space is Python's: what ``str.split()`` splits on, no-break and other
 Unicode spaces included.
@@ -49,6 +49,9 @@ def bleu13a_tokens(text: Column | str) -> Column:
     return _split_ws(s)
 
 
+def chrf_text(text: Column | str) -> Column:
+    return F.regexp_replace(F.coalesce(col_of(text), F.lit("")), WS + "+", "")
+
+
 def chrf_chars(text: Column | str) -> Column:
-    s = F.regexp_replace(F.coalesce(col_of(text), F.lit("")), WS + "+", "")
-    return chars(s)
+    return chars(chrf_text(text))

@@ -39,3 +39,36 @@ def test_records_of_one_file_are_parsed_by_many_tasks(spark, events):
 def test_prompts_are_never_broadcast(spark, events):
     for name in ("strip_prompt_prefix", "compare_models"):
         assert "Broadcast" not in _plan(E.queries()[name](spark, events)), name
+
+
+def test_grams_are_counted_without_rows_of_grams(spark, monkeypatch):
+    """Blocks of any size give what counting one pair at a time gives; plans hold no n-gram rows, and no sort."""
+    import random
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from chatscope.functions import grams
+    from chatscope.operators import metrics as M
+    rng = random.Random(5)
+    tokens = lambda: [rng.choice(["a", "b", "ab", "é", "\U0001F600"]) for _ in range(rng.randint(0, 12))]
+    pred, ref = [tokens() for _ in range(60)] + [None, []], [tokens() for _ in range(60)] + [["a"], []]
+    orders = (1, 3, 6)
+
+    def plain(p, r):
+        cut = lambda t, n: Counter(tuple(t[i:i + n]) for i in range(len(t) - n + 1))
+        return [{"n": n, "match": (cut(p, n) & cut(r, n)).total(), "hyp": cut(p, n).total(), "ref": cut(r, n).total()} for n in orders]
+
+    for block in (1, 7, 1 << 19):
+        monkeypatch.setattr(grams, "BLOCK_ITEMS", block)
+        lists = [pa.array(x, pa.list_(pa.string())) for x in (pred, ref)]
+        assert grams.clipped_counts(*lists, orders).to_pylist() == [plain(p or [], r) for p, r in zip(pred, ref)]
+        texts = [["".join(x or []) for x in side] for side in (pred, ref)]
+        assert grams.clipped_counts(*map(pa.array, texts), orders).to_pylist() == [plain(p, r) for p, r in zip(*texts)]
+    assert grams.clipped_counts(pa.array([], pa.string()), pa.array([], pa.string()), orders).to_pylist() == []
+    pairs = spark.createDataFrame([("m", 1, "a b", "a c"), ("m", 1, "a b", "a c"), ("m", 2, None, "x")],
+                                  "model string, sample_id long, reference string, prediction string")
+    for metric in (M.chrf, M.bleu, M.rouge_n):
+        plan = _plan(metric(pairs))
+        assert "Generate explode" not in plan and "Sort " not in plan, metric
+    assert {r.n: (r.hyp, r.ref, r.match) for r in M.chrf_stats(pairs, 2).collect()} == {1: (4, 4, 2), 2: (2, 2, 0)}
