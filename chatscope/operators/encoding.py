@@ -52,24 +52,32 @@ def encode_tokens(pairs: DataFrame, make_encoder: Callable[[], Encoder], keys: t
                 continue
             names = [*keys, "side"]
             held: list[tuple[int, list[str], int, int, int]] = []  # row, tokens, start, first, last
-            rows: list[int] = []
-            pos: list[int] = []
-            vectors: list[np.ndarray] = []
+            rows: list[np.ndarray] = []
+            pos: list[np.ndarray] = []
+            vectors: list[np.ndarray] = []  # a matrix for each window
+            n = 0
 
             def flush() -> None:
+                nonlocal n
                 for (row, _, start, first, last), got in zip(held, encode([h[1] for h in held]), strict=True):
-                    rows.extend([row] * (last - first))
-                    pos.extend(range(first, last))
-                    vectors.extend(np.asarray(got, dtype=np.float64)[first - start:last - start])
+                    rows.append(np.full(last - first, row))
+                    pos.append(np.arange(first, last))
+                    vectors.append(np.asarray(got, dtype=np.float64)[first - start:last - start])
+                    n += last - first
                 held.clear()
 
             def out() -> pa.RecordBatch:
-                made = pa.RecordBatch.from_arrays(
-                    [b.column(k).take(pa.array(rows, pa.int64())) for k in range(len(names))]
-                    + [pa.array(pos, pa.int64()), pa.array(vectors, pa.list_(pa.float64()))], names=[*names, "pos", "embedding"])
+                nonlocal n
+                widths = np.concatenate([np.full(len(m), m.shape[1]) for m in vectors])
+                flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], widths.cumsum()]), pa.int32()),
+                                                pa.array(np.concatenate([m.ravel() for m in vectors])))
+                at = pa.array(np.concatenate(rows), pa.int64())
+                made = pa.RecordBatch.from_arrays([b.column(k).take(at) for k in range(len(names))]
+                                                  + [pa.array(np.concatenate(pos), pa.int64()), flat], names=[*names, "pos", "embedding"])
                 rows.clear()
                 pos.clear()
                 vectors.clear()
+                n = 0
                 return made
 
             for row, text in enumerate(b.column(len(names)).to_pylist()):
@@ -78,10 +86,10 @@ def encode_tokens(pairs: DataFrame, make_encoder: Callable[[], Encoder], keys: t
                     held.append((row, tokens[start:end], start, first, last))
                     if len(held) >= batch:
                         flush()
-                    if len(rows) >= _OUT_ROWS:
+                    if n >= _OUT_ROWS:
                         yield out()
             flush()
-            if rows:
+            if n:
                 yield out()
 
     types = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys)
@@ -92,11 +100,12 @@ def make_hash_encoder(dims: int = 8) -> Encoder:
     """A deterministic stand-in: bytes of the token's md5 and, half as much, of the token before it in the window."""
     import hashlib
 
-    def of(token: str) -> np.ndarray:
-        return np.frombuffer(hashlib.md5(token.encode()).digest()[:dims], dtype=np.uint8) / 127.5 - 1
+    def of(tokens: list[str]) -> np.ndarray:
+        raw = b"".join(hashlib.md5(x.encode()).digest()[:dims] for x in tokens)
+        return np.frombuffer(raw, dtype=np.uint8).reshape(len(tokens), -1) / 127.5 - 1
 
     def encode(lists: list[list[str]]) -> list[np.ndarray]:
-        own = [np.array([of(x) for x in tokens]) for tokens in lists]
+        own = [of(tokens) for tokens in lists]
         return [v + 0.5 * np.concatenate([np.zeros((1, dims)), v[:-1]]) for v in own]
 
     return str.split, encode

@@ -11,8 +11,8 @@ and per-model partial sums. A single huge text is one row and one task whatever
 the plan. Totals come from the lengths.
 
 ROUGE-L needs an LCS per sample: an Arrow UDF too (bit-parallel).
-Embedding match is a blocked nested loop: reference vectors are packed into
-bounded chunks per sample and joined to prediction vectors by ``sample_id``.
+Embedding match is a blocked nested loop: the vectors are dealt once by sample, packed into
+bounded chunks per sample and side, and joined by sample.
 """
 
 from __future__ import annotations
@@ -21,12 +21,14 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatscope.functions import ngrams as NG
 from chatscope.functions.grams import clipped_counts_of
+from chatscope.operators.records import fence
 from chatscope.session import materialize, plan_bytes
 
 SAMPLE = ["model", "sample_id"]
@@ -202,30 +204,62 @@ def chrf(pairs: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- embedding match
-def _packed(vectors: DataFrame, keys: list[str], chunk: int, name: str) -> DataFrame:
-    """At most ``chunk`` vectors of a sample per row: positions and one flat array of unit vectors' numbers."""
-    rows = vectors.groupBy(*keys, F.floor(F.col("pos") / chunk).alias("_b")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.col("embedding").cast("array<double>").alias("e")))).alias(name))
-    return rows.withColumnRenamed("_b", f"{name}_block")
+def _packed(vectors: DataFrame, keys: list[str], chunk: int, name: str, side: str) -> DataFrame:
+    """At most ``chunk`` positions of a sample per row, with the vectors of ``side``."""
+    vector = F.when(F.col("_side") == side, F.struct("pos", F.col("embedding").alias("e")))
+    return vectors.groupBy(*keys, F.floor(F.col("pos") / chunk).alias(f"{name}_block")).agg(F.collect_list(vector).alias(name))
 
 
-def _unit_rows(items) -> np.ndarray:
-    m = np.array([np.asarray(x["e"], dtype=np.float64) for x in items])
+def _unit_rows(m: np.ndarray) -> np.ndarray:
     norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
+def _blocks(a: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+    """Per row the positions and the matrix of its vectors; None where there are none."""
+    flat = a.flatten()
+    pos, e = pc.struct_field(flat, "pos"), pc.struct_field(flat, "e")
+    if pos.null_count or e.null_count:
+        raise ValueError("a token vector has no position or no numbers")
+    pos, values = pos.to_numpy(zero_copy_only=False), e.flatten().to_numpy(zero_copy_only=False)
+    dims = pc.list_value_length(e).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], dims.cumsum()])
+    at = 0
+    for n in pc.fill_null(pc.list_value_length(a), 0).to_pylist():
+        if n and (dims[at:at + n] != dims[at]).any():
+            raise ValueError("the token vectors of a sample differ in length")
+        yield (pos[at:at + n], values[ends[at]:ends[at + n]].reshape(n, -1)) if n else None
+        at += n
+
+
+def _per_position(pos: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """Each position's best, in order of position."""
+    if (np.diff(pos) > 0).all():
+        return best
+    order = np.argsort(pos, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(pos[order]) > 0]))
+    return np.maximum.reduceat(best[order], starts)
+
+
+def _lists(found: list[np.ndarray | None]) -> pa.Array:
+    # a null offset makes the row null
+    at = np.concatenate([[0], np.cumsum([0 if f is None else len(f) for f in found])])
+    offsets = pa.array(at, pa.int32(), mask=np.array([f is None for f in found] + [False]))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([f for f in found if f is not None] or [np.zeros(0)])))
+
+
 def _block_best(left: Column, right: Column) -> Column:
-    """Of two blocks of one sample: every vector's largest cosine in the other block, by one matrix product."""
-    @F.pandas_udf("p array<struct<pos:long,best:double>>, r array<struct<pos:long,best:double>>")
-    def block_best(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for lefts, rights in batches:
-            out = []
-            for a, b in zip(lefts, rights, strict=True):
-                cos = _unit_rows(a) @ _unit_rows(b).T
-                out.append(([(int(x["pos"]), float(v)) for x, v in zip(a, cos.max(axis=1), strict=True)],
-                            [(int(x["pos"]), float(v)) for x, v in zip(b, cos.max(axis=0), strict=True)]))
-            yield pd.DataFrame(out, columns=["p", "r"])
+    """Of two blocks of one sample: every position's largest cosine in the other block, by one matrix product."""
+    @F.arrow_udf("struct<p:array<double>,r:array<double>>")
+    def block_best(lefts: pa.Array, rights: pa.Array) -> pa.Array:
+        out = []
+        for a, b in zip(_blocks(lefts), _blocks(rights), strict=True):
+            if a is None or b is None:
+                out.append((None, None))
+                continue
+            cos = _unit_rows(a[1]) @ _unit_rows(b[1]).T
+            out.append((_per_position(a[0], cos.max(axis=1)), _per_position(b[0], cos.max(axis=0))))
+        return pa.StructArray.from_arrays([_lists([x[k] for x in out]) for k in (0, 1)], names=["p", "r"])
 
     return block_best(left, right)
 
@@ -236,22 +270,29 @@ def embedding_match(vectors: DataFrame, chunk: int = 256, keys: Sequence[str] =
     ``vectors``: ``(keys..., side in {pred, ref}, pos, embedding)``; name the model in
     ``keys`` to match per model. Returns per sample ``precision`` (mean over prediction
     vectors of the best match), ``recall`` (the reverse) and ``f1``. Vectors are packed into
-    blocks of at most ``chunk`` of a sample, so no group is larger than that and
-    the join emits one row per pair of blocks, not of vectors.
+    blocks of at most ``chunk`` positions of a sample, so no group is larger than that and
+    the join emits one row per pair of blocks, not of vectors. The vectors are computed and
+    shuffled once, by sample; packing, join and sums run inside those partitions.
     """
     keys = list(keys)
-    v = vectors.select(*keys, "side", "pos", "embedding")
-    pred = _packed(v.where(F.col("side") == "pred").drop("side"), keys, chunk, "_p")
-    ref = _packed(v.where(F.col("side") == "ref").drop("side"), keys, chunk, "_r")
-    best = pred.join(ref, keys).select(*keys, _block_best(F.col("_p"), F.col("_r")).alias("m"))
-    sides = best.select(*keys, F.explode(F.concat(
-        F.transform("m.p", lambda x: F.struct(F.lit("pred").alias("side"), x["pos"].alias("pos"), x["best"].alias("best"))),
-        F.transform("m.r", lambda x: F.struct(F.lit("ref").alias("side"), x["pos"].alias("pos"), x["best"].alias("best"))),
-    )).alias("x")).groupBy(*keys, "x.side", "x.pos").agg(F.max("x.best").alias("best"))
-    both = sides.groupBy(*keys).agg(F.avg(F.when(F.col("side") == "pred", F.col("best"))).alias("precision"),
-                                    F.avg(F.when(F.col("side") == "ref", F.col("best"))).alias("recall"))
+    v = vectors.select(*keys, "side", "pos", F.col("embedding").cast("array<double>").alias("embedding"))
+    # no filter on the side passes the fence, so both sides share one exchange
+    v = fence(v.repartition(work_partitions(vectors), *keys), _side=F.col("side")).drop("side")
+    is_pred = F.col("_side").eqNullSafe("pred")
+    pred, ref = _packed(v.where(is_pred), keys, chunk, "_p", "pred"), _packed(v.where(~is_pred), keys, chunk, "_r", "ref")
+    # the outer join keeps samples with one side only
+    best = pred.join(ref, keys, "full_outer").select(*keys, "_p_block", "_r_block", _block_best(F.col("_p"), F.col("_r")).alias("m"))
+    sides = best.select(*keys, F.inline(F.array(
+        F.struct(F.lit("pred").alias("side"), F.col("_p_block").alias("block"), F.col("m.p").alias("best")),
+        F.struct(F.lit("ref").alias("side"), F.col("_r_block").alias("block"), F.col("m.r").alias("best")))))
+    blocks = sides.groupBy(*keys, "side", "block").agg(F.collect_list("best").alias("b"))  # one number a position and block met
+    top = F.reduce(F.slice("b", F.lit(2), F.size("b")), F.get("b", F.lit(0)), lambda x, y: F.zip_with(x, y, lambda i, j: F.greatest(i, j)))
+    sums = blocks.select(*keys, "side", top.alias("b")).select(
+        *keys, "side", F.reduce("b", F.lit(0.0), lambda x, y: x + y).alias("s"), F.when(F.col("b").isNotNull(), F.size("b")).alias("n"))
+    mean = lambda side: F.try_divide(F.sum(F.when(F.col("side") == side, F.col("s"))),
+                                     F.sum(F.when(F.col("side") == side, F.col("n"))))
     # a sample with one side only has no match: all zero
-    out = v.select(*keys).distinct().join(both, keys, "left").fillna(0.0, ["precision", "recall"])
+    out = sums.groupBy(*keys).agg(mean("pred").alias("precision"), mean("ref").alias("recall")).fillna(0.0, ["precision", "recall"])
     return out.select(*keys, "precision", "recall", _f1(F.col("precision"), F.col("recall")).alias("f1"))
 
 

@@ -72,3 +72,40 @@ def test_grams_are_counted_without_rows_of_grams(spark, monkeypatch):
         plan = _plan(metric(pairs))
         assert "Generate explode" not in plan and "Sort " not in plan, metric
     assert {r.n: (r.hyp, r.ref, r.match) for r in M.chrf_stats(pairs, 2).collect()} == {1: (4, 4, 2), 2: (2, 2, 0)}
+
+
+def test_vectors_are_computed_and_dealt_once(spark):
+    """One encoder pass and one exchange of its vectors; repeated positions, lone sides and blocks count as by brute force."""
+    import random
+
+    import numpy as np
+
+    from chatscope.operators.encoding import encode_tokens, make_hash_encoder
+    from chatscope.operators.metrics import embedding_match
+    pairs = spark.createDataFrame([("m", 1, "a b", "a c"), ("m", 2, None, "x")],
+                                  "model string, sample_id long, reference string, prediction string")
+    matched = embedding_match(encode_tokens(pairs, make_hash_encoder), keys=("model", "sample_id"))
+    assert sorted((r.sample_id, r.f1 > 0) for r in matched.collect()) == [(1, True), (2, False)]
+    final = _plan(matched).split("== Initial Plan ==")[0]
+    assert final.count("MapInArrow") == 1 and final.count("ReusedExchange") == 1
+
+    rng = random.Random(2)
+    rows = [(s, side, rng.randint(0, 9), [rng.uniform(-1, 1) for _ in range(3)])
+            for s in range(6) for side in ("pred", "ref") for _ in range(rng.randint(1, 14))]
+    rows += [(7, "pred", 0, [1.0, 0.0, 0.0]), (8, "other", 0, [1.0, 0.0, 0.0]), (None, "pred", 0, [1.0, 0.0, 0.0])]
+
+    def means(s):
+        sides = [[(p, np.array(e) / np.linalg.norm(e)) for k, side, p, e in rows if k == s and side == want] for want in ("pred", "ref")]
+        for a, b in (sides, sides[::-1]):
+            best = {}
+            for p, x in a:
+                for _, y in b:
+                    best[p] = max(best.get(p, -2), float(x @ y))
+            yield sum(best.values()) / len(best) if best else 0.0
+
+    v = spark.createDataFrame(rows, "sample_id long, side string, pos long, embedding array<float>")
+    for chunk in (2, 3, 256):
+        got = {r.sample_id: (r.precision, r.recall) for r in embedding_match(v, chunk=chunk).collect()}
+        assert set(got) == {*range(6), 7, 8, None}
+        for s, pair in got.items():
+            assert pair == pytest.approx(tuple(means(s)), abs=1e-6), s
