@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from chatscope.operators.inference import batch_generate
 from chatscope.operators.judge import SYSTEM_PROMPT, judge_prompt, parse_judge_reply
 from chatscope.schemas import JUDGE_CRITERIA
+from chatscope.session import materialize
 
 SCHEMA = "key string, wave int, reply string, valid boolean"
 WAVES = 3
@@ -79,8 +80,10 @@ def resume(journal: JudgeJournal, df: DataFrame, make_judge, criteria: Sequence[
         make_judge = partial(make_judge, system_prompt)
     prompt = judge_prompt("prompt", "reference", "prediction", criteria)
     rows = df.select(*keep, prompt.alias("judge_prompt")).withColumn("key", prompt_key(F.col("judge_prompt"), system_prompt))
+    todo = rows.select("key", "judge_prompt")
     for _ in range(waves):
-        todo = rows.select("key", "judge_prompt").join(journal.replies().where("valid"), "key", "left_anti").dropDuplicates(["key"])
+        # written, then counted and sent from there; what a later wave sends is among it
+        todo = materialize(todo.join(journal.replies().where("valid"), "key", "left_anti").dropDuplicates(["key"]))
         n = todo.count()
         if not n:
             break

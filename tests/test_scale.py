@@ -109,3 +109,23 @@ def test_vectors_are_computed_and_dealt_once(spark):
         assert set(got) == {*range(6), 7, 8, None}
         for s, pair in got.items():
             assert pair == pytest.approx(tuple(means(s)), abs=1e-6), s
+
+
+def test_judging_reads_its_rows_once_to_send_and_once_to_answer(spark, tmp_path):
+    import uuid
+
+    from chatscope.operators.inference import make_length_judge
+    from chatscope.operators.judge_journal import JudgeJournal, resume
+    passes = tmp_path / "passes"
+    passes.mkdir()
+
+    def noted(batches):
+        (passes / uuid.uuid4().hex).write_text("")
+        yield from batches
+
+    rows = spark.createDataFrame([("m", i, "ask", "ref", f"answer {i}") for i in range(8)],
+                                 "model string, sample_id long, prompt string, reference string, prediction string")
+    pairs = rows.coalesce(1).mapInPandas(noted, rows.schema)
+    got = resume(JudgeJournal(spark, str(tmp_path / "journal")), pairs, make_length_judge, task_rows=3).collect()
+    assert len(got) == 8 and not any(r.failed for r in got)
+    assert len(list(passes.iterdir())) == 2
