@@ -30,22 +30,25 @@ KEYS = {"events": "event_id", "conversations": "conv_id", "documents": "doc_id",
 # set by a test or bench session to spread the one-file driver tables over its cores
 SPREAD_CONF = "spark.chatscope.fixture.partitions"
 
-# bytes of a file for one task, of tables whose rows are short but cost much work each
-DENSE = {"events": 2 << 20}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; hash-spread on its id over ``SPREAD_CONF`` partitions where the session sets that.
-
-    A ``DENSE`` table is always spread: a scan has no more tasks than its files have row groups, which may be one.
-    """
+    """A driver table; hash-spread on its id over ``SPREAD_CONF`` partitions where the session sets that."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     n = spark.conf.get(SPREAD_CONF, None)
-    if not n and name in DENSE:
-        n = max(parallelism(spark), -(-plan_bytes(df) // DENSE[name]))
     return df.repartition(int(n), KEYS[name]) if n and name in KEYS else df
 
 
+EVENT_BYTES = 2 << 20  # of the events' files for one task: short rows that cost much work each
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, always hash-spread: a scan has no more tasks than its files have row groups, which may be one."""
+    df = table(spark, sf_dir, "events")
+    if spark.conf.get(SPREAD_CONF, None):
+        return df
+    return df.repartition(max(parallelism(spark), -(-plan_bytes(df) // EVENT_BYTES)), KEYS["events"])
+
+
 def _k(props: Column) -> Column:
     return F.get_json_object(props, "$.k").try_cast("bigint")
 
@@ -92,7 +95,7 @@ def tool_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     By ``sample_id % 32``: 3 lacks a role, 11 holds a plain string as a message, 19 a call
     without a name, 27 repeats a key; the rest by ``sample_id % 8``.
     """
-    p = _event_parts(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    p = _event_parts(events(spark, sf_dir).select("event_id", "user_id", "event_type", "props"))
     d = F.col("sample_id") % 8
     full = F.concat(F.lit('{"messages": '), F.col("msgs"), F.lit(', "tools": '), F.col("tools"),
                     F.lit(', "metadata": "'), F.col("meta"), F.lit('"}'))
@@ -126,7 +129,7 @@ def _pair(key: str, value: Column) -> Column:
 
 def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(model, sample_id, output)`` with the eight output cases of FX1b for both models; some rows are missing."""
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    ev = events(spark, sf_dir).select("event_id", "user_id", "event_type", "props")
     k = _k(F.col("props"))
     uid = F.col("user_id").cast("string")
     name = F.col("event_type")
@@ -232,7 +235,7 @@ def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Most are nested objects of one shape; others are null, ``{}``, cut off, no
     object, lack keys, have extra keys (a list among them) or nest ``CONFIG_DEPTH`` levels.
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    ev = events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props")
     k = _k(F.col("props"))
     head = F.concat(F.lit('{"FROM": "'), F.col("event_type"), F.lit('"'))
     model = F.concat(F.lit(', "Model": {"name": "m'), (F.col("user_id") % 5).cast("string"),
@@ -250,7 +253,7 @@ def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------- FX5 judge_replies
 def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "props")
+    ev = events(spark, sf_dir).select("event_id", "props")
     k = _k(F.col("props"))
     a, r, t = (k % 11).cast("string"), ((k + 3) % 11).cast("string"), ((k + 7) % 11).cast("string")
     obj = F.concat(F.lit('{"accuracy": '), a, F.lit(', "relevance": '), r, F.lit(', "tone": '), t, F.lit("}"))

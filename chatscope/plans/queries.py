@@ -148,7 +148,7 @@ def q_decode_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _broken_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX1 message lists in four spellings: single quotes, trailing comma, unquoted keys, clean."""
-    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    p = FX._event_parts(FX.events(spark, sf_dir).select("event_id", "user_id", "event_type", "props"))
     v = F.col("sample_id") % 4
     s = (F.when(v == 0, F.replace(F.col("msgs"), F.lit('"'), F.lit("'")))
          .when(v == 1, F.concat(F.expr("substring(msgs, 1, length(msgs) - 1)"), F.lit(", ]")))
@@ -168,7 +168,7 @@ def _unfinished_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX1 message lists whose structure is broken, by ``sample_id % 8``: cut in a string, without the closing marks, without
     commas between messages, a list left open inside, cut behind a name, cut in a name, without commas between members, clean.
     """
-    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    p = FX._event_parts(FX.events(spark, sf_dir).select("event_id", "user_id", "event_type", "props"))
     v, m = F.col("sample_id") % 8, F.col("msgs")
     upto = lambda mark, more: F.substring(m, F.lit(1), F.instr(m, F.lit(mark)) + more)
     s = (F.when(v == 0, upto('"}, {"role": "assistant"', -5))
@@ -192,7 +192,7 @@ def q_repair_json_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_unwrap_singleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.records import unwrap_singleton
-    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    p = FX._event_parts(FX.events(spark, sf_dir).select("event_id", "user_id", "event_type", "props"))
     v = F.col("sample_id") % 5
     wrapped = (F.when(v == 0, F.concat(F.lit("["), F.col("msgs"), F.lit("]")))
                .when(v == 1, F.concat(F.lit("[["), F.col("msgs"), F.lit("]]")))
@@ -477,7 +477,7 @@ def q_config_identical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = FX.table(spark, sf_dir, "events").select("event_id", "event_type")
+    ev = FX.events(spark, sf_dir).select("event_id", "event_type")
     cfg = FX.configs(spark, sf_dir)
     return cfg.join(ev.where(F.col("event_type") == "view"), F.col("config_id") == F.col("event_id"), "left_semi") \
         .select(F.col("config_id").alias("run_id"), "config")
@@ -509,7 +509,7 @@ def q_registry_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def q_config_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatscope.operators.registry import overlay
-    ev = FX.table(spark, sf_dir, "events").select("event_id", "event_type")
+    ev = FX.events(spark, sf_dir).select("event_id", "event_type")
     docs = FX.configs(spark, sf_dir).join(ev, F.col("config_id") == F.col("event_id"))
     return overlay(docs, "event_type", "event_id")
 
@@ -595,7 +595,7 @@ def q_render_adhoc_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def q_render_time_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = FX.table(spark, sf_dir, "events").select("event_id", "ts")
+    ev = FX.events(spark, sf_dir).select("event_id", "ts")
     return ev.select("event_id", T.time_context("ts").alias("developer_content"))
 
 
@@ -710,7 +710,7 @@ def q_judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_judge_parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge replies with text around the object, two objects, repeated keys and repeated nulls."""
     from chatscope.operators.judge import parse_judge_reply
-    e = FX.table(spark, sf_dir, "events").select("event_id", "props")
+    e = FX.events(spark, sf_dir).select("event_id", "props")
     k = FX._k(F.col("props")) % 11
     obj = lambda a: F.concat(F.lit('{"accuracy": '), a.cast("string"), F.lit(', "relevance": 4, "tone": 2'))
     v = F.col("event_id") % 7
@@ -729,7 +729,7 @@ def q_judge_parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_record_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean records with something behind them, by ``sample_id % 6``."""
     from chatscope.operators.records import parse_records
-    p = FX._event_parts(FX.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    p = FX._event_parts(FX.events(spark, sf_dir).select("event_id", "user_id", "event_type", "props"))
     line = F.concat(F.lit('{"messages": '), F.col("msgs"), F.lit(', "tools": '), F.col("tools"), F.lit(', "metadata": "train"'))
     v = F.col("sample_id") % 6
     text = (F.when(v == 0, F.concat(line, F.lit("}"))).when(v == 1, F.concat(F.lit(" "), line, F.lit("} \t")))

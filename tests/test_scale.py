@@ -28,7 +28,7 @@ def events(spark, tmp_path):
 
 def test_records_of_one_file_are_parsed_by_many_tasks(spark, events):
     from chatscope.plans import fixtures as FX
-    assert FX.table(spark, events, "events").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert FX.events(spark, events).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     for name in ("split_train", "repair_json_structure", "cap_eval", "compare_models"):
         assert "REPARTITION_BY_NUM" in _plan(E.queries()[name](spark, events)), name
     assert E.queries()["repair_json_structure"](spark, events).count() == 64
